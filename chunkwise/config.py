@@ -60,6 +60,8 @@ class ModelParams:
     seed: int = 42
     test_size: float = 0.2
     max_bins: int = 32
+    max_memory_mb: int = 1024     # node-statistics memory per tree-level pass
+    parallelism: int = 5          # folds fitted concurrently (like CrossValidator)
 
 
 @dataclass(frozen=True)

@@ -147,12 +147,19 @@ def retained(df: DataFrame, ts_col: str, cutoff: Column) -> DataFrame:
     return delete_where(df, F.col(ts_col) < cutoff)
 
 
-def retention_counts(tables: Mapping[str, tuple[DataFrame, str]], cutoff: Column) -> DataFrame:
+def retention_counts(tables: Mapping[str, tuple], cutoff: Column | None = None) -> DataFrame:
     """One row per table: rows deleted and kept, from one conditional
-    aggregate per table (the count and the delete share the predicate)."""
+    aggregate per table (the count and the delete share the predicate).
+    ``tables`` maps a name to ``(df, ts_col)`` (shared ``cutoff``) or to
+    ``(df, ts_col, cutoff)`` for a table on its own clock."""
     rows = []
-    for name, (df, ts_col) in tables.items():
-        old = F.coalesce(F.col(ts_col) < cutoff, F.lit(False))
+    for name, spec in tables.items():
+        df, ts_col = spec[0], spec[1]
+        table_cutoff = spec[2] if len(spec) > 2 else cutoff
+        if table_cutoff is None:
+            raise ValueError(f"{name}: no cutoff")
+        cutoff_col = table_cutoff
+        old = F.coalesce(F.col(ts_col) < cutoff_col, F.lit(False))
         rows.append(df.agg(F.lit(name).alias("table_name"),
                            F.count_if(old).cast("long").alias("deleted"),
                            F.count_if(~old).cast("long").alias("kept")))

@@ -27,8 +27,9 @@ def roc_auc(df: DataFrame, score: str, label: str, id_col: str | None = None,
         (F.col(id_col) if id_col else F.monotonically_increasing_id()).alias("_id"),
     )
     pos = with_position(base, [g, "_s", "_id"], "_p")
-    sizes = base.groupBy(g).agg(F.count(F.lit(1)).alias("_n"),
-                                F.sum("_y").cast("long").alias("n_pos"))
+    # sizes from the checkpointed positions: the input is not evaluated again
+    sizes = pos.groupBy(g).agg(F.count(F.lit(1)).alias("_n"),
+                               F.sum("_y").cast("long").alias("n_pos"))
     before = Window.orderBy(g).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     ranked = pos.join(F.broadcast(starts.select(g, "_start")), g) \

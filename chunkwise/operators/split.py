@@ -26,8 +26,9 @@ def rank_in_stratum(df: DataFrame, target: str, id_col: str, seed: int,
     h = "_cw_hash"
     hashed = df.withColumn(h, seeded_hash(id_col, seed))
     pos = with_position(hashed, [target, h, id_col], "_cw_pos")
-    # strata are few: one row each, so this window and broadcast are bounded
-    sizes = df.groupBy(target).agg(F.count(F.lit(1)).cast("long").alias(size_col))
+    # strata are few: one row each, so this window and broadcast are bounded;
+    # counted from the checkpointed positions so the input is not re-evaluated
+    sizes = pos.groupBy(target).agg(F.count(F.lit(1)).cast("long").alias(size_col))
     before = Window.orderBy(target).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_cw_start", F.coalesce(F.sum(size_col).over(before), F.lit(0)))
     out = pos.join(F.broadcast(starts), target)

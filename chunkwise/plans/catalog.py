@@ -802,8 +802,8 @@ def q_delete_where(spark: SparkSession, d: str) -> DataFrame:
 
 @register("retention_sweep", """
 SELECT 'events' AS table_name,
-       count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-31' - INTERVAL 30 DAY) AS deleted,
-       count(*) FILTER (WHERE NOT coalesce(ts < TIMESTAMP '2024-01-31' - INTERVAL 30 DAY, false)) AS kept
+       count(*) FILTER (WHERE ts < TIMESTAMP '2024-02-15' - INTERVAL 30 DAY) AS deleted,
+       count(*) FILTER (WHERE NOT coalesce(ts < TIMESTAMP '2024-02-15' - INTERVAL 30 DAY, false)) AS kept
 FROM events
 UNION ALL
 SELECT 'orders', count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1999-01-01' - INTERVAL 30 DAY),
@@ -818,7 +818,7 @@ def q_retention_sweep(spark: SparkSession, d: str) -> DataFrame:
     """Counts of a 30-day sweep per table, each table on its own clock."""
     return ledger.retention_counts({
         "events": (table(spark, d, "events"), "ts",
-                   ledger.retention_cutoff(ntz("2024-01-31 00:00:00"))),
+                   ledger.retention_cutoff(ntz("2024-02-15 00:00:00"))),
         "orders": (table(spark, d, "orders"), "o_orderdate",
                    ledger.retention_cutoff(ntz("1999-01-01 00:00:00"))),
         "lineitem": (table(spark, d, "lineitem"), "l_shipdate",
@@ -828,11 +828,11 @@ def q_retention_sweep(spark: SparkSession, d: str) -> DataFrame:
 
 @register("retention_survivors", """
 SELECT event_id, ts FROM events
-WHERE NOT coalesce(ts < TIMESTAMP '2024-01-31' - INTERVAL 30 DAY, false)
+WHERE NOT coalesce(ts < TIMESTAMP '2024-02-15' - INTERVAL 30 DAY, false)
 """)
 def q_retention_survivors(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events").select("event_id", "ts")
-    return ledger.retained(ev, "ts", ledger.retention_cutoff(ntz("2024-01-31 00:00:00")))
+    return ledger.retained(ev, "ts", ledger.retention_cutoff(ntz("2024-02-15 00:00:00")))
 
 
 @register("health_stats", """

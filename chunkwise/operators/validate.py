@@ -51,6 +51,23 @@ def alias_columns(df: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()
     return df.select(*out)
 
 
+def fields_from_map(df: DataFrame, map_col: str, fields: Sequence[str],
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """V1 for JSON objects parsed as ``MAP<STRING,STRING>``: each field under
+    its camelCase alias or snake_case name, with *per-record* presence (an
+    absent key and an explicit null differ, so defaults apply correctly)."""
+    m = F.col(map_col)
+    out = [F.col(k) for k in keep]
+    for f in fields:
+        names = list(dict.fromkeys([camel_case(f), f]))
+        present = F.lit(False)
+        for n in names:
+            present = present | F.map_contains_key(m, F.lit(n))
+        value = F.coalesce(*[m.getItem(n) for n in names]) if len(names) > 1 else m.getItem(f)
+        out += [value.alias(f), present.alias(f"_present_{f}")]
+    return df.select(*out)
+
+
 def drop_presence(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_present_")])
 
@@ -113,15 +130,20 @@ def person_rules_and_values(df: DataFrame, now: Column | None = None
 
 
 def validate_persons(raw: DataFrame, now: Column | None = None,
-                     keep: Sequence[str] | None = None) -> DataFrame:
+                     keep: Sequence[str] | None = None, map_col: str | None = None
+                     ) -> DataFrame:
     """V1+V2+V3+V4+V5+V6+V9 on raw person records: typed person columns plus
-    ``errors``.  ``keep`` columns (default: every column that is not a person
-    field under either spelling) are carried through untouched."""
+    ``errors``.  Records are either columns (presence per column) or, with
+    ``map_col``, JSON objects as string maps (presence per record).  ``keep``
+    columns (default: every other column) are carried through untouched."""
     fields = [f.name for f in PERSON]
-    spelled = set(fields) | {camel_case(f) for f in fields}
+    spelled = set(fields) | {camel_case(f) for f in fields} | {map_col}
     carry = list(keep) if keep is not None else [c for c in raw.columns if c not in spelled]
-    shaped = apply_defaults(alias_columns(raw, fields, carry, fill_absent=False),
-                            config.PERSON_DEFAULTS)
+    if map_col is not None:
+        shaped = fields_from_map(raw, map_col, fields, carry)
+    else:
+        shaped = alias_columns(raw, fields, carry, fill_absent=False)
+    shaped = apply_defaults(shaped, config.PERSON_DEFAULTS)
     shaped = shaped.withColumns({f: F.lit(None).cast("string") for f in fields
                                  if f not in shaped.columns})
     values, rules = person_rules_and_values(shaped, now)

@@ -26,6 +26,13 @@ PERSON_RAW = T.StructType([T.StructField(f, T.StringType(), True) for f in PERSO
 PERSONS_ENVELOPE = T.StructType([T.StructField("persons", T.ArrayType(PERSON_RAW), True)])
 DATA_ENVELOPE = T.StructType([T.StructField("data", T.ArrayType(PERSON_RAW), True)])
 
+# A JSON object as a string map keeps *key presence* per record: an absent
+# key is not in the map, an explicit JSON null is a present key with a null
+# value.  Numbers keep their JSON text and are coerced by the validator.
+RECORD_MAP = T.MapType(T.StringType(), T.StringType(), True)
+PERSONS_ENVELOPE_KEYS = T.StructType([T.StructField("persons", T.ArrayType(RECORD_MAP), True)])
+DATA_ENVELOPE_KEYS = T.StructType([T.StructField("data", T.ArrayType(RECORD_MAP), True)])
+
 PRED_OUTPUT = T.StructType([
     T.StructField("person_id", T.StringType(), True),
     T.StructField("survived", T.IntegerType(), True),

@@ -1,10 +1,10 @@
 """Scans and sinks."""
 
 from chunkwise.sources.events import build_events, publish_events
-from chunkwise.sources.jsonio import read_json_records, write_json_lines
+from chunkwise.sources.jsonio import read_json_objects, read_json_records, write_json_lines
 from chunkwise.sources.parquet import CardinalityError, scalar_one, scan_project, select_where
 from chunkwise.sources.tables import VersionedTable, append_rows, row_id
 
 __all__ = ["CardinalityError", "VersionedTable", "append_rows", "build_events",
-           "publish_events", "read_json_records", "row_id", "scalar_one", "scan_project",
+           "publish_events", "read_json_objects", "read_json_records", "row_id", "scalar_one", "scan_project",
            "select_where", "write_json_lines"]

@@ -9,6 +9,7 @@ job through one task, so only lines are written.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TS_NTZ_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -29,6 +30,22 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType,
     return reader.json(path)
 
 
+def read_json_objects(spark: SparkSession, path: str, array_file: bool = False,
+                      out_col: str = "record") -> DataFrame:
+    """JSON objects as ``MAP<STRING,STRING>`` with key presence kept per
+    record (``record``) plus the raw text (``raw``); a malformed object gives
+    a null ``record`` so it can be quarantined.  Lines split across tasks; an
+    array file is one task per file."""
+    if array_file:
+        text = spark.read.text(path, wholetext=True)
+        arr = F.from_json(F.col("value"), T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+        return text.select(F.posexplode_outer(arr).alias("item_index", out_col)) \
+                   .withColumn("raw", F.to_json(F.col(out_col)))
+    text = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    return text.select(F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()))
+                       .alias(out_col), F.col("value").alias("raw"))
+
+
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """S3: one JSON object per line, written by every task in parallel."""
     df.write.mode(mode).option("timestampNTZFormat", _TS_NTZ_FMT) \

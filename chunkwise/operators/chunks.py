@@ -22,7 +22,8 @@ def assign_chunks(df: DataFrame, order_by: Sequence[str | Column],
                   size: int = API_CHUNK_SIZE, num_partitions: int | None = None) -> DataFrame:
     """A1: add ``pos`` (0-based), ``chunk_id``, ``item_index`` (position in
     the chunk) and ``total_items``.  The last chunk may be short; an empty
-    input yields no rows and so no chunks."""
+    input yields no rows and so no chunks.  Project ``df`` first: the
+    positions are checkpointed, which stops column pruning below."""
     if size <= 0:
         raise ValueError("chunk size must be positive")
     out = with_position_and_total(df, order_by, "pos", "total_items", num_partitions)

@@ -15,7 +15,9 @@ row goes through one task.  Instead:
    window over those P rows, and broadcast-join the offsets back.  The
    broadcast side has at most P rows, a bound fixed by construction.
 
-Position = offset(partition) + index in partition.  A skewed *value* of
+Position = offset(partition) + index in partition.  The checkpoint is a
+barrier to column pruning: project ``df`` to the columns needed downstream
+before calling.  A skewed *value* of
 the leading order column cannot overload a task because the order key as a
 whole is unique, so the range partitioner can split any hot group.
 """

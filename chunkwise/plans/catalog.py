@@ -116,7 +116,7 @@ FROM s
 """)
 def q_publish_events(spark: SparkSession, d: str) -> DataFrame:
     """One completed-event message per chunk of 500 orders."""
-    c = chunks.assign_chunks(table(spark, d, "orders"), ["o_orderkey"], 500)
+    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 500)
     stats = chunks.chunk_stats(c)
     ev = build_events(stats, {"status": F.lit("success"), "chunk_id": F.col("chunk_id"),
                               "item_count": F.col("item_count")},
@@ -248,7 +248,8 @@ FROM c
 """)
 def q_validate_fail_chunk(spark: SparkSession, d: str) -> DataFrame:
     """One bad order rejects its whole chunk of 500."""
-    c = chunks.assign_chunks(table(spark, d, "orders"), ["o_orderkey"], 500)
+    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"),
+                             ["o_orderkey"], 500)
     checked = validate.with_errors(c, _order_rules())
     valid, rejected = validate.split_valid(checked, mode="fail_chunk")
     cols = ["o_orderkey", "chunk_id"]
@@ -601,8 +602,9 @@ def q_prechunked_explode(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _event_chunks(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events").withColumn(
-        "duration_ms", F.round(F.col("value") * F.lit(100.0)).cast("long"))
+    # project before chunking: the positional checkpoint stops column pruning
+    ev = table(spark, d, "events").select(
+        "event_id", F.round(F.col("value") * F.lit(100.0)).cast("long").alias("duration_ms"))
     return chunks.assign_chunks(ev, ["event_id"], 500)
 
 

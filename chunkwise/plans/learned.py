@@ -18,7 +18,7 @@ from chunkwise.operators.model import (TrainResult, clear_model_cache, load_mode
 from chunkwise.plans.catalog import EVENTS_SCHEMA, register
 from chunkwise.plans.tables import LEDGER_SQL, table, task_events
 from chunkwise.session import scratch_path
-from chunkwise.sources.tables import VersionedTable
+from chunkwise.sources.ledger_store import LedgerStore
 from chunkwise.streaming import (batch_sink, dedupe_stream, file_stream, ledger_handler,
                                  quarantine_handler, read_sink, run_available_now)
 
@@ -86,9 +86,6 @@ def q_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
                                                               "survived")
 
 
-DOCS_SCHEMA = None
-
-
 @register("stream_score")
 def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
     """Documents consumed as a stream, validated, scored; predictions
@@ -124,13 +121,14 @@ def _event_files(spark: SparkSession, d: str, parts: int = 4) -> str:
 
 @register("stream_ledger", LEDGER_SQL)
 def q_stream_ledger(spark: SparkSession, d: str) -> DataFrame:
-    """Task events streamed one file per micro-batch; each batch is
-    merged into the versioned ledger.  Must equal the batch fold (L1)."""
+    """Task events streamed one file per micro-batch; each batch appends
+    its folded delta, every second batch compacts into a snapshot.  The
+    ledger read back (snapshot + later deltas) must equal the batch fold (L1)."""
     src = _event_files(spark, d)
     stream = file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1)
-    tbl = VersionedTable(spark, scratch_path(spark, "ledger"))
-    run_available_now(stream, ledger_handler(tbl, task_events), scratch_path(spark, "ckpt-led"))
-    return ledger.public_ledger(tbl.read())
+    store = LedgerStore(spark, scratch_path(spark, "ledger"), compact_every=2)
+    run_available_now(stream, ledger_handler(store, task_events), scratch_path(spark, "ckpt-led"))
+    return ledger.public_ledger(store.read())
 
 
 def _broken_bodies(df: DataFrame) -> DataFrame:

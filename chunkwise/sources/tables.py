@@ -10,6 +10,7 @@ same version id rewrites the same folder with the same content
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,39 +38,35 @@ def append_rows(df: DataFrame, path: str, key_cols: Sequence[str],
     return out
 
 
-_LOG_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("path", T.StringType(), False),
-])
+_MARK_SCHEMA = T.StructType([T.StructField("version", T.LongType(), False)])
+_VERSION_RE = re.compile(r"/v=(\d+)/")
 
 
 class VersionedTable:
-    """Immutable versions ``<root>/v=<n>`` and a commit log ``<root>/_log``."""
+    """Immutable versions ``<root>/v=<n>`` and commit markers
+    ``<root>/_commits/v=<n>``.  A version is visible once its marker exists;
+    markers are listed on the driver (file listing, no Spark job)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _log(self) -> DataFrame | None:
+    def versions(self) -> list[int]:
         try:
-            return self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
+            files = self.spark.read.schema(_MARK_SCHEMA).parquet(
+                f"{self.root}/_commits").inputFiles()
         except Exception:  # no commit yet
-            return None
+            return []
+        return sorted({int(m.group(1)) for f in files for m in [_VERSION_RE.search(f)] if m})
 
     def latest_version(self) -> int | None:
-        log = self._log()
-        if log is None:
-            return None
-        row = log.agg(F.max("version").alias("v")).first()
-        return None if row is None or row.v is None else int(row.v)
+        v = self.versions()
+        return v[-1] if v else None
 
     def latest_below(self, version: int) -> int | None:
         """Newest committed version strictly below ``version`` (replays)."""
-        log = self._log()
-        if log is None:
-            return None
-        row = log.filter(F.col("version") < version).agg(F.max("version").alias("v")).first()
-        return None if row is None or row.v is None else int(row.v)
+        v = [x for x in self.versions() if x < version]
+        return v[-1] if v else None
 
     def read(self, version: int | None = None) -> DataFrame | None:
         v = self.latest_version() if version is None else version
@@ -78,12 +75,11 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.root}/v={v:09d}")
 
     def commit(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as a version (default: latest + 1), then log it."""
+        """Write ``df`` as a version (default: latest + 1), then mark it."""
         if version is None:
             last = self.latest_version()
             version = 0 if last is None else last + 1
-        path = f"{self.root}/v={version:09d}"
-        df.write.mode("overwrite").parquet(path)
-        log = self.spark.createDataFrame([(int(version), path)], _LOG_SCHEMA)
-        log.write.mode("append").parquet(f"{self.root}/_log")
+        df.write.mode("overwrite").parquet(f"{self.root}/v={version:09d}")
+        self.spark.createDataFrame([(int(version),)], _MARK_SCHEMA).coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.root}/_commits/v={version:09d}")
         return version

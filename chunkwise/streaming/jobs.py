@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chunkwise.operators.ledger import fold_task_ledger, merge_task_ledger
-from chunkwise.sources.tables import VersionedTable
 
 CORRUPT = "_corrupt_record"
 
@@ -78,20 +76,14 @@ def read_sink(spark: SparkSession, path: str, schema: T.StructType | None = None
 
 
 # --------------------------------------------------------------------------- T2
-def ledger_handler(table: VersionedTable, to_events: Callable[[DataFrame], DataFrame]
+def ledger_handler(store, to_events: Callable[[DataFrame], DataFrame]
                    ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch: merge the batch's task events into the ledger.  Version
-    ``n`` is always built from the newest version below ``n``, so a replayed
-    batch reproduces the same version."""
+    """foreachBatch: fold the batch's task events into a delta of the
+    log-structured ledger (``sources.ledger_store.LedgerStore``); the store
+    compacts every few batches.  Work per batch is O(batch), not O(ledger),
+    and a replayed batch rewrites the same delta."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        events = to_events(batch)
-        prev = None
-        latest = table.latest_version()
-        if latest is not None:
-            below = latest if latest < batch_id else table.latest_below(batch_id)
-            prev = None if below is None else table.read(below)
-        new = fold_task_ledger(events) if prev is None else merge_task_ledger(prev, events)
-        table.commit(new, version=batch_id)
+        store.append(to_events(batch), batch_id)
     return handle
 
 

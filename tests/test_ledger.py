@@ -84,3 +84,20 @@ def test_versioned_table_replay(spark):
     t.commit(spark.range(5), version=1)            # replayed batch: same content
     assert t.latest_version() == 1 and t.read().count() == 5
     assert t.latest_below(1) == 0 and t.read(0).count() == 3
+
+
+def test_ledger_store_deltas_and_compaction(spark):
+    from chunkwise.sources.ledger_store import LedgerStore
+    rows = [("t%d" % (i % 3), "n", s, T0 + dt.timedelta(seconds=i), str(i), None,
+             "r%d" % i if s == "SUCCESS" else None, "e%d" % i if s == "RETRY" else None, i)
+            for i, s in enumerate(["STARTED", "RETRY", "SUCCESS"] * 4)]
+    full = sorted(map(tuple, ledger.public_ledger(
+        ledger.fold_task_ledger(_events(spark, rows))).collect()))
+    store = LedgerStore(spark, scratch_path(spark, "ls"), compact_every=2)
+    for b in range(4):                       # batches arrive newest first
+        store.append(_events(spark, rows[(3 - b) * 3:(4 - b) * 3]), b)
+    store.append(_events(spark, rows[9:12]), 3)    # replay of batch 3: no change
+    assert store.snapshots.versions() == [1, 3]
+    assert sorted(map(tuple, ledger.public_ledger(store.read()).collect())) == full
+    store.append(_events(spark, rows[:1]), 4)      # delta after the last snapshot
+    assert sorted(map(tuple, ledger.public_ledger(store.read()).collect())) == full

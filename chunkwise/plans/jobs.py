@@ -34,9 +34,11 @@ def chunk_job(spark: SparkSession, orders_path: str, size: int = API_CHUNK_SIZE,
 
 
 def batch_predict(model, persons_raw: DataFrame, now: Column | None = None,
-                  mode: str = "quarantine") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Raw person records -> (valid persons, prediction rows, rejected)."""
-    checked = validate.validate_persons(persons_raw, now)
+                  mode: str = "quarantine", map_col: str | None = None
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw person records (columns, or JSON objects as maps in
+    ``map_col``) -> (valid persons, prediction rows, rejected rows)."""
+    checked = validate.validate_persons(persons_raw, now, map_col=map_col)
     valid, rejected = validate.split_valid(checked, mode)
     persons = valid.drop(validate.ERRORS)
     scored = score_batch(model, persons)

@@ -56,3 +56,35 @@ def test_entry_contract(spark):
     rows = df.collect()
     assert len(rows) == 1 and rows[0].total_items > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_batch_predict_end_to_end(spark):
+    """E1 + E3 on the person contract: train on labelled persons, then
+    validate -> score -> prediction rows for a JSON batch with one bad row."""
+    import json
+    from chunkwise.config import FeatureSpec
+    from chunkwise.operators import validate
+    from chunkwise.plans.jobs import batch_predict, train
+    from chunkwise.schemas import DATA_ENVELOPE_KEYS
+    from conftest import LAB_PERSONS
+    people = []
+    for i in range(40):
+        p = dict(LAB_PERSONS[i % 5])
+        p["personId"] = f"p{i}"
+        p["age"] = None if i % 7 == 0 else p["age"] + i      # null age -> filled
+        p["sex"] = p["sex"].upper()                          # lower-cased in cleaning
+        p["survived"] = i % 2
+        people.append(p)
+    raw = spark.createDataFrame(people).withColumnRenamed("personId", "person_id")
+    res = train(raw, FeatureSpec(), ModelParams(n_estimators=3, max_depth=2, n_splits=2))
+    assert len(res.fold_metrics) == 2
+    batch = LAB_PERSONS + [{**LAB_PERSONS[0], "embarked": "zz"}]
+    body = spark.createDataFrame([(json.dumps({"data": batch}),)], "body string")
+    items = validate.explode_envelope(body, "body", DATA_ENVELOPE_KEYS, "data")
+    persons, preds, rejected = batch_predict(res.model, items, map_col="item")
+    assert persons.count() == 5 and rejected.count() == 1
+    rows = preds.collect()
+    assert len(rows) == 5 and all(r.status == "success" for r in rows)
+    assert {r.data.person_id for r in rows} == {p["personId"] for p in LAB_PERSONS}
+    assert all(r.data.survived == (1 if r.data.probability > 0.5 else 0) or
+               abs(r.data.probability - 0.5) < 0.006 for r in rows)

@@ -352,7 +352,7 @@ SELECT event_id, message_type,
        'dlq_' || message_type || '_processing' AS job_name,
        json_object('status', 'dlq_processed', 'message_type', message_type)::VARCHAR
            AS output_data,
-       0.0 AS processing_time, 'dlq_processed' AS status
+       CAST(0 AS DOUBLE) AS processing_time, 'dlq_processed' AS status
 FROM t
 """)
 def q_dead_letter_log(spark: SparkSession, d: str) -> DataFrame:
@@ -459,7 +459,8 @@ def q_minmax_scale(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _onehot_sql(col: str, values: tuple[str, ...]) -> str:
-    return ", ".join(f"CASE WHEN {col} = '{v}' THEN 1.0 ELSE 0.0 END AS cat_vars__{col}_{v}"
+    return ", ".join(f"CASE WHEN {col} = '{v}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END "
+                     f"AS cat_vars__{col}_{v}"
                      for v in values)
 
 

@@ -42,6 +42,23 @@ def _rows(cols: list[str], rows: list, digits: int | None) -> list:
     return sorted(out, key=lambda t: json.dumps(t, default=str))
 
 
+_FAMILY = {"bigint": "int64", "int": "int32", "integer": "int32", "smallint": "int16",
+           "tinyint": "int8", "double": "float64", "float": "float32", "real": "float32",
+           "string": "str", "varchar": "str", "boolean": "bool", "timestamp_ntz": "ts",
+           "timestamp": "ts", "date": "date"}
+
+
+def type_family(t: str) -> str:
+    """Type family with width; DECIMAL and HUGEINT stay distinct on purpose (a
+    DECIMAL oracle column against a DOUBLE Spark column hashes differently)."""
+    t = t.lower()
+    if t.startswith("decimal"):
+        return "decimal"
+    if t.startswith("array") or t.endswith("[]"):
+        return "list"
+    return _FAMILY.get(t, t)
+
+
 def duckdb_connection(sf_dir: str):
     import duckdb
     con = duckdb.connect()
@@ -66,6 +83,10 @@ def compare(spark, key: str, sf_dir: str, con=None) -> dict:
     o_cols = [c[0] for c in cur.description]
     o_rows = cur.fetchall()
     res.update(oracle_rows=len(o_rows), cols_match=sorted(s_cols) == sorted(o_cols))
+    o_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({ORACLE[key]})").fetchall()}
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    res["type_mismatch"] = {c: (s_types.get(c), t) for c, t in o_types.items()
+                            if type_family(t) != type_family(s_types.get(c, "?"))}
     if not res["cols_match"]:
         res["spark_cols"], res["oracle_cols"] = sorted(s_cols), sorted(o_cols)
     res["exact"] = res["cols_match"] and _rows(s_cols, s_rows, None) == _rows(o_cols, o_rows, None)
@@ -93,7 +114,7 @@ def main(argv: list[str] | None = None) -> int:
             r = compare(spark, key, args.sf, con)
         except Exception as err:  # report and continue
             r = {"key": key, "error": f"{type(err).__name__}: {str(err)[:400]}"}
-        ok = r.get("check") == "rows-only" or r.get("exact")
+        ok = r.get("check") == "rows-only" or (r.get("exact") and not r.get("type_mismatch"))
         bad += 0 if ok else 1
         print(json.dumps(r, default=str), flush=True)
     print(json.dumps({"failed": bad}))

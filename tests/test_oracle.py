@@ -26,3 +26,4 @@ def test_matches_oracle(spark, con, key):
     assert r["cols_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["exact"], r
+    assert not r["type_mismatch"], r

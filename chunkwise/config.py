@@ -46,6 +46,7 @@ TASK_CHUNK_SIZE = 10
 PROGRESS_EVERY = 10            # throttled progress: every 10th item and the last
 SAMPLE_ROWS = 20               # rows kept in a job's response sample
 RETENTION_DAYS = 30
+RESULT_TTL_SECONDS = 3600        # result-backend expiry
 HEALTH_WINDOW_HOURS = 24
 HEALTH_TASK_PATTERN = "%health_check%"
 

@@ -73,13 +73,32 @@ def public_ledger(ledger: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- L8
-def task_status_lookup(requests: DataFrame, ledger: DataFrame, id_col: str = "task_id"
-                       ) -> DataFrame:
+def latest_progress(points: DataFrame, task_col: str = "task_id",
+                    order: Column | None = None) -> DataFrame:
+    """Latest progress point per task (``current, total, chunk_id``), as a
+    partial-aggregating ``max_by``; ``order`` defaults to ``current``."""
+    key = order if order is not None else F.col("current")
+    return points.groupBy(task_col).agg(*[
+        F.max_by(F.col(c), key).alias(c) for c in ("current", "total", "chunk_id")])
+
+
+def task_status_lookup(requests: DataFrame, ledger: DataFrame, id_col: str = "task_id",
+                       progress: DataFrame | None = None) -> DataFrame:
     """Status of requested ids: unknown ids read as PENDING (left join).
-    The join is planned by Catalyst/AQE: both sides may be large."""
+    With ``progress`` (one row per task, see ``latest_progress``) a task that
+    has reported progress and has not finished reads as PROGRESS with its
+    ``current``/``total``/``chunk_id``.  Joins are planned by Catalyst/AQE:
+    every side may be large."""
     led = ledger.select(F.col("task_id").alias("_lid"), "status", "result", "error")
     j = requests.join(led, requests[id_col] == led["_lid"], "left")
-    state = F.coalesce(F.col("status"), F.lit("PENDING"))
+    status = F.col("status")
+    if progress is not None:
+        prog = progress.select(F.col("task_id").alias("_pid"), F.col("current").alias("_pc"),
+                               F.col("total").alias("_pt"), F.col("chunk_id"))
+        j = j.join(prog, requests[id_col] == prog["_pid"], "left")
+        done = F.coalesce(status.isin("SUCCESS", "FAILURE", "RETRY", "REVOKED"), F.lit(False))
+        status = F.when(~done & F.col("_pid").isNotNull(), F.lit("PROGRESS")).otherwise(status)
+    state = F.coalesce(status, F.lit("PENDING"))
     msg = F.lit(None).cast("string")
     for s, text in reversed(list(config.STATUS_MESSAGES.items())):
         msg = F.when(state == F.lit(s), F.lit(text)).otherwise(msg)
@@ -88,8 +107,14 @@ def task_status_lookup(requests: DataFrame, ledger: DataFrame, id_col: str = "ta
         state.alias("state"),
         state.isin(*config.READY_STATES).alias("ready"),
         msg.alias("message"),
-        F.when(state == "PENDING", F.lit(0)).cast("int").alias("current"),
-        F.when(state == "PENDING", F.lit(1)).cast("int").alias("total"),
+        *([F.when(state == "PENDING", F.lit(0)).when(state == "PROGRESS", F.col("_pc"))
+           .cast("int").alias("current"),
+           F.when(state == "PENDING", F.lit(1)).when(state == "PROGRESS", F.col("_pt"))
+           .cast("int").alias("total"),
+           F.when(state == "PROGRESS", F.col("chunk_id")).cast("long").alias("chunk_id")]
+          if progress is not None else
+          [F.when(state == "PENDING", F.lit(0)).cast("int").alias("current"),
+           F.when(state == "PENDING", F.lit(1)).cast("int").alias("total")]),
         F.when(state == "SUCCESS", F.col("result")).alias("result"),
         F.when(state.isin("FAILURE", "RETRY"), F.col("error")).alias("error"),
         F.when(state == "SUCCESS", F.lit(True)).when(state == "FAILURE", F.lit(False))
@@ -138,7 +163,12 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- L6
-def retention_cutoff(as_of: Column, days: int = config.RETENTION_DAYS) -> Column:
+def retention_cutoff(as_of: Column, days: int = config.RETENTION_DAYS,
+                     seconds: int | None = None) -> Column:
+    """``as_of - days`` (the 30-day sweep) or ``as_of - seconds`` (the
+    one-hour result TTL: ``seconds=3600``)."""
+    if seconds is not None:
+        return as_of - F.expr(f"INTERVAL {int(seconds)} SECONDS")
     return as_of - F.expr(f"INTERVAL {int(days)} DAYS")
 
 

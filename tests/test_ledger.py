@@ -101,3 +101,29 @@ def test_ledger_store_deltas_and_compaction(spark):
     assert sorted(map(tuple, ledger.public_ledger(store.read()).collect())) == full
     store.append(_events(spark, rows[:1]), 4)      # delta after the last snapshot
     assert sorted(map(tuple, ledger.public_ledger(store.read()).collect())) == full
+
+
+def test_status_lookup_progress(spark):
+    led = ledger.fold_task_ledger(_events(spark, [
+        ("t1", "n", "STARTED", T0, None, None, None, None, 1),
+        ("t2", "n", "SUCCESS", T0, None, None, "ok", None, 2)]))
+    pts = spark.createDataFrame([("t1", 1, 500, 3), ("t1", 11, 500, 3), ("t2", 500, 500, 0)],
+                                "task_id string, current int, total int, chunk_id long")
+    req = spark.createDataFrame([("t1",), ("t2",), ("t3",)], "task_id string")
+    out = {r.task_id: r for r in ledger.task_status_lookup(
+        req, led, progress=ledger.latest_progress(pts)).collect()}
+    assert (out["t1"].state, out["t1"].current, out["t1"].total, out["t1"].chunk_id) == \
+        ("PROGRESS", 11, 500, 3)
+    assert out["t1"].message == "Task is currently being processed" and not out["t1"].ready
+    assert out["t2"].state == "SUCCESS" and out["t2"].result == "ok"
+    assert out["t3"].state == "PENDING" and out["t3"].total == 1
+
+
+def test_result_ttl_cutoff(spark):
+    df = spark.createDataFrame([(1, T0), (2, T0 + dt.timedelta(minutes=59))],
+                               "id int, created_at timestamp_ntz")
+    as_of = F.lit(T0 + dt.timedelta(hours=1)).cast("timestamp_ntz")
+    cut = ledger.retention_cutoff(as_of, seconds=3600)
+    assert [r.id for r in ledger.retained(df, "created_at", cut).collect()] == [1, 2]
+    cut2 = ledger.retention_cutoff(as_of + F.expr("INTERVAL 2 MINUTES"), seconds=3600)
+    assert [r.id for r in ledger.retained(df, "created_at", cut2).collect()] == [2]

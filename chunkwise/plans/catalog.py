@@ -17,9 +17,8 @@ from pyspark.sql import types as T
 
 from chunkwise import config
 from chunkwise.config import FeatureSpec
-from chunkwise.functions import (fill_constant, iso_timestamp, json_scalar, lax_int,
-                                 max_length, norm_category, not_like, one_of, round2,
-                                 threshold_label, truncate_text, upper_strings)
+from chunkwise.functions import (fill_constant, lax_int, max_length, norm_category, not_like,
+                                 one_of, round2, threshold_label, truncate_text, upper_strings)
 from chunkwise.operators import chunks, ledger, validate
 from chunkwise.operators.features import (clean_training_frame, feature_matrix,
                                           minmax_scale, minmax_stats, one_hot_columns,

@@ -1,9 +1,10 @@
 """End-to-end jobs composed from the operators.
 
-* ``chunk_job``      E2: validate -> chunk -> per-chunk stats -> job roll-up
+* ``chunk_job``      E2 summary: validate -> chunk -> per-chunk stats -> job roll-up
+* ``run_chunk_job``  E2 written out: chunk outputs, chunk stats, job-log row, events
 * ``batch_predict``  E1: validate -> score -> prediction rows (+ rejected)
 * ``train``          E3: clean -> fit processor -> split -> folds -> forest
-* ``periodic``       E4: retention counts and health statistics
+* ``periodic``       E4: retention sweep (new table versions, counts) + health counts
 """
 
 from __future__ import annotations
@@ -33,6 +34,55 @@ def chunk_job(spark: SparkSession, orders_path: str, size: int = API_CHUNK_SIZE,
     return chunks.combine_chunks(chunks.chunk_stats(chunked, "duration"))
 
 
+def run_chunk_job(df: DataFrame, order_by: list[str], out_root: str, run_id: str,
+                  job_name: str = "bulk_data_processing", size: int = API_CHUNK_SIZE,
+                  duration: str | None = None, map_step=None, sample_col: str | None = None,
+                  completed_at: Column | None = None) -> dict:
+    """E2 written out: chunk the input, apply ``map_step`` (default: upper-case
+    strings), write the chunk outputs, the per-chunk stats, one job-log row
+    (appended to the jobs table) and one completed event per chunk.  Returns
+    the paths and the combined summary (one small row)."""
+    from chunkwise.functions import upper_strings
+    from chunkwise.sources import append_rows, build_events, publish_events
+    step = map_step or upper_strings
+    chunked = chunks.assign_chunks(df, order_by, size)
+    out = step(chunked)
+    paths = {k: f"{out_root.rstrip('/')}/{k}" for k in ("output", "chunks", "jobs", "events")}
+    out.write.mode("overwrite").parquet(paths["output"])
+    written = out.sparkSession.read.parquet(paths["output"])     # cut lineage: reuse the write
+    stats = chunks.chunk_stats(written, duration)
+    stats.write.mode("overwrite").parquet(paths["chunks"])
+    stats = written.sparkSession.read.parquet(paths["chunks"])
+    sample = chunks.sample_head(written.select("chunk_id", "item_index",
+                                               sample_col or order_by[0]))
+    job = chunks.job_log(stats, sample, job_name, sample_col or order_by[0], completed_at)
+    append_rows(job, paths["jobs"], ["job_name", "input_data"])
+    events = build_events(stats, {"status": F.lit("success"), "chunk_id": F.col("chunk_id"),
+                                  "item_count": F.col("item_count")},
+                          queue="results", run_id=run_id)
+    publish_events(events, paths["events"])
+    summary = chunks.combine_chunks(stats).first().asDict()
+    return {"paths": paths, **summary}
+
+
+def periodic(tables: dict, as_of: Column, out_root: str, health: dict | None = None) -> dict:
+    """The retention sweep writes each table's survivors as a new
+    version and reports deleted/kept counts; optionally the health counts.
+    ``tables`` maps a name to ``(df, ts_col)``; ``health`` holds the
+    ``ledger.health_stats`` arguments except ``as_of``."""
+    from chunkwise.operators import ledger
+    from chunkwise.sources import VersionedTable
+    cutoff = ledger.retention_cutoff(as_of)
+    counts = ledger.retention_counts({k: (v[0], v[1], cutoff) for k, v in tables.items()})
+    result = {"cleaned_up": {r.table_name: r.deleted for r in counts.collect()}}
+    for name, (df, ts_col) in tables.items():
+        VersionedTable(df.sparkSession, f"{out_root.rstrip('/')}/{name}").commit(
+            ledger.retained(df, ts_col, cutoff))
+    if health:
+        result["stats"] = ledger.health_stats(as_of=as_of, **health).first().asDict()
+    return result
+
+
 def batch_predict(model, persons_raw: DataFrame, now: Column | None = None,
                   mode: str = "quarantine", map_col: str | None = None
                   ) -> tuple[DataFrame, DataFrame, DataFrame]:

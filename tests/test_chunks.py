@@ -73,3 +73,39 @@ def test_no_single_partition_exchange(spark):
     # the only single-partition exchange allowed is over the <= P offset rows,
     # which sits under the broadcast of the offsets
     assert "BroadcastExchange" in plan
+
+
+def test_run_chunk_job_writes_everything(spark):
+    from chunkwise.plans.jobs import run_chunk_job
+    from chunkwise.plans.tables import ntz
+    from chunkwise.session import scratch_path
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet").select("p_partkey", "p_name", "p_size")
+    res = run_chunk_job(part, ["p_partkey"], scratch_path(spark, "job"), "run-1", size=10,
+                        duration="p_size", completed_at=ntz("2024-01-01 00:00:00"))
+    n = part.count()
+    assert res["total_items"] == n and res["total_chunks"] == -(-n // 10)
+    out = spark.read.parquet(res["paths"]["output"])
+    assert out.filter(out.p_name != F.upper(out.p_name)).count() == 0
+    jobs = spark.read.parquet(res["paths"]["jobs"]).collect()
+    assert len(jobs) == 1 and jobs[0].status == "completed" and jobs[0].row_id
+    ev = spark.read.json(res["paths"]["events"])
+    assert ev.count() == res["total_chunks"]
+
+
+def test_periodic_sweep_and_health(spark):
+    from chunkwise.plans.jobs import periodic
+    from chunkwise.plans.tables import ntz
+    from chunkwise.session import scratch_path
+    from chunkwise.sources import VersionedTable
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    root = scratch_path(spark, "periodic")
+    res = periodic({"events": (ev, "ts"), "orders": (o, "o_orderdate")},
+                   ntz("2024-02-15 00:00:00"), root,
+                   health={"tasks": spark.read.parquet(f"{SF_SMALL}/part.parquet"),
+                           "task_name_col": "p_name", "emails": ev, "email_ts_col": "ts",
+                           "jobs": o, "job_status_col": "o_orderstatus"})
+    kept = VersionedTable(spark, f"{root}/events").read().count()
+    assert res["cleaned_up"]["events"] + kept == ev.count()
+    assert res["cleaned_up"]["orders"] == o.count()
+    assert set(res["stats"]) == {"total_tasks", "recent_emails_24h", "active_processing_jobs"}

@@ -9,7 +9,7 @@ ordered window over all rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise.operators.positions import with_position
@@ -27,12 +27,14 @@ def roc_auc(df: DataFrame, score: str, label: str, id_col: str | None = None,
         (F.col(id_col) if id_col else F.monotonically_increasing_id()).alias("_id"),
     )
     pos = with_position(base, [g, "_s", "_id"], "_p")
-    # sizes from the checkpointed positions: the input is not evaluated again
+    # per group (from the checkpointed positions, so the input is not
+    # evaluated again): size, positives and the first position, which is the
+    # group's start because positions are global over (group, score, id).
+    # No window over the groups; AQE sizes the join at run time.
     sizes = pos.groupBy(g).agg(F.count(F.lit(1)).alias("_n"),
-                               F.sum("_y").cast("long").alias("n_pos"))
-    before = Window.orderBy(g).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    ranked = pos.join(F.broadcast(starts.select(g, "_start")), g) \
+                               F.sum("_y").cast("long").alias("n_pos"),
+                               F.min("_p").alias("_start"))
+    ranked = pos.join(sizes.select(g, "_start"), g) \
                 .withColumn("_r", F.col("_p") - F.col("_start") + F.lit(1))
     ties = ranked.groupBy(g, "_s").agg(
         ((F.min("_r") + F.max("_r")).cast("double") / F.lit(2.0)).alias("_mid"),

@@ -9,7 +9,7 @@ skewed) target: one class holding most rows still spreads over all tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise.operators.positions import with_position
@@ -26,12 +26,12 @@ def rank_in_stratum(df: DataFrame, target: str, id_col: str, seed: int,
     h = "_cw_hash"
     hashed = df.withColumn(h, seeded_hash(id_col, seed))
     pos = with_position(hashed, [target, h, id_col], "_cw_pos")
-    # strata are few: one row each, so this window and broadcast are bounded;
-    # counted from the checkpointed positions so the input is not re-evaluated
-    sizes = pos.groupBy(target).agg(F.count(F.lit(1)).cast("long").alias(size_col))
-    before = Window.orderBy(target).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_cw_start", F.coalesce(F.sum(size_col).over(before), F.lit(0)))
-    out = pos.join(F.broadcast(starts), target)
+    # positions are global over (target, ...), so a stratum starts at its
+    # smallest position: a distributed aggregate, no window over the strata.
+    # The join is sized by AQE at run time (broadcast when the strata are few).
+    strata = pos.groupBy(target).agg(F.min("_cw_pos").alias("_cw_start"),
+                                     F.count(F.lit(1)).cast("long").alias(size_col))
+    out = pos.join(strata, target)
     return out.withColumn(rank_col, (F.col("_cw_pos") - F.col("_cw_start")).cast("long")) \
               .drop("_cw_pos", "_cw_start", h)
 

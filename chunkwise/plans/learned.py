@@ -133,12 +133,13 @@ def q_stream_ledger(spark: SparkSession, d: str) -> DataFrame:
 
 def _broken_bodies(df: DataFrame) -> DataFrame:
     broken = (F.col("event_id") % 10) == 0
-    return df.select("event_id", F.when(broken, F.substring("props", 2, 1000))
+    # drop the opening brace: the rest of the body is no longer valid JSON
+    return df.select("event_id", F.when(broken, F.col("props").substr(F.lit(2), F.length("props")))
                      .otherwise(F.col("props")).alias("body"))
 
 
 @register("stream_quarantine", """
-WITH b AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN substring(props, 2, 1000)
+WITH b AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN substring(props, 2)
                                  ELSE props END AS body FROM events)
 SELECT event_id, body, 'single' AS message_type, 'dlq_single_processing' AS job_name,
        'dlq_processed' AS status

@@ -54,7 +54,8 @@ def build_pipeline(proc: Processor, params: ModelParams, label: str) -> Pipeline
         RandomForestClassifier(featuresCol="features", labelCol=label,
                                numTrees=params.n_estimators, maxDepth=params.max_depth,
                                maxBins=params.max_bins, seed=params.seed,
-                               maxMemoryInMB=params.max_memory_mb),
+                               maxMemoryInMB=params.max_memory_mb,
+                               cacheNodeIds=True),     # deep trees: no re-walk per level
     ])
 
 

@@ -30,6 +30,25 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
+def kafka_stream(spark: SparkSession, servers: str, topic: str,
+                 starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None
+                 ) -> DataFrame:
+    """Kafka source (needs the Kafka connector jar, not bundled here): the
+    message body as ``body`` text, headers as ``MAP<STRING,STRING>``.
+    ``maxOffsetsPerTrigger`` plays the role of the consumer prefetch."""
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic).option("startingOffsets", starting_offsets)
+              .option("includeHeaders", "true"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    raw = reader.load()
+    headers = F.map_from_entries(F.transform(F.col("headers"), lambda h: F.struct(
+        h["key"], h["value"].cast("string"))))
+    return raw.select(F.col("key").cast("string").alias("key"),
+                      F.col("value").cast("string").alias("body"), headers.alias("headers"),
+                      "topic", "partition", "offset", "timestamp")
+
+
 def decode_body(df: DataFrame, body_col: str, schema: T.StructType,
                 out_col: str = "payload") -> DataFrame:
     """``json.loads(body)`` as ``from_json``: adds the decoded struct and a

@@ -62,13 +62,17 @@ def range_layout(df: DataFrame, order_by: Sequence[str | Column],
 
 
 def partition_offsets(layout: DataFrame) -> DataFrame:
-    """(``_cw_pid``, ``_cw_off``, ``_cw_n``) for each range partition; at most P rows."""
+    """(``_cw_pid``, ``_cw_off``, ``_cw_n``, ``_cw_total``) for each range
+    partition: at most P rows, so the window below runs over P rows only."""
     counts = layout.groupBy(PID).agg(F.count(F.lit(1)).alias("_cw_n"))
     before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding,
+                                            Window.unboundedFollowing)
     return counts.select(
         PID,
         F.coalesce(F.sum("_cw_n").over(before), F.lit(0)).cast("long").alias("_cw_off"),
         F.col("_cw_n"),
+        F.sum("_cw_n").over(every).cast("long").alias("_cw_total"),
     )
 
 
@@ -89,12 +93,11 @@ def with_position(df: DataFrame, order_by: Sequence[str | Column], pos_col: str
 def with_position_and_total(df: DataFrame, order_by: Sequence[str | Column],
                             pos_col: str = "pos", total_col: str = "total",
                             num_partitions: int | None = None) -> DataFrame:
-    """``with_position`` plus the total row count as a column (one pass)."""
+    """``with_position`` plus the total row count as a column: the total
+    travels in the same ≤ P-row offsets table, so still one broadcast join."""
     layout = range_layout(df, order_by, num_partitions)
-    offs = partition_offsets(layout)
-    total = offs.agg(F.sum("_cw_n").cast("long").alias(total_col))
-    joined = layout.join(F.broadcast(offs.select(PID, "_cw_off")), PID) \
-                   .crossJoin(F.broadcast(total))
+    offs = partition_offsets(layout).select(PID, "_cw_off", "_cw_total")
+    joined = layout.join(F.broadcast(offs), PID)
     return joined.select(*[F.col(c) for c in df.columns],
                          (F.col("_cw_off") + F.col(LOCAL)).cast("long").alias(pos_col),
-                         F.col(total_col))
+                         F.col("_cw_total").alias(total_col))

@@ -96,10 +96,16 @@ def q_select_where(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("scalar_one", """
-SELECT * FROM orders WHERE o_orderkey = 7
+SELECT * FROM orders
+WHERE o_orderkey = (SELECT arg_max(o_orderkey, struct_pack(d := o_orderdate, k := o_orderkey))
+                    FROM orders)
 """)
 def q_scalar_one(spark: SparkSession, d: str) -> DataFrame:
-    return scalar_one(table(spark, d, "orders").filter(F.col("o_orderkey") == 7))
+    """Exactly-one read of the latest order (key found from the whole table)."""
+    o = table(spark, d, "orders")
+    latest = o.agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey"))
+                   .alias("o_orderkey"))
+    return scalar_one(o.join(latest, "o_orderkey", "left_semi"))
 
 
 @register("publish_events", f"""

@@ -1,7 +1,7 @@
 """Column -> Column helpers."""
 
 from chunkwise.functions.numeric import (fill_constant, lax_double, lax_int, round2,
-                                         threshold_label)
+                                         round_python, threshold_label)
 from chunkwise.functions.rules import (Rule, coercible, errors_column, max_length, one_of,
                                        required)
 from chunkwise.functions.text import (camel_case, iso_timestamp, json_scalar, norm_category,
@@ -11,6 +11,6 @@ from chunkwise.functions.text import (camel_case, iso_timestamp, json_scalar, no
 __all__ = [
     "Rule", "camel_case", "coercible", "errors_column", "fill_constant", "iso_timestamp",
     "json_scalar", "lax_double", "lax_int", "max_length", "norm_category", "not_like",
-    "one_of", "required", "round2", "serialize_value", "snake_case", "strip_blanks",
+    "one_of", "required", "round2", "round_python", "serialize_value", "snake_case", "strip_blanks",
     "threshold_label", "truncate_text", "upper_strings",
 ]

@@ -12,11 +12,42 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round2(c: str | Column, digits: int = 2) -> Column:
-    """Two-decimal rounding (V3).  Spark rounds half-up on the decimal value;
-    Python's ``round`` rounds the binary value half-even, so exact ties
-    (e.g. 2.675) may differ by one cent."""
-    return F.round(_col(c).cast("double"), digits)
+def round_python(c: str | Column, digits: int = 2) -> Column:
+    """Python's ``round(x, digits)`` for doubles, exactly, as Column arithmetic.
+
+    Python rounds the *binary* value half-even (2.675 -> 2.67, 0.125 -> 0.12);
+    Spark's ``round`` rounds the decimal text half-up (2.68, 0.13).  With
+    s = 10**digits, Dekker's error-free product gives ``x * s = p + err``
+    exactly in double arithmetic; the result differs from ``rint(p)`` only
+    when ``p`` is exactly halfway, where the sign of ``err`` decides (an
+    exact tie stays half-even).  ``digits`` up to 6; |x| >= 1e15 is returned
+    unchanged (already integral at that magnitude)."""
+    if not 0 <= digits <= 6:
+        raise ValueError("digits must be in 0..6")
+    s = F.lit(float(10 ** digits))
+    x = _col(c).cast("double")
+    t = F.lit(134217729.0) * x                      # 2**27 + 1: split x = xh + xl
+    xh = t - (t - x)
+    xl = x - xh
+    p = x * s
+    err = (xh * s - p) + xl * s                     # exact remainder of x * s
+    tie = (p - F.floor(p)) == F.lit(0.5)
+    n = (F.when(tie & (err > 0), F.ceil(p).cast("double"))
+          .when(tie & (err < 0), F.floor(p).cast("double"))
+          .otherwise(F.rint(p)))
+    finite = ~F.isnan(x) & (F.abs(x) < F.lit(1e15))
+    return F.when(finite, n / s).otherwise(x)
+
+
+def round2(c: str | Column, digits: int = 2, mode: str = "python") -> Column:
+    """Two-decimal rounding (V3).  ``mode="python"`` (default) reproduces
+    Python's ``round`` exactly (see ``round_python``); ``mode="half_up"`` is
+    Spark's / SQL's ``round`` on the decimal text."""
+    if mode == "python":
+        return round_python(c, digits)
+    if mode == "half_up":
+        return F.round(_col(c).cast("double"), digits)
+    raise ValueError(f"unknown rounding mode {mode!r}")
 
 
 def lax_double(c: str | Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise.config import API_CHUNK_SIZE, PROGRESS_EVERY, SAMPLE_ROWS
+from chunkwise.functions.numeric import round_python
 from chunkwise.operators.positions import with_position_and_total
 
 
@@ -75,7 +76,7 @@ def combine_chunks(stats: DataFrame, digits: int = 2) -> DataFrame:
         F.lit("completed").alias("status"),
         F.count(F.lit(1)).cast("long").alias("total_chunks"),
         F.coalesce(F.sum("item_count"), F.lit(0)).cast("long").alias("total_items"),
-        F.coalesce(F.round(F.avg("processing_time"), digits), F.lit(0.0))
+        F.coalesce(round_python(F.avg("processing_time"), digits), F.lit(0.0))
          .alias("avg_processing_time"),
     )
 
@@ -131,7 +132,7 @@ def progress_points(chunked: DataFrame, size: int = API_CHUNK_SIZE,
     keep = ((F.col("item_index") % F.lit(every)) == 0) | (F.col("current") == F.col("total"))
     return out.filter(keep).select(
         "chunk_id", "current", "total",
-        F.round(F.col("current").cast("double") / F.col("total") * F.lit(100.0), 1)
+        round_python(F.col("current").cast("double") / F.col("total") * F.lit(100.0), 1)
          .alias("percentage"))
 
 

@@ -105,7 +105,21 @@ def test_scalars(spark):
                   .alias("i2")).first()
     assert r.n == "male" and r.j == '"x"' and r.jn == "null"
     assert r.i == "2024-01-01T10:00:00" and r.i2 == "2024-01-01T10:00:00.500000"
-    assert r.r == 2.68   # Spark rounds half-up on the decimal text (Python gives 2.67)
+    assert r.r == 2.67   # Python's round on the binary value (Spark's round gives 2.68)
+
+
+def test_round_python_matches_python(spark):
+    import random
+    rnd = random.Random(11)
+    xs = [2.675, 2.665, 1.005, 0.125, 0.375, -2.675, 22.555, 0.005, 1e-9, 12345678.125]
+    xs += [round(rnd.uniform(-1000, 1000), 3) for _ in range(5000)]
+    xs += [k / 8 for k in range(-800, 800)]
+    df = spark.createDataFrame([(v,) for v in xs], "x double")
+    for d in (1, 2):
+        got = [r[0] for r in df.select(round2("x", d).alias("r")).collect()]
+        assert [g for g, x in zip(got, xs) if g != round(x, d)] == []
+    half_up = df.select(round2("x", 2, mode="half_up")).collect()
+    assert half_up[0][0] == 2.68
 
 
 def test_prediction_struct_threshold(spark):

@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from chunkwise import config
 from chunkwise.schemas import PERSON
-from chunkwise.functions import (camel_case, coercible, errors_column, lax_double, lax_int,
-                                 max_length, norm_category, one_of, required, round2,
+from chunkwise.functions import (Rule, camel_case, coercible, errors_column, lax_double,
+                                 lax_int, max_length, norm_category, one_of, required, round2,
                                  serialize_value)
 
 ERRORS = "errors"
@@ -57,14 +57,22 @@ def fields_from_map(df: DataFrame, map_col: str, fields: Sequence[str],
     its camelCase alias or snake_case name, with *per-record* presence (an
     absent key and an explicit null differ, so defaults apply correctly)."""
     m = F.col(map_col)
+    typed = isinstance(df.schema[map_col].dataType.valueType, T.VariantType)
     out = [F.col(k) for k in keep]
     for f in fields:
         names = list(dict.fromkeys([camel_case(f), f]))
         present = F.lit(False)
         for n in names:
             present = present | F.map_contains_key(m, F.lit(n))
-        value = F.coalesce(*[m.getItem(n) for n in names]) if len(names) > 1 else m.getItem(f)
-        out += [value.alias(f), present.alias(f"_present_{f}")]
+        raw = F.coalesce(*[m.getItem(n) for n in names]) if len(names) > 1 else m.getItem(f)
+        if typed:
+            # text of the value plus its JSON token type (STRING, DECIMAL(p,s), ...)
+            out += [F.variant_get(raw, "$", "string").alias(f),
+                    F.when(~F.is_variant_null(raw), F.schema_of_variant(raw))
+                     .alias(f"_kind_{f}")]
+        else:
+            out.append(raw.alias(f))
+        out.append(present.alias(f"_present_{f}"))
     return df.select(*out)
 
 
@@ -93,9 +101,17 @@ def person_rules_and_values(df: DataFrame, now: Column | None = None
                             ) -> tuple[dict[str, Column], list]:
     """Typed values and rules of a person record (fields as raw columns)."""
     now = now if now is not None else F.current_timestamp()
+    kinds = {c[len("_kind_"):]: F.col(c) for c in df.columns if c.startswith("_kind_")}
     sex = norm_category(F.col("sex").cast("string"))
     emb = norm_category(F.col("embarked").cast("string"))
     age_d, fare_d = lax_double(F.col("age")), lax_double(F.col("fare"))
+
+    def two_dp(name: str, v: Column) -> Column:
+        # the reference rounds only values that arrive as numbers; a quoted
+        # number is coerced unrounded (token types known for typed JSON only)
+        if name in kinds:
+            return F.when(kinds[name] == "STRING", v).otherwise(round2(v))
+        return round2(v)
     ints = {c: lax_int(F.col(c)) for c in ("pclass", "sibsp", "parch", "survived")}
     created_raw = F.col("created_at")
     created = created_raw.try_cast("timestamp") if not isinstance(
@@ -103,11 +119,11 @@ def person_rules_and_values(df: DataFrame, now: Column | None = None
     values = {
         "person_id": F.col("person_id").cast("string"),
         "sex": sex,
-        "age": round2(age_d),
+        "age": two_dp("age", age_d),
         "pclass": ints["pclass"],
         "sibsp": ints["sibsp"],
         "parch": ints["parch"],
-        "fare": round2(fare_d),
+        "fare": two_dp("fare", fare_d),
         "embarked": emb,
         "survived": ints["survived"],
         "created_at": F.coalesce(created, now) if "_present_created_at" not in df.columns
@@ -126,6 +142,10 @@ def person_rules_and_values(df: DataFrame, now: Column | None = None
     ]
     for c in ("pclass", "sibsp", "parch"):
         rules += [required(c, F.col(c)), coercible(c, F.col(c), ints[c])]
+    for c in ("person_id", "sex", "embarked"):
+        if c in kinds:   # string fields: a JSON number or boolean is not coerced
+            rules.append(Rule(f"{c}: must be a string",
+                              kinds[c].isNotNull() & (kinds[c] != "STRING")))
     return values, rules
 
 
@@ -146,6 +166,10 @@ def validate_persons(raw: DataFrame, now: Column | None = None,
     shaped = apply_defaults(shaped, config.PERSON_DEFAULTS)
     shaped = shaped.withColumns({f: F.lit(None).cast("string") for f in fields
                                  if f not in shaped.columns})
+    if map_col is not None and isinstance(raw.schema[map_col].dataType.valueType, T.VariantType):
+        # the survived default is a Python int, not a string token
+        shaped = shaped.withColumn("_kind_survived", F.when(
+            F.col("_present_survived"), F.col("_kind_survived")).otherwise(F.lit("BIGINT")))
     values, rules = person_rules_and_values(shaped, now)
     return shaped.select(*carry, *[v.alias(k) for k, v in values.items()],
                          errors_column(rules).alias(ERRORS))

@@ -33,6 +33,13 @@ RECORD_MAP = T.MapType(T.StringType(), T.StringType(), True)
 PERSONS_ENVELOPE_KEYS = T.StructType([T.StructField("persons", T.ArrayType(RECORD_MAP), True)])
 DATA_ENVELOPE_KEYS = T.StructType([T.StructField("data", T.ArrayType(RECORD_MAP), True)])
 
+# Same with VARIANT values: the JSON token type survives per field, so a
+# quoted number (STRING) can be told from a JSON number (DECIMAL / DOUBLE).
+RECORD_VARIANT_MAP = T.MapType(T.StringType(), T.VariantType(), True)
+PERSONS_ENVELOPE_TYPED = T.StructType([
+    T.StructField("persons", T.ArrayType(RECORD_VARIANT_MAP), True)])
+DATA_ENVELOPE_TYPED = T.StructType([T.StructField("data", T.ArrayType(RECORD_VARIANT_MAP), True)])
+
 PRED_OUTPUT = T.StructType([
     T.StructField("person_id", T.StringType(), True),
     T.StructField("survived", T.IntegerType(), True),

@@ -31,19 +31,21 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_json_objects(spark: SparkSession, path: str, array_file: bool = False,
-                      out_col: str = "record") -> DataFrame:
-    """JSON objects as ``MAP<STRING,STRING>`` with key presence kept per
-    record (``record``) plus the raw text (``raw``); a malformed object gives
-    a null ``record`` so it can be quarantined.  Lines split across tasks; an
-    array file is one task per file."""
+                      out_col: str = "record", typed: bool = False) -> DataFrame:
+    """JSON objects as ``MAP<STRING,STRING>`` (``typed``: ``MAP<STRING,
+    VARIANT>``, keeping each value's JSON token type) with key presence kept
+    per record (``record``); a malformed object gives a null ``record`` so it
+    can be quarantined.  Lines split across tasks; an array file is one task
+    per file."""
+    value = T.VariantType() if typed else T.StringType()
+    obj = T.MapType(T.StringType(), value)
     if array_file:
         text = spark.read.text(path, wholetext=True)
-        arr = F.from_json(F.col("value"), T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-        return text.select(F.posexplode_outer(arr).alias("item_index", out_col)) \
-                   .withColumn("raw", F.to_json(F.col(out_col)))
+        arr = F.from_json(F.col("value"), T.ArrayType(obj))
+        return text.select(F.posexplode_outer(arr).alias("item_index", out_col))
     text = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    return text.select(F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()))
-                       .alias(out_col), F.col("value").alias("raw"))
+    return text.select(F.from_json(F.col("value"), obj).alias(out_col),
+                       F.col("value").alias("raw"))
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -56,6 +56,26 @@ def test_edge_rows(spark):
     assert out[7].person_id == "snake" and out[7].errors == []
 
 
+def test_typed_json_rounds_numbers_only(spark):
+    from chunkwise.schemas import PERSONS_ENVELOPE_TYPED
+    base = dict(LAB_PERSONS[0])
+    cases = [
+        {**base, "age": 22.555, "fare": "7.255"},   # number rounded, quoted kept
+        {**base, "personId": 123},                  # non-string id rejected
+        {**base, "pclass": "3", "sibsp": 2.0},      # lax ints
+        {**base, "survived": None},                 # explicit null still invalid
+        {k: v for k, v in base.items()},            # absent survived -> default 0
+    ]
+    body = spark.createDataFrame([(json.dumps({"persons": cases}),)], "body string")
+    items = validate.explode_envelope(body, "body", PERSONS_ENVELOPE_TYPED, "persons")
+    out = validate.validate_persons(items, map_col="item").orderBy("item_index").collect()
+    assert out[0].errors == [] and out[0].age == round(22.555, 2) and out[0].fare == 7.255
+    assert out[1].errors == ["person_id: must be a string"]
+    assert out[2].errors == [] and (out[2].pclass, out[2].sibsp) == (3, 2)
+    assert "survived: required" in out[3].errors
+    assert out[4].errors == [] and out[4].survived == 0
+
+
 def test_quarantine_keeps_every_row(spark):
     recs = [dict(p) for p in LAB_PERSONS] + [{**LAB_PERSONS[0], "sex": "unknown"}]
     checked = _check(spark, recs)

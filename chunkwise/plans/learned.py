@@ -88,23 +88,30 @@ def q_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 @register("stream_score")
 def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
-    """Documents consumed as a stream, validated, scored; predictions
-    and rejects written per micro-batch (replay-safe)."""
+    """Documents consumed as a stream, validated and scored; per
+    micro-batch the valid inputs, their predictions and the rejects are
+    written under the batch id (replay-safe).  The batch is evaluated once
+    (persisted for the three writes, then released)."""
     from chunkwise.functions import one_of, required
     model = trained(spark, d).model
     schema = table(spark, d, "documents").schema
     stream = file_stream(spark, f"{d}/documents.parq*", schema)
-    preds, rejects = scratch_path(spark, "preds"), scratch_path(spark, "rejects")
+    inputs, preds, rejects = (scratch_path(spark, n) for n in ("inputs", "preds", "rejects"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"),
                             F.lower("lang").alias("lang"), F.lower("source").alias("source"))
         checked = validate.with_errors(rows, [required("n_chars"),
-                                              one_of("lang", ("de", "en", "es", "fr"))])
-        valid, bad = validate.split_valid(checked)
-        score_batch(model, valid.drop("errors")).select("doc_id", "probability", "survived") \
-            .write.mode("overwrite").parquet(f"{preds}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+                                              one_of("lang", ("de", "en", "es", "fr"))]).persist()
+        try:
+            valid, bad = validate.split_valid(checked)
+            valid = valid.drop("errors")
+            valid.write.mode("overwrite").parquet(f"{inputs}/batch_id={batch_id}")
+            score_batch(model, valid).select("doc_id", "probability", "survived") \
+                .write.mode("overwrite").parquet(f"{preds}/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        finally:
+            checked.unpersist()
 
     run_available_now(stream, handle, scratch_path(spark, "ckpt-score"))
     return read_sink(spark, preds).select("doc_id", "probability", "survived")

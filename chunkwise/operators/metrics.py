@@ -18,7 +18,7 @@ from chunkwise.operators.positions import with_position
 def roc_auc(df: DataFrame, score: str, label: str, id_col: str | None = None,
             group: str | None = None) -> DataFrame:
     """One row per ``group`` (or one row) with ``n_pos``, ``n_neg``, ``auc``
-    (null when a class is missing, as scikit-learn would raise)."""
+    (null when a class is missing: AUC is undefined there)."""
     g = group or "_cw_group"
     base = df.select(
         (F.col(group) if group else F.lit(0)).alias(g),

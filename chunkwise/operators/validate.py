@@ -267,9 +267,11 @@ def dead_letter_log(df: DataFrame, body_col: str, completed_at: Column | None =
     ).select(
         "*",
         F.concat(F.lit("dlq_"), F.col("message_type"), F.lit("_processing")).alias("job_name"),
+        F.col(body_col).alias("input_data"),
         F.to_json(F.struct(F.lit("dlq_processed").alias("status"),
                            F.col("message_type"))).alias("output_data"),
         F.lit(0.0).alias("processing_time"),
+        F.lit(0).cast("long").alias("prediction_count"),
         F.lit("dlq_processed").alias("status"),
         (completed_at if completed_at is not None else F.current_timestamp())
         .alias("completed_at"),

@@ -127,3 +127,27 @@ def test_result_ttl_cutoff(spark):
     assert [r.id for r in ledger.retained(df, "created_at", cut).collect()] == [1, 2]
     cut2 = ledger.retention_cutoff(as_of + F.expr("INTERVAL 2 MINUTES"), seconds=3600)
     assert [r.id for r in ledger.retained(df, "created_at", cut2).collect()] == [2]
+
+
+def test_fold_hot_task_is_partially_aggregated(spark):
+    """One task holds a third of all events: the fold stays correct and the
+    plan keeps a map-side partial aggregate before the shuffle."""
+    n = 3000
+    ev = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+         .alias("task_id"),
+        F.lit("job").alias("task_name"),
+        F.when(F.col("id") == n - 3, F.lit("SUCCESS")).otherwise(F.lit("RETRY")).alias("status"),
+        (F.lit(T0).cast("timestamp_ntz") + F.make_interval(secs=F.col("id").cast("int")))
+         .alias("updated_at"),
+        F.col("id").cast("string").alias("args"), F.lit(None).cast("string").alias("kwargs"),
+        F.when(F.col("id") == n - 3, F.lit("done")).alias("result"),
+        F.when(F.col("id") < n - 3, F.concat(F.lit("e"), F.col("id").cast("string")))
+         .alias("error"),
+        F.col("id").alias("event_seq")).repartition(6)
+    folded = ledger.fold_task_ledger(ev)
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
+    hot = ledger.public_ledger(folded).filter("task_id = 'hot'").first()
+    assert (hot.status, hot.result, hot.error, hot.args) == ("SUCCESS", "done", "e2994", "2997")
+    assert folded.count() == 1 + 2 * n // 3

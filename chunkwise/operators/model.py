@@ -28,8 +28,9 @@ def _sql_literal(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def processor_sql(proc: Processor) -> str:
-    """The processor as one SELECT over ``__THIS__``."""
+def processor_sql(proc: Processor, one_hot: bool = True) -> str:
+    """The processor as one SELECT over ``__THIS__`` (scaled numerics, and
+    with ``one_hot`` the dense category columns)."""
     exprs = []
     for c in proc.num_vars:
         lo, hi = proc.mins.get(c), proc.maxs.get(c)
@@ -39,17 +40,44 @@ def processor_sql(proc: Processor) -> str:
         rng = (hi - lo) or 1.0
         exprs.append(f"(CAST(`{c}` AS DOUBLE) - CAST({lo!r} AS DOUBLE)) / "
                      f"CAST({rng!r} AS DOUBLE) AS `num_vars__{c}`")
-    for c in proc.cat_vars:
+    for c in proc.cat_vars if one_hot else ():
         for v in proc.categories[c]:
             exprs.append(f"CASE WHEN CAST(`{c}` AS STRING) = {_sql_literal(v)} THEN 1.0D "
                          f"ELSE 0.0D END AS `cat_vars__{c}_{v}`")
+    if not exprs:
+        return "SELECT * FROM __THIS__"
     return "SELECT *, " + ", ".join(exprs) + " FROM __THIS__"
 
 
-def build_pipeline(proc: Processor, params: ModelParams, label: str) -> Pipeline:
-    features = proc.feature_names()
+def build_pipeline(proc: Processor, params: ModelParams, label: str,
+                   encoder: str = "dense") -> Pipeline:
+    """Processor + forest.  ``encoder="dense"``: one 0/1 column per category
+    (bounded category lists); ``encoder="sparse"``: ``StringIndexer``
+    (alphabetical, unseen/null kept in an extra bucket) + ``OneHotEncoder``
+    (``dropLast`` drops that bucket, so unseen/null -> all zeros) — sparse
+    vectors, for high-cardinality categories.  Both give the same feature
+    vectors in the same order; with ``sparse`` the encoder's metadata marks
+    the one-hot columns as binary categorical features for the forest."""
+    if encoder == "sparse":
+        from pyspark.ml.feature import OneHotEncoder, StringIndexer
+        cats = list(proc.cat_vars)
+        idx = [f"_idx_{c}" for c in cats]
+        vec = [f"_vec_{c}" for c in cats]
+        stages = [SQLTransformer(statement=processor_sql(proc, one_hot=False))]
+        if cats:
+            stages += [StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep",
+                                     stringOrderType="alphabetAsc"),
+                       # the indexer's unknown bucket is the last category; dropLast
+                       # removes exactly it (no second "keep" bucket in the encoder)
+                       OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True)]
+        features = [f"num_vars__{c}" for c in proc.num_vars] + vec
+    elif encoder == "dense":
+        stages = [SQLTransformer(statement=processor_sql(proc))]
+        features = proc.feature_names()
+    else:
+        raise ValueError(f"unknown encoder {encoder!r}")
     return Pipeline(stages=[
-        SQLTransformer(statement=processor_sql(proc)),
+        *stages,
         VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(featuresCol="features", labelCol=label,
                                numTrees=params.n_estimators, maxDepth=params.max_depth,

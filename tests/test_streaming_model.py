@@ -88,3 +88,31 @@ def test_batch_predict_end_to_end(spark):
     assert {r.data.person_id for r in rows} == {p["personId"] for p in LAB_PERSONS}
     assert all(r.data.survived == (1 if r.data.probability > 0.5 else 0) or
                abs(r.data.probability - 0.5) < 0.006 for r in rows)
+
+
+def test_sparse_encoder_matches_dense(spark):
+    """StringIndexer + OneHotEncoder yields exactly the dense processor's
+    feature vectors (unseen -> all zeros).  The forest then sees the one-hot
+    columns as binary categorical features (encoder metadata), so its split
+    search may differ; scores must still be valid probabilities."""
+    from pyspark.ml.functions import vector_to_array
+    from chunkwise.operators.features import Processor
+    from chunkwise.operators.model import build_pipeline
+    clean = clean_training_frame(_labelled(spark, SF_SMALL), MODEL_SPEC, fill_col=None) \
+        .withColumn("quality", F.col("quality").cast("double"))
+    proc = Processor.fit(clean, MODEL_SPEC)
+    params = ModelParams(n_estimators=5, max_depth=4)
+    dense = build_pipeline(proc, params, "quality").fit(clean)
+    sparse = build_pipeline(proc, params, "quality", encoder="sparse").fit(clean)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"), "lang",
+        F.when(F.col("doc_id") % 5 == 0, F.lit("unseen")).otherwise(F.col("source"))
+         .alias("source"))
+    a = {r.doc_id: r.p for r in dense.transform(docs).select(
+        "doc_id", vector_to_array("features").alias("p")).collect()}
+    b = {r.doc_id: r.p for r in sparse.transform(docs).select(
+        "doc_id", vector_to_array("features").alias("p")).collect()}
+    assert a == b
+    pb = score_batch(sparse, docs)
+    assert pb.count() == docs.count()
+    assert pb.filter((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0

@@ -112,14 +112,18 @@ class Processor:
     categories: dict[str, list[str]] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, df: DataFrame, spec: FeatureSpec) -> "Processor":
+    def fit(cls, df: DataFrame, spec: FeatureSpec, with_categories: bool = True
+            ) -> "Processor":
         """F16 parity: fit on the frame passed in (the reference fits on all
-        rows before the split; pass the train split for ``fit_scope="train"``)."""
+        rows before the split; pass the train split for ``fit_scope="train"``).
+        ``with_categories=False`` leaves category learning to Spark ML's
+        ``StringIndexer`` (sparse encoder, any cardinality)."""
         num, cat = list(spec.num_vars), list(spec.cat_vars)
         row = minmax_stats(df, num).first() if num else None
         mins = {c: row[f"min_{c}"] for c in num} if row else {}
         maxs = {c: row[f"max_{c}"] for c in num} if row else {}
-        return cls(num, cat, mins, maxs, fit_categories(df, cat))
+        cats = fit_categories(df, cat) if with_categories else {c: [] for c in cat}
+        return cls(num, cat, mins, maxs, cats)
 
     def feature_names(self) -> list[str]:
         return ([f"num_vars__{c}" for c in self.num_vars]

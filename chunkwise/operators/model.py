@@ -105,7 +105,8 @@ class TrainResult:
 
 
 def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = ModelParams(),
-                 fit_scope: str = "all", refit: str = "last_fold") -> TrainResult:
+                 fit_scope: str = "all", refit: str = "last_fold",
+                 encoder: str = "dense") -> TrainResult:
     """F10 + F11 + F16: stratified hold-out, stratified k-fold; per fold a
     forest is fit, validation and hold-out AUC are computed; the last fold's
     model is returned (``refit="all"`` refits on the whole train split).
@@ -121,8 +122,9 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
     split = stratified_split(data, label, id_col, params.test_size, params.seed)
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")
-    proc = Processor.fit(data if fit_scope == "all" else train, spec)
-    est = build_pipeline(proc, params, label)
+    proc = Processor.fit(data if fit_scope == "all" else train, spec,
+                         with_categories=encoder == "dense")
+    est = build_pipeline(proc, params, label, encoder)
     folds = stratified_folds(train, label, id_col, params.n_splits, params.seed)
 
     def fit_fold(k: int):

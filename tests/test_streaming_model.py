@@ -116,3 +116,11 @@ def test_sparse_encoder_matches_dense(spark):
     pb = score_batch(sparse, docs)
     assert pb.count() == docs.count()
     assert pb.filter((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
+
+
+def test_train_with_sparse_encoder(spark):
+    clean = clean_training_frame(_labelled(spark, SF_SMALL), MODEL_SPEC, fill_col=None)
+    res = train_forest(clean, MODEL_SPEC, ModelParams(n_estimators=3, max_depth=3),
+                       encoder="sparse")
+    assert res.processor.categories == {"lang": [], "source": []}
+    assert all("error" not in m for m in res.fold_metrics)

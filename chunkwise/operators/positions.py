@@ -18,8 +18,8 @@ row goes through one task.  Instead:
 Position = offset(partition) + index in partition.  The checkpoint is a
 barrier to column pruning: project ``df`` to the columns needed downstream
 before calling.  A skewed *value* of
-the leading order column cannot overload a task because the order key as a
-whole is unique, so the range partitioner can split any hot group.
+the order key cannot overload a task: a row id is appended as tiebreaker, so
+the range partitioner can split any hot group.
 """
 
 from __future__ import annotations
@@ -45,11 +45,19 @@ def default_partitions(df: DataFrame) -> int:
 
 
 def range_layout(df: DataFrame, order_by: Sequence[str | Column],
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, tiebreak: bool = True) -> DataFrame:
     """Range-partitioned, locally sorted, checkpointed copy of ``df`` with
-    ``_cw_pid`` and ``_cw_local`` columns."""
+    ``_cw_pid`` and ``_cw_local`` columns.
+
+    With ``tiebreak`` a row id is appended to the order, so even a
+    non-unique key whose hot value holds a large share of the rows is split
+    across range partitions (ties are then in input order; the checkpoint
+    freezes that order)."""
     ensure_checkpoint_dir(df.sparkSession)
     order = _order_cols(order_by)
+    if tiebreak:
+        df = df.withColumn("_cw_tb", F.monotonically_increasing_id())
+        order = [*order, F.col("_cw_tb")]
     p = num_partitions or default_partitions(df)
     layout = (
         df.repartitionByRange(p, *order)

@@ -390,6 +390,29 @@ def q_not_like_filter(spark: SparkSession, d: str) -> DataFrame:
                                   .select("p_partkey", "p_name")
 
 
+@register("validate_emails", """
+SELECT o_orderkey,
+       CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'processing' ELSE 'sent' END
+           AS status,
+       CASE WHEN o_orderstatus IN ('F', 'O') THEN ''
+            ELSE 'status: must be one of dispatched,failed,processing,success' END AS errors
+FROM orders
+""")
+def q_validate_emails(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as e-mail records; status from the order status, where 'P'
+    maps to the invalid "sent" (quarantined, as in the mail fixtures)."""
+    from chunkwise.operators.records import EMAIL_SPEC, validate_records
+    st = F.col("o_orderstatus")
+    mails = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.concat(F.lit("customer-"), F.col("o_custkey").cast("string")).alias("recipient"),
+        F.col("o_orderpriority").alias("subject"), F.lit("order update").alias("body"),
+        F.when(st == "F", "success").when(st == "O", "processing").otherwise("sent")
+         .alias("status"))
+    checked = validate_records(mails, EMAIL_SPEC, keep=["o_orderkey"])
+    return checked.select("o_orderkey", "status", F.array_join("errors", "; ").alias("errors"))
+
+
 # ===================================================================== features
 DOC_SPEC = FeatureSpec(num_vars=("n_chars", "toxic"), cat_vars=("lang", "source"),
                        target="quality", id_col="doc_id")

@@ -39,11 +39,6 @@ def _order_cols(order_by: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
-def default_partitions(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-
-
 def range_layout(df: DataFrame, order_by: Sequence[str | Column],
                  num_partitions: int | None = None, tiebreak: bool = True) -> DataFrame:
     """Range-partitioned, locally sorted, checkpointed copy of ``df`` with
@@ -58,9 +53,13 @@ def range_layout(df: DataFrame, order_by: Sequence[str | Column],
     if tiebreak:
         df = df.withColumn("_cw_tb", F.monotonically_increasing_id())
         order = [*order, F.col("_cw_tb")]
-    p = num_partitions or default_partitions(df)
+    # Without an explicit count the range exchange is sized by AQE: adjacent
+    # ranges are coalesced towards the advisory partition size, so P follows
+    # the data (<= spark.sql.shuffle.partitions) and the order is kept.
+    parted = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
     layout = (
-        df.repartitionByRange(p, *order)
+        parted
         .sortWithinPartitions(*order)
         .withColumn(PID, F.spark_partition_id())
         .withColumn(LOCAL, F.monotonically_increasing_id()

@@ -74,6 +74,15 @@ class VersionedTable:
             return None
         return self.spark.read.parquet(f"{self.root}/v={v:09d}")
 
+    def apply(self, change) -> int:
+        """``UPDATE`` / ``DELETE`` / sweep on plain Parquet: ``change`` maps the
+        latest version to the new content, which is committed as the next
+        version (the version being read is never overwritten)."""
+        last = self.latest_version()
+        if last is None:
+            raise ValueError(f"{self.root}: no committed version")
+        return self.commit(change(self.read(last)), version=last + 1)
+
     def commit(self, df: DataFrame, version: int | None = None) -> int:
         """Write ``df`` as a version (default: latest + 1), then mark it."""
         if version is None:

@@ -151,3 +151,13 @@ def test_fold_hot_task_is_partially_aggregated(spark):
     hot = ledger.public_ledger(folded).filter("task_id = 'hot'").first()
     assert (hot.status, hot.result, hot.error, hot.args) == ("SUCCESS", "done", "e2994", "2997")
     assert folded.count() == 1 + 2 * n // 3
+
+
+def test_versioned_update_and_delete(spark):
+    t = VersionedTable(spark, scratch_path(spark, "vt2"))
+    t.commit(spark.createDataFrame([(1, "O"), (2, "F"), (3, None)], "id int, s string"))
+    v1 = t.apply(lambda df: ledger.update_where(df, F.col("s") == "O", {"s": F.lit("F")}))
+    v2 = t.apply(lambda df: ledger.delete_where(df, F.col("id") == 2))
+    assert (v1, v2) == (1, 2)
+    assert sorted(map(tuple, t.read().collect()), key=str) == [(1, "F"), (3, None)]
+    assert t.read(0).count() == 3                    # earlier versions stay readable

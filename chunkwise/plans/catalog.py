@@ -817,9 +817,13 @@ SELECT o_orderkey,
 FROM orders
 """)
 def q_update_where(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    """UPDATE on a stored plain-Parquet table: a new version is committed."""
+    from chunkwise.sources import VersionedTable
+    t = VersionedTable(spark, scratch_path(spark, "orders-table"))
+    t.commit(table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate"))
     pred = (F.col("o_orderstatus") == "O") & (F.col("o_orderdate") < ntz("1997-01-01 00:00:00"))
-    return ledger.update_where(o, pred, {"o_orderstatus": F.lit("F")})
+    t.apply(lambda df: ledger.update_where(df, pred, {"o_orderstatus": F.lit("F")}))
+    return t.read()
 
 
 @register("delete_where", """
@@ -827,8 +831,12 @@ SELECT o_orderkey, o_orderpriority FROM orders
 WHERE NOT coalesce(o_orderpriority = '5-LOW', false)
 """)
 def q_delete_where(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    return ledger.delete_where(o, F.col("o_orderpriority") == "5-LOW")
+    """DELETE on a stored plain-Parquet table: a new version is committed."""
+    from chunkwise.sources import VersionedTable
+    t = VersionedTable(spark, scratch_path(spark, "orders-table"))
+    t.commit(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"))
+    t.apply(lambda df: ledger.delete_where(df, F.col("o_orderpriority") == "5-LOW"))
+    return t.read()
 
 
 @register("retention_sweep", """
@@ -862,8 +870,13 @@ SELECT event_id, ts FROM events
 WHERE NOT coalesce(ts < TIMESTAMP '2024-02-15' - INTERVAL 30 DAY, false)
 """)
 def q_retention_survivors(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events").select("event_id", "ts")
-    return ledger.retained(ev, "ts", ledger.retention_cutoff(ntz("2024-02-15 00:00:00")))
+    """The sweep applied to a stored table: survivors become the new version."""
+    from chunkwise.sources import VersionedTable
+    t = VersionedTable(spark, scratch_path(spark, "events-table"))
+    t.commit(table(spark, d, "events").select("event_id", "ts"))
+    cutoff = ledger.retention_cutoff(ntz("2024-02-15 00:00:00"))
+    t.apply(lambda df: ledger.retained(df, "ts", cutoff))
+    return t.read()
 
 
 @register("health_stats", """

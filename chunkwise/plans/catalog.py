@@ -779,6 +779,20 @@ def q_task_ledger(spark: SparkSession, d: str) -> DataFrame:
     return ledger.public_ledger(ledger.fold_task_ledger(task_events(table(spark, d, "events"))))
 
 
+@register("task_ledger_upsert", LEDGER_SQL)
+def q_task_ledger_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """L1 upsert into a stored ledger: the events up to mid-month are folded
+    into version 0, the later events merged into version 1; the stored
+    ledger must equal the one-shot fold."""
+    from chunkwise.sources import VersionedTable
+    ev = task_events(table(spark, d, "events"))
+    early = F.coalesce(F.col("updated_at") < ntz("2024-01-15 00:00:00"), F.lit(False))
+    t = VersionedTable(spark, scratch_path(spark, "task-ledger"))
+    t.commit(ledger.fold_task_ledger(ev.filter(early)))
+    t.apply(lambda stored: ledger.merge_task_ledger(stored, ev.filter(~early)))
+    return ledger.public_ledger(t.read())
+
+
 @register("email_lifecycle", """
 WITH dl AS (SELECT l_orderkey, max(l_shipdate) AS sent_at FROM lineitem
             WHERE l_linestatus = 'F' GROUP BY l_orderkey)

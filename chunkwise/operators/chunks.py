@@ -107,10 +107,10 @@ def job_log(stats: DataFrame, sample: DataFrame, job_name: str, sample_col: str,
     row = combined.crossJoin(samp)
     return row.select(
         F.lit(job_name).alias("job_name"),
-        F.to_json(F.struct(F.col("total_chunks").alias("chunks"),
-                           F.col("total_items"))).alias("input_data"),
-        F.to_json(F.struct(F.col("total_items"),
-                           F.col("_sample").alias("sample"))).alias("output_data"),
+        F.to_json(F.struct(F.col("total_chunks").alias("chunks"), F.col("total_items")),
+                  {"ignoreNullFields": "false"}).alias("input_data"),
+        F.to_json(F.struct(F.col("total_items"), F.col("_sample").alias("sample")),
+                  {"ignoreNullFields": "false"}).alias("output_data"),
         F.col("avg_processing_time").alias("processing_time"),
         F.lit("completed").alias("status"),
         (completed_at if completed_at is not None else F.current_timestamp())

@@ -31,7 +31,8 @@ def build_events(df: DataFrame, body: Mapping[str, Column], queue: str, run_id:
     return df.select(
         F.lit(queue).alias("topic"),
         F.lit(routing_key or queue).alias("key"),
-        F.to_json(F.struct(*fields)).alias("value"),
+        # null fields are written as null, as a JSON encoder of a dict would
+        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
         headers.alias("headers"),
         F.lit("application/json").alias("content_type"),
         F.lit(2).alias("delivery_mode"),

@@ -33,3 +33,27 @@ def test_grouped_auc_matches_pair_counting(spark):
             assert abs(got[g] - want) < 1e-12
     m = mean_auc(roc_auc(df, "score", "y", "id", group="g")).first()
     assert m.n_groups == 3
+
+
+def test_auc_agrees_with_binary_classification_evaluator(spark):
+    """Cross-check with Spark ML's evaluator where it is exact (few distinct
+    scores, fewer than its bins)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.sql import functions as F
+    rnd = random.Random(5)
+    rows = [(i, float(rnd.choice([0.1, 0.3, 0.3, 0.6, 0.8, 0.95])), 0) for i in range(400)]
+    rows = [(i, s, 1 if rnd.random() < s else 0) for i, s, _ in rows]
+    df = spark.createDataFrame(rows, "id int, score double, y int")
+    ours = roc_auc(df, "score", "y", "id").first().auc
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label",
+                                       metricName="areaUnderROC")
+    theirs = ev.evaluate(df.select("score", F.col("y").cast("double").alias("label")))
+    assert abs(ours - theirs) < 1e-9
+    assert abs(ours - _brute([(s, y) for _, s, y in rows])) < 1e-12
+
+
+def test_event_body_keeps_nulls(spark):
+    from pyspark.sql import functions as F
+    from chunkwise.sources import build_events
+    ev = build_events(spark.range(1), {"data": F.lit(None).cast("string")}, "q", "r1")
+    assert '"data":null' in ev.first().value

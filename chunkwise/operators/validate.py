@@ -53,9 +53,11 @@ def alias_columns(df: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()
 
 def fields_from_map(df: DataFrame, map_col: str, fields: Sequence[str],
                     keep: Sequence[str] = ()) -> DataFrame:
-    """V1 for JSON objects parsed as ``MAP<STRING,STRING>``: each field under
-    its camelCase alias or snake_case name, with *per-record* presence (an
-    absent key and an explicit null differ, so defaults apply correctly)."""
+    """V1 for JSON objects parsed as ``MAP<STRING,STRING>`` or
+    ``MAP<STRING,VARIANT>``: each field under its camelCase alias or
+    snake_case name, with *per-record* presence (an absent key and an
+    explicit null differ, so defaults apply correctly).  For VARIANT values a
+    ``_kind_<f>`` column keeps the JSON token type (STRING, DECIMAL(p,s), ...)."""
     m = F.col(map_col)
     typed = isinstance(df.schema[map_col].dataType.valueType, T.VariantType)
     out = [F.col(k) for k in keep]
@@ -154,7 +156,8 @@ def validate_persons(raw: DataFrame, now: Column | None = None,
                      ) -> DataFrame:
     """V1+V2+V3+V4+V5+V6+V9 on raw person records: typed person columns plus
     ``errors``.  Records are either columns (presence per column) or, with
-    ``map_col``, JSON objects as string maps (presence per record).  ``keep``
+    ``map_col``, JSON objects as maps (presence per record; with VARIANT
+    values only JSON numbers are rounded and string fields must be strings).  ``keep``
     columns (default: every other column) are carried through untouched."""
     fields = [f.name for f in PERSON]
     spelled = set(fields) | {camel_case(f) for f in fields} | {map_col}
@@ -166,10 +169,6 @@ def validate_persons(raw: DataFrame, now: Column | None = None,
     shaped = apply_defaults(shaped, config.PERSON_DEFAULTS)
     shaped = shaped.withColumns({f: F.lit(None).cast("string") for f in fields
                                  if f not in shaped.columns})
-    if map_col is not None and isinstance(raw.schema[map_col].dataType.valueType, T.VariantType):
-        # the survived default is a Python int, not a string token
-        shaped = shaped.withColumn("_kind_survived", F.when(
-            F.col("_present_survived"), F.col("_kind_survived")).otherwise(F.lit("BIGINT")))
     values, rules = person_rules_and_values(shaped, now)
     return shaped.select(*carry, *[v.alias(k) for k, v in values.items()],
                          errors_column(rules).alias(ERRORS))

@@ -129,11 +129,11 @@ def _event_files(spark: SparkSession, d: str, parts: int = 4) -> str:
 @register("stream_ledger", LEDGER_SQL)
 def q_stream_ledger(spark: SparkSession, d: str) -> DataFrame:
     """Task events streamed one file per micro-batch; each batch appends
-    its folded delta, every second batch compacts into a snapshot.  The
+    its folded delta, every third batch compacts into a snapshot.  The
     ledger read back (snapshot + later deltas) must equal the batch fold (L1)."""
     src = _event_files(spark, d)
     stream = file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1)
-    store = LedgerStore(spark, scratch_path(spark, "ledger"), compact_every=2)
+    store = LedgerStore(spark, scratch_path(spark, "ledger"), compact_every=3)
     run_available_now(stream, ledger_handler(store, task_events), scratch_path(spark, "ckpt-led"))
     return ledger.public_ledger(store.read())
 

@@ -20,14 +20,16 @@ from chunkwise.operators.positions import with_position_and_total
 
 
 def assign_chunks(df: DataFrame, order_by: Sequence[str | Column],
-                  size: int = API_CHUNK_SIZE, num_partitions: int | None = None) -> DataFrame:
+                  size: int = API_CHUNK_SIZE, num_partitions: int | None = None,
+                  method: str = "checkpoint") -> DataFrame:
     """A1: add ``pos`` (0-based), ``chunk_id``, ``item_index`` (position in
     the chunk) and ``total_items``.  The last chunk may be short; an empty
     input yields no rows and so no chunks.  Project ``df`` first: the
-    positions are checkpointed, which stops column pruning below."""
+    positions are checkpointed, which stops column pruning below.  For a
+    single unique numeric key ``method="buckets"`` needs no checkpoint."""
     if size <= 0:
         raise ValueError("chunk size must be positive")
-    out = with_position_and_total(df, order_by, "pos", "total_items", num_partitions)
+    out = with_position_and_total(df, order_by, "pos", "total_items", num_partitions, method)
     return (out.withColumn("chunk_id", F.floor(F.col("pos") / F.lit(size)).cast("long"))
                .withColumn("item_index", (F.col("pos") % F.lit(size)).cast("long")))
 

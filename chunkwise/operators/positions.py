@@ -83,13 +83,63 @@ def partition_offsets(layout: DataFrame) -> DataFrame:
     )
 
 
+def bucket_positions(df: DataFrame, key: str, pos_col: str = "pos",
+                     num_buckets: int | None = None, total_col: str | None = None,
+                     rel_error: float | None = None) -> DataFrame:
+    """Positions for a single *unique numeric* key without a checkpoint.
+
+    Range boundaries are computed once (``approxQuantile``, at most
+    ``num_buckets - 1`` numbers on the driver) and frozen as literals, so the
+    bucket of a row is a deterministic function of its key (``Bucketizer``,
+    a binary search in the JVM): every pass and every recomputation after an
+    executor loss agrees.  Rows are counted per bucket (map-side partial
+    aggregate), the <= B counts become offsets (broadcast, bounded by B), and
+    rows are numbered inside their bucket by a window partitioned by the
+    bucket (bucket sizes ~ n / B by construction of the quantiles).  A hot
+    *value* cannot be split this way, hence unique keys only; use
+    ``with_position`` (checkpointed range layout) otherwise.
+    """
+    from pyspark.ml.feature import Bucketizer
+    spark = df.sparkSession
+    b = num_buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    probs = [i / b for i in range(1, b)]
+    qs = df.approxQuantile(key, probs, rel_error if rel_error is not None else 1.0 / (4 * b)) \
+        if b > 1 else []
+    splits = [float("-inf"), *sorted(set(q for q in qs if q is not None)), float("inf")]
+    keyed = df.withColumn("_cw_k", F.col(key).cast("double"))
+    bucketed = Bucketizer(splits=splits, inputCol="_cw_k", outputCol="_cw_b",
+                          handleInvalid="keep").transform(keyed).drop("_cw_k")
+    counts = bucketed.groupBy("_cw_b").agg(F.count(F.lit(1)).alias("_cw_n"))
+    before = Window.orderBy("_cw_b").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_cw_b").rowsBetween(Window.unboundedPreceding,
+                                                Window.unboundedFollowing)
+    offs = counts.select("_cw_b",
+                         F.coalesce(F.sum("_cw_n").over(before), F.lit(0)).alias("_cw_off"),
+                         F.sum("_cw_n").over(every).alias("_cw_total"))
+    inside = Window.partitionBy("_cw_b").orderBy(F.col(key))
+    ranked = bucketed.withColumn("_cw_r", F.row_number().over(inside) - F.lit(1))
+    out = ranked.join(F.broadcast(offs), "_cw_b")
+    cols = [F.col(c) for c in df.columns]
+    cols.append((F.col("_cw_off") + F.col("_cw_r")).cast("long").alias(pos_col))
+    if total_col:
+        cols.append(F.col("_cw_total").cast("long").alias(total_col))
+    return out.select(*cols)
+
+
 def with_position(df: DataFrame, order_by: Sequence[str | Column], pos_col: str = "pos",
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, method: str = "checkpoint") -> DataFrame:
     """Add a 0-based global position in the total order ``order_by``.
 
-    ``order_by`` must identify rows uniquely (append a unique id as the last
-    column if needed), otherwise ties are ordered arbitrarily.
+    Ties (a non-unique order) are broken by input order, frozen by the
+    checkpoint.  For a single unique numeric key ``method="buckets"``
+    (``bucket_positions``) avoids the checkpoint.
     """
+    if method == "buckets":
+        if len(order_by) != 1 or not isinstance(order_by[0], str):
+            raise ValueError("method='buckets' needs a single unique numeric key column")
+        return bucket_positions(df, order_by[0], pos_col, num_partitions)
+    if method != "checkpoint":
+        raise ValueError(f"unknown method {method!r}")
     layout = range_layout(df, order_by, num_partitions)
     offsets = partition_offsets(layout).select(PID, "_cw_off")
     joined = layout.join(F.broadcast(offsets), PID)
@@ -99,9 +149,17 @@ def with_position(df: DataFrame, order_by: Sequence[str | Column], pos_col: str
 
 def with_position_and_total(df: DataFrame, order_by: Sequence[str | Column],
                             pos_col: str = "pos", total_col: str = "total",
-                            num_partitions: int | None = None) -> DataFrame:
+                            num_partitions: int | None = None,
+                            method: str = "checkpoint") -> DataFrame:
     """``with_position`` plus the total row count as a column: the total
-    travels in the same ≤ P-row offsets table, so still one broadcast join."""
+    travels in the same ≤ P-row offsets table, so still one broadcast join.
+    ``method="buckets"`` (single unique numeric key) avoids the checkpoint."""
+    if method == "buckets":
+        if len(order_by) != 1 or not isinstance(order_by[0], str):
+            raise ValueError("method='buckets' needs a single unique numeric key column")
+        return bucket_positions(df, order_by[0], pos_col, num_partitions, total_col)
+    if method != "checkpoint":
+        raise ValueError(f"unknown method {method!r}")
     layout = range_layout(df, order_by, num_partitions)
     offs = partition_offsets(layout).select(PID, "_cw_off", "_cw_total")
     joined = layout.join(F.broadcast(offs), PID)

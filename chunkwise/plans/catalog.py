@@ -121,7 +121,8 @@ FROM s
 """)
 def q_publish_events(spark: SparkSession, d: str) -> DataFrame:
     """One completed-event message per chunk of 500 orders."""
-    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 500)
+    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
+                             500, method="buckets")
     stats = chunks.chunk_stats(c)
     ev = build_events(stats, {"status": F.lit("success"), "chunk_id": F.col("chunk_id"),
                               "item_count": F.col("item_count")},
@@ -254,7 +255,7 @@ FROM c
 def q_validate_fail_chunk(spark: SparkSession, d: str) -> DataFrame:
     """One bad order rejects its whole chunk of 500."""
     c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"),
-                             ["o_orderkey"], 500)
+                             ["o_orderkey"], 500, method="buckets")
     checked = validate.with_errors(c, _order_rules())
     valid, rejected = validate.split_valid(checked, mode="fail_chunk")
     cols = ["o_orderkey", "chunk_id"]
@@ -457,7 +458,8 @@ SELECT c_custkey, 'person_' || CAST(row_number() OVER (ORDER BY c_custkey) AS VA
 FROM customer
 """)
 def q_person_id_seq(spark: SparkSession, d: str) -> DataFrame:
-    pos = with_position(table(spark, d, "customer").select("c_custkey"), ["c_custkey"])
+    pos = with_position(table(spark, d, "customer").select("c_custkey"), ["c_custkey"],
+                        method="buckets")
     return sequential_ids(pos).select("c_custkey", "person_id")
 
 
@@ -603,7 +605,8 @@ SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS chunk
 FROM orders
 """)
 def q_assign_chunks(spark: SparkSession, d: str) -> DataFrame:
-    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 500)
+    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
+                             500, method="buckets")
     return c.select("o_orderkey", "chunk_id", "item_index")
 
 
@@ -634,7 +637,7 @@ def _event_chunks(spark: SparkSession, d: str) -> DataFrame:
     # project before chunking: the positional checkpoint stops column pruning
     ev = table(spark, d, "events").select(
         "event_id", F.round(F.col("value") * F.lit(100.0)).cast("long").alias("duration_ms"))
-    return chunks.assign_chunks(ev, ["event_id"], 500)
+    return chunks.assign_chunks(ev, ["event_id"], 500, method="buckets")
 
 
 _EVENT_CHUNKS_SQL = """
@@ -674,7 +677,7 @@ def q_concat_ordered(spark: SparkSession, d: str) -> DataFrame:
     """Chunk outputs produced separately (finished orders vs the rest) and
     concatenated back in job order."""
     c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"),
-                             ["o_orderkey"], 500)
+                             ["o_orderkey"], 500, method="buckets")
     cols = ["o_orderkey", "o_orderstatus", "chunk_id", "item_index"]
     done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
     return chunks.concat_ordered(c.filter(done).select(*cols), c.filter(~done).select(*cols),
@@ -687,7 +690,8 @@ SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS chunk
 FROM orders ORDER BY o_orderkey LIMIT 20
 """)
 def q_sample_head(spark: SparkSession, d: str) -> DataFrame:
-    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 500)
+    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
+                             500, method="buckets")
     return chunks.sample_head(c.select("o_orderkey", "chunk_id", "item_index"), 20)
 
 
@@ -722,7 +726,8 @@ SELECT chunk_id, current, total, round(current * 100.0 / total, 1) AS percentage
 FROM p WHERE item_index % 10 = 0 OR current = total
 """)
 def q_progress_points(spark: SparkSession, d: str) -> DataFrame:
-    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 500)
+    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
+                             500, method="buckets")
     return chunks.progress_points(c, 500, throttled=True)
 
 
@@ -732,7 +737,8 @@ SELECT chunk_id, item_index + 1 AS current, least(500, total_items - chunk_id *
 FROM c
 """)
 def q_progress_every_item(spark: SparkSession, d: str) -> DataFrame:
-    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 500)
+    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
+                             500, method="buckets")
     return chunks.progress_points(c, 500, throttled=False)
 
 
@@ -768,7 +774,8 @@ def q_chain_stages(spark: SparkSession, d: str) -> DataFrame:
     return chunks.chain(
         table(spark, d, "part"),
         upper_strings,
-        lambda df: chunks.assign_chunks(df, ["p_partkey"], config.TASK_CHUNK_SIZE),
+        lambda df: chunks.assign_chunks(df, ["p_partkey"], config.TASK_CHUNK_SIZE,
+                                        method="buckets"),
         lambda df: chunks.chunk_stats(df, "p_size"),
     )
 

@@ -30,7 +30,8 @@ def chunk_job(spark: SparkSession, orders_path: str, size: int = API_CHUNK_SIZE,
         o.withColumn("duration", F.round("o_totalprice").cast("long")),
         [one_of("o_orderstatus", ("o", "f"), status)])
     valid, _rejected = validate.split_valid(checked, mode)
-    chunked = chunks.assign_chunks(valid.select("o_orderkey", "duration"), ["o_orderkey"], size)
+    chunked = chunks.assign_chunks(valid.select("o_orderkey", "duration"), ["o_orderkey"], size,
+                                   method="buckets")
     return chunks.combine_chunks(chunks.chunk_stats(chunked, "duration"))
 
 

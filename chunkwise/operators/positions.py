@@ -106,9 +106,12 @@ def bucket_positions(df: DataFrame, key: str, pos_col: str = "pos",
     qs = df.approxQuantile(key, probs, rel_error if rel_error is not None else 1.0 / (4 * b)) \
         if b > 1 else []
     splits = [float("-inf"), *sorted(set(q for q in qs if q is not None)), float("inf")]
-    keyed = df.withColumn("_cw_k", F.col(key).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_cw_k", outputCol="_cw_b",
-                          handleInvalid="keep").transform(keyed).drop("_cw_k")
+    if len(splits) < 3:        # one bucket (or empty input): nothing to search
+        bucketed = df.withColumn("_cw_b", F.lit(0.0))
+    else:
+        keyed = df.withColumn("_cw_k", F.col(key).cast("double"))
+        bucketed = Bucketizer(splits=splits, inputCol="_cw_k", outputCol="_cw_b",
+                              handleInvalid="keep").transform(keyed).drop("_cw_k")
     counts = bucketed.groupBy("_cw_b").agg(F.count(F.lit(1)).alias("_cw_n"))
     before = Window.orderBy("_cw_b").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy("_cw_b").rowsBetween(Window.unboundedPreceding,

@@ -125,3 +125,18 @@ def test_non_unique_hot_key_is_split(spark):
     rows = with_position(df, ["k"], num_partitions=6).orderBy("pos").collect()
     assert [r.pos for r in rows] == list(range(3000))
     assert [r.k for r in rows] == sorted(r.k for r in rows)
+
+
+def test_bucket_positions_exact_on_clustered_keys(spark):
+    """Unique keys with a very uneven spread (half the keys in a narrow band)."""
+    from chunkwise.operators.positions import bucket_positions
+    keys = list(range(0, 2000)) + [10_000_000 + i * 97 for i in range(2000)]
+    df = spark.createDataFrame([(k,) for k in keys[::-1]], "k long").repartition(5)
+    out = bucket_positions(df, "k", num_buckets=7).collect()
+    assert sorted((r.k, r.pos) for r in out) == [(k, i) for i, k in enumerate(sorted(keys))]
+    one = bucket_positions(df, "k", num_buckets=1, total_col="n").collect()
+    assert {r.n for r in one} == {len(keys)} and sorted(r.pos for r in one) == list(range(4000))
+    empty = spark.createDataFrame([], "k long")
+    assert bucket_positions(empty, "k").count() == 0
+    c = chunks.assign_chunks(df, ["k"], 300, method="buckets")
+    assert c.agg(F.max("chunk_id")).first()[0] == (len(keys) - 1) // 300

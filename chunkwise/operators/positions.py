@@ -112,6 +112,9 @@ def bucket_positions(df: DataFrame, key: str, pos_col: str = "pos",
         keyed = df.withColumn("_cw_k", F.col(key).cast("double"))
         bucketed = Bucketizer(splits=splits, inputCol="_cw_k", outputCol="_cw_b",
                               handleInvalid="keep").transform(keyed).drop("_cw_k")
+        # null keys sort first (ascending, NULLS FIRST): a bucket before all
+        # others, so no row is lost in the offsets join; NaN is already last
+        bucketed = bucketed.withColumn("_cw_b", F.coalesce(F.col("_cw_b"), F.lit(-1.0)))
     counts = bucketed.groupBy("_cw_b").agg(F.count(F.lit(1)).alias("_cw_n"))
     before = Window.orderBy("_cw_b").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy("_cw_b").rowsBetween(Window.unboundedPreceding,

@@ -140,3 +140,11 @@ def test_bucket_positions_exact_on_clustered_keys(spark):
     assert bucket_positions(empty, "k").count() == 0
     c = chunks.assign_chunks(df, ["k"], 300, method="buckets")
     assert c.agg(F.max("chunk_id")).first()[0] == (len(keys) - 1) // 300
+
+
+def test_bucket_positions_keep_null_keys(spark):
+    from chunkwise.operators.positions import bucket_positions
+    df = spark.createDataFrame([(None,), (3.0,), (1.0,), (float("nan"),), (2.0,)], "k double")
+    rows = sorted(bucket_positions(df, "k", num_buckets=3).collect(), key=lambda r: r.pos)
+    assert [r.pos for r in rows] == [0, 1, 2, 3, 4]
+    assert rows[0].k is None and rows[1].k == 1.0 and rows[3].k == 3.0

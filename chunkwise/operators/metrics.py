@@ -18,8 +18,10 @@ from chunkwise.operators.positions import with_position
 def roc_auc(df: DataFrame, score: str, label: str, id_col: str | None = None,
             group: str | None = None) -> DataFrame:
     """One row per ``group`` (or one row) with ``n_pos``, ``n_neg``, ``auc``
-    (null when a class is missing: AUC is undefined there)."""
+    (null when a class is missing: AUC is undefined there).  Rows without a
+    score or a label cannot be ranked and are not counted."""
     g = group or "_cw_group"
+    df = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     base = df.select(
         (F.col(group) if group else F.lit(0)).alias(g),
         F.col(score).cast("double").alias("_s"),
@@ -34,13 +36,15 @@ def roc_auc(df: DataFrame, score: str, label: str, id_col: str | None = None,
     sizes = pos.groupBy(g).agg(F.count(F.lit(1)).alias("_n"),
                                F.sum("_y").cast("long").alias("n_pos"),
                                F.min("_p").alias("_start"))
-    ranked = pos.join(sizes.select(g, "_start"), g) \
+    starts = sizes.select(F.col(g).alias("_g2"), "_start")
+    ranked = pos.join(starts, pos[g].eqNullSafe(starts["_g2"])).drop("_g2") \
                 .withColumn("_r", F.col("_p") - F.col("_start") + F.lit(1))
     ties = ranked.groupBy(g, "_s").agg(
         ((F.min("_r") + F.max("_r")).cast("double") / F.lit(2.0)).alias("_mid"),
         F.sum("_y").cast("long").alias("_pos_in_tie"))
     rsum = ties.groupBy(g).agg(F.sum(F.col("_mid") * F.col("_pos_in_tie")).alias("_rpos"))
-    out = rsum.join(sizes, g).select(
+    out = rsum.join(sizes.withColumnRenamed(g, "_g3"),
+                    rsum[g].eqNullSafe(F.col("_g3"))).select(
         *([F.col(g).alias(group)] if group else []),
         F.col("n_pos"),
         (F.col("_n") - F.col("n_pos")).cast("long").alias("n_neg"),

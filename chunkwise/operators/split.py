@@ -29,9 +29,10 @@ def rank_in_stratum(df: DataFrame, target: str, id_col: str, seed: int,
     # positions are global over (target, ...), so a stratum starts at its
     # smallest position: a distributed aggregate, no window over the strata.
     # The join is sized by AQE at run time (broadcast when the strata are few).
-    strata = pos.groupBy(target).agg(F.min("_cw_pos").alias("_cw_start"),
-                                     F.count(F.lit(1)).cast("long").alias(size_col))
-    out = pos.join(strata, target)
+    strata = pos.groupBy(F.col(target).alias("_cw_t")).agg(
+        F.min("_cw_pos").alias("_cw_start"), F.count(F.lit(1)).cast("long").alias(size_col))
+    # null-safe: a null target is a stratum of its own, never dropped
+    out = pos.join(strata, pos[target].eqNullSafe(strata["_cw_t"])).drop("_cw_t")
     return out.withColumn(rank_col, (F.col("_cw_pos") - F.col("_cw_start")).cast("long")) \
               .drop("_cw_pos", "_cw_start", h)
 

@@ -209,12 +209,16 @@ def split_valid(df: DataFrame, mode: str = "quarantine", chunk_col: str = "chunk
 def explode_envelope(df: DataFrame, body_col: str, schema: T.StructType, key: str = "data",
                      first_only: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """``{data: [...]}`` -> one row per element with ``item_index``; with
-    ``first_only`` only element 0 is kept (the single-record endpoint)."""
+    ``first_only`` only element 0 is kept (the single-record endpoint).  A
+    body that does not decode (or lacks the list) yields one row with a null
+    ``item``, which validation rejects; an empty list yields no rows."""
     parsed = df.select(*keep, F.from_json(F.col(body_col), schema).alias("_env"))
-    arr = F.col("_env").getField(key)
+    elem = schema[key].dataType.elementType
+    got = F.col("_env").getField(key)
+    arr = F.when(got.isNull(), F.array(F.lit(None).cast(elem))).otherwise(got)
     if first_only:
-        return parsed.select(*keep, F.lit(0).cast("long").alias("item_index"),
-                             F.get(arr, 0).alias("item")).filter(F.col("item").isNotNull())
+        return parsed.filter(F.size(arr) > 0).select(
+            *keep, F.lit(0).cast("long").alias("item_index"), F.get(arr, 0).alias("item"))
     return parsed.select(*keep, F.posexplode(arr).alias("item_index", "item")) \
                  .withColumn("item_index", F.col("item_index").cast("long"))
 

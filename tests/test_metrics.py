@@ -57,3 +57,13 @@ def test_event_body_keeps_nulls(spark):
     from chunkwise.sources import build_events
     ev = build_events(spark.range(1), {"data": F.lit(None).cast("string")}, "q", "r1")
     assert '"data":null' in ev.first().value
+
+
+def test_null_groups_and_labels(spark):
+    df = spark.createDataFrame([(None, 1, 0.9, 1), (None, 2, 0.1, 0), (1, 3, 0.5, None),
+                                (1, 4, 0.2, 0), (1, 5, 0.8, 1)], "g int, id int, s double, y int")
+    got = {r.g: r.auc for r in roc_auc(df, "s", "y", "id", group="g").collect()}
+    assert got == {None: 1.0, 1: 1.0}
+    from chunkwise.operators.split import stratified_folds
+    f = stratified_folds(df, "y", "id", 2, 42)
+    assert f.count() == 5 and f.filter("y IS NULL").count() == 1

@@ -162,3 +162,13 @@ def test_json_array_file(spark):
     assert df.count() == 5
     checked = validate.validate_persons(df, map_col="record", keep=["item_index"])
     assert checked.filter(F.size("errors") == 0).count() == 5
+
+
+def test_malformed_envelope_is_rejected_not_dropped(spark):
+    bodies = spark.createDataFrame([("not json",), ('{"data": []}',),
+                                    (json.dumps({"data": LAB_PERSONS[:1]}),)], "body string")
+    items = validate.explode_envelope(bodies, "body", DATA_ENVELOPE_KEYS, "data", keep=["body"])
+    checked = validate.validate_persons(items, map_col="item", keep=["body"])
+    valid, rejected = validate.split_valid(checked)
+    assert valid.count() == 1
+    assert [r.body for r in rejected.collect()] == ["not json"]

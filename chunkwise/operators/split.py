@@ -37,10 +37,25 @@ def rank_in_stratum(df: DataFrame, target: str, id_col: str, seed: int,
               .drop("_cw_pos", "_cw_start", h)
 
 
+def hash_unit(id_col: str, seed: int) -> Column:
+    """A deterministic value in [0, 1) from ``md5('<seed>:<id>')`` (32 bits)."""
+    h = F.substring(seeded_hash(id_col, seed), 1, 8)
+    return F.conv(h, 16, 10).cast("double") / F.lit(4294967296.0)
+
+
 def stratified_split(df: DataFrame, target: str, id_col: str, test_size: float = 0.2,
-                     seed: int = 42, split_col: str = "split") -> DataFrame:
+                     seed: int = 42, split_col: str = "split", method: str = "exact"
+                     ) -> DataFrame:
     """F8: per stratum the first ``ceil(n_stratum * test_size)`` rows of the
-    seeded order go to ``test``, the rest to ``train``."""
+    seeded order go to ``test``, the rest to ``train`` (``method="exact"``).
+    ``method="hash"`` is the one-pass large-scale option: a row is ``test``
+    when its seeded hash falls below ``test_size`` — no positions, no shuffle;
+    every stratum gets ``test_size`` of its rows in expectation."""
+    if method == "hash":
+        return df.withColumn(split_col, F.when(hash_unit(id_col, seed) < F.lit(float(test_size)),
+                                               F.lit("test")).otherwise(F.lit("train")))
+    if method != "exact":
+        raise ValueError(f"unknown method {method!r}")
     ranked = rank_in_stratum(df, target, id_col, seed)
     quota = F.ceil(F.col("stratum_size").cast("double") * F.lit(float(test_size)))
     return ranked.withColumn(split_col, F.when(F.col("rank_in_stratum") < quota, F.lit("test"))

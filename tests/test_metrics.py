@@ -67,3 +67,15 @@ def test_null_groups_and_labels(spark):
     from chunkwise.operators.split import stratified_folds
     f = stratified_folds(df, "y", "id", 2, 42)
     assert f.count() == 5 and f.filter("y IS NULL").count() == 1
+
+
+def test_hash_split_is_deterministic_and_proportional(spark):
+    from pyspark.sql import functions as F
+    from chunkwise.operators.split import stratified_split
+    df = spark.range(20000).select(F.col("id").alias("doc_id"),
+                                   (F.col("id") % 7 == 0).cast("int").alias("y"))
+    a = stratified_split(df, "y", "doc_id", 0.2, 42, method="hash")
+    b = stratified_split(df, "y", "doc_id", 0.2, 42, method="hash")
+    assert a.exceptAll(b).count() == 0
+    for r in a.groupBy("y").agg(F.avg((F.col("split") == "test").cast("double")).alias("f")).collect():
+        assert abs(r.f - 0.2) < 0.03

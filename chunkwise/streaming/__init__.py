@@ -1,8 +1,8 @@
 """Structured Streaming jobs built from the batch operators."""
 
 from chunkwise.streaming.jobs import (batch_sink, decode_body, dedupe_stream, file_stream,
-                                      kafka_stream, ledger_handler, quarantine_handler, read_sink,
+                                      kafka_stream, ledger_handler, progress_points, quarantine_handler, read_sink,
                                       run_available_now)
 
-__all__ = ["batch_sink", "decode_body", "dedupe_stream", "file_stream", "kafka_stream", "ledger_handler",
+__all__ = ["batch_sink", "decode_body", "dedupe_stream", "file_stream", "kafka_stream", "ledger_handler", "progress_points",
            "quarantine_handler", "read_sink", "run_available_now"]

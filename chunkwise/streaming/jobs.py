@@ -10,6 +10,7 @@ top of at-least-once delivery).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,8 +73,9 @@ def batch_sink(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], No
 
 
 def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], None],
-                      checkpoint: str, name: str | None = None) -> None:
-    """Process everything available, then stop (the ``availableNow`` trigger)."""
+                      checkpoint: str, name: str | None = None) -> list[dict]:
+    """Process everything available, then stop (the ``availableNow`` trigger).
+    Returns the progress records of the run (see ``progress_points``)."""
     w = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint) \
                           .trigger(availableNow=True)
     if name:
@@ -82,6 +84,22 @@ def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], Non
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return progress_points(q.recentProgress)
+
+
+def progress_points(progress: list, total: int | None = None) -> list[dict]:
+    """Live progress of a stream (A9): one ``{batch_id, current, total,
+    percentage}`` record per micro-batch from ``StreamingQueryProgress``,
+    ``current`` being the rows processed so far.  Bounded: Spark keeps only
+    the last ``spark.sql.streaming.numRecentProgressUpdates`` entries."""
+    out, done = [], 0
+    for p in progress:
+        data = p if isinstance(p, dict) else json.loads(p.json)   # StreamingQueryProgress
+        done += int(data.get("numInputRows", 0) or 0)
+        rec = {"batch_id": int(data.get("batchId", -1)), "current": done, "total": total}
+        rec["percentage"] = round(done / total * 100, 1) if total else None
+        out.append(rec)
+    return out
 
 
 def read_sink(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

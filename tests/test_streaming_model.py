@@ -148,3 +148,13 @@ def test_foreach_batch_handlers_are_replay_safe(spark):
     write(batch, 5)
     write(batch, 5)
     assert spark.read.parquet(sink).count() == 3
+
+
+def test_stream_progress_points(spark):
+    src = f"{SF_SMALL}/events.parq*"
+    sink, ckpt = scratch_path(spark, "pp"), scratch_path(spark, "pp-ckpt")
+    pts = run_available_now(file_stream(spark, src, EVENTS_SCHEMA), batch_sink(sink), ckpt)
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert pts and pts[-1]["current"] == n
+    from chunkwise.streaming import progress_points
+    assert progress_points([{"batchId": 0, "numInputRows": 5}], total=10)[0]["percentage"] == 50.0

@@ -158,3 +158,18 @@ def test_stream_progress_points(spark):
     assert pts and pts[-1]["current"] == n
     from chunkwise.streaming import progress_points
     assert progress_points([{"batchId": 0, "numInputRows": 5}], total=10)[0]["percentage"] == 50.0
+
+
+def test_model_keys_agree(spark):
+    """F15 and T1 against F12 on the same trained model: reloaded model and
+    streamed scoring give exactly the batch predictions."""
+    from chunkwise.plans import QUERIES
+    batch = {(r.doc_id, r.probability, r.survived)
+             for r in QUERIES["score_batch"](spark, SF_SMALL).collect()}
+    reloaded = {(r.doc_id, r.probability, r.survived)
+                for r in QUERIES["model_roundtrip"](spark, SF_SMALL).collect()}
+    streamed = {(r.doc_id, r.probability, r.survived)
+                for r in QUERIES["stream_score"](spark, SF_SMALL).collect()}
+    assert batch == reloaded == streamed
+    one = QUERIES["score_single"](spark, SF_SMALL).collect()
+    assert len(one) == 1 and (one[0].doc_id, one[0].probability, one[0].survived) in batch

@@ -98,6 +98,11 @@ def bucket_positions(df: DataFrame, key: str, pos_col: str = "pos",
     bucket (bucket sizes ~ n / B by construction of the quantiles).  A hot
     *value* cannot be split this way, hence unique keys only; use
     ``with_position`` (checkpointed range layout) otherwise.
+
+    The result is lazy: a frame consumed by several branches of one job
+    would repeat the window shuffle per branch (their column pruning
+    differs, so exchanges are not reused).  For such frames use the
+    checkpointed layout, whose re-reads are cheap.
     """
     from pyspark.ml.feature import Bucketizer
     spark = df.sparkSession

@@ -254,8 +254,10 @@ FROM c
 """)
 def q_validate_fail_chunk(spark: SparkSession, d: str) -> DataFrame:
     """One bad order rejects its whole chunk of 500."""
+    # consumed by three branches (valid, rejected, bad chunk ids): the
+    # checkpointed layout is re-read cheaply instead of recomputed per branch
     c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"),
-                             ["o_orderkey"], 500, method="buckets")
+                             ["o_orderkey"], 500)
     checked = validate.with_errors(c, _order_rules())
     valid, rejected = validate.split_valid(checked, mode="fail_chunk")
     cols = ["o_orderkey", "chunk_id"]
@@ -633,11 +635,11 @@ def q_prechunked_explode(spark: SparkSession, d: str) -> DataFrame:
     return chunks.prechunked_explode(pre, "chunks", keep=["vec_id"])
 
 
-def _event_chunks(spark: SparkSession, d: str) -> DataFrame:
+def _event_chunks(spark: SparkSession, d: str, method: str = "buckets") -> DataFrame:
     # project before chunking: the positional checkpoint stops column pruning
     ev = table(spark, d, "events").select(
         "event_id", F.round(F.col("value") * F.lit(100.0)).cast("long").alias("duration_ms"))
-    return chunks.assign_chunks(ev, ["event_id"], 500, method="buckets")
+    return chunks.assign_chunks(ev, ["event_id"], 500, method=method)
 
 
 _EVENT_CHUNKS_SQL = """
@@ -676,8 +678,9 @@ FROM orders
 def q_concat_ordered(spark: SparkSession, d: str) -> DataFrame:
     """Chunk outputs produced separately (finished orders vs the rest) and
     concatenated back in job order."""
+    # two consumers: checkpointed layout (see validate_fail_chunk)
     c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"),
-                             ["o_orderkey"], 500, method="buckets")
+                             ["o_orderkey"], 500)
     cols = ["o_orderkey", "o_orderstatus", "chunk_id", "item_index"]
     done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
     return chunks.concat_ordered(c.filter(done).select(*cols), c.filter(~done).select(*cols),
@@ -710,7 +713,7 @@ SELECT 'bulk_data_processing' AS job_name,
 FROM j, h
 """)
 def q_job_log(spark: SparkSession, d: str) -> DataFrame:
-    c = _event_chunks(spark, d)
+    c = _event_chunks(spark, d, method="checkpoint")   # two consumers: stats and sample
     stats = chunks.chunk_stats(c, "duration_ms")
     head = chunks.sample_head(c.select("chunk_id", "item_index", "event_id"), 20)
     row = chunks.job_log(stats, head, "bulk_data_processing", "event_id",

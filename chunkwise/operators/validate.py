@@ -205,6 +205,15 @@ def split_valid(df: DataFrame, mode: str = "quarantine", chunk_col: str = "chunk
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def write_split(df: DataFrame, path: str, mode: str = "overwrite") -> dict[str, str]:
+    """Write valid and rejected rows in one pass (one scan, one write):
+    ``<path>/outcome=valid`` and ``<path>/outcome=rejected``.  Two filtered
+    writes would read and validate the input twice."""
+    outcome = F.when(F.size(F.col(ERRORS)) == 0, F.lit("valid")).otherwise(F.lit("rejected"))
+    df.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
+    return {"valid": f"{path}/outcome=valid", "rejected": f"{path}/outcome=rejected"}
+
+
 # --------------------------------------------------------------------------- V8
 def explode_envelope(df: DataFrame, body_col: str, schema: T.StructType, key: str = "data",
                      first_only: bool = False, keep: Sequence[str] = ()) -> DataFrame:

@@ -172,3 +172,11 @@ def test_malformed_envelope_is_rejected_not_dropped(spark):
     valid, rejected = validate.split_valid(checked)
     assert valid.count() == 1
     assert [r.body for r in rejected.collect()] == ["not json"]
+
+
+def test_write_split_one_pass(spark):
+    recs = [dict(p) for p in LAB_PERSONS] + [{**LAB_PERSONS[0], "sex": "unknown"}]
+    paths = validate.write_split(_check(spark, recs), scratch_path(spark, "split"))
+    assert spark.read.parquet(paths["valid"]).count() == 5
+    bad = spark.read.parquet(paths["rejected"]).collect()
+    assert len(bad) == 1 and bad[0].errors == ["sex: must be one of male,female"]

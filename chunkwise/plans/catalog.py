@@ -959,6 +959,24 @@ def q_created_before(spark: SparkSession, d: str) -> DataFrame:
     return ledger.created_before(o, "o_orderdate", ntz("1998-01-01 00:00:00"))
 
 
+@register("chunk_job_output", """
+SELECT p_partkey, upper(p_name) AS p_name, p_size,
+       (row_number() OVER (ORDER BY p_partkey) - 1) // 10 AS chunk_id,
+       (row_number() OVER (ORDER BY p_partkey) - 1) % 10 AS item_index
+FROM part
+""")
+def q_chunk_job_output(spark: SparkSession, d: str) -> DataFrame:
+    """E2 written out (chunks of 10, upper-case map, outputs + chunk stats +
+    job row + events written); the output table is read back."""
+    from chunkwise.plans.jobs import run_chunk_job
+    part = table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    res = run_chunk_job(part, ["p_partkey"], scratch_path(spark, "chunk-job"), "run-0001",
+                        size=config.TASK_CHUNK_SIZE, duration="p_size",
+                        completed_at=ntz("2024-01-01 00:00:00"), method="buckets")
+    return spark.read.parquet(res["paths"]["output"]).select(
+        "p_partkey", "p_name", "p_size", "chunk_id", "item_index")
+
+
 # ============================================================ flagship (E2 job)
 @register("chunk_job", """
 WITH v AS (SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) AS duration

@@ -38,7 +38,7 @@ def chunk_job(spark: SparkSession, orders_path: str, size: int = API_CHUNK_SIZE,
 def run_chunk_job(df: DataFrame, order_by: list[str], out_root: str, run_id: str,
                   job_name: str = "bulk_data_processing", size: int = API_CHUNK_SIZE,
                   duration: str | None = None, map_step=None, sample_col: str | None = None,
-                  completed_at: Column | None = None) -> dict:
+                  completed_at: Column | None = None, method: str = "checkpoint") -> dict:
     """E2 written out: chunk the input, apply ``map_step`` (default: upper-case
     strings), write the chunk outputs, the per-chunk stats, one job-log row
     (appended to the jobs table) and one completed event per chunk.  Returns
@@ -46,7 +46,7 @@ def run_chunk_job(df: DataFrame, order_by: list[str], out_root: str, run_id: str
     from chunkwise.functions import upper_strings
     from chunkwise.sources import append_rows, build_events, publish_events
     step = map_step or upper_strings
-    chunked = chunks.assign_chunks(df, order_by, size)
+    chunked = chunks.assign_chunks(df, order_by, size, method=method)
     out = step(chunked)
     paths = {k: f"{out_root.rstrip('/')}/{k}" for k in ("output", "chunks", "jobs", "events")}
     out.write.mode("overwrite").parquet(paths["output"])

@@ -165,6 +165,16 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
                                          "status")
 
 
+@register("dedupe_batch", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+""")
+def q_dedupe_batch(spark: SparkSession, d: str) -> DataFrame:
+    """T4 batch twin: every event delivered twice, one copy kept per id."""
+    from chunkwise.streaming import dedupe_batch
+    ev = table(spark, d, "events")
+    return dedupe_batch(ev.unionByName(ev), "event_id")
+
+
 @register("dedupe_redelivery", """
 SELECT event_id, ts, user_id, event_type, value, props FROM events
 """)

@@ -74,21 +74,27 @@ class VersionedTable:
             return None
         return self.spark.read.parquet(f"{self.root}/v={v:09d}")
 
-    def apply(self, change) -> int:
+    def apply(self, change, partition_by: Sequence[str] = ()) -> int:
         """``UPDATE`` / ``DELETE`` / sweep on plain Parquet: ``change`` maps the
         latest version to the new content, which is committed as the next
         version (the version being read is never overwritten)."""
         last = self.latest_version()
         if last is None:
             raise ValueError(f"{self.root}: no committed version")
-        return self.commit(change(self.read(last)), version=last + 1)
+        return self.commit(change(self.read(last)), version=last + 1, partition_by=partition_by)
 
-    def commit(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as a version (default: latest + 1), then mark it."""
+    def commit(self, df: DataFrame, version: int | None = None,
+               partition_by: Sequence[str] = ()) -> int:
+        """Write ``df`` as a version (default: latest + 1), then mark it.
+        ``partition_by`` (e.g. a day column) lets a sweep on that column read
+        only the surviving partitions (partition pruning)."""
         if version is None:
             last = self.latest_version()
             version = 0 if last is None else last + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/v={version:09d}")
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(f"{self.root}/v={version:09d}")
         self.spark.createDataFrame([(int(version),)], _MARK_SCHEMA).coalesce(1) \
             .write.mode("overwrite").parquet(f"{self.root}/_commits/v={version:09d}")
         return version

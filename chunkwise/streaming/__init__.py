@@ -1,8 +1,9 @@
 """Structured Streaming jobs built from the batch operators."""
 
-from chunkwise.streaming.jobs import (batch_sink, decode_body, dedupe_stream, file_stream,
+from chunkwise.streaming.jobs import (batch_sink, decode_body, dedupe_batch, dedupe_stream,
+                                      file_stream,
                                       kafka_stream, ledger_handler, progress_points, quarantine_handler, read_sink,
                                       run_available_now)
 
-__all__ = ["batch_sink", "decode_body", "dedupe_stream", "file_stream", "kafka_stream", "ledger_handler", "progress_points",
+__all__ = ["batch_sink", "decode_body", "dedupe_batch", "dedupe_stream", "file_stream", "kafka_stream", "ledger_handler", "progress_points",
            "quarantine_handler", "read_sink", "run_available_now"]

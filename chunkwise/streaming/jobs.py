@@ -143,6 +143,12 @@ def quarantine_handler(valid_path: str, dead_path: str, body_col: str,
 
 
 # --------------------------------------------------------------------------- T4
+def dedupe_batch(df: DataFrame, key: str) -> DataFrame:
+    """T4 batch twin: one row per key (redelivered copies are identical, so
+    which copy survives does not matter); a hash aggregate on the key."""
+    return df.dropDuplicates([key])
+
+
 def dedupe_stream(stream: DataFrame, key: str, event_time: Column, delay: str) -> DataFrame:
     """Drop redelivered copies by ``key``; the watermark only bounds the
     de-duplication state (copies of one message share its event time)."""

@@ -161,3 +161,17 @@ def test_versioned_update_and_delete(spark):
     assert (v1, v2) == (1, 2)
     assert sorted(map(tuple, t.read().collect()), key=str) == [(1, "F"), (3, None)]
     assert t.read(0).count() == 3                    # earlier versions stay readable
+
+
+def test_sweep_on_day_partitioned_table_prunes(spark):
+    df = spark.createDataFrame([(i, T0 + dt.timedelta(days=i)) for i in range(10)],
+                               "id int, created_at timestamp_ntz").withColumn(
+        "day", F.to_date("created_at"))
+    t = VersionedTable(spark, scratch_path(spark, "vt-day"))
+    t.commit(df, partition_by=["day"])
+    cutoff = F.lit(dt.date(2024, 1, 6))
+    kept = ledger.retained(t.read(), "day", cutoff)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1][:200]
+    t.apply(lambda d: ledger.retained(d, "day", cutoff), partition_by=["day"])
+    assert sorted(r.id for r in t.read().collect()) == [5, 6, 7, 8, 9]

@@ -753,11 +753,15 @@ SELECT d.doc_id AS id, 'run-0001' AS run_id, d.text AS text,
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """)
 def q_label_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Run-tagged label rows appended to the label table (S4), read back."""
     x = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
-    return chunks.label_rows(x, "run-0001", "doc_id", "text",
+    rows = chunks.label_rows(x, "run-0001", "doc_id", "text",
                              F.to_json(F.struct("lang", "source")),
                              F.when(F.col("quality") == 1, "good").otherwise("bad"),
                              F.col("toxic"))
+    path = scratch_path(spark, "labels-table")
+    append_rows(rows, path, ["id", "run_id"], created_at=ntz("2024-01-01 00:00:00"))
+    return spark.read.parquet(path).select("id", "run_id", "text", "entities", "label", "score")
 
 
 @register("map_reduce_sum", """

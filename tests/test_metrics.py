@@ -79,3 +79,25 @@ def test_hash_split_is_deterministic_and_proportional(spark):
     assert a.exceptAll(b).count() == 0
     for r in a.groupBy("y").agg(F.avg((F.col("split") == "test").cast("double")).alias("f")).collect():
         assert abs(r.f - 0.2) < 0.03
+
+
+def test_folds_partition_the_train_split(spark):
+    """Folds of the train split are disjoint, cover it exactly, and each
+    class is spread evenly over the folds; split sizes follow ceil(n * 0.2)."""
+    import math
+    from pyspark.sql import functions as F
+    from chunkwise.operators.split import stratified_folds, stratified_split
+    lab = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
+    split = stratified_split(lab, "quality", "doc_id", 0.2, 42)
+    sizes = {r.quality: r.n for r in lab.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    tests = {r.quality: r.n for r in split.filter("split = 'test'").groupBy("quality")
+             .agg(F.count("*").alias("n")).collect()}
+    assert tests == {q: math.ceil(n * 0.2) for q, n in sizes.items()}
+    train = split.filter("split = 'train'").drop("split")
+    folds = stratified_folds(train, "quality", "doc_id", 5, 42)
+    assert folds.count() == train.count() == folds.select("doc_id").distinct().count()
+    assert sorted(r.doc_id for r in folds.collect()) == sorted(r.doc_id for r in train.collect())
+    per = folds.groupBy("quality", "fold").count().collect()
+    for q in sizes:
+        counts = [r["count"] for r in per if r.quality == q]
+        assert max(counts) - min(counts) <= 1

@@ -180,3 +180,12 @@ def test_write_split_one_pass(spark):
     assert spark.read.parquet(paths["valid"]).count() == 5
     bad = spark.read.parquet(paths["rejected"]).collect()
     assert len(bad) == 1 and bad[0].errors == ["sex: must be one of male,female"]
+
+
+def test_all_null_records_are_rejected(spark):
+    nulls = [{k: None for k in LAB_PERSONS[0]} for _ in range(3)]
+    checked = _check(spark, nulls)
+    valid, rejected = validate.split_valid(checked)
+    assert valid.count() == 0 and rejected.count() == 3
+    errs = set(rejected.first().errors)
+    assert {"sex: required", "age: required", "fare: required", "embarked: required"} <= errs

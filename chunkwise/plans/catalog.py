@@ -3,8 +3,9 @@
 Each entry binds one operator of the inventory to the driver's tables as
 ``fn(spark, sf_dir) -> DataFrame`` and, where SQL can express it, an
 independent DuckDB query over the same tables with the same column names.
-Every binding reads whole tables; ``limit`` appears only where a top-k is
-the feature (the 20-row sample).
+Every binding reads whole tables; ``limit`` appears only where it is the
+feature: the 20-row job sample (top-k), the exactly-one read (at most two
+rows fetched to check cardinality) and single-record scoring.
 """
 
 from __future__ import annotations

@@ -104,13 +104,26 @@ class TrainResult:
         return sum(v) / len(v) if v else None
 
 
+DENSE_MAX_CATEGORIES = 1000   # above this many categories in total, encode sparsely
+
+
+def choose_encoder(df: DataFrame, cat_vars, limit: int = DENSE_MAX_CATEGORIES) -> str:
+    """``dense`` for small category sets (one CASE column per category),
+    ``sparse`` otherwise; one approximate-distinct pass, bounded memory."""
+    if not cat_vars:
+        return "dense"
+    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cat_vars]).first()
+    return "dense" if sum(row[c] or 0 for c in cat_vars) <= limit else "sparse"
+
+
 def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = ModelParams(),
                  fit_scope: str = "all", refit: str = "last_fold",
-                 encoder: str = "dense") -> TrainResult:
+                 encoder: str = "auto") -> TrainResult:
     """F10 + F11 + F16: stratified hold-out, stratified k-fold; per fold a
     forest is fit, validation and hold-out AUC are computed; the last fold's
     model is returned (``refit="all"`` refits on the whole train split).
-    A fold that fails is reported and skipped.
+    A fold that fails is reported and skipped.  ``encoder="auto"`` picks the
+    dense processor for small category sets, the sparse one beyond.
 
     Folds are fitted concurrently (Spark runs the jobs of several driver
     threads at once) and all fold AUCs come from one grouped exact-AUC pass.
@@ -119,6 +132,8 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
 
     label, id_col = spec.target, spec.id_col
     data = clean.withColumn(label, F.col(label).cast("double"))
+    if encoder == "auto":
+        encoder = choose_encoder(data, list(spec.cat_vars))
     split = stratified_split(data, label, id_col, params.test_size, params.seed)
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")

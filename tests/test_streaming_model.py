@@ -173,3 +173,11 @@ def test_model_keys_agree(spark):
     assert batch == reloaded == streamed
     one = QUERIES["score_single"](spark, SF_SMALL).collect()
     assert len(one) == 1 and (one[0].doc_id, one[0].probability, one[0].survived) in batch
+
+
+def test_choose_encoder(spark):
+    from chunkwise.operators.model import choose_encoder
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert choose_encoder(docs, ["lang", "source"]) == "dense"
+    assert choose_encoder(docs, ["lang", "source"], limit=10) == "sparse"
+    assert choose_encoder(docs, []) == "dense"

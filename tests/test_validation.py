@@ -189,3 +189,35 @@ def test_all_null_records_are_rejected(spark):
     assert valid.count() == 0 and rejected.count() == 3
     errs = set(rejected.first().errors)
     assert {"sex: required", "age: required", "fare: required", "embarked: required"} <= errs
+
+
+def test_json_lines_keep_malformed_records(spark):
+    import os
+    from chunkwise.session import local_path
+    from chunkwise.sources import read_json_records
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "jsonl")
+    os.makedirs(local_path(path), exist_ok=True)
+    with open(os.path.join(local_path(path), "part.json"), "w") as fh:
+        fh.write('{"a": 1, "b": "x"}\n{"a": 2, \n{"a": 3, "b": "z"}\n')
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    df = read_json_records(spark, path, schema, corrupt_col="_bad").cache()
+    assert df.count() == 3
+    assert df.filter(F.col("_bad").isNotNull()).count() == 1
+    assert sorted(r.a for r in df.filter(F.col("_bad").isNull()).collect()) == [1, 3]
+    typed = read_json_objects(spark, path, typed=True)
+    assert typed.filter(F.col("record").isNull()).count() == 1
+
+
+def test_processor_roundtrip_and_transform(spark):
+    from chunkwise.config import FeatureSpec
+    from chunkwise.operators.features import Processor
+    df = spark.createDataFrame([(1.0, "a"), (3.0, "b"), (2.0, None)], "x double, c string")
+    spec = FeatureSpec(num_vars=("x",), cat_vars=("c",), target="y", id_col="id")
+    proc = Processor.fit(df, spec)
+    again = Processor.from_json(proc.to_json())
+    assert again == proc and proc.feature_names() == ["num_vars__x", "cat_vars__c_a",
+                                                       "cat_vars__c_b"]
+    rows = again.transform(df.union(spark.createDataFrame([(9.0, "new")], df.schema))).collect()
+    assert [tuple(r) for r in rows] == [(0.0, 1.0, 0.0), (1.0, 0.0, 1.0), (0.5, 0.0, 0.0),
+                                        (4.0, 0.0, 0.0)]

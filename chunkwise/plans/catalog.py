@@ -549,6 +549,19 @@ def q_stratified_split(spark: SparkSession, d: str) -> DataFrame:
     return stratified_split(lab, "quality", "doc_id", 0.2, 42)
 
 
+@register("stratified_split_hash", """
+SELECT doc_id, quality,
+       CASE WHEN CAST(('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT AS DOUBLE)
+                 / CAST(4294967296 AS DOUBLE) < CAST(0.2 AS DOUBLE)
+            THEN 'test' ELSE 'train' END AS split
+FROM labels
+""")
+def q_stratified_split_hash(spark: SparkSession, d: str) -> DataFrame:
+    """F8, one-pass large-scale option: seeded hash threshold, no positions."""
+    lab = table(spark, d, "labels").select("doc_id", "quality")
+    return stratified_split(lab, "quality", "doc_id", 0.2, 42, method="hash")
+
+
 @register("stratified_folds", """
 SELECT doc_id, quality,
        CAST((row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1) % 5

@@ -198,10 +198,13 @@ def split_valid(df: DataFrame, mode: str = "quarantine", chunk_col: str = "chunk
         return (df.join(bad_chunks, chunk_col, "left_anti"),
                 df.join(bad_chunks, chunk_col, "left_semi"))
     if mode == "fail_job":
-        checked = df.withColumn(ERRORS, F.when(bad, F.raise_error(F.concat(
+        # the check is a filter predicate, so column pruning cannot drop it
+        # (a raise_error inside a projected column would vanish as soon as a
+        # caller selects other columns)
+        guard = F.when(bad, F.raise_error(F.concat(
             F.lit("validation failed: "), F.array_join(F.col(ERRORS), "; ")))
-        ).otherwise(F.col(ERRORS)))
-        return checked, df.limit(0)
+        ).otherwise(F.lit(True))
+        return df.filter(guard), df.limit(0)
     raise ValueError(f"unknown mode {mode!r}")
 
 

@@ -23,13 +23,21 @@ from chunkwise.sources import scan_project
 def chunk_job(spark: SparkSession, orders_path: str, size: int = API_CHUNK_SIZE,
               mode: str = "quarantine") -> DataFrame:
     """E2 on orders: the order status is the validated category, the order
-    total (whole units) stands in for a measured per-item duration."""
+    total (whole units) stands in for a measured per-item duration.
+
+    ``quarantine`` / ``fail_job``: records are validated first and the valid
+    ones chunked (the API path).  ``fail_chunk``: the input is chunked first
+    and a bad record drops its whole chunk (the per-chunk task path)."""
     o = scan_project(spark, orders_path, ["o_orderkey", "o_orderstatus", "o_totalprice"])
-    status = norm_category("o_orderstatus")
-    checked = validate.with_errors(
-        o.withColumn("duration", F.round("o_totalprice").cast("long")),
-        [one_of("o_orderstatus", ("o", "f"), status)])
-    valid, _rejected = validate.split_valid(checked, mode)
+    o = o.withColumn("duration", F.round("o_totalprice").cast("long"))
+    rules = [one_of("o_orderstatus", ("o", "f"), norm_category("o_orderstatus"))]
+    if mode == "fail_chunk":
+        # several consumers (valid rows, bad chunk ids): checkpointed layout
+        chunked = chunks.assign_chunks(o.select("o_orderkey", "o_orderstatus", "duration"),
+                                       ["o_orderkey"], size)
+        valid, _rejected = validate.split_valid(validate.with_errors(chunked, rules), mode)
+        return chunks.combine_chunks(chunks.chunk_stats(valid, "duration"))
+    valid, _rejected = validate.split_valid(validate.with_errors(o, rules), mode)
     chunked = chunks.assign_chunks(valid.select("o_orderkey", "duration"), ["o_orderkey"], size,
                                    method="buckets")
     return chunks.combine_chunks(chunks.chunk_stats(chunked, "duration"))

@@ -1,5 +1,6 @@
 """Positional indexer and chunk roll-ups: invariants, skew, empty input."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from chunkwise.operators import chunks
@@ -148,3 +149,22 @@ def test_bucket_positions_keep_null_keys(spark):
     rows = sorted(bucket_positions(df, "k", num_buckets=3).collect(), key=lambda r: r.pos)
     assert [r.pos for r in rows] == [0, 1, 2, 3, 4]
     assert rows[0].k is None and rows[1].k == 1.0 and rows[3].k == 3.0
+
+
+def test_chunk_job_modes(spark):
+    import duckdb
+    from chunkwise.plans.jobs import chunk_job
+    path = f"{SF_SMALL}/orders.parquet"
+    q = chunk_job(spark, path).first()
+    fc = chunk_job(spark, path, size=50, mode="fail_chunk").first()
+    con = duckdb.connect()
+    want = con.execute(f"""
+        WITH c AS (SELECT o_orderstatus, (row_number() OVER (ORDER BY o_orderkey) - 1) // 50 AS ch
+                   FROM '{path}'),
+        bad AS (SELECT DISTINCT ch FROM c WHERE o_orderstatus NOT IN ('O', 'F'))
+        SELECT count(DISTINCT ch), count(*) FROM c WHERE ch NOT IN (SELECT ch FROM bad)""").fetchall()[0]
+    assert (fc.total_chunks, fc.total_items) == want
+    n_valid = con.execute(f"SELECT count(*) FROM '{path}' WHERE o_orderstatus IN ('O','F')").fetchall()[0][0]
+    assert q.total_items == n_valid
+    with pytest.raises(Exception):
+        chunk_job(spark, path, mode="fail_job").collect()

@@ -221,3 +221,12 @@ def test_processor_roundtrip_and_transform(spark):
     rows = again.transform(df.union(spark.createDataFrame([(9.0, "new")], df.schema))).collect()
     assert [tuple(r) for r in rows] == [(0.0, 1.0, 0.0), (1.0, 0.0, 1.0), (0.5, 0.0, 0.0),
                                         (4.0, 0.0, 0.0)]
+
+
+def test_fail_job_survives_column_pruning(spark):
+    recs = [dict(p) for p in LAB_PERSONS] + [{**LAB_PERSONS[0], "sex": "unknown"}]
+    checked, _ = validate.split_valid(_check(spark, recs), "fail_job")
+    with pytest.raises(Exception, match="validation failed"):
+        checked.select("person_id").collect()
+    ok, _ = validate.split_valid(_check(spark, LAB_PERSONS), "fail_job")
+    assert ok.select("person_id").count() == 5

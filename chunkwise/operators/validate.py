@@ -194,6 +194,9 @@ def split_valid(df: DataFrame, mode: str = "quarantine", chunk_col: str = "chunk
     if mode == "quarantine":
         return df.filter(~bad), df.filter(bad)
     if mode == "fail_chunk":
+        if chunk_col not in df.columns:
+            raise ValueError(f"mode='fail_chunk' needs a {chunk_col!r} column: assign "
+                             "chunks (operators.chunks.assign_chunks) before validating")
         bad_chunks = df.filter(bad).select(chunk_col).distinct()
         return (df.join(bad_chunks, chunk_col, "left_anti"),
                 df.join(bad_chunks, chunk_col, "left_semi"))

@@ -230,3 +230,8 @@ def test_fail_job_survives_column_pruning(spark):
         checked.select("person_id").collect()
     ok, _ = validate.split_valid(_check(spark, LAB_PERSONS), "fail_job")
     assert ok.select("person_id").count() == 5
+
+
+def test_fail_chunk_needs_chunk_ids(spark):
+    with pytest.raises(ValueError, match="assign_chunks"):
+        validate.split_valid(_check(spark, LAB_PERSONS), "fail_chunk")

@@ -188,7 +188,9 @@ def split_valid(df: DataFrame, mode: str = "quarantine", chunk_col: str = "chunk
     * ``fail_chunk``: one bad row rejects its whole chunk (as the reference's
       chunk task does); bad chunk ids are aggregated and anti/semi-joined.
       The bad-chunk list is not broadcast by force: AQE decides on its size.
-    * ``fail_job``: evaluation raises on the first bad row.
+    * ``fail_job``: evaluation raises on the first bad row (a filter guard,
+      so no extra pass; filters a caller adds afterwards may be pushed to the
+      scan first, and rows they exclude are then not checked).
     """
     bad = F.size(F.col(ERRORS)) > 0
     if mode == "quarantine":

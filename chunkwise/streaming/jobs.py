@@ -53,7 +53,9 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
 def decode_body(df: DataFrame, body_col: str, schema: T.StructType,
                 out_col: str = "payload") -> DataFrame:
     """``json.loads(body)`` as ``from_json``: adds the decoded struct and a
-    ``decoded`` flag; undecodable bodies keep ``decoded = false``."""
+    ``decoded`` flag.  Malformed text, a null body, a JSON scalar or array,
+    or a field of the wrong type give ``decoded = false`` (dead letter); a
+    valid object that lacks a field decodes with that field null."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(body_col), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})

@@ -35,3 +35,14 @@ def test_empty_inputs(spark):
     r = ledger.task_status_lookup(req, led).first()
     assert (r.state, r.ready, r.current, r.total) == ("PENDING", False, 0, 1)
     assert ledger.unique_key_violations(empty, ["k"]).count() == 0
+
+
+def test_decode_body_edges(spark):
+    from pyspark.sql import types as T
+    from chunkwise.streaming import decode_body
+    df = spark.createDataFrame([("5",), ("[1]",), ('{"k": "x"}',), ('{"k": 3}',), ('{"j": 1}',),
+                                (None,), ("{bad",)], "body string")
+    out = [(r.decoded, r.payload.k if r.payload else None) for r in decode_body(
+        df, "body", T.StructType([T.StructField("k", T.IntegerType())])).collect()]
+    assert out == [(False, None), (False, None), (False, None), (True, 3), (True, None),
+                   (False, None), (False, None)]

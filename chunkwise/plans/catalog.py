@@ -10,6 +10,7 @@ rows fetched to check cardinality) and single-record scoring.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,11 @@ ORACLE: dict[str, str] = {}
 
 def register(key: str, sql: str | None = None):
     def deco(fn: Binding) -> Binding:
-        QUERIES[key] = fn
+        def bound(spark: SparkSession, sf_dir) -> DataFrame:
+            # accept str or os.PathLike, with or without a trailing slash
+            return fn(spark, os.fspath(sf_dir).rstrip("/"))
+        bound.__name__, bound.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[key] = bound
         if sql is not None:
             ORACLE[key] = sql.strip()
         return fn

@@ -85,33 +85,50 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+#: Bytes that end a word: the six of WORD, or every ASCII byte that is no letter or digit.
+BLANKS = np.isin(np.arange(256), [32, *range(9, 14)])
+NON_LETTERS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_hashes(values: pa.Array, breaks: np.ndarray = BLANKS, prefixes: tuple[int, ...] = ()):
     """64-bit hashes of all words (A-Z lower-cased) of a string array, in order, and the
     number of words of each row.  Prefix sums of byte * M**position give every word's
-    polynomial in a few passes over the bytes; arithmetic wraps at 2**64."""
+    polynomial in a few passes over the bytes; arithmetic wraps at 2**64.  With
+    ``prefixes``, also a list of (hashes, word numbers): for each length, the first bytes
+    of the words that are longer."""
     data, offs = utf8(values)
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(values), np.int64)
+        empty = np.zeros(0, np.uint64)
+        out = (empty, np.zeros(len(values), np.int64))
+        return (*out, [(empty, np.zeros(0, np.int64)) for _ in prefixes]) if prefixes else out
     low = data + (((data >= 65) & (data <= 90)).astype(np.uint8) << 5)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    inside = ~breaks[data]
     first = np.zeros(n + 1, bool)
     first[offs] = True
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | first[1:n]
     starts = np.flatnonzero(begins)
-    closes = inside.copy()
-    closes[:-1] &= ~inside[1:] | first[1:n]
+    closes = inside
+    closes[:-1] &= ~closes[1:] | first[1:n]
     ends = np.flatnonzero(closes) + 1
     with np.errstate(over="ignore"):
         powers = np.full(n, _MULT, np.uint64)
         powers[0] = _ONE
-        powers = np.cumprod(powers)
+        np.cumprod(powers, out=powers)
+        powers *= low.astype(np.uint64) + _ONE
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((low.astype(np.uint64) + _ONE) * powers, out=sums[1:])
+        np.cumsum(powers, out=sums[1:])
         down = np.full(n, _MULT_INV, np.uint64)
         down[0] = _ONE
-        down = np.cumprod(down)
-        hashes = mix64((sums[ends] - sums[starts]) * down[starts])
-    counts = np.diff(np.searchsorted(starts, offs))
-    return hashes, counts
+        down = np.cumprod(down)[starts]
+        hashes = mix64((sums[ends] - sums[starts]) * down)
+        counts = np.diff(np.searchsorted(starts, offs))
+        if not prefixes:
+            return hashes, counts
+        parts = []
+        for length in prefixes:
+            at = np.flatnonzero(ends - starts > length)
+            parts.append((mix64((sums[starts[at] + length] - sums[starts[at]]) * down[at]
+                                + np.uint64(length)), at))
+    return hashes, counts, parts

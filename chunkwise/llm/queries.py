@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloom_dedup, mixing, url_cascade
+from . import bloom_dedup, mixing, piece_codec, token_orc, toxicity, url_cascade
 from .common import table
 
 #: The rules of op4: (host, path, verdict).
@@ -20,6 +21,12 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"),
+                                   table(spark, sf_dir, "labels"))
+
+
 @_query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -102,6 +109,18 @@ FROM judged
 """
 
 
+@_query
+def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_orc.tokenize_to_orc(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(piece_codec.encode_decode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
 @_query
 def op10_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_dedup.exact_groups(table(spark, sf_dir, "documents"))

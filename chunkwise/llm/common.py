@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import BooleanType
+
 from chunkwise.session import scratch_path
 
 #: ``[^\x20\x09-\x0D]+``: a word is a run of characters other than these six.
@@ -21,7 +26,25 @@ _MULT_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ONE = np.uint64(1)
 
 
-def table(spark, sf_dir, name: str) -> DataFrame:
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors (once a session): task functions import it there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in root.rglob("*.py"):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+
+
+def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
@@ -132,3 +155,57 @@ def word_hashes(values: pa.Array, breaks: np.ndarray = BLANKS, prefixes: tuple[i
             parts.append((mix64((sums[starts[at] + length] - sums[starts[at]]) * down[at]
                                 + np.uint64(length)), at))
     return hashes, counts, parts
+
+
+class HashFilter:
+    """A Bloom filter over 64-bit hashes, of at most ``MOST_BITS`` bits whatever the input:
+    it comes to the driver as at most that many bits and is broadcast.  With more hashes
+    than it has room for it says "maybe" more often, never a wrong "no"."""
+
+    MOST_BITS = 1 << 27
+    BITS_PER_HASH = 16
+
+    def __init__(self, half: int, words):
+        self.half, self.words = half, words
+
+    @classmethod
+    def build(cls, hashes: DataFrame) -> HashFilter:
+        """``hashes``: a frame with one BIGINT column of well mixed values."""
+        x = F.col(hashes.columns[0])
+        wanted = min(cls.MOST_BITS, cls.BITS_PER_HASH * max(hashes.count(), 64))
+        half = 1 << ((wanted - 1).bit_length() - 1)
+        pos = F.array(x.bitwiseAND(F.lit(half - 1)),
+                      F.shiftright(x, 31).bitwiseAND(F.lit(half - 1)) + half)
+        got = (hashes.select(F.explode(pos).alias("pos"))
+               .groupBy(F.shiftright("pos", 6).alias("word"))
+               .agg(F.bit_or(F.expr("shiftleft(1L, cast(pos % 64 as int))")).alias("mask"))).toArrow()
+        words = np.zeros(2 * half // 64, np.uint64)
+        words[got["word"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
+        return cls(half, hashes.sparkSession.sparkContext.broadcast(words))
+
+    def test(self, x: np.ndarray) -> np.ndarray:
+        """False only for hashes that were not put in."""
+        words, out = self.words.value, np.ones(len(x), bool)
+        for pos in (x & (self.half - 1), ((x >> 31) & (self.half - 1)) + self.half):
+            out &= (words[pos >> 6] >> (pos & 63).astype(np.uint64) & _ONE) > 0
+        return out
+
+    def maybe(self, x: Column) -> Column:
+        test = self.test
+
+        @F.arrow_udf(BooleanType())
+        def run(values: pa.Array) -> pa.Array:
+            return pa.array(test(values.to_numpy(zero_copy_only=False)))
+
+        return run(x)
+
+
+def join_by_group(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int) -> DataFrame:
+    """Inner join of ``rows`` with ``groups`` (one row per key, ``size`` rows each) in which
+    no key dominates a task: groups of more than a thousandth of all rows, of which there
+    are fewer than a thousand, are broadcast; the others shuffle."""
+    least_hot = max(1, n_rows // 1000)
+    hot = F.broadcast(groups.filter(F.col(size) > least_hot))
+    cold = groups.filter(F.col(size) <= least_hot)
+    return (rows.join(hot, key)
+            .unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key)))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloom_dedup, mixing, piece_codec, token_orc, toxicity, url_cascade
+from . import (bloom_dedup, group_join, mixing, piece_codec, token_orc, toxicity,
+               url_cascade)
 from .common import table
 
 #: The rules of op4: (host, path, verdict).
@@ -121,6 +122,11 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
+@_query
+def op9_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.near_components(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op10_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_dedup.exact_groups(table(spark, sf_dir, "documents"))

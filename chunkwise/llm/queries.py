@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bloom_dedup, group_join, mixing, piece_codec, token_orc, toxicity,
+from . import (bloom_dedup, cotrain, group_join, mixing, piece_codec, token_orc, toxicity,
                url_cascade)
 from .common import table
 
@@ -116,6 +116,11 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@_query
+def op7_cotrain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.encode_decode(

@@ -34,8 +34,8 @@ LEAST_DOCS = 4
 MAX_WEIGHTS = 500_000
 FACTORS = 4
 #: Standard deviations from which a term counts in full.
-SURE = 8
-EPOCHS = 6
+SURE = 6
+EPOCHS = 8
 PREFIXES = (4, 5, 6)
 
 
@@ -103,7 +103,7 @@ class FactorizationMachine:
         toxic = np.bincount(at, np.repeat(weights * labels, lens), len(terms))
         spread = np.bincount(at, np.repeat(weights ** 2, lens), len(terms)) * share * (1 - share)
         expected = np.bincount(at, np.repeat(weights, lens), len(terms)) * share
-        m.evidence = np.minimum(1, (toxic - expected) ** 2 / (spread * SURE ** 2))
+        m.evidence = np.minimum(1, ((toxic - expected) ** 2 / (spread * SURE ** 2)) ** 2)
         g_lin, g_fac, g_bias = np.full(len(terms), 1e-3), np.full(m.factors.shape, 1e-3), 1e-3
         for epoch in range(EPOCHS):
             order = rng.permutation(len(docs))

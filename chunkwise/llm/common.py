@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,6 +158,39 @@ def word_hashes(values: pa.Array, breaks: np.ndarray = BLANKS, prefixes: tuple[i
     return hashes, counts, parts
 
 
+_BLOCK = 4096
+
+
+def array_blocks(values: np.ndarray) -> pa.RecordBatch:
+    """A task's array of float64 as (block, lane, cells) rows for ``sum_arrays``."""
+    parts = [values[k:k + _BLOCK] for k in range(0, len(values), _BLOCK)]
+    lane = TaskContext.get().partitionId() % 64
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(len(parts))), pa.array(np.full(len(parts), lane)),
+         pa.array([p.astype(np.float64).tobytes() for p in parts], pa.binary())],
+        ["block", "lane", "cells"])
+
+
+BLOCKS = "block bigint, lane bigint, cells binary"
+
+
+def sum_arrays(blocks: DataFrame, length: int) -> np.ndarray:
+    """The sum of all tasks' arrays, block by block in two steps, so that no task gets the
+    blocks of all others; the driver gets one array."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_buffer(), np.float64) for c in rows["cells"])
+        return pa.table({"block": rows["block"].slice(0, 1), "cells": [total.tobytes()]},
+                        schema=pa.schema([("block", pa.int64()), ("cells", pa.binary())]))
+
+    out, schema = np.zeros(length), "block bigint, cells binary"
+    sums = (blocks.groupBy("block", "lane").applyInArrow(add, schema)
+            .groupBy("block").applyInArrow(add, schema)).toArrow()
+    for block, part in zip(sums["block"].to_pylist(), sums["cells"].to_pylist()):
+        out[block * _BLOCK:(block + 1) * _BLOCK] = np.frombuffer(part, np.float64)
+    return out
+
+
 class HashFilter:
     """A Bloom filter over 64-bit hashes, of at most ``MOST_BITS`` bits whatever the input:
     it comes to the driver as at most that many bits and is broadcast.  With more hashes

@@ -24,18 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashFilter, fresh, id_text, join_by_group, slices, stored, word_hashes, mix64
+from .common import (BLOCKS, HashFilter, array_blocks, fresh, id_text, join_by_group, mix64, slices,
+                     stored, sum_arrays, word_hashes)
 from .components import components
 
 WIDTH = 4
 PERCENT = 85
 #: Cells of the counting sketch (4 bytes each), sent to the tasks.
 CELLS = 1 << 19
-_BLOCK = 4096
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -62,35 +61,19 @@ def shingle_sets(values: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
 
 
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """Number of documents by cell of a shingle's hash, summed in two steps so that no task
-    gets the counts of all others."""
+    """Number of documents by cell of a shingle's hash."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, any_rows = np.zeros(CELLS, np.int64), False
+        cells, any_rows = np.zeros(CELLS), False
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 for s in shingle_sets(batch.column(1).slice(a, b - a), width):
                     any_rows = True
                     np.add.at(cells, s & (CELLS - 1), 1)
         if any_rows:
-            parts = cells.reshape(-1, _BLOCK)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(parts))), pa.array(np.full(len(parts), TaskContext.get().partitionId() % 64)),
-                 pa.array([p.tobytes() for p in parts], pa.binary())], ["block", "lane", "cells"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py(), np.int64) for c in table["cells"])
-        return pa.table({"block": table["block"].slice(0, 1), "cells": [total.tobytes()]},
-                        schema=pa.schema([("block", pa.int64()), ("cells", pa.binary())]))
-
-    schema = "block bigint, cells binary"
-    sums = (docs.mapInArrow(count, "block bigint, lane bigint, cells binary")
-            .groupBy("block", "lane").applyInArrow(add, schema)
-            .groupBy("block").applyInArrow(add, schema)).toArrow()
-    cells = np.zeros((CELLS // _BLOCK, _BLOCK), np.int64)
-    for block, part in zip(sums["block"].to_pylist(), sums["cells"].to_pylist()):
-        cells[block] = np.frombuffer(part, np.int64)
-    return cells.reshape(-1)
+            yield array_blocks(cells)
+
+    return sum_arrays(docs.mapInArrow(count, BLOCKS), CELLS)
 
 
 def _prefixes(docs: DataFrame, cells: np.ndarray, width: int, percent: int) -> DataFrame:

@@ -67,17 +67,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
                         .otherwise(F.least(F.col("cap"), F.col("weight") * level)).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", weights: Sequence[int] = WEIGHTS, share: float = SHARE,
-        max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of ``docs``.
-
-    ``size`` is the number of words (null text: 0).  ``taken`` counts the words the mix
-    takes from the row, repeats included: whole epochs of the source, then rows in key
-    order until the source's budget (the target, rounded down) is used up; the row at the
-    cut gives only its first words.  Rows with the same doc_id are ordered by size.  An
-    empty table gives an empty result; null is a source of its own, the last one.
-    """
+def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[int],
+            share: float, max_epochs: int, seed: str) -> DataFrame:
+    """Every row with its size, its source's rank, size and target, whole ``epochs``, the
+    words ``last`` left for a further one, and the words ``before`` it in key order."""
     spark = docs.sparkSession
     sizes = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"),
                                word_count(F.col(text_col).cast("string")).alias("size"),
@@ -91,7 +84,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    F.col("source").eqNullSafe(F.col("_source")))
              .withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
                                           * ranges / F.lit(float(1 << 32))))
-             .select("doc_id", "size", "rank", "source_size", "target", "key", "range"))
+             .select("doc_id", "size", "source", "rank", "source_size", "target", "key", "range"))
     starts = (keyed.groupBy("rank", "range").agg(F.sum("size").alias("range_size"))
               .select("rank", "range",
                       F.coalesce(F.sum("range_size").over(
@@ -99,37 +92,77 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start")))
     inside = (Window.partitionBy("rank", "range").orderBy("key", "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    budget = F.floor("target")
-    last = F.when(F.col("source_size") > 0, budget % F.col("source_size")).otherwise(F.lit(0))
-    epochs = F.when(F.col("source_size") > 0,
-                    F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
+    budget, some = F.floor("target"), F.col("source_size") > 0
     return (keyed.withColumn("upto", F.sum("size").over(inside))
             .join(starts, ["rank", "range"])
-            .select("doc_id", "size", "source_size", "target",
-                    (epochs * F.col("size")
-                     + F.greatest(F.lit(0), F.least(F.col("size"), last - F.col("start")
-                                                    - F.col("upto") + F.col("size"))))
-                    .cast("long").alias("taken")))
+            .withColumns({"epochs": F.when(some, F.floor(budget / F.col("source_size")))
+                          .otherwise(F.lit(0)).cast("long"),
+                          "last": F.when(some, budget % F.col("source_size"))
+                          .otherwise(F.lit(0)).cast("long"),
+                          "before": F.col("start") + F.col("upto") - F.col("size")}))
 
 
-def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        source_col: str = "source", weights: Sequence[int] = WEIGHTS, share: float = SHARE,
+        max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of every row of ``docs``.
+
+    ``size`` is the number of words (null text: 0).  ``taken`` counts the words the mix
+    takes from the row, repeats included: whole epochs of the source, then rows in key
+    order until the source's budget (the target, rounded down) is used up; the row at the
+    cut gives only its first words.  Rows with the same doc_id are ordered by size.  An
+    empty table gives an empty result; null is a source of its own, the last one.
+    """
+    left = F.col("last") - F.col("before")
+    return _placed(docs, id_col, text_col, source_col, weights, share, max_epochs, seed).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left)))
+        .cast("long").alias("taken"))
+
+
+def source_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                source_col: str = "source", weights: Sequence[int] = WEIGHTS,
+                share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """(source, epochs, cut): the whole epochs of each source and, for the last one, the row
+    at which its budget ends (key, doc_id, size) with the words still taken from it; null
+    if nothing is left for a last epoch."""
+    rows = _placed(docs, id_col, text_col, source_col, weights, share, max_epochs, seed)
+    ends = (F.col("last") > 0) & (F.col("before") < F.col("last")) & \
+        (F.col("before") + F.col("size") >= F.col("last"))
+    return rows.groupBy("source").agg(
+        F.max("epochs").alias("epochs"),
+        F.min(F.when(ends, F.struct("key", "doc_id", "size",
+                                    (F.col("last") - F.col("before")).alias("words")))).alias("cut"))
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             source_col: str = "source", seed: str = SEED, **options) -> DataFrame:
     """The rows of the mix with the columns of ``docs``: a row taken twice appears twice,
-    a row at its source's cut ends after the last word taken, and a row of which nothing is
-    taken is gone.  ``n_chars``, where present, follows the text.  doc_id must be unique."""
-    taken = mix(docs, id_col, text_col, **options).filter("taken > 0")
+    the row at its source's cut ends after the last word taken, and rows of which nothing
+    is taken are gone.  ``n_chars``, where present, follows the text.  What a row gives
+    depends on itself and its source's cut alone, so texts don't shuffle; rows that repeat
+    the one at the cut (doc_id and size) are treated like it."""
     names = docs.columns
-    key, size, got, part = (fresh(c, names) for c in ("_id", "_size", "_taken", "_part"))
-    plan = stored(taken.select(F.col("doc_id").alias(key), F.col("size").alias(size),
-                               F.col("taken").alias(got)), "mix-taken")
-    parts = F.expr(f"transform(sequence(1, cast(ceil({got} / {size}) as int)), "
-                   f"i -> least({size}, {got} - (i - 1) * {size}))")
-    text = F.col(text_col).cast("string")
-    # the first n words: what stands before them, then n times a word and what precedes it
-    cut = F.expr(f"array_join(slice(regexp_extract_all(`{text_col}`, "
-                 f"'[\\\\x20\\\\x09-\\\\x0D]*[^\\\\x20\\\\x09-\\\\x0D]+', 0), 1, cast({part} as int)), '')")
-    out = (docs.join(plan, F.col(id_col).cast("long") == F.col(key))
-           .withColumn(part, F.explode(parts))
-           .withColumn(text_col, F.when(F.col(part) < F.col(size), cut).otherwise(text)))
+    cuts = stored(source_cuts(docs, id_col, text_col, source_col, seed=seed, **options), "mix-cuts")
+    src, epochs, cut, size, at, part = (fresh(c, names) for c in
+                                        ("_source", "_epochs", "_cut", "_size", "_at", "_part"))
+    cuts = cuts.select(F.col("source").alias(src), F.col("epochs").alias(epochs),
+                       F.col("cut").alias(cut))
+    text, own = F.col(text_col).cast("string"), F.col(id_col).cast("long")
+    row = F.struct(shuffle_key(own, seed).alias("key"), own.alias("doc_id"),
+                   F.col(size).alias("size"))
+    stop = F.struct(F.col(cut)["key"].alias("key"), F.col(cut)["doc_id"].alias("doc_id"),
+                    F.col(cut)["size"].alias("size"))
+    last = (F.when(F.col(cut).isNull(), F.lit(0)).when(F.col(at) < stop, F.col(size))
+            .when(F.col(at) == stop, F.col(cut)["words"]).otherwise(F.lit(0)).cast("long"))
+    parts = F.concat(F.array_repeat(F.col(size), F.col(epochs).cast("int")), F.array(last))
+    first_words = F.expr(  # the first n words, each with the blanks before it
+        f"array_join(slice(regexp_extract_all(`{text_col}`, "
+        f"'[\\\\x20\\\\x09-\\\\x0D]*[^\\\\x20\\\\x09-\\\\x0D]+', 0), 1, cast({part} as int)), '')")
+    out = (docs.withColumn(size, word_count(text)).withColumn(at, row)
+           .join(cuts, F.col(source_col).cast("string").eqNullSafe(F.col(src)))
+           .withColumn(part, F.explode(F.filter(parts, lambda n: n > 0)))
+           .withColumn(text_col, F.when(F.col(part) < F.col(size), first_words).otherwise(text)))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col(part) < F.col(size),
                                                F.length(text_col).cast(docs.schema["n_chars"].dataType))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (bloom_dedup, cotrain, group_join, mixing, piece_codec, token_orc, toxicity,
+from . import (bidi_lm, bloom_dedup, cotrain, group_join, lsh_forest, mixing, piece_codec, token_orc, toxicity,
                url_cascade)
 from .common import table
 
@@ -28,6 +29,11 @@ def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    table(spark, sf_dir, "labels"))
 
 
+@_query
+def op2_bidirectional_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bidi_lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -110,6 +116,11 @@ FROM judged
 """
 
 
+@_query
+def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @_query
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.tokenize_to_orc(table(spark, sf_dir, "documents"),

@@ -6,23 +6,45 @@ read back as the next stage's ``docs``.  All but the last return the columns of
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwise.llm import bloom_dedup, mixing
-from chunkwise.llm.common import stored, table
+from chunkwise.llm import bloom_dedup, cotrain, group_join, mixing, piece_codec
+from chunkwise.llm.common import ship, stored, table
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier scores below 0.5 go."""
+    return cotrain.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, the one with the largest doc_id."""
+    ship(spark)
     return bloom_dedup.drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies stays, the one with the smallest doc_id."""
+    ship(spark)
+    return group_join.drop_near_copies(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target weights; documents taken twice appear twice."""
+    ship(spark)
     return mixing.take_mix(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("source_mix", source_mix)]
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of the mix."""
+    ship(spark)
+    return piece_codec.digests(piece_codec.encode_decode(
+        docs, public_tokenizers.path("piece_bpe_32k.model")))
+
+
+STAGES = [("quality_filter", quality_filter), ("exact_dedup", exact_dedup),
+          ("near_dedup", near_dedup), ("source_mix", source_mix), ("encode_pieces", encode_pieces)]
 
 #: No SQL: learned scores and tokenizers are not expressible.
 ORACLE_SQL = None

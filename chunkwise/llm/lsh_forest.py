@@ -108,9 +108,9 @@ def _valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.filter(F.size("vec") == (length["n"] if length else 0)).dropDuplicates()
 
 
-def nearest(vectors: DataFrame, query_where, k: int = 20, id_col: str = "vec_id",
+def nearest(vectors: DataFrame, query_where: str, k: int = 20, id_col: str = "vec_id",
             vec_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row where ``query_where`` (a condition on
+    """(query_id, rank, vec_id, score): for each row where ``query_where`` (a SQL condition on
     vec_id) holds, its ``k`` nearest found by inner product, without itself; ties go to the
     smaller vec_id.  All others, if there are fewer than ``k``.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import (bidi_lm, bloom_dedup, cotrain, group_join, lsh_forest, mixing, piece_codec, token_orc, toxicity,
                url_cascade)
@@ -118,7 +117,7 @@ FROM judged
 
 @_query
 def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return lsh_forest.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
 
 @_query

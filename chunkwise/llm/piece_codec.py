@@ -16,6 +16,7 @@ import codecs
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import id_text, slices
 
 SPACE = "▁"
-#: Distinct words that a task remembers before it starts afresh.
+#: Distinct words that a task remembers.
 REMEMBERED = 600_000
 _NONE = np.int64(1 << 40)
 
@@ -41,6 +42,45 @@ def _gather(values: np.ndarray, offs: np.ndarray, which: np.ndarray) -> tuple[np
     return values[at], lens
 
 
+class WordMemory:
+    """The ids of words that a task has met, at most about ``most`` of them: when there are
+    more, those met least often are forgotten.  ``learn`` gives the ids of new words as
+    (words, ids one after another, number of each)."""
+
+    def __init__(self, learn, most: int):
+        self.learn, self.most = learn, most
+        self.known: dict[str, int] = {}
+        self.ids, self.offs = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def _shed(self) -> None:
+        keep = self.uses > 1
+        if keep.sum() > self.most // 2:
+            keep &= self.uses > np.partition(self.uses, -self.most // 2)[-self.most // 2]
+        at = np.flatnonzero(keep)
+        words = list(self.known)
+        self.known = {words[i]: k for k, i in enumerate(at.tolist())}
+        self.ids, lens = _gather(self.ids, self.offs, at)
+        self.offs, self.uses = np.concatenate([[0], np.cumsum(lens)]), self.uses[at] // 2
+
+    def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after another, number of each)."""
+        if len(self.known) > self.most:
+            self._shed()
+        which = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        if len(miss := np.flatnonzero(which < 0)):
+            missing = [words[i] for i in miss.tolist()]
+            new, ids, lens = self.learn(list(dict.fromkeys(missing)))
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.offs = np.concatenate([self.offs, len(self.ids) + np.cumsum(lens)])
+            self.ids = np.concatenate([self.ids, ids])
+            which[miss] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(miss))
+        uses = np.bincount(which, minlength=len(self.known))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
+        return _gather(self.ids, self.offs, which)
+
+
 class PieceCodec:
     """Encoder and decoder for a SentencePiece BPE model file with identity normalisation."""
 
@@ -88,7 +128,7 @@ class PieceCodec:
         # a piece with a space inside would reach across the cuts: then texts stay whole
         inner = any(SPACE in p.lstrip(SPACE) for p in ids)
         self.word = re.compile("(?s:.+)" if inner else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self._forget()
+        self.memory = WordMemory(lambda words: (words, *self._encode_words(words)), REMEMBERED)
 
     def _ranks(self, ids: dict[str, int], scores: list[float]) -> None:
         """Every pair of symbols that makes a piece, sorted by key, with the piece and its
@@ -185,14 +225,8 @@ class PieceCodec:
         word = np.repeat(np.repeat(np.arange(len(words)), lens), width)
         return out.astype(np.int32), np.bincount(word, minlength=len(words))
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.known_ids, self.known_offs = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of each)."""
-        if len(self.known) > REMEMBERED:
-            self._forget()
         lead = SPACE if self.dummy_prefix else ""
         words, per_text = [], np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
@@ -200,14 +234,7 @@ class PieceCodec:
                 found = self.word.findall(lead + t.replace(" ", SPACE))
                 per_text[i] = len(found)
                 words += found
-        known = self.known
-        if new := [w for w in dict.fromkeys(words) if w not in known]:
-            ids, lens = self._encode_words(new)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self.known_offs = np.concatenate([self.known_offs, len(self.known_ids) + np.cumsum(lens)])
-            self.known_ids = np.concatenate([self.known_ids, ids])
-        which = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        ids, lens = _gather(self.known_ids, self.known_offs, which)
+        ids, lens = self.memory.lookup(words)
         text = np.repeat(np.arange(len(texts)), per_text)
         return ids, np.bincount(text, weights=lens, minlength=len(texts)).astype(np.int64)
 

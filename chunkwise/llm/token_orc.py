@@ -28,10 +28,10 @@ from pyspark.sql.types import LongType
 from chunkwise.session import scratch_path
 
 from .common import id_text, slices
-from .piece_codec import _gather
+from .piece_codec import WordMemory
 
 END_ID = 0
-#: Distinct pieces that a task remembers before it starts afresh.
+#: Distinct pieces that a task remembers.
 REMEMBERED = 600_000
 ORC_OPTIONS = {"compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": "1000",
                "orc.stripe.size": str(16 << 20), "orc.bloom.filter.columns": "doc_id",
@@ -59,17 +59,13 @@ class CachedEncoder:
                          and self.tokenizer.normalizer is None
                          and not getattr(self.tokenizer.pre_tokenizer, "add_prefix_space", True))
         self.line = line[0] if line else -1
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.known_ids, self.known_offs = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.memory = WordMemory(self._learn, REMEMBERED)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]):
         plain = [p for p in pieces if "\n" not in p]
         rest = [p for p in pieces if "\n" in p]
         lists = []
@@ -86,10 +82,8 @@ class CachedEncoder:
         if rest:
             got = self._whole(rest)
             lists.append((np.concatenate(got), np.array([len(g) for g in got])))
-        lens = np.concatenate([n for _, n in lists])
-        self.known.update(zip(plain + rest, range(len(self.known), len(self.known) + len(lens))))
-        self.known_offs = np.concatenate([self.known_offs, len(self.known_ids) + np.cumsum(lens)])
-        self.known_ids = np.concatenate([self.known_ids, *(i for i, _ in lists)])
+        return (plain + rest, np.concatenate([i for i, _ in lists]),
+                np.concatenate([n for _, n in lists]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of each)."""
@@ -105,18 +99,12 @@ class CachedEncoder:
             out.update(zip(at, self._whole([texts[i] for i in at])))
             lists = [out[i] for i in range(len(texts))]
             return np.concatenate(lists), np.array([len(x) for x in lists], np.int64)
-        if len(self.known) > REMEMBERED:
-            self._forget()
         pieces, per_text = [], np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
             found = _PIECE.findall(t)
             per_text[i] = len(found)
             pieces += found
-        known = self.known
-        if new := [p for p in dict.fromkeys(pieces) if p not in known]:
-            self._learn(new)
-        which = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-        ids, lens = _gather(self.known_ids, self.known_offs, which)
+        ids, lens = self.memory.lookup(pieces)
         text = np.repeat(np.arange(len(texts)), per_text)
         return ids, np.bincount(text, weights=lens, minlength=len(texts)).astype(np.int64)
 

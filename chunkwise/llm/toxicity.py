@@ -28,7 +28,7 @@ from .common import NON_LETTERS, id_text, slices, stored, word_hashes
 
 #: Bounds of the training sample: documents of each label, and distinct terms of all of them.
 MAX_DOCS_PER_LABEL = 10_000
-MAX_TERMS = 12_000_000
+MAX_TERMS = 6_000_000
 #: Terms of fewer training documents have no weight; of the others the most frequent do.
 LEAST_DOCS = 4
 MAX_WEIGHTS = 500_000
@@ -96,7 +96,7 @@ class FactorizationMachine:
         index = []
         for d in docs:
             at = np.minimum(np.searchsorted(terms, d), len(terms) - 1)
-            index.append(at[terms[at] == d])
+            index.append(at[terms[at] == d].astype(np.int32))
         # weighted toxic documents of a term against their expected number, in deviations
         lens = np.array([len(x) for x in index])
         at = np.concatenate(index)
@@ -166,12 +166,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple
     inside = sizes["place"][sizes["n"].cumsum() <= MAX_TERMS]
     if not len(inside):
         return [], np.zeros(0), np.zeros(0)
-    got = rows.filter(F.col("place") <= int(inside.iloc[-1])).toPandas().sort_values(
-        ["place", "terms"], ignore_index=True)
-    y = got["label"].to_numpy(float)
+    got = (rows.filter(F.col("place") <= int(inside.iloc[-1])).select("place", "label", "terms")
+           .toArrow().sort_by([("place", "ascending"), ("terms", "ascending")]))
+    y = got["label"].to_numpy().astype(float)
     weight = np.array([counts.get(c, 0) / max(1, (y == c).sum()) for c in (0, 1)])
     weight = weight[y.astype(int)]
-    return [np.frombuffer(t, np.uint32) for t in got["terms"]], y, weight / weight.mean()
+    terms = [np.frombuffer(t.as_buffer(), np.uint32) for t in got["terms"]]
+    return terms, y, weight / weight.mean()
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",

@@ -16,20 +16,18 @@ from pyspark.sql import functions as F
 
 from chunkwise.config import API_CHUNK_SIZE, PROGRESS_EVERY, SAMPLE_ROWS
 from chunkwise.functions.numeric import round_python
-from chunkwise.operators.positions import with_position_and_total
+from chunkwise.operators.positions import with_position, with_position_and_total
 
 
 def assign_chunks(df: DataFrame, order_by: Sequence[str | Column],
-                  size: int = API_CHUNK_SIZE, num_partitions: int | None = None,
-                  method: str = "checkpoint") -> DataFrame:
+                  size: int = API_CHUNK_SIZE, num_partitions: int | None = None) -> DataFrame:
     """A1: add ``pos`` (0-based), ``chunk_id``, ``item_index`` (position in
     the chunk) and ``total_items``.  The last chunk may be short; an empty
     input yields no rows and so no chunks.  Project ``df`` first: the
-    positions are checkpointed, which stops column pruning below.  For a
-    single unique numeric key ``method="buckets"`` needs no checkpoint."""
+    positions are checkpointed, which stops column pruning below."""
     if size <= 0:
         raise ValueError("chunk size must be positive")
-    out = with_position_and_total(df, order_by, "pos", "total_items", num_partitions, method)
+    out = with_position_and_total(df, order_by, "pos", "total_items", num_partitions)
     return (out.withColumn("chunk_id", F.floor(F.col("pos") / F.lit(size)).cast("long"))
                .withColumn("item_index", (F.col("pos") % F.lit(size)).cast("long")))
 
@@ -83,12 +81,11 @@ def combine_chunks(stats: DataFrame, digits: int = 2) -> DataFrame:
     )
 
 
-def concat_ordered(*parts: DataFrame, size: int = API_CHUNK_SIZE) -> DataFrame:
-    """UNION ALL of chunk outputs with the job order kept as ``seq``
-    (= chunk_id * size + item_index); rows stay distributed."""
+def concat_ordered(*parts: DataFrame) -> DataFrame:
+    """UNION ALL of chunk outputs with the job order as ``seq``, the position in
+    (chunk_id, item_index): chunks of any length follow one another without gaps."""
     unioned = reduce(lambda a, b: a.unionByName(b), parts)
-    return unioned.withColumn("seq", (F.col("chunk_id") * F.lit(size)
-                                      + F.col("item_index")).cast("long"))
+    return with_position(unioned, ["chunk_id", "item_index"], "seq")
 
 
 def sample_head(df: DataFrame, n: int = SAMPLE_ROWS,
@@ -103,6 +100,7 @@ def job_log(stats: DataFrame, sample: DataFrame, job_name: str, sample_col: str,
     """One job row.  ``input_data`` / ``output_data`` hold counts and a
     bounded sample of ``sample_col`` values in job order, never the payload."""
     combined = combine_chunks(stats)
+    sample = sample_head(sample, order_by=order_by)      # bounded whatever the caller passes
     ordered = F.struct(*[F.col(c) for c in order_by], F.col(sample_col).alias("v"))
     samp = sample.agg(F.sort_array(F.collect_list(ordered)).alias("_s")) \
                  .select(F.transform("_s", lambda s: s["v"]).alias("_sample"))
@@ -121,13 +119,18 @@ def job_log(stats: DataFrame, sample: DataFrame, job_name: str, sample_col: str,
 
 
 def progress_points(chunked: DataFrame, size: int = API_CHUNK_SIZE,
-                    throttled: bool = False, every: int = PROGRESS_EVERY) -> DataFrame:
+                    throttled: bool = False, every: int = PROGRESS_EVERY,
+                    stats: DataFrame | None = None) -> DataFrame:
     """Progress records ``{current, total, chunk_id}`` per item; with
     ``throttled`` only every ``every``-th item and the last of each chunk, plus
     ``percentage = round(current / total * 100, 1)``.  Needs ``assign_chunks``
-    output; the chunk total is arithmetic on the job total, so no window."""
+    output, whose chunk totals are arithmetic on the job total; chunks of other
+    sizes take theirs from ``stats`` (``chunk_stats``)."""
     cur = (F.col("item_index") + F.lit(1)).cast("long")
     tot = chunk_size_col(size)
+    if stats is not None:
+        chunked = chunked.join(stats.select("chunk_id", F.col("item_count").alias("_n")), "chunk_id")
+        tot = F.col("_n")
     out = chunked.select("chunk_id", "item_index", cur.alias("current"), tot.alias("total"))
     if not throttled:
         return out.drop("item_index")

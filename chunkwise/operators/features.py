@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from chunkwise.config import FILL_AGE, FeatureSpec
 from chunkwise.functions import fill_constant
 
-MAX_CATEGORIES = 10_000   # dense one-hot beyond this is refused (use the ML form)
-
 
 # ------------------------------------------------------------------- F1 F2 F4
 def clean_training_frame(df: DataFrame, spec: FeatureSpec, fill_col: str | None = "age",
@@ -78,18 +76,21 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = N
 
 
 # ----------------------------------------------------------------------- F6
-def fit_categories(df: DataFrame, cols: Sequence[str],
-                   max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted distinct non-null values per column (bounded metadata)."""
-    out: dict[str, list[str]] = {}
-    for c in cols:
-        vals = (df.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull())
-                .distinct().limit(max_categories + 1).collect())
-        if len(vals) > max_categories:
-            raise ValueError(f"{c}: more than {max_categories} categories; use the sparse "
-                             "ML encoder (operators.model) instead of dense columns")
-        out[c] = sorted(r.v for r in vals)
-    return out
+def category_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value): the distinct non-null values of all columns, in one pass."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                         F.col(c).cast("string").alias("value")) for c in cols]))
+    return df.select(pairs.alias("p")).select("p.*").filter("value IS NOT NULL").distinct()
+
+
+def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted categories per column, for the dense form only, in which every category is a
+    column of the result and so a name the driver holds.  Models encode sparsely instead
+    (``operators.model``) and leave the categories to Spark ML."""
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in (category_table(df, cols).collect() if cols else ()):
+        out[r["column"]].append(r["value"])
+    return {c: sorted(v) for c, v in out.items()}
 
 
 def one_hot_columns(c: str, categories: Sequence[str], prefix: str = "cat_vars__") -> list[Column]:
@@ -112,12 +113,12 @@ class Processor:
     categories: dict[str, list[str]] = field(default_factory=dict)
 
     @classmethod
-    def fit(cls, df: DataFrame, spec: FeatureSpec, with_categories: bool = True
+    def fit(cls, df: DataFrame, spec: FeatureSpec, with_categories: bool = False
             ) -> "Processor":
         """F16 parity: fit on the frame passed in (the reference fits on all
         rows before the split; pass the train split for ``fit_scope="train"``).
-        ``with_categories=False`` leaves category learning to Spark ML's
-        ``StringIndexer`` (sparse encoder, any cardinality)."""
+        Categories are left to Spark ML's ``StringIndexer`` unless the dense
+        form is asked for (``with_categories``)."""
         num, cat = list(spec.num_vars), list(spec.cat_vars)
         row = minmax_stats(df, num).first() if num else None
         mins = {c: row[f"min_{c}"] for c in num} if row else {}

@@ -15,17 +15,19 @@ shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwise import config
 from chunkwise.functions import not_like
+from chunkwise.sources.tables import row_id
 
 LATEST_FIELDS = ("status", "updated_at", "task_name", "args", "kwargs")
-NONNULL_FIELDS = ("result", "error")
+NONNULL_FIELDS = ("result", "error", "traceback")
 LEDGER_COLUMNS = ("task_id", "task_name", "status", "updated_at", "args", "kwargs",
-                  "result", "error")
+                  "result", "error", "traceback")
 
 
 def _ord_name(f: str) -> str:
@@ -34,7 +36,10 @@ def _ord_name(f: str) -> str:
 
 def events_to_ledger_input(events: DataFrame, seq_col: str = "event_seq") -> DataFrame:
     """Attach per-field ordering keys to raw task events
-    (``task_id, task_name, status, updated_at, args, kwargs, result, error``)."""
+    (``task_id, task_name, status, updated_at, args, kwargs, result, error`` and, where
+    the source has it, ``traceback``)."""
+    if "traceback" not in events.columns:
+        events = events.withColumn("traceback", F.lit(None).cast("string"))
     key = F.struct(F.col("updated_at").alias("ts"), F.col(seq_col).cast("long").alias("seq"))
     cols = [F.col(c) for c in LEDGER_COLUMNS]
     cols += [key.alias(_ord_name("latest"))]
@@ -68,6 +73,11 @@ def merge_task_ledger(ledger: DataFrame, events: DataFrame, seq_col: str = "even
     return _fold(stored.unionByName(events_to_ledger_input(events, seq_col)))
 
 
+def fold_ledger_rows(rows: DataFrame) -> DataFrame:
+    """Fold frames that are in ledger form already (a stored ledger, the deltas of a stream)."""
+    return _fold(rows)
+
+
 def public_ledger(ledger: DataFrame) -> DataFrame:
     return ledger.select(*LEDGER_COLUMNS)
 
@@ -89,7 +99,8 @@ def task_status_lookup(requests: DataFrame, ledger: DataFrame, id_col: str = "ta
     has reported progress and has not finished reads as PROGRESS with its
     ``current``/``total``/``chunk_id``.  Joins are planned by Catalyst/AQE:
     every side may be large."""
-    led = ledger.select(F.col("task_id").alias("_lid"), "status", "result", "error")
+    led = ledger.select(F.col("task_id").alias("_lid"), "status", "result", "error",
+                        "traceback")
     j = requests.join(led, requests[id_col] == led["_lid"], "left")
     status = F.col("status")
     if progress is not None:
@@ -117,6 +128,7 @@ def task_status_lookup(requests: DataFrame, ledger: DataFrame, id_col: str = "ta
            F.when(state == "PENDING", F.lit(1)).cast("int").alias("total")]),
         F.when(state == "SUCCESS", F.col("result")).alias("result"),
         F.when(state.isin("FAILURE", "RETRY"), F.col("error")).alias("error"),
+        F.when(state == "FAILURE", F.col("traceback")).alias("traceback"),
         F.when(state == "SUCCESS", F.lit(True)).when(state == "FAILURE", F.lit(False))
          .alias("successful"),
         F.when(state.isin("RETRY", "REVOKED"), F.lit(0)).cast("int").alias("percentage"),
@@ -141,9 +153,9 @@ def email_lifecycle(mails: DataFrame, deliveries: DataFrame, key: str,
 
 # ----------------------------------------------------------------------- L3
 def bulk_dispatch(mails: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """One send task per mail with a deterministic id (md5 of the key), plus
+    """One send task per mail with a deterministic id (``row_id`` of the key), plus
     ``total_emails`` (a one-row aggregate, broadcast)."""
-    tid = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols]))
+    tid = row_id(key_cols)
     total = mails.agg(F.count(F.lit(1)).cast("long").alias("total_emails"))
     return mails.withColumn("task_id", tid).withColumn("status", F.lit("dispatched")) \
                 .crossJoin(F.broadcast(total))
@@ -157,9 +169,12 @@ def update_where(df: DataFrame, predicate: Column, assignments: Mapping[str, Col
     return df.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in assignments.items()})
 
 
-def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
-    """``DELETE FROM t WHERE p``: rows where ``p`` is null are kept."""
-    return df.filter(~F.coalesce(predicate, F.lit(False)))
+def delete_where(df: DataFrame, predicate: Column, null_in: Sequence[str] = ()) -> DataFrame:
+    """``DELETE FROM t WHERE p``: rows where ``p`` is null are kept.  If ``p`` is null
+    exactly where one of the columns ``null_in`` is (comparisons with literals), naming
+    them lets the predicate reach the scan."""
+    unknown = [F.col(c).isNull() for c in null_in] or [predicate.isNull()]
+    return df.filter(reduce(Column.__or__, unknown, ~predicate))
 
 
 # ----------------------------------------------------------------------- L6
@@ -174,7 +189,7 @@ def retention_cutoff(as_of: Column, days: int = config.RETENTION_DAYS,
 
 def retained(df: DataFrame, ts_col: str, cutoff: Column) -> DataFrame:
     """Survivors of a sweep: ``created < cutoff`` (strict) is deleted, null kept."""
-    return delete_where(df, F.col(ts_col) < cutoff)
+    return df.filter((F.col(ts_col) >= cutoff) | F.col(ts_col).isNull())
 
 
 def retention_counts(tables: Mapping[str, tuple], cutoff: Column | None = None) -> DataFrame:
@@ -208,13 +223,13 @@ def health_stats(tasks: DataFrame, task_name_col: str, emails: DataFrame, email_
     """Three counts in one row: tasks whose name is NOT LIKE the pattern
     (null names excluded), e-mails newer than ``as_of - hours``, jobs whose
     status is ``pending``.  Three one-row aggregates, cross-joined."""
-    t = tasks.agg(F.count_if(F.coalesce(not_like(task_name_col, pattern), F.lit(False)))
-                  .cast("long").alias("total_tasks"))
+    def rows(df: DataFrame, condition: Column, name: str) -> DataFrame:
+        return df.filter(condition).agg(F.count(F.lit(1)).cast("long").alias(name))
+
     since = as_of - F.expr(f"INTERVAL {int(hours)} HOURS")
-    e = emails.agg(F.count_if(F.coalesce(F.col(email_ts_col) > since, F.lit(False)))
-                   .cast("long").alias("recent_emails_24h"))
-    j = jobs.agg(F.count_if(F.coalesce(F.col(job_status_col) == F.lit(pending), F.lit(False)))
-                 .cast("long").alias("active_processing_jobs"))
+    t = rows(tasks, not_like(task_name_col, pattern), "total_tasks")
+    e = rows(emails, F.col(email_ts_col) > since, "recent_emails_24h")
+    j = rows(jobs, F.col(job_status_col) == F.lit(pending), "active_processing_jobs")
     return t.crossJoin(e).crossJoin(j)
 
 

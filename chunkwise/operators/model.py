@@ -1,9 +1,8 @@
 """Forest training, evaluation and scoring with Spark ML.
 
-The fitted feature processor (min/max per numeric column, categories per
-categorical column) becomes an ``SQLTransformer`` stage, so processor and
-forest are one ``PipelineModel``: saved and loaded together, broadcast to
-executors by Spark, and applied as codegen'd projections before the trees.
+The scaled numerics are an ``SQLTransformer`` stage, the categories Spark ML's
+indexer and one-hot encoder, so features and forest are one ``PipelineModel``:
+saved and loaded together and broadcast to executors by Spark.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +21,11 @@ from chunkwise.functions import threshold_label
 from chunkwise.operators.features import Processor
 from chunkwise.operators.metrics import roc_auc
 from chunkwise.operators.split import stratified_folds, stratified_split
+from chunkwise.session import scratch_path
 
 
-def _sql_literal(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def processor_sql(proc: Processor, one_hot: bool = True) -> str:
-    """The processor as one SELECT over ``__THIS__`` (scaled numerics, and
-    with ``one_hot`` the dense category columns)."""
+def processor_sql(proc: Processor) -> str:
+    """The scaled numerics of the processor as one SELECT over ``__THIS__``."""
     exprs = []
     for c in proc.num_vars:
         lo, hi = proc.mins.get(c), proc.maxs.get(c)
@@ -40,45 +35,30 @@ def processor_sql(proc: Processor, one_hot: bool = True) -> str:
         rng = (hi - lo) or 1.0
         exprs.append(f"(CAST(`{c}` AS DOUBLE) - CAST({lo!r} AS DOUBLE)) / "
                      f"CAST({rng!r} AS DOUBLE) AS `num_vars__{c}`")
-    for c in proc.cat_vars if one_hot else ():
-        for v in proc.categories[c]:
-            exprs.append(f"CASE WHEN CAST(`{c}` AS STRING) = {_sql_literal(v)} THEN 1.0D "
-                         f"ELSE 0.0D END AS `cat_vars__{c}_{v}`")
-    if not exprs:
-        return "SELECT * FROM __THIS__"
-    return "SELECT *, " + ", ".join(exprs) + " FROM __THIS__"
-
-
-def build_pipeline(proc: Processor, params: ModelParams, label: str,
-                   encoder: str = "dense") -> Pipeline:
-    """Processor + forest.  ``encoder="dense"``: one 0/1 column per category
-    (bounded category lists); ``encoder="sparse"``: ``StringIndexer``
-    (alphabetical, unseen/null kept in an extra bucket) + ``OneHotEncoder``
-    (``dropLast`` drops that bucket, so unseen/null -> all zeros) — sparse
-    vectors, for high-cardinality categories.  Both give the same feature
-    vectors in the same order; with ``sparse`` the encoder's metadata marks
-    the one-hot columns as binary categorical features for the forest."""
-    if encoder == "sparse":
-        from pyspark.ml.feature import OneHotEncoder, StringIndexer
-        cats = list(proc.cat_vars)
-        idx = [f"_idx_{c}" for c in cats]
-        vec = [f"_vec_{c}" for c in cats]
-        stages = [SQLTransformer(statement=processor_sql(proc, one_hot=False))]
-        if cats:
-            stages += [StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep",
-                                     stringOrderType="alphabetAsc"),
-                       # the indexer's unknown bucket is the last category; dropLast
-                       # removes exactly it (no second "keep" bucket in the encoder)
-                       OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True)]
-        features = [f"num_vars__{c}" for c in proc.num_vars] + vec
-    elif encoder == "dense":
-        stages = [SQLTransformer(statement=processor_sql(proc))]
-        features = proc.feature_names()
-    else:
-        raise ValueError(f"unknown encoder {encoder!r}")
+    return "SELECT *" + "".join(f", {e}" for e in exprs) + " FROM __THIS__"
+
+
+def fit_encoder(proc: Processor, scope: DataFrame) -> PipelineModel:
+    """Scaler and category encoder, fitted once on ``scope``: ``StringIndexer``
+    (alphabetical, unseen and null in a bucket of their own, the last) and
+    ``OneHotEncoder`` whose ``dropLast`` drops that bucket, so they become all zeros.
+    Sparse vectors, for any number of categories."""
+    stages, cats = [SQLTransformer(statement=processor_sql(proc))], list(proc.cat_vars)
+    features = [f"num_vars__{c}" for c in proc.num_vars]
+    if cats:
+        index, vectors = [f"_idx_{c}" for c in cats], [f"_vec_{c}" for c in cats]
+        stages += [StringIndexer(inputCols=cats, outputCols=index, handleInvalid="keep",
+                                 stringOrderType="alphabetAsc"),
+                   OneHotEncoder(inputCols=index, outputCols=vectors, dropLast=True)]
+        features += vectors
+    stages.append(VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"))
+    return Pipeline(stages=stages).fit(scope)
+
+
+def build_pipeline(encoder: PipelineModel, params: ModelParams, label: str) -> Pipeline:
+    """The fitted encoder's stages and a forest: one model to save, load and broadcast."""
     return Pipeline(stages=[
-        *stages,
-        VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
+        *encoder.stages,
         RandomForestClassifier(featuresCol="features", labelCol=label,
                                numTrees=params.n_estimators, maxDepth=params.max_depth,
                                maxBins=params.max_bins, seed=params.seed,
@@ -92,6 +72,7 @@ class TrainResult:
     model: PipelineModel
     processor: Processor
     fold_metrics: list[dict] = field(default_factory=list)
+    split: DataFrame | None = None      # the training rows with their ``split``
 
     @property
     def mean_auc_seen(self) -> float | None:
@@ -104,42 +85,30 @@ class TrainResult:
         return sum(v) / len(v) if v else None
 
 
-DENSE_MAX_CATEGORIES = 1000   # above this many categories in total, encode sparsely
-
-
-def choose_encoder(df: DataFrame, cat_vars, limit: int = DENSE_MAX_CATEGORIES) -> str:
-    """``dense`` for small category sets (one CASE column per category),
-    ``sparse`` otherwise; one approximate-distinct pass, bounded memory."""
-    if not cat_vars:
-        return "dense"
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cat_vars]).first()
-    return "dense" if sum(row[c] or 0 for c in cat_vars) <= limit else "sparse"
-
-
 def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = ModelParams(),
-                 fit_scope: str = "all", refit: str = "last_fold",
-                 encoder: str = "auto") -> TrainResult:
+                 fit_scope: str = "all", refit: str = "last_fold") -> TrainResult:
     """F10 + F11 + F16: stratified hold-out, stratified k-fold; per fold a
     forest is fit, validation and hold-out AUC are computed; the last fold's
     model is returned (``refit="all"`` refits on the whole train split).
-    A fold that fails is reported and skipped.  ``encoder="auto"`` picks the
-    dense processor for small category sets, the sparse one beyond.
+    A fold that fails is reported and skipped.  Scaler and categories are fitted once,
+    on all rows or (``fit_scope="train"``) on the train split.
 
-    Folds are fitted concurrently (Spark runs the jobs of several driver
-    threads at once) and all fold AUCs come from one grouped exact-AUC pass.
+    The cleaned rows are written once to the shared folder.  Folds are fitted
+    concurrently (Spark runs the jobs of several driver threads at once) and
+    all fold AUCs come from one grouped exact-AUC pass.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     label, id_col = spec.target, spec.id_col
-    data = clean.withColumn(label, F.col(label).cast("double"))
-    if encoder == "auto":
-        encoder = choose_encoder(data, list(spec.cat_vars))
+    path = scratch_path(clean.sparkSession, "train-rows")
+    clean.withColumn(label, F.col(label).cast("double")).write.parquet(path)
+    data = clean.sparkSession.read.parquet(path)
     split = stratified_split(data, label, id_col, params.test_size, params.seed)
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")
-    proc = Processor.fit(data if fit_scope == "all" else train, spec,
-                         with_categories=encoder == "dense")
-    est = build_pipeline(proc, params, label, encoder)
+    scope = data if fit_scope == "all" else train
+    proc = Processor.fit(scope, spec)
+    est = build_pipeline(fit_encoder(proc, scope), params, label)
     folds = stratified_folds(train, label, id_col, params.n_splits, params.seed)
 
     def fit_fold(k: int):
@@ -175,7 +144,7 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
         model = fit
     if refit == "all" or model is None:
         model = est.fit(train)
-    return TrainResult(model, proc, metrics)
+    return TrainResult(model, proc, metrics, split)
 
 
 def score_batch(model: PipelineModel, df: DataFrame, threshold: float = THRESHOLD,
@@ -200,6 +169,7 @@ _MODEL_CACHE: dict[str, PipelineModel] = {}
 def save_model(model: PipelineModel, path: str) -> str:
     """processor and forest saved together."""
     model.write().overwrite().save(path)
+    _MODEL_CACHE.pop(path, None)
     return path
 
 

@@ -27,11 +27,11 @@ from chunkwise.operators.features import (clean_training_frame, feature_matrix,
                                           sequential_ids)
 from chunkwise.operators.metrics import roc_auc
 from chunkwise.operators.positions import with_position
-from chunkwise.operators.split import stratified_folds, stratified_split
+from chunkwise.operators.split import hash_split, stratified_folds, stratified_split
 from chunkwise.plans.tables import LEDGER_SQL, ntz, table, task_events
 from chunkwise.session import scratch_path
-from chunkwise.sources import (append_rows, build_events, read_json_records, scalar_one,
-                               scan_project, select_where, write_json_lines)
+from chunkwise.sources import (append_rows, read_json_records, rewrite_table,
+                               scalar_one, scan_project, select_where, write_json_lines)
 
 Binding = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Binding] = {}
@@ -82,7 +82,7 @@ def q_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("append_rows", """
-SELECT o_orderkey, o_orderstatus, md5(CAST(o_orderkey AS VARCHAR)) AS row_id FROM orders
+SELECT o_orderkey, o_orderstatus, md5('{"o_orderkey":"' || o_orderkey || '"}') AS row_id FROM orders
 """)
 def q_append_rows(spark: SparkSession, d: str) -> DataFrame:
     """Two appends (finished orders, then the rest) into one table, re-read."""
@@ -114,29 +114,52 @@ def q_scalar_one(spark: SparkSession, d: str) -> DataFrame:
     return scalar_one(o.join(latest, "o_orderkey", "left_semi"))
 
 
-@register("publish_events", f"""
-WITH c AS ({_orders_chunks_sql()}),
-s AS (SELECT chunk_id, count(*) AS item_count FROM c GROUP BY chunk_id)
-SELECT 'results' AS topic, 'results' AS key,
-       json_object('event', 'task_completed', 'run_id', 'run-0001', 'status', 'success',
-                   'chunk_id', chunk_id, 'item_count', item_count)::VARCHAR AS value,
-       'chunkwise' AS producer, 'run-0001' AS header_run_id,
-       'task_completed' AS event_type, '1' AS attempt,
-       'application/json' AS content_type, 2 AS delivery_mode
+@register("publish_events", """
+WITH c AS (SELECT event_id, round(value * 100.0)::BIGINT AS t,
+                  (row_number() OVER (ORDER BY event_id) - 1) // 500 AS chunk_id FROM events),
+s AS (SELECT chunk_id, count(*) AS n, sum(t)::DOUBLE AS t FROM c GROUP BY chunk_id)
+SELECT 'results' AS topic, 'results' AS key, 'chunkwise' AS producer, 'run-0001' AS header_run_id,
+       'task_completed' AS event_type, '1' AS attempt, 'application/json' AS content_type,
+       2 AS delivery_mode, 'task_completed' AS event, 'completed' AS status, 'run-0001' AS run_id,
+       'task-0001' AS task_id, count(*) AS total_chunks, sum(n)::BIGINT AS item_count,
+       round(avg(t), 2) AS average_processing_time, 'forest' AS model_name,
+       'runs/run-0001/output' AS data_path,
+       (SELECT array_to_string(list(event_id ORDER BY event_id), ',')
+        FROM (SELECT event_id FROM events ORDER BY event_id LIMIT 20)) AS sample,
+       '2024-02-01T00:00:00' AS completed_at
 FROM s
 """)
 def q_publish_events(spark: SparkSession, d: str) -> DataFrame:
-    """One completed-event message per chunk of 500 orders."""
-    c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
-                             500, method="buckets")
-    stats = chunks.chunk_stats(c)
-    ev = build_events(stats, {"status": F.lit("success"), "chunk_id": F.col("chunk_id"),
-                              "item_count": F.col("item_count")},
-                      queue="results", run_id="run-0001")
+    """One completed event for the run, written to the sink and read back."""
+    from chunkwise.sources import completed_event, publish_events
+    c = _event_chunks(spark, d)
+    path = scratch_path(spark, "published")
+    publish_events(completed_event(
+        chunks.combine_chunks(chunks.chunk_stats(c, "duration_ms")),
+        chunks.sample_head(c.select("chunk_id", "item_index", "event_id")), "event_id",
+        run_id="run-0001", task_id="task-0001", model_name="forest",
+        data_path="runs/run-0001/output", completed_at=ntz("2024-02-01 00:00:00"),
+        queue="results"), path)
+    body = T.StructType([T.StructField(n, t) for n, t in (
+        ("event", T.StringType()), ("status", T.StringType()), ("run_id", T.StringType()),
+        ("task_id", T.StringType()), ("total_chunks", T.LongType()), ("item_count", T.LongType()),
+        ("average_processing_time", T.DoubleType()), ("model_name", T.StringType()),
+        ("data", T.StructType([T.StructField("path", T.StringType()),
+                               T.StructField("sample", T.ArrayType(T.StringType()))])),
+        ("completed_at", T.StringType()))])
+    sent = T.StructType([T.StructField(n, T.StringType()) for n in
+                         ("topic", "key", "value", "content_type")]
+                        + [T.StructField("delivery_mode", T.IntegerType()),
+                           T.StructField("headers", T.MapType(T.StringType(), T.StringType()))])
+    ev = spark.read.schema(sent).json(path).withColumn("b", F.from_json("value", body))
     h = F.col("headers")
-    return ev.select("topic", "key", "value", h["producer"].alias("producer"),
+    return ev.select("topic", "key", h["producer"].alias("producer"),
                      h["run_id"].alias("header_run_id"), h["event_type"].alias("event_type"),
-                     h["attempt"].alias("attempt"), "content_type", "delivery_mode")
+                     h["attempt"].alias("attempt"), "content_type", "delivery_mode",
+                     "b.event", "b.status", "b.run_id", "b.task_id", "b.total_chunks",
+                     "b.item_count", "b.average_processing_time", "b.model_name",
+                     F.col("b.data.path").alias("data_path"),
+                     F.array_join("b.data.sample", ",").alias("sample"), "b.completed_at")
 
 
 @register("stream_decode", """
@@ -150,7 +173,9 @@ def q_stream_decode(spark: SparkSession, d: str) -> DataFrame:
     from chunkwise.streaming import batch_sink, decode_body, file_stream, read_sink, \
         run_available_now
     body = T.StructType([T.StructField("k", T.IntegerType())])
-    s = file_stream(spark, f"{d}/events.parq*", EVENTS_SCHEMA)
+    files = scratch_path(spark, "events-files")
+    table(spark, d, "events").repartition(3, "event_id").write.parquet(files)
+    s = file_stream(spark, files, EVENTS_SCHEMA, max_files_per_trigger=1)
     out = decode_body(s, "props", body).select("event_id", F.col("payload.k").alias("k"),
                                                "decoded")
     sink = scratch_path(spark, "decoded")
@@ -216,7 +241,7 @@ def q_apply_defaults(spark: SparkSession, d: str) -> DataFrame:
 
 @register("coerce_types", """
 WITH v AS (SELECT event_id, TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) AS x FROM events)
-SELECT event_id, CASE WHEN x = floor(x) THEN CAST(x AS INTEGER) END AS value_int,
+SELECT event_id, CASE WHEN x = floor(x) THEN CAST(x AS BIGINT) END AS value_int,
        (x = floor(x)) AS is_integral
 FROM v
 """)
@@ -244,10 +269,10 @@ FROM orders
 def q_validate_quarantine(spark: SparkSession, d: str) -> DataFrame:
     checked = validate.with_errors(table(spark, d, "orders").select(
         "o_orderkey", "o_orderstatus"), _order_rules())
-    valid, rejected = validate.split_valid(checked)
-    return (valid.withColumn("outcome", F.lit("valid"))
-            .unionByName(rejected.withColumn("outcome", F.lit("rejected")))
-            .withColumn("errors", F.array_join("errors", "; ")))
+    path = scratch_path(spark, "orders-checked")
+    validate.write_split(checked, path)              # one scan, rules evaluated once
+    return spark.read.parquet(path).select(
+        "o_orderkey", "o_orderstatus", "outcome", F.array_join("errors", "; ").alias("errors"))
 
 
 @register("validate_fail_chunk", f"""
@@ -466,8 +491,7 @@ SELECT c_custkey, 'person_' || CAST(row_number() OVER (ORDER BY c_custkey) AS VA
 FROM customer
 """)
 def q_person_id_seq(spark: SparkSession, d: str) -> DataFrame:
-    pos = with_position(table(spark, d, "customer").select("c_custkey"), ["c_custkey"],
-                        method="buckets")
+    pos = with_position(table(spark, d, "customer").select("c_custkey"), ["c_custkey"])
     return sequential_ids(pos).select("c_custkey", "person_id")
 
 
@@ -539,12 +563,19 @@ def q_feature_matrix(spark: SparkSession, d: str) -> DataFrame:
     return feature_matrix(clean, DOC_SPEC, keep=["doc_id", "quality"])
 
 
+# ceil(n / 5) rows in all, by largest remainder over the strata
 _SPLIT_SQL = """
 SELECT doc_id, quality,
-       CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1
-                 < ceil(count(*) OVER (PARTITION BY quality) * 0.2)
+       CASE WHEN row_number() OVER (PARTITION BY quality
+                                    ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) <= quota
             THEN 'test' ELSE 'train' END AS split
-FROM labels
+FROM labels JOIN (
+  SELECT quality, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, quality)
+                                    <= draws - sum(whole) OVER () THEN 1 ELSE 0 END AS quota
+  FROM (SELECT quality, draws, n * draws // total AS whole, n * draws % total AS rest
+        FROM (SELECT quality, count(*) AS n, sum(count(*)) OVER ()::BIGINT AS total,
+                     ceil(sum(count(*)) OVER () * 0.2)::BIGINT AS draws
+              FROM labels GROUP BY quality))) USING (quality)
 """
 
 
@@ -554,17 +585,16 @@ def q_stratified_split(spark: SparkSession, d: str) -> DataFrame:
     return stratified_split(lab, "quality", "doc_id", 0.2, 42)
 
 
-@register("stratified_split_hash", """
+@register("hash_split", """
 SELECT doc_id, quality,
        CASE WHEN CAST(('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT AS DOUBLE)
                  / CAST(4294967296 AS DOUBLE) < CAST(0.2 AS DOUBLE)
             THEN 'test' ELSE 'train' END AS split
 FROM labels
 """)
-def q_stratified_split_hash(spark: SparkSession, d: str) -> DataFrame:
-    """F8, one-pass large-scale option: seeded hash threshold, no positions."""
-    lab = table(spark, d, "labels").select("doc_id", "quality")
-    return stratified_split(lab, "quality", "doc_id", 0.2, 42, method="hash")
+def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
+    """One-pass split by a seeded hash threshold, not stratified."""
+    return hash_split(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", 0.2, 42)
 
 
 @register("stratified_folds", """
@@ -583,14 +613,12 @@ SELECT c.* FROM ({_CLEAN_SQL}) c
 JOIN ({_SPLIT_SQL}) s ON c.doc_id = s.doc_id WHERE s.split = 'train'
 """))
 def q_fit_scope_train(spark: SparkSession, d: str) -> DataFrame:
-    """F16 with ``fit_scope="train"``: scaler statistics from the train split."""
+    """F16 with ``fit_scope="train"``: scaler and categories from the train split."""
     clean = clean_training_frame(_docs_labelled(spark, d), DOC_SPEC, fill_col=None)
     split = stratified_split(clean, "quality", "doc_id", 0.2, 42)
     train = split.filter(F.col("split") == "train").drop("split")
     stats = minmax_stats(train, list(DOC_SPEC.num_vars))
-    cats = {"lang": list(_LANGS), "source": list(_SOURCES)}
-    return feature_matrix(train, DOC_SPEC, stats=stats, categories=cats,
-                          keep=["doc_id", "quality"])
+    return feature_matrix(train, DOC_SPEC, stats=stats, keep=["doc_id", "quality"])
 
 
 @register("roc_auc", """
@@ -627,7 +655,7 @@ FROM orders
 """)
 def q_assign_chunks(spark: SparkSession, d: str) -> DataFrame:
     c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
-                             500, method="buckets")
+                             500)
     return c.select("o_orderkey", "chunk_id", "item_index")
 
 
@@ -654,11 +682,11 @@ def q_prechunked_explode(spark: SparkSession, d: str) -> DataFrame:
     return chunks.prechunked_explode(pre, "chunks", keep=["vec_id"])
 
 
-def _event_chunks(spark: SparkSession, d: str, method: str = "buckets") -> DataFrame:
+def _event_chunks(spark: SparkSession, d: str) -> DataFrame:
     # project before chunking: the positional checkpoint stops column pruning
     ev = table(spark, d, "events").select(
         "event_id", F.round(F.col("value") * F.lit(100.0)).cast("long").alias("duration_ms"))
-    return chunks.assign_chunks(ev, ["event_id"], 500, method=method)
+    return chunks.assign_chunks(ev, ["event_id"], 500)
 
 
 _EVENT_CHUNKS_SQL = """
@@ -702,8 +730,20 @@ def q_concat_ordered(spark: SparkSession, d: str) -> DataFrame:
                              ["o_orderkey"], 500)
     cols = ["o_orderkey", "o_orderstatus", "chunk_id", "item_index"]
     done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
-    return chunks.concat_ordered(c.filter(done).select(*cols), c.filter(~done).select(*cols),
-                                 size=500)
+    return chunks.concat_ordered(c.filter(done).select(*cols), c.filter(~done).select(*cols))
+
+
+@register("concat_uneven", """
+SELECT conv_id AS chunk_id, turn AS item_index, role,
+       row_number() OVER (ORDER BY conv_id, turn, role, text) - 1 AS seq
+FROM conversations
+""")
+def q_concat_uneven(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of different lengths (a conversation each), from two outputs."""
+    c = table(spark, d, "conversations").select(F.col("conv_id").alias("chunk_id"),
+                                                F.col("turn").alias("item_index"), "role")
+    user = F.coalesce(F.col("role") == "user", F.lit(False))
+    return chunks.concat_ordered(c.filter(user), c.filter(~user))
 
 
 @register("sample_head", """
@@ -713,7 +753,7 @@ FROM orders ORDER BY o_orderkey LIMIT 20
 """)
 def q_sample_head(spark: SparkSession, d: str) -> DataFrame:
     c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
-                             500, method="buckets")
+                             500)
     return chunks.sample_head(c.select("o_orderkey", "chunk_id", "item_index"), 20)
 
 
@@ -732,7 +772,7 @@ SELECT 'bulk_data_processing' AS job_name,
 FROM j, h
 """)
 def q_job_log(spark: SparkSession, d: str) -> DataFrame:
-    c = _event_chunks(spark, d, method="checkpoint")   # two consumers: stats and sample
+    c = _event_chunks(spark, d)
     stats = chunks.chunk_stats(c, "duration_ms")
     head = chunks.sample_head(c.select("chunk_id", "item_index", "event_id"), 20)
     row = chunks.job_log(stats, head, "bulk_data_processing", "event_id",
@@ -749,7 +789,7 @@ FROM p WHERE item_index % 10 = 0 OR current = total
 """)
 def q_progress_points(spark: SparkSession, d: str) -> DataFrame:
     c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
-                             500, method="buckets")
+                             500)
     return chunks.progress_points(c, 500, throttled=True)
 
 
@@ -760,7 +800,7 @@ FROM c
 """)
 def q_progress_every_item(spark: SparkSession, d: str) -> DataFrame:
     c = chunks.assign_chunks(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"],
-                             500, method="buckets")
+                             500)
     return chunks.progress_points(c, 500, throttled=False)
 
 
@@ -800,8 +840,7 @@ def q_chain_stages(spark: SparkSession, d: str) -> DataFrame:
     return chunks.chain(
         table(spark, d, "part"),
         upper_strings,
-        lambda df: chunks.assign_chunks(df, ["p_partkey"], config.TASK_CHUNK_SIZE,
-                                        method="buckets"),
+        lambda df: chunks.assign_chunks(df, ["p_partkey"], config.TASK_CHUNK_SIZE),
         lambda df: chunks.chunk_stats(df, "p_size"),
     )
 
@@ -815,15 +854,15 @@ def q_task_ledger(spark: SparkSession, d: str) -> DataFrame:
 @register("task_ledger_upsert", LEDGER_SQL)
 def q_task_ledger_upsert(spark: SparkSession, d: str) -> DataFrame:
     """L1 upsert into a stored ledger: the events up to mid-month are folded
-    into version 0, the later events merged into version 1; the stored
+    into a table, the later events merged into the next one; the stored
     ledger must equal the one-shot fold."""
-    from chunkwise.sources import VersionedTable
     ev = task_events(table(spark, d, "events"))
     early = F.coalesce(F.col("updated_at") < ntz("2024-01-15 00:00:00"), F.lit(False))
-    t = VersionedTable(spark, scratch_path(spark, "task-ledger"))
-    t.commit(ledger.fold_task_ledger(ev.filter(early)))
-    t.apply(lambda stored: ledger.merge_task_ledger(stored, ev.filter(~early)))
-    return ledger.public_ledger(t.read())
+    src = scratch_path(spark, "task-ledger")
+    ledger.fold_task_ledger(ev.filter(early)).write.parquet(src)
+    return ledger.public_ledger(rewrite_table(
+        spark, src, scratch_path(spark, "task-ledger"),
+        lambda stored: ledger.merge_task_ledger(stored, ev.filter(~early))))
 
 
 @register("email_lifecycle", """
@@ -847,7 +886,7 @@ def q_email_lifecycle(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("bulk_dispatch", """
-SELECT c_custkey, md5(CAST(c_custkey AS VARCHAR)) AS task_id, 'dispatched' AS status,
+SELECT c_custkey, md5('{"c_custkey":"' || c_custkey || '"}') AS task_id, 'dispatched' AS status,
        count(*) OVER () AS total_emails
 FROM customer
 """)
@@ -864,13 +903,11 @@ SELECT o_orderkey,
 FROM orders
 """)
 def q_update_where(spark: SparkSession, d: str) -> DataFrame:
-    """UPDATE on a stored plain-Parquet table: a new version is committed."""
-    from chunkwise.sources import VersionedTable
-    t = VersionedTable(spark, scratch_path(spark, "orders-table"))
-    t.commit(table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate"))
+    """UPDATE on plain Parquet: one path is read, the changed table written to another."""
     pred = (F.col("o_orderstatus") == "O") & (F.col("o_orderdate") < ntz("1997-01-01 00:00:00"))
-    t.apply(lambda df: ledger.update_where(df, pred, {"o_orderstatus": F.lit("F")}))
-    return t.read()
+    return rewrite_table(spark, f"{d}/orders.parquet", scratch_path(spark, "orders"), lambda df: (
+        ledger.update_where(df.select("o_orderkey", "o_orderstatus", "o_orderdate"), pred,
+                            {"o_orderstatus": F.lit("F")})))
 
 
 @register("delete_where", """
@@ -878,12 +915,10 @@ SELECT o_orderkey, o_orderpriority FROM orders
 WHERE NOT coalesce(o_orderpriority = '5-LOW', false)
 """)
 def q_delete_where(spark: SparkSession, d: str) -> DataFrame:
-    """DELETE on a stored plain-Parquet table: a new version is committed."""
-    from chunkwise.sources import VersionedTable
-    t = VersionedTable(spark, scratch_path(spark, "orders-table"))
-    t.commit(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"))
-    t.apply(lambda df: ledger.delete_where(df, F.col("o_orderpriority") == "5-LOW"))
-    return t.read()
+    """DELETE on plain Parquet: one path is read, the rest written to another."""
+    return rewrite_table(spark, f"{d}/orders.parquet", scratch_path(spark, "orders"), lambda df: (
+        ledger.delete_where(df.select("o_orderkey", "o_orderpriority"),
+                            F.col("o_orderpriority") == "5-LOW", ["o_orderpriority"])))
 
 
 @register("retention_sweep", """
@@ -917,13 +952,10 @@ SELECT event_id, ts FROM events
 WHERE NOT coalesce(ts < TIMESTAMP '2024-02-15' - INTERVAL 30 DAY, false)
 """)
 def q_retention_survivors(spark: SparkSession, d: str) -> DataFrame:
-    """The sweep applied to a stored table: survivors become the new version."""
-    from chunkwise.sources import VersionedTable
-    t = VersionedTable(spark, scratch_path(spark, "events-table"))
-    t.commit(table(spark, d, "events").select("event_id", "ts"))
+    """The sweep applied to a stored table: survivors are written to a new path."""
     cutoff = ledger.retention_cutoff(ntz("2024-02-15 00:00:00"))
-    t.apply(lambda df: ledger.retained(df, "ts", cutoff))
-    return t.read()
+    return rewrite_table(spark, f"{d}/events.parquet", scratch_path(spark, "events"), lambda df: (
+        ledger.retained(df.select("event_id", "ts"), "ts", cutoff)))
 
 
 @register("health_stats", """
@@ -943,7 +975,7 @@ def q_health_stats(spark: SparkSession, d: str) -> DataFrame:
 @register("task_status_lookup", f"""
 WITH led AS ({LEDGER_SQL}),
 j AS (SELECT CAST(c.c_custkey AS VARCHAR) AS task_id, coalesce(led.status, 'PENDING') AS state,
-             led.result, led.error
+             led.result, led.error, led.traceback
       FROM customer c LEFT JOIN led ON CAST(c.c_custkey AS VARCHAR) = led.task_id)
 SELECT task_id, state, state IN ('SUCCESS', 'FAILURE', 'REVOKED') AS ready,
        CASE state WHEN 'PENDING' THEN 'Task is waiting to be processed or does not exist'
@@ -956,6 +988,7 @@ SELECT task_id, state, state IN ('SUCCESS', 'FAILURE', 'REVOKED') AS ready,
        CASE WHEN state = 'PENDING' THEN 1 END AS total,
        CASE WHEN state = 'SUCCESS' THEN result END AS result,
        CASE WHEN state IN ('FAILURE', 'RETRY') THEN error END AS error,
+       CASE WHEN state = 'FAILURE' THEN traceback END AS traceback,
        CASE WHEN state = 'SUCCESS' THEN true WHEN state = 'FAILURE' THEN false END AS successful,
        CASE WHEN state IN ('RETRY', 'REVOKED') THEN 0 END AS percentage
 FROM j
@@ -966,6 +999,44 @@ def q_task_status_lookup(spark: SparkSession, d: str) -> DataFrame:
     return ledger.task_status_lookup(req, led)
 
 
+@register("task_status_progress", f"""
+WITH led AS ({LEDGER_SQL}),
+p AS (SELECT CAST(user_id AS VARCHAR) AS task_id, arg_max(event_id % 500 + 1, event_id) AS current,
+             arg_max(event_id // 500, event_id) AS chunk_id
+      FROM events WHERE event_type IN ('view', 'signup') GROUP BY user_id),
+j AS (SELECT CAST(c.c_custkey AS VARCHAR) AS task_id,
+             CASE WHEN p.task_id IS NOT NULL
+                       AND coalesce(led.status NOT IN ('SUCCESS', 'FAILURE', 'RETRY', 'REVOKED'), true)
+                  THEN 'PROGRESS' ELSE coalesce(led.status, 'PENDING') END AS state,
+             p.current, p.chunk_id
+      FROM customer c LEFT JOIN led ON CAST(c.c_custkey AS VARCHAR) = led.task_id
+           LEFT JOIN p ON CAST(c.c_custkey AS VARCHAR) = p.task_id)
+SELECT task_id, state,
+       CASE state WHEN 'PENDING' THEN 0 WHEN 'PROGRESS' THEN current END::INTEGER AS current,
+       CASE state WHEN 'PENDING' THEN 1 WHEN 'PROGRESS' THEN 500 END::INTEGER AS total,
+       CASE WHEN state = 'PROGRESS' THEN chunk_id END AS chunk_id,
+       CASE state WHEN 'PENDING' THEN 'Task is waiting to be processed or does not exist'
+                  WHEN 'PROGRESS' THEN 'Task is currently being processed'
+                  WHEN 'SUCCESS' THEN 'Task completed successfully'
+                  WHEN 'FAILURE' THEN 'Task failed'
+                  WHEN 'RETRY' THEN 'Task is being retried'
+                  WHEN 'REVOKED' THEN 'Task was revoked' END AS message
+FROM j
+""")
+def q_task_status_progress(spark: SparkSession, d: str) -> DataFrame:
+    """Status lookup with progress points: the latest point of an unfinished task."""
+    ev = table(spark, d, "events")
+    led = ledger.fold_task_ledger(task_events(ev))
+    points = ev.filter(F.col("event_type").isin("view", "signup")).select(
+        F.col("user_id").cast("string").alias("task_id"), "event_id",
+        (F.col("event_id") % 500 + 1).cast("int").alias("current"), F.lit(500).alias("total"),
+        F.floor(F.col("event_id") / 500).cast("long").alias("chunk_id"))
+    req = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("task_id"))
+    return ledger.task_status_lookup(
+        req, led, progress=ledger.latest_progress(points, order=F.col("event_id"))).select(
+        "task_id", "state", "current", "total", "chunk_id", "message")
+
+
 @register("unique_key_violations", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
@@ -995,8 +1066,8 @@ def q_chunk_job_output(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part").select("p_partkey", "p_name", "p_size")
     res = run_chunk_job(part, ["p_partkey"], scratch_path(spark, "chunk-job"), "run-0001",
                         size=config.TASK_CHUNK_SIZE, duration="p_size",
-                        completed_at=ntz("2024-01-01 00:00:00"), method="buckets")
-    return spark.read.parquet(res["paths"]["output"]).select(
+                        completed_at=ntz("2024-01-01 00:00:00"))
+    return spark.read.parquet(f"{res['paths']['output']}/run_id=run-0001").select(
         "p_partkey", "p_name", "p_size", "chunk_id", "item_index")
 
 

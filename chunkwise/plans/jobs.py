@@ -2,9 +2,10 @@
 
 * ``chunk_job``      E2 summary: validate -> chunk -> per-chunk stats -> job roll-up
 * ``run_chunk_job``  E2 written out: chunk outputs, chunk stats, job-log row, events
-* ``batch_predict``  E1: validate -> score -> prediction rows (+ rejected)
+* ``batch_predict``  E1: validate -> score -> prediction rows (+ rejected);
+  ``predict_run`` writes them under a run id
 * ``train``          E3: clean -> fit processor -> split -> folds -> forest
-* ``periodic``       E4: retention sweep (new table versions, counts) + health counts
+* ``periodic``       E4: retention sweep (survivors to new paths, counts) + health counts
 """
 
 from __future__ import annotations
@@ -38,55 +39,79 @@ def chunk_job(spark: SparkSession, orders_path: str, size: int = API_CHUNK_SIZE,
         valid, _rejected = validate.split_valid(validate.with_errors(chunked, rules), mode)
         return chunks.combine_chunks(chunks.chunk_stats(valid, "duration"))
     valid, _rejected = validate.split_valid(validate.with_errors(o, rules), mode)
-    chunked = chunks.assign_chunks(valid.select("o_orderkey", "duration"), ["o_orderkey"], size,
-                                   method="buckets")
+    chunked = chunks.assign_chunks(valid.select("o_orderkey", "duration"), ["o_orderkey"], size)
     return chunks.combine_chunks(chunks.chunk_stats(chunked, "duration"))
 
 
 def run_chunk_job(df: DataFrame, order_by: list[str], out_root: str, run_id: str,
                   job_name: str = "bulk_data_processing", size: int = API_CHUNK_SIZE,
                   duration: str | None = None, map_step=None, sample_col: str | None = None,
-                  completed_at: Column | None = None, method: str = "checkpoint") -> dict:
+                  completed_at: Column | None = None, model_name: str = "none") -> dict:
     """E2 written out: chunk the input, apply ``map_step`` (default: upper-case
-    strings), write the chunk outputs, the per-chunk stats, one job-log row
-    (appended to the jobs table) and one completed event per chunk.  Returns
-    the paths and the combined summary (one small row)."""
+    strings), write the chunk outputs, the per-chunk stats, one job-log row and the
+    completed events (one a chunk, one for the run).  Everything lies under the run's id
+    (``<root>/<kind>/run_id=<id>``), so a repeated run replaces its own rows and runs never
+    mix.  Returns the paths and the combined summary (one small row)."""
     from chunkwise.functions import upper_strings
-    from chunkwise.sources import append_rows, build_events, publish_events
+    from chunkwise.sources import build_events, completed_event, publish_events, row_id
     step = map_step or upper_strings
-    chunked = chunks.assign_chunks(df, order_by, size, method=method)
-    out = step(chunked)
-    paths = {k: f"{out_root.rstrip('/')}/{k}" for k in ("output", "chunks", "jobs", "events")}
-    out.write.mode("overwrite").parquet(paths["output"])
-    written = out.sparkSession.read.parquet(paths["output"])     # cut lineage: reuse the write
+    out = step(chunks.assign_chunks(df, order_by, size))
+    spark, root = out.sparkSession, out_root.rstrip("/")
+    paths = {k: f"{root}/{k}" for k in ("output", "chunks", "jobs", "events")}
+    own = {k: f"{p}/run_id={run_id}" for k, p in paths.items()}
+    out.write.mode("overwrite").parquet(own["output"])
+    written = spark.read.parquet(own["output"])     # cut lineage: reuse the write
     stats = chunks.chunk_stats(written, duration)
-    stats.write.mode("overwrite").parquet(paths["chunks"])
-    stats = written.sparkSession.read.parquet(paths["chunks"])
-    sample = chunks.sample_head(written.select("chunk_id", "item_index",
-                                               sample_col or order_by[0]))
-    job = chunks.job_log(stats, sample, job_name, sample_col or order_by[0], completed_at)
-    append_rows(job, paths["jobs"], ["job_name", "input_data"])
-    events = build_events(stats, {"status": F.lit("success"), "chunk_id": F.col("chunk_id"),
-                                  "item_count": F.col("item_count")},
-                          queue="results", run_id=run_id)
-    publish_events(events, paths["events"])
+    stats.write.mode("overwrite").parquet(own["chunks"])
+    stats = spark.read.parquet(own["chunks"])
+    column = sample_col or order_by[0]
+    sample = chunks.sample_head(written.select("chunk_id", "item_index", column))
+    done = completed_at if completed_at is not None else F.current_timestamp()
+    job = chunks.job_log(stats, sample, job_name, column, done)
+    keyed = job.withColumn("_run", F.lit(run_id)).withColumn("row_id", row_id(["_run"])).drop("_run")
+    keyed.withColumn("created_at", done).write.mode("overwrite").parquet(own["jobs"])
+    each = build_events(stats, {"status": F.lit("success"), "chunk_id": F.col("chunk_id"),
+                                "item_count": F.col("item_count")}, queue="chunks", run_id=run_id)
+    whole = completed_event(chunks.combine_chunks(stats), sample, column, run_id=run_id,
+                            task_id=f"{job_name}:{run_id}", model_name=model_name,
+                            data_path=own["output"], completed_at=done, queue="results")
+    publish_events(each.unionByName(whole), own["events"], mode="overwrite")
     summary = chunks.combine_chunks(stats).first().asDict()
     return {"paths": paths, **summary}
 
 
+def predict_run(model, raw: DataFrame, out_root: str, run_id: str, now: Column | None = None,
+                map_col: str | None = None) -> dict[str, str]:
+    """E1 written out: raw person records are validated and scored; persons, prediction
+    rows and rejects go to ``<root>/<kind>/run_id=<id>``.  A repeated run replaces its own
+    rows.  The validated persons are written once and scored from there."""
+    root = out_root.rstrip("/")
+    paths = {k: f"{root}/{k}" for k in ("checked", "predictions")}
+    own = {k: f"{p}/run_id={run_id}" for k, p in paths.items()}
+    split = validate.write_split(validate.validate_persons(raw, now, map_col=map_col), own["checked"])
+    spark = raw.sparkSession
+    persons = spark.read.parquet(own["checked"]).filter("outcome = 'valid'").drop(
+        validate.ERRORS, "outcome")
+    validate.prediction_struct(score_batch(model, persons), now).write.mode("overwrite").parquet(
+        own["predictions"])
+    return {"persons": split["valid"], "rejected": split["rejected"],
+            "checked": own["checked"], "predictions": own["predictions"]}
+
+
 def periodic(tables: dict, as_of: Column, out_root: str, health: dict | None = None) -> dict:
-    """The retention sweep writes each table's survivors as a new
-    version and reports deleted/kept counts; optionally the health counts.
-    ``tables`` maps a name to ``(df, ts_col)``; ``health`` holds the
-    ``ledger.health_stats`` arguments except ``as_of``."""
+    """The retention sweep writes each table's survivors to ``<root>/<name>`` (a new
+    path) and reports deleted counts; optionally the health counts.  ``tables`` maps a name
+    to ``(path, ts_col)``; ``health`` holds the ``ledger.health_stats`` arguments except
+    ``as_of``.  A table's data is read once; the counts are row counts of what it held and
+    of what was written."""
     from chunkwise.operators import ledger
-    from chunkwise.sources import VersionedTable
-    cutoff = ledger.retention_cutoff(as_of)
-    counts = ledger.retention_counts({k: (v[0], v[1], cutoff) for k, v in tables.items()})
-    result = {"cleaned_up": {r.table_name: r.deleted for r in counts.collect()}}
-    for name, (df, ts_col) in tables.items():
-        VersionedTable(df.sparkSession, f"{out_root.rstrip('/')}/{name}").commit(
-            ledger.retained(df, ts_col, cutoff))
+    from chunkwise.sources import rewrite_table
+    cutoff, result = ledger.retention_cutoff(as_of), {"cleaned_up": {}}
+    spark = SparkSession.active()
+    for name, (path, ts_col) in tables.items():
+        kept = rewrite_table(spark, path, f"{out_root.rstrip('/')}/{name}",
+                             lambda df, c=ts_col: ledger.retained(df, c, cutoff))
+        result["cleaned_up"][name] = spark.read.parquet(path).count() - kept.count()
     if health:
         result["stats"] = ledger.health_stats(as_of=as_of, **health).first().asDict()
     return result

@@ -1,8 +1,8 @@
-"""Bindings for the model (F10, F12, F14, F15) and streaming (T1-T4) operators.
+"""Bindings for the model (F10, F12, F14, F15, E1) and streaming (T1-T4) operators.
 
-Model bindings have no SQL twin (a forest is not SQL); the streaming ledger,
-quarantine and de-duplication bindings are checked against the SQL of the
-batch result they must equal.
+A forest's probabilities are not SQL, but what must hold for them is: the model
+bindings return checks of them beside the columns that SQL can give.  The streaming
+bindings are checked against the SQL of the batch result they must equal.
 """
 
 from __future__ import annotations
@@ -13,18 +13,19 @@ from pyspark.sql import functions as F
 from chunkwise.config import FeatureSpec, ModelParams
 from chunkwise.operators import ledger, validate
 from chunkwise.operators.features import clean_training_frame
-from chunkwise.operators.model import (TrainResult, clear_model_cache, load_model, save_model,
-                                       score_batch, score_one, train_forest)
-from chunkwise.plans.catalog import EVENTS_SCHEMA, register
-from chunkwise.plans.tables import LEDGER_SQL, table, task_events
+from chunkwise.operators.model import (TrainResult, load_model, save_model, score_batch,
+                                       score_one, train_forest)
+from chunkwise.plans.catalog import _SPLIT_SQL, EVENTS_SCHEMA, register
+from chunkwise.plans.tables import LEDGER_SQL, ntz, table, task_events
 from chunkwise.session import scratch_path
-from chunkwise.sources.ledger_store import LedgerStore
-from chunkwise.streaming import (batch_sink, dedupe_stream, file_stream, ledger_handler,
-                                 quarantine_handler, read_sink, run_available_now)
+from chunkwise.streaming import (dedupe_handler, file_stream, ledger_handler, quarantine_handler,
+                                 read_ledger, read_sink, run_available_now)
 
 MODEL_SPEC = FeatureSpec(num_vars=("n_chars",), cat_vars=("lang", "source"),
                          target="quality", id_col="doc_id")
-_TRAINED: dict[str, TrainResult] = {}
+#: The forest of the bindings that are about scoring, not about training.
+SMALL = ModelParams(n_estimators=10, max_depth=5, n_splits=2)
+LANGS = ("de", "en", "es", "fr")
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -34,12 +35,9 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def trained(spark: SparkSession, d: str, params: ModelParams = ModelParams()) -> TrainResult:
-    """E3 on documents with quality labels; trained once per process and data dir."""
-    key = f"{d}|{params}"
-    if key not in _TRAINED:
-        clean = clean_training_frame(_labelled(spark, d), MODEL_SPEC, fill_col=None)
-        _TRAINED[key] = train_forest(clean, MODEL_SPEC, params)
-    return _TRAINED[key]
+    """E3 on documents with quality labels."""
+    clean = clean_training_frame(_labelled(spark, d), MODEL_SPEC, fill_col=None)
+    return train_forest(clean, MODEL_SPEC, params)
 
 
 def _scoring_frame(spark: SparkSession, d: str) -> DataFrame:
@@ -48,94 +46,161 @@ def _scoring_frame(spark: SparkSession, d: str) -> DataFrame:
         F.lower("lang").alias("lang"), F.lower("source").alias("source"))
 
 
-@register("train_forest")
+def _checks(scored: DataFrame, label: str = "survived") -> list:
+    """Probabilities lie in [0, 1]; the label follows from them."""
+    p = F.col("probability")
+    return [(F.col(label) == (p > 0.5).cast("int")).alias("label_ok"),
+            ((p >= 0) & (p <= 1)).alias("prob_ok")]
+
+
+@register("train_forest", f"""
+SELECT doc_id, quality, split, true AS label_ok, true AS prob_ok, 5 AS folds_ok
+FROM ({_SPLIT_SQL}) s
+""")
 def q_train_forest(spark: SparkSession, d: str) -> DataFrame:
-    """5-fold forest; hold-out predictions of the returned model
-    together with the mean validation and hold-out AUC of the folds."""
-    from chunkwise.operators.split import stratified_split
+    """5-fold forest of 100 trees; every labelled row with its split, scored by
+    the returned model, and the number of folds whose AUCs are between 0 and 1."""
     res = trained(spark, d)
-    clean = clean_training_frame(_labelled(spark, d), MODEL_SPEC, fill_col=None)
-    test = stratified_split(clean, "quality", "doc_id").filter(F.col("split") == "test")
-    pred = score_batch(res.model, test.drop("split"), label_col="predicted")
-    return pred.select("doc_id", "quality", "probability", "predicted",
-                       F.lit(res.mean_auc_seen).cast("double").alias("mean_auc_seen"),
-                       F.lit(res.mean_auc_unseen).cast("double").alias("mean_auc_unseen"))
+    ok = sum(0 <= m.get("val_auc", -1) <= 1 and 0 <= m.get("test_auc", -1) <= 1
+             for m in res.fold_metrics)
+    pred = score_batch(res.model, res.split, label_col="predicted")
+    return pred.select("doc_id", F.col("quality").cast("int").alias("quality"), "split",
+                       *_checks(pred, "predicted"), F.lit(ok).alias("folds_ok"))
 
 
-@register("score_batch")
+@register("score_batch", "SELECT doc_id, true AS label_ok, true AS prob_ok FROM documents")
 def q_score_batch(spark: SparkSession, d: str) -> DataFrame:
     """every document scored by the trained processor + forest."""
-    out = score_batch(trained(spark, d).model, _scoring_frame(spark, d))
-    return out.select("doc_id", "probability", "survived")
+    out = score_batch(trained(spark, d, SMALL).model, _scoring_frame(spark, d))
+    return out.select("doc_id", *_checks(out))
 
 
-@register("score_single")
+@register("score_single", """
+SELECT min(doc_id) AS doc_id, true AS label_ok, true AS prob_ok FROM documents
+""")
 def q_score_single(spark: SparkSession, d: str) -> DataFrame:
     """one record through the same path (the first document by id)."""
-    one = _scoring_frame(spark, d).orderBy("doc_id")
-    return score_one(trained(spark, d).model, one).select("doc_id", "probability", "survived")
+    one = score_one(trained(spark, d, SMALL).model, _scoring_frame(spark, d).orderBy("doc_id"))
+    return one.select("doc_id", *_checks(one))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", "SELECT doc_id, true AS same_as_unsaved FROM documents")
 def q_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """save processor + forest together, load them back, score."""
-    path = save_model(trained(spark, d).model, scratch_path(spark, "model"))
-    clear_model_cache()
-    model = load_model(path)
-    return score_batch(model, _scoring_frame(spark, d)).select("doc_id", "probability",
-                                                              "survived")
+    """processor + forest saved, loaded and scored with, beside the unsaved model."""
+    model, docs = trained(spark, d, SMALL).model, _scoring_frame(spark, d)
+    loaded = load_model(save_model(model, scratch_path(spark, "model")), use_cache=False)
+    return _same(score_batch(loaded, docs), score_batch(model, docs), "same_as_unsaved")
 
 
-@register("stream_score")
+def _same(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
+    """Do two scorings of the documents agree, document by document?"""
+    b = b.select(F.col("doc_id").alias("_id"), F.col("probability").alias("_p"),
+                 F.col("survived").alias("_y"))
+    return a.join(b, F.col("doc_id") == F.col("_id"), "full").select(
+        F.coalesce("doc_id", "_id").alias("doc_id"),
+        (F.col("probability").eqNullSafe(F.col("_p")) & F.col("survived").eqNullSafe(F.col("_y")))
+        .alias(name))
+
+
+@register("stream_score", """
+SELECT doc_id, true AS same_as_batch FROM documents
+WHERE n_chars IS NOT NULL AND lower(lang) IN ('de', 'en', 'es', 'fr')
+""")
 def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
-    """Documents consumed as a stream, validated and scored; per
-    micro-batch the valid inputs, their predictions and the rejects are
-    written under the batch id (replay-safe).  The batch is evaluated once
-    (persisted for the three writes, then released)."""
+    """Documents consumed as a stream, validated and scored.  Each micro-batch is
+    validated in one write, partitioned by outcome under the batch id, and its valid rows
+    are scored from there; the predictions equal batch scoring."""
     from chunkwise.functions import one_of, required
-    model = trained(spark, d).model
-    schema = table(spark, d, "documents").schema
-    stream = file_stream(spark, f"{d}/documents.parq*", schema)
-    inputs, preds, rejects = (scratch_path(spark, n) for n in ("inputs", "preds", "rejects"))
+    model = trained(spark, d, SMALL).model
+    src = scratch_path(spark, "documents-files")
+    table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source") \
+        .repartition(4, "doc_id").write.parquet(src)
+    stream = file_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=2)
+    checked, preds = (scratch_path(spark, n) for n in ("checked", "preds"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"),
                             F.lower("lang").alias("lang"), F.lower("source").alias("source"))
-        checked = validate.with_errors(rows, [required("n_chars"),
-                                              one_of("lang", ("de", "en", "es", "fr"))]).persist()
-        try:
-            valid, bad = validate.split_valid(checked)
-            valid = valid.drop("errors")
-            valid.write.mode("overwrite").parquet(f"{inputs}/batch_id={batch_id}")
-            score_batch(model, valid).select("doc_id", "probability", "survived") \
-                .write.mode("overwrite").parquet(f"{preds}/batch_id={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-        finally:
-            checked.unpersist()
+        paths = validate.write_split(
+            validate.with_errors(rows, [required("n_chars"), one_of("lang", LANGS)]),
+            f"{checked}/batch_id={batch_id}")
+        valid = read_sink(spark, paths["valid"], rows.schema)
+        score_batch(model, valid).select("doc_id", "probability", "survived") \
+            .write.mode("overwrite").parquet(f"{preds}/batch_id={batch_id}")
 
     run_available_now(stream, handle, scratch_path(spark, "ckpt-score"))
-    return read_sink(spark, preds).select("doc_id", "probability", "survived")
+    docs = _scoring_frame(spark, d).filter(F.col("n_chars").isNotNull() & F.col("lang").isin(*LANGS))
+    return _same(read_sink(spark, preds), score_batch(model, docs), "same_as_batch")
 
 
-def _event_files(spark: SparkSession, d: str, parts: int = 4) -> str:
-    """The events table laid out as ``parts`` files in time order, so the
-    stream sees several micro-batches (a copy Spark derives from the table)."""
+_PERSONS_SQL = """
+SELECT 'c' || c_custkey AS person_id, CASE WHEN c_custkey % 50 = 0 THEN 'zz' ELSE 'S' END AS embarked,
+       c_custkey % 31 = 0 AS no_age
+FROM customer
+"""
+
+
+@register("predict_run", f"""
+SELECT person_id, CASE WHEN embarked = 'zz' OR no_age THEN 'rejected' ELSE 'valid' END AS outcome,
+       concat_ws('; ', CASE WHEN no_age THEN 'age: required' END,
+                 CASE WHEN embarked = 'zz' THEN 'embarked: must be one of s,c,q' END) AS errors,
+       CASE WHEN embarked <> 'zz' AND NOT no_age THEN 'success' END AS status,
+       CASE WHEN embarked <> 'zz' AND NOT no_age THEN true END AS prob_ok
+FROM ({_PERSONS_SQL}) p
+""")
+def q_predict_run(spark: SparkSession, d: str) -> DataFrame:
+    """Raw person records (derived from the customers) are validated, scored and
+    written under a run id, persons, predictions and rejects; what was written is read back."""
+    from chunkwise.plans.jobs import predict_run, train
+    k = F.col("c_custkey")
+    raw = table(spark, d, "customer").select(
+        F.concat(F.lit("c"), k.cast("string")).alias("person_id"),
+        F.when(k % 2 == 0, F.lit(" Male")).otherwise(F.lit("FEMALE")).alias("sex"),
+        F.when(k % 31 != 0, (k % 80).cast("double") + 0.5).alias("age"),
+        (k % 3 + 1).alias("pclass"), (k % 4).alias("sibsp"), (k % 5).alias("parch"),
+        F.abs("c_acctbal").cast("double").alias("fare"),
+        F.when(k % 50 == 0, F.lit("zz")).otherwise(F.lit("S")).alias("embarked"),
+        (F.crc32(k.cast("string")) % 2).alias("survived"))
+    known = raw.filter("embarked = 'S'").withColumn("sex", F.trim("sex"))
+    model = train(known, FeatureSpec(), SMALL).model
+    paths = predict_run(model, raw, scratch_path(spark, "predict"), "run-0001",
+                        now=ntz("2024-01-01 00:00:00").cast("timestamp"))
+    scored = spark.read.parquet(paths["predictions"]).select(
+        F.col("data.person_id").alias("_id"), "status",
+        F.col("data.probability").between(0, 1).alias("prob_ok"))
+    checked = spark.read.parquet(paths["checked"])
+    return checked.join(scored, F.col("person_id") == F.col("_id"), "left").select(
+        "person_id", "outcome", F.array_join("errors", "; ").alias("errors"), "status", "prob_ok")
+
+
+def _event_files(spark: SparkSession, d: str, slices: int = 4, redeliver: bool = False) -> str:
+    """The events in ``slices`` spans of time, written one after another, the newest first
+    and the oldest last, so a stream meets rows later and later; ``redeliver`` writes all
+    of them once more after that."""
     path = scratch_path(spark, "events-files")
-    table(spark, d, "events").repartitionByRange(parts, "ts", "event_id") \
-        .write.mode("overwrite").parquet(path)
-    return path
+    events = table(spark, d, "events")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / slices
+    for k in reversed(range(slices)):
+        part = (F.col("ts") >= F.lit(lo + k * step)) if k else F.lit(True)
+        if k < slices - 1:
+            part = part & (F.col("ts") < F.lit(lo + (k + 1) * step))
+        if k == 0:
+            part = part | F.col("ts").isNull()
+        events.filter(part).write.parquet(f"{path}/part={slices - k}")
+    if redeliver:
+        events.write.parquet(f"{path}/part={slices + 1}")
+    return f"{path}/*"
 
 
 @register("stream_ledger", LEDGER_SQL)
 def q_stream_ledger(spark: SparkSession, d: str) -> DataFrame:
-    """Task events streamed one file per micro-batch; each batch appends
-    its folded delta, every third batch compacts into a snapshot.  The
-    ledger read back (snapshot + later deltas) must equal the batch fold (L1)."""
-    src = _event_files(spark, d)
-    stream = file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1)
-    store = LedgerStore(spark, scratch_path(spark, "ledger"), compact_every=3)
-    run_available_now(stream, ledger_handler(store, task_events), scratch_path(spark, "ckpt-led"))
-    return ledger.public_ledger(store.read())
+    """Task events streamed one file per micro-batch, the oldest last; each batch writes
+    its folded delta.  The fold of the deltas must equal the batch fold (L1)."""
+    stream = file_stream(spark, _event_files(spark, d), EVENTS_SCHEMA, max_files_per_trigger=1)
+    path = scratch_path(spark, "ledger")
+    run_available_now(stream, ledger_handler(path, task_events), scratch_path(spark, "ckpt-led"))
+    return ledger.public_ledger(read_ledger(spark, path))
 
 
 def _broken_bodies(df: DataFrame) -> DataFrame:
@@ -156,7 +221,8 @@ def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """Undecodable bodies go to a dead-letter output (V13 rows)."""
     from pyspark.sql import types as T
     body_schema = T.StructType([T.StructField("k", T.IntegerType())])
-    stream = _broken_bodies(file_stream(spark, f"{d}/events.parq*", EVENTS_SCHEMA))
+    stream = _broken_bodies(file_stream(spark, _event_files(spark, d), EVENTS_SCHEMA,
+                                        max_files_per_trigger=1))
     ok, dead = scratch_path(spark, "decoded"), scratch_path(spark, "dead")
     run_available_now(stream, quarantine_handler(
         ok, dead, "body", body_schema, lambda df: validate.dead_letter_log(df, "body")),
@@ -175,15 +241,26 @@ def q_dedupe_batch(spark: SparkSession, d: str) -> DataFrame:
     return dedupe_batch(ev.unionByName(ev), "event_id")
 
 
+def _deduped(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    sink = scratch_path(spark, "dedup")
+    run_available_now(stream, dedupe_handler(sink, "event_id", EVENTS_SCHEMA),
+                      scratch_path(spark, "ckpt-dedup"))
+    return read_sink(spark, sink).select(*EVENTS_SCHEMA.fieldNames())
+
+
 @register("dedupe_redelivery", """
 SELECT event_id, ts, user_id, event_type, value, props FROM events
 """)
 def q_dedupe_redelivery(spark: SparkSession, d: str) -> DataFrame:
-    """T4: every message delivered twice (two sources over the same file);
-    copies are dropped by key, the watermark bounding the state."""
+    """T4: every message delivered twice at once (two sources over the same file)."""
     a = file_stream(spark, f"{d}/events.parq*", EVENTS_SCHEMA)
     b = file_stream(spark, f"{d}/events.parq*", EVENTS_SCHEMA)
-    out = dedupe_stream(a.unionByName(b), "event_id", F.col("ts"), "31 days")
-    sink = scratch_path(spark, "dedup")
-    run_available_now(out, batch_sink(sink), scratch_path(spark, "ckpt-dedup"))
-    return read_sink(spark, sink).select(*EVENTS_SCHEMA.fieldNames())
+    return _deduped(spark, a.unionByName(b))
+
+
+@register("dedupe_late", "SELECT * FROM events")
+def q_dedupe_late(spark: SparkSession, d: str) -> DataFrame:
+    """T4: events in several files, the oldest last and then all of them again, a file a
+    micro-batch: late rows are kept, copies recognised across batches."""
+    return _deduped(spark, file_stream(spark, _event_files(spark, d, redeliver=True),
+                                       EVENTS_SCHEMA, max_files_per_trigger=1))

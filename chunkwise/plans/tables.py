@@ -44,6 +44,7 @@ def task_events(events: DataFrame) -> DataFrame:
         F.col("props").alias("kwargs"),
         F.when(et == "purchase", F.col("props")).alias("result"),
         F.when(et.isin("error", "click"), F.col("props")).alias("error"),
+        F.when(et == "error", F.concat(F.lit("trace of "), F.col("props"))).alias("traceback"),
         F.col("event_id").alias("event_seq"),
     )
 
@@ -59,6 +60,7 @@ SELECT CAST(user_id AS VARCHAR) AS task_id,
        props AS kwargs,
        CASE WHEN event_type = 'purchase' THEN props END AS result,
        CASE WHEN event_type IN ('error', 'click') THEN props END AS error,
+       CASE WHEN event_type = 'error' THEN 'trace of ' || props END AS traceback,
        event_id AS event_seq
 FROM events
 """
@@ -74,6 +76,8 @@ SELECT task_id,
        arg_max(result, struct_pack(t := updated_at, s := event_seq))
            FILTER (WHERE result IS NOT NULL) AS result,
        arg_max(error, struct_pack(t := updated_at, s := event_seq))
-           FILTER (WHERE error IS NOT NULL) AS error
+           FILTER (WHERE error IS NOT NULL) AS error,
+       arg_max(traceback, struct_pack(t := updated_at, s := event_seq))
+           FILTER (WHERE traceback IS NOT NULL) AS traceback
 FROM ev GROUP BY task_id
 """

@@ -53,6 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else "remote"
+        if master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all "
+                             f"executors share (master {master})")
         configured = tempfile.mkdtemp(prefix="chunkwise-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", configured)

@@ -1,10 +1,11 @@
 """Scans and sinks."""
 
-from chunkwise.sources.events import build_events, publish_events
+from chunkwise.sources.events import build_events, completed_event, publish_events
 from chunkwise.sources.jsonio import read_json_objects, read_json_records, write_json_lines
-from chunkwise.sources.parquet import CardinalityError, scalar_one, scan_project, select_where
-from chunkwise.sources.tables import VersionedTable, append_rows, row_id
+from chunkwise.sources.parquet import (CardinalityError, read_if_exists, scalar_one, scan_project,
+                                        select_where)
+from chunkwise.sources.tables import append_rows, rewrite_table, row_id
 
-__all__ = ["CardinalityError", "VersionedTable", "append_rows", "build_events",
-           "publish_events", "read_json_objects", "read_json_records", "row_id", "scalar_one", "scan_project",
+__all__ = ["CardinalityError", "append_rows", "build_events", "completed_event",
+           "publish_events", "read_json_objects", "read_if_exists", "read_json_records", "rewrite_table", "row_id", "scalar_one", "scan_project",
            "select_where", "write_json_lines"]

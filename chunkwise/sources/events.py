@@ -40,8 +40,26 @@ def build_events(df: DataFrame, body: Mapping[str, Column], queue: str, run_id:
     )
 
 
+def completed_event(combined: DataFrame, sample: DataFrame, sample_col: str, run_id: str,
+                    task_id: str, model_name: str, data_path: str, completed_at: Column,
+                    queue: str, status: str = "completed") -> DataFrame:
+    """The run's one completed event, from the job roll-up (one row) and a bounded sample
+    in job order: ``data`` holds the output's path and the sample, never the payload."""
+    values = sample.agg(F.transform(F.sort_array(F.collect_list(
+        F.struct("chunk_id", "item_index", F.col(sample_col).cast("string").alias("v")))),
+        lambda s: s["v"]).alias("_sample"))
+    return build_events(combined.crossJoin(values), {
+        "status": F.lit(status), "task_id": F.lit(task_id), "total_chunks": F.col("total_chunks"),
+        "item_count": F.col("total_items"),
+        "average_processing_time": F.col("avg_processing_time"),
+        "model_name": F.lit(model_name),
+        "data": F.struct(F.lit(data_path).alias("path"), F.col("_sample").alias("sample")),
+        "completed_at": F.date_format(completed_at, "yyyy-MM-dd'T'HH:mm:ss"),
+    }, queue=queue, run_id=run_id)
+
+
 def publish_events(events: DataFrame, path: str | None = None,
-                   kafka_options: Mapping[str, str] | None = None) -> None:
+                   kafka_options: Mapping[str, str] | None = None, mode: str = "append") -> None:
     """Write events: Kafka when ``kafka_options`` are given (needs the
     connector jar), else JSON lines under ``path``."""
     if kafka_options:
@@ -52,4 +70,4 @@ def publish_events(events: DataFrame, path: str | None = None,
         return
     if path is None:
         raise ValueError("path or kafka_options required")
-    events.write.mode("append").json(path)
+    events.write.mode(mode).json(path)

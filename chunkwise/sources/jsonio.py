@@ -17,9 +17,10 @@ _TS_NTZ_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType,
                       array_file: bool = False, corrupt_col: str | None = None) -> DataFrame:
-    """Declared schema, never inferred.  With ``corrupt_col`` malformed
-    records are kept (PERMISSIVE) with their raw text for quarantine."""
-    reader = spark.read.schema(schema).option("timestampNTZFormat", _TS_NTZ_FMT)
+    """Declared schema, never inferred.  A malformed record fails the read;
+    with ``corrupt_col`` it is kept with its raw text for quarantine instead."""
+    reader = spark.read.schema(schema).option("mode", "FAILFAST") \
+                  .option("timestampNTZFormat", _TS_NTZ_FMT)
     if corrupt_col:
         schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
         reader = spark.read.schema(schema).option("mode", "PERMISSIVE") \

@@ -4,8 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, empty if there is no such path; any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def scan_project(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

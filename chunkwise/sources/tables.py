@@ -1,26 +1,21 @@
-"""Stored tables on plain Parquet (S4, and versions for L1/L4-L6).
+"""Stored tables on plain Parquet.
 
-Plain Parquet has no UPDATE/MERGE.  A table is a folder of immutable
-versions plus an append-only commit log; a change (upsert, update, delete,
-retention sweep) writes a new version computed from the previous one and
-then commits it.  A path being read is never overwritten; a replay of the
-same version id rewrites the same folder with the same content
-(idempotent), which is what streaming ``foreachBatch`` needs.
+Plain Parquet has no UPDATE/MERGE: a change reads one path and writes another.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def row_id(key_cols: Sequence[str]) -> Column:
-    """Deterministic row id from a business key (md5 of the key text)."""
-    return F.md5(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in key_cols]))
+    """Deterministic row id from a business key: md5 of its JSON text, in which nulls and
+    separators stay distinct."""
+    key = F.struct(*[F.col(c).cast("string").alias(c) for c in key_cols])
+    return F.md5(F.to_json(key, {"ignoreNullFields": "false"}))
 
 
 def append_rows(df: DataFrame, path: str, key_cols: Sequence[str],
@@ -38,63 +33,13 @@ def append_rows(df: DataFrame, path: str, key_cols: Sequence[str],
     return out
 
 
-_MARK_SCHEMA = T.StructType([T.StructField("version", T.LongType(), False)])
-_VERSION_RE = re.compile(r"/v=(\d+)/")
-
-
-class VersionedTable:
-    """Immutable versions ``<root>/v=<n>`` and commit markers
-    ``<root>/_commits/v=<n>``.  A version is visible once its marker exists;
-    markers are listed on the driver (file listing, no Spark job)."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def versions(self) -> list[int]:
-        try:
-            files = self.spark.read.schema(_MARK_SCHEMA).parquet(
-                f"{self.root}/_commits").inputFiles()
-        except Exception:  # no commit yet
-            return []
-        return sorted({int(m.group(1)) for f in files for m in [_VERSION_RE.search(f)] if m})
-
-    def latest_version(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
-
-    def latest_below(self, version: int) -> int | None:
-        """Newest committed version strictly below ``version`` (replays)."""
-        v = [x for x in self.versions() if x < version]
-        return v[-1] if v else None
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        v = self.latest_version() if version is None else version
-        if v is None:
-            return None
-        return self.spark.read.parquet(f"{self.root}/v={v:09d}")
-
-    def apply(self, change, partition_by: Sequence[str] = ()) -> int:
-        """``UPDATE`` / ``DELETE`` / sweep on plain Parquet: ``change`` maps the
-        latest version to the new content, which is committed as the next
-        version (the version being read is never overwritten)."""
-        last = self.latest_version()
-        if last is None:
-            raise ValueError(f"{self.root}: no committed version")
-        return self.commit(change(self.read(last)), version=last + 1, partition_by=partition_by)
-
-    def commit(self, df: DataFrame, version: int | None = None,
-               partition_by: Sequence[str] = ()) -> int:
-        """Write ``df`` as a version (default: latest + 1), then mark it.
-        ``partition_by`` (e.g. a day column) lets a sweep on that column read
-        only the surviving partitions (partition pruning)."""
-        if version is None:
-            last = self.latest_version()
-            version = 0 if last is None else last + 1
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.root}/v={version:09d}")
-        self.spark.createDataFrame([(int(version),)], _MARK_SCHEMA).coalesce(1) \
-            .write.mode("overwrite").parquet(f"{self.root}/_commits/v={version:09d}")
-        return version
+def rewrite_table(spark: SparkSession, src: str, dst: str,
+                  change: Callable[[DataFrame], DataFrame],
+                  partition_by: Sequence[str] = ()) -> DataFrame:
+    """``UPDATE`` / ``DELETE`` / upsert / sweep on plain Parquet: read ``src``, apply
+    ``change``, write the result to the new path ``dst`` and return it as read back.
+    ``dst`` must not exist, so nothing that was written is ever overwritten; which path is
+    current is the caller's to keep."""
+    writer = change(spark.read.parquet(src)).write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(dst)
+    return spark.read.parquet(dst)

@@ -1,9 +1,10 @@
 """Structured Streaming jobs built from the batch operators."""
 
-from chunkwise.streaming.jobs import (batch_sink, decode_body, dedupe_batch, dedupe_stream,
-                                      file_stream,
-                                      kafka_stream, ledger_handler, progress_points, quarantine_handler, read_sink,
+from chunkwise.streaming.jobs import (batch_sink, decode_body, dedupe_batch, dedupe_handler,
+                                      file_stream, kafka_stream, ledger_handler, progress_points,
+                                      quarantine_handler, read_ledger, read_sink,
                                       run_available_now)
 
-__all__ = ["batch_sink", "decode_body", "dedupe_batch", "dedupe_stream", "file_stream", "kafka_stream", "ledger_handler", "progress_points",
-           "quarantine_handler", "read_sink", "run_available_now"]
+__all__ = ["batch_sink", "decode_body", "dedupe_batch", "dedupe_handler", "file_stream",
+           "kafka_stream", "ledger_handler", "progress_points", "quarantine_handler",
+           "read_ledger", "read_sink", "run_available_now"]

@@ -10,13 +10,17 @@ top of at-least-once delivery).
 
 from __future__ import annotations
 
-import json
+import time
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
+from chunkwise.operators.ledger import fold_ledger_rows, fold_task_ledger
+from chunkwise.sources.parquet import read_if_exists
 
 CORRUPT = "_corrupt_record"
 
@@ -74,73 +78,101 @@ def batch_sink(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], No
     return write
 
 
+class _BatchRows(StreamingQueryListener):
+    """Input rows of every micro-batch of a query (Spark's own list keeps the last ones only)."""
+
+    def __init__(self):
+        self.query, self.rows = None, {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if p.numInputRows:
+            self.rows.setdefault(str(p.runId), {})[p.batchId] = p.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], None],
                       checkpoint: str, name: str | None = None) -> list[dict]:
     """Process everything available, then stop (the ``availableNow`` trigger).
-    Returns the progress records of the run (see ``progress_points``)."""
-    w = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint) \
-                          .trigger(availableNow=True)
-    if name:
-        w = w.queryName(name)
-    q = w.start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return progress_points(q.recentProgress)
+    Returns the progress of every micro-batch (see ``progress_points``)."""
+    listener, spark = _BatchRows(), stream.sparkSession
+    spark.streams.addListener(listener)
+    try:
+        w = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint) \
+                              .trigger(availableNow=True)
+        q = (w.queryName(name) if name else w).start()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        # events reach listeners a little later than the query's own list
+        last = q.lastProgress
+        for _ in range(100):
+            rows = listener.rows.get(str(q.runId), {})
+            if not last or not last.numInputRows or last.batchId in rows:
+                break
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(listener)
+    return progress_points([{"batch_id": b, "rows": n} for b, n in sorted(rows.items())])
 
 
 def progress_points(progress: list, total: int | None = None) -> list[dict]:
-    """Live progress of a stream (A9): one ``{batch_id, current, total,
-    percentage}`` record per micro-batch from ``StreamingQueryProgress``,
-    ``current`` being the rows processed so far.  Bounded: Spark keeps only
-    the last ``spark.sql.streaming.numRecentProgressUpdates`` entries."""
+    """Progress of a stream (A9): one ``{batch_id, current, total, percentage}`` record per
+    micro-batch, ``current`` being the rows processed so far.  ``progress`` holds a record
+    of every batch (``batch_id``, ``rows``), as ``run_available_now`` counts them."""
     out, done = [], 0
     for p in progress:
-        data = p if isinstance(p, dict) else json.loads(p.json)   # StreamingQueryProgress
-        done += int(data.get("numInputRows", 0) or 0)
-        rec = {"batch_id": int(data.get("batchId", -1)), "current": done, "total": total}
+        done += int(p["rows"])
+        rec = {"batch_id": int(p["batch_id"]), "current": done, "total": total}
         rec["percentage"] = round(done / total * 100, 1) if total else None
         out.append(rec)
     return out
 
 
 def read_sink(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except Exception:  # nothing was written (empty stream)
-        if schema is None:
-            raise
-        return spark.createDataFrame([], schema)
+    """What a sink has written; with ``schema``, empty if it has not written yet."""
+    return spark.read.parquet(path) if schema is None else read_if_exists(spark, path, schema)
 
 
 # --------------------------------------------------------------------------- T2
-def ledger_handler(store, to_events: Callable[[DataFrame], DataFrame]
+def ledger_handler(path: str, to_events: Callable[[DataFrame], DataFrame]
                    ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch: fold the batch's task events into a delta of the
-    log-structured ledger (``sources.ledger_store.LedgerStore``); the store
-    compacts every few batches.  Work per batch is O(batch), not O(ledger),
-    and a replayed batch rewrites the same delta."""
+    """foreachBatch: fold the batch's task events into ``<path>/batch_id=<n>``.  The fold is
+    associative, so ``read_ledger`` folds these deltas into the ledger; a replayed batch
+    rewrites the same folder.  ``rewrite_table`` folds them into one table when they are many."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        store.append(to_events(batch), batch_id)
+        fold_task_ledger(to_events(batch)).write.mode("overwrite").parquet(
+            f"{path}/batch_id={batch_id}")
     return handle
 
 
+def read_ledger(spark: SparkSession, *paths: str) -> DataFrame:
+    """The ledger of one or more stored ledgers or folders of deltas."""
+    rows = [spark.read.parquet(p).drop("batch_id") for p in paths]
+    return fold_ledger_rows(reduce(DataFrame.unionByName, rows))
+
+
 # --------------------------------------------------------------------------- T3
 def quarantine_handler(valid_path: str, dead_path: str, body_col: str,
                        schema: T.StructType, dead_rows: Callable[[DataFrame], DataFrame]
                        ) -> Callable[[DataFrame, int], None]:
     """foreachBatch: decoded rows to ``valid_path``; undecodable rows, shaped
-    by ``dead_rows`` (e.g. ``dead_letter_log``), to ``dead_path``."""
+    by ``dead_rows`` (e.g. ``dead_letter_log``), to ``dead_path``.  Both filters
+    run over the batch's files; nothing is held on the executors."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_body(batch, body_col, schema).persist()
-        try:
-            decoded.filter("decoded").drop("decoded").write.mode("overwrite") \
-                   .parquet(f"{valid_path}/batch_id={batch_id}")
-            dead_rows(decoded.filter(~F.col("decoded")).drop("decoded", "payload")) \
-                .write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
-        finally:
-            decoded.unpersist()
+        decoded = decode_body(batch, body_col, schema)
+        decoded.filter("decoded").drop("decoded").write.mode("overwrite") \
+               .parquet(f"{valid_path}/batch_id={batch_id}")
+        dead_rows(decoded.filter(~F.col("decoded")).drop("decoded", "payload")) \
+            .write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
     return handle
 
 
@@ -151,9 +183,23 @@ def dedupe_batch(df: DataFrame, key: str) -> DataFrame:
     return df.dropDuplicates([key])
 
 
-def dedupe_stream(stream: DataFrame, key: str, event_time: Column, delay: str) -> DataFrame:
-    """Drop redelivered copies by ``key``; the watermark only bounds the
-    de-duplication state (copies of one message share its event time)."""
-    return stream.withColumn("_cw_et", event_time.cast("timestamp")) \
-                 .withWatermark("_cw_et", delay) \
-                 .dropDuplicatesWithinWatermark([key]).drop("_cw_et")
+def dedupe_handler(path: str, key: str, schema: T.StructType, buckets: int = 64
+                   ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch: the batch's first copy of each key that no earlier batch has written,
+    to ``<path>/batch_id=<n>/key_bucket=<b>``.  Keys are remembered in the sink itself, so a
+    copy is recognised however late it comes, and no row is dropped for being late.  A
+    replayed batch compares itself with earlier batches only and rewrites its folder."""
+    written = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType()),
+                            T.StructField("key_bucket", T.IntegerType())])
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = read_if_exists(spark, path, written).filter(F.col("batch_id") < batch_id)
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        (batch.select(*schema.fieldNames()).dropDuplicates([key]).withColumn("key_bucket", bucket)
+         .join(seen.select("key_bucket", F.col(key).alias("_seen")).withColumnRenamed(
+             "key_bucket", "_bucket"),
+               (F.col("key_bucket") == F.col("_bucket")) & F.col(key).eqNullSafe(F.col("_seen")),
+               "left_anti")
+         .write.mode("overwrite").partitionBy("key_bucket").parquet(f"{path}/batch_id={batch_id}"))
+    return handle

@@ -81,32 +81,43 @@ def test_run_chunk_job_writes_everything(spark):
     from chunkwise.plans.tables import ntz
     from chunkwise.session import scratch_path
     part = spark.read.parquet(f"{SF_SMALL}/part.parquet").select("p_partkey", "p_name", "p_size")
-    res = run_chunk_job(part, ["p_partkey"], scratch_path(spark, "job"), "run-1", size=10,
-                        duration="p_size", completed_at=ntz("2024-01-01 00:00:00"))
+    root = scratch_path(spark, "job")
+    for run in ("run-0", "run-1", "run-1"):          # a repeated run replaces its own rows
+        res = run_chunk_job(part, ["p_partkey"], root, run, size=10,
+                            duration="p_size", completed_at=ntz("2024-01-01 00:00:00"))
     n = part.count()
     assert res["total_items"] == n and res["total_chunks"] == -(-n // 10)
-    out = spark.read.parquet(res["paths"]["output"])
+    out = spark.read.parquet(res["paths"]["output"]).filter("run_id = 'run-1'")
+    assert out.count() == n
     assert out.filter(out.p_name != F.upper(out.p_name)).count() == 0
     jobs = spark.read.parquet(res["paths"]["jobs"]).collect()
-    assert len(jobs) == 1 and jobs[0].status == "completed" and jobs[0].row_id
-    ev = spark.read.json(res["paths"]["events"])
-    assert ev.count() == res["total_chunks"]
+    assert sorted(j.run_id for j in jobs) == ["run-0", "run-1"]
+    assert len({j.row_id for j in jobs}) == 2 and {j.status for j in jobs} == {"completed"}
+    ev = spark.read.json(res["paths"]["events"]).filter("run_id = 'run-1'")
+    assert ev.filter("topic = 'chunks'").count() == res["total_chunks"]
+    import json
+    whole = [json.loads(r.value) for r in ev.filter("topic = 'results'").collect()]
+    assert len(whole) == 1
+    assert {k: whole[0][k] for k in ("event", "status", "run_id", "total_chunks", "item_count")} == {
+        "event": "task_completed", "status": "completed", "run_id": "run-1",
+        "total_chunks": res["total_chunks"], "item_count": n}
+    assert len(whole[0]["data"]["sample"]) == 20 and "run_id=run-1" in whole[0]["data"]["path"]
 
 
 def test_periodic_sweep_and_health(spark):
     from chunkwise.plans.jobs import periodic
     from chunkwise.plans.tables import ntz
     from chunkwise.session import scratch_path
-    from chunkwise.sources import VersionedTable
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     root = scratch_path(spark, "periodic")
-    res = periodic({"events": (ev, "ts"), "orders": (o, "o_orderdate")},
+    res = periodic({"events": (f"{SF_SMALL}/events.parquet", "ts"),
+                    "orders": (f"{SF_SMALL}/orders.parquet", "o_orderdate")},
                    ntz("2024-02-15 00:00:00"), root,
                    health={"tasks": spark.read.parquet(f"{SF_SMALL}/part.parquet"),
                            "task_name_col": "p_name", "emails": ev, "email_ts_col": "ts",
                            "jobs": o, "job_status_col": "o_orderstatus"})
-    kept = VersionedTable(spark, f"{root}/events").read().count()
+    kept = spark.read.parquet(f"{root}/events").count()
     assert res["cleaned_up"]["events"] + kept == ev.count()
     assert res["cleaned_up"]["orders"] == o.count()
     assert set(res["stats"]) == {"total_tasks", "recent_emails_24h", "active_processing_jobs"}
@@ -128,29 +139,42 @@ def test_non_unique_hot_key_is_split(spark):
     assert [r.k for r in rows] == sorted(r.k for r in rows)
 
 
-def test_bucket_positions_exact_on_clustered_keys(spark):
-    """Unique keys with a very uneven spread (half the keys in a narrow band)."""
-    from chunkwise.operators.positions import bucket_positions
+def test_clustered_and_null_keys(spark):
+    """Unique keys with a very uneven spread, nulls first and NaN last."""
     keys = list(range(0, 2000)) + [10_000_000 + i * 97 for i in range(2000)]
     df = spark.createDataFrame([(k,) for k in keys[::-1]], "k long").repartition(5)
-    out = bucket_positions(df, "k", num_buckets=7).collect()
+    out = with_position(df, ["k"]).collect()
     assert sorted((r.k, r.pos) for r in out) == [(k, i) for i, k in enumerate(sorted(keys))]
-    one = bucket_positions(df, "k", num_buckets=1, total_col="n").collect()
-    assert {r.n for r in one} == {len(keys)} and sorted(r.pos for r in one) == list(range(4000))
-    empty = spark.createDataFrame([], "k long")
-    assert bucket_positions(empty, "k").count() == 0
-    c = chunks.assign_chunks(df, ["k"], 300, method="buckets")
+    c = chunks.assign_chunks(df, ["k"], 300)
     assert c.agg(F.max("chunk_id")).first()[0] == (len(keys) - 1) // 300
-
-
-def test_bucket_positions_keep_null_keys(spark):
-    from chunkwise.operators.positions import bucket_positions
     df = spark.createDataFrame([(None,), (3.0,), (1.0,), (float("nan"),), (2.0,)], "k double")
-    rows = sorted(bucket_positions(df, "k", num_buckets=3).collect(), key=lambda r: r.pos)
+    rows = sorted(with_position(df, ["k"]).collect(), key=lambda r: r.pos)
     assert [r.pos for r in rows] == [0, 1, 2, 3, 4]
     assert rows[0].k is None and rows[1].k == 1.0 and rows[3].k == 3.0
 
 
+def test_concat_keeps_uneven_chunks_apart(spark):
+    rows = [(0, i) for i in range(7)] + [(1, i) for i in range(3)] + [(4, 0)]
+    df = spark.createDataFrame(rows, "chunk_id long, item_index long")
+    out = chunks.concat_ordered(df.filter("item_index % 2 = 0"), df.filter("item_index % 2 = 1"))
+    assert [tuple(r) for r in out.orderBy("seq").collect()] == [(*r, i) for i, r in enumerate(rows)]
+
+
+def test_progress_points_of_uneven_chunks(spark):
+    df = spark.createDataFrame([(0, i) for i in range(12)] + [(1, 0)], "chunk_id long, item_index long")
+    pts = chunks.progress_points(df.withColumn("total_items", F.lit(13).cast("long")), throttled=True,
+                                 stats=chunks.chunk_stats(df))
+    assert sorted((r.chunk_id, r.current, r.total) for r in pts.collect()) == \
+        [(0, 1, 12), (0, 11, 12), (0, 12, 12), (1, 1, 1)]
+
+
+def test_job_log_samples_whatever_it_is_given(spark):
+    df = spark.range(100).selectExpr("id div 10 as chunk_id", "id % 10 as item_index", "id as v")
+    row = chunks.job_log(chunks.chunk_stats(df), df, "job", "v").first()
+    import json
+    assert json.loads(row.output_data) == {"total_items": 100, "sample": list(range(20))}
+
+
 def test_chunk_job_modes(spark):
     import duckdb
     from chunkwise.plans.jobs import chunk_job

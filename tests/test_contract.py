@@ -1,6 +1,5 @@
-"""The reference's own unit-test contract, re-expressed on this library:
-model loads; a single prediction succeeds and echoes the id; a batch is
-dispatched with ``total_items == len(input)``."""
+"""The prediction contract: a model loads; a single prediction succeeds and echoes the id;
+a batch is dispatched with ``total_items == len(input)``."""
 
 import json
 
@@ -14,14 +13,14 @@ from chunkwise.plans.jobs import batch_predict, train
 from chunkwise.schemas import DATA_ENVELOPE_KEYS
 from chunkwise.session import scratch_path
 
-from conftest import LAB_PERSONS
+from conftest import PERSONS
 
 
 @pytest.fixture(scope="module")
 def model_path(spark):
     people = []
     for i in range(30):
-        p = dict(LAB_PERSONS[i % 5], personId=f"p{i}", survived=(i * 7) % 2)
+        p = dict(PERSONS[i % 5], personId=f"p{i}", survived=(i * 7) % 2)
         p["fare"] = p["fare"] + i
         people.append(p)
     raw = spark.createDataFrame(people).withColumnRenamed("personId", "person_id")
@@ -37,22 +36,23 @@ def _items(spark, records):
 def test_model_loads(model_path):
     model = load_model(model_path, use_cache=False)
     names = [type(s).__name__ for s in model.stages]
-    assert names == ["SQLTransformer", "VectorAssembler", "RandomForestClassificationModel"]
+    assert names == ["SQLTransformer", "StringIndexerModel", "OneHotEncoderModel", "VectorAssembler",
+                     "RandomForestClassificationModel"]
 
 
 def test_single_prediction(spark, model_path):
-    one = [{"person_id": "1", "sex": "male", "age": 22.0, "pclass": 3, "sibsp": 1,
-            "parch": 0, "fare": 7.25, "embarked": "s", "id": 99}]    # "id" is ignored
+    one = [{**{k: v for k, v in PERSONS[3].items() if k != "personId"}, "person_id": "solo",
+            "id": 99}]                                               # "id" is ignored
     _, preds, rejected = batch_predict(load_model(model_path), _items(spark, one),
                                        map_col="item")
     rows = preds.collect()
     assert rejected.count() == 0 and len(rows) == 1
-    assert rows[0].status == "success" and rows[0].data.person_id == "1"
+    assert rows[0].status == "success" and rows[0].data.person_id == "solo"
     assert 0.0 <= rows[0].data.probability <= 1.0
 
 
 def test_batch_dispatch(spark):
-    items = _items(spark, LAB_PERSONS[:2])
+    items = _items(spark, PERSONS[:2])
     s = chunks.dispatch_summary(items, 500).first()
     assert s.status == "dispatched" and s.total_items == 2 and s.chunks == 1
     c = chunks.assign_chunks(items.select("item_index"), ["item_index"], 500)

@@ -27,7 +27,7 @@ def test_empty_inputs(spark):
                             as_of=F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")).first()
     assert tuple(h) == (0, 0, 0)
     assert chunks.assign_chunks(empty, ["k"], 10).count() == 0
-    assert chunks.assign_chunks(empty, ["k"], 10, method="buckets").count() == 0
+    assert chunks.concat_ordered(empty.selectExpr("k as chunk_id", "k as item_index")).count() == 0
     req = spark.createDataFrame([("t1",)], "task_id string")
     led = ledger.fold_task_ledger(spark.createDataFrame(
         [], "task_id string, task_name string, status string, updated_at timestamp_ntz, "

@@ -9,18 +9,18 @@ from chunkwise.plans.jobs import batch_predict, train
 from chunkwise.session import local_path, scratch_path
 from chunkwise.sources import read_json_objects
 
-from conftest import LAB_PERSONS
+from conftest import PERSONS
 
 
 def test_readme_job_example(spark):
-    people = [dict(LAB_PERSONS[i % 5], personId=f"p{i}", survived=i % 2) for i in range(30)]
+    people = [dict(PERSONS[i % 5], personId=f"p{i}", survived=i % 2) for i in range(30)]
     raw = spark.createDataFrame(people).withColumnRenamed("personId", "person_id")
     res = train(raw, FeatureSpec(), ModelParams(n_estimators=3, max_depth=2, n_splits=2))
     model_path = save_model(res.model, scratch_path(spark, "example-model"))
     src, out = scratch_path(spark, "example-in"), scratch_path(spark, "example-out")
     os.makedirs(local_path(src))
     with open(os.path.join(local_path(src), "a.json"), "w") as fh:
-        for p in LAB_PERSONS + [{**LAB_PERSONS[0], "embarked": "zz"}]:
+        for p in PERSONS + [{**PERSONS[0], "embarked": "zz"}]:
             fh.write(json.dumps(p) + "\n")
 
     records = read_json_objects(spark, src, typed=True)

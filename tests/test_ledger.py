@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chunkwise.operators import ledger
 from chunkwise.session import scratch_path
-from chunkwise.sources import CardinalityError, VersionedTable, scalar_one
+from chunkwise.sources import CardinalityError, read_if_exists, rewrite_table, row_id, scalar_one
 
 import pytest
 
@@ -76,31 +76,58 @@ def test_scalar_one(spark):
     assert scalar_one(df.filter("id = 9"), allow_none=True).count() == 0
 
 
-def test_versioned_table_replay(spark):
-    t = VersionedTable(spark, scratch_path(spark, "vt"))
-    assert t.read() is None
-    t.commit(spark.range(3), version=0)
-    t.commit(spark.range(5), version=1)
-    t.commit(spark.range(5), version=1)            # replayed batch: same content
-    assert t.latest_version() == 1 and t.read().count() == 5
-    assert t.latest_below(1) == 0 and t.read(0).count() == 3
+def test_rewrite_never_overwrites(spark):
+    src, dst = scratch_path(spark, "src"), scratch_path(spark, "dst")
+    spark.range(5).write.parquet(src)
+    assert rewrite_table(spark, src, dst, lambda df: df.filter("id > 2")).count() == 2
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        rewrite_table(spark, src, dst, lambda df: df)
+    assert spark.read.parquet(src).count() == 5 and spark.read.parquet(dst).count() == 2
 
 
-def test_ledger_store_deltas_and_compaction(spark):
-    from chunkwise.sources.ledger_store import LedgerStore
+def test_only_a_missing_path_reads_as_empty(spark, tmp_path):
+    schema = spark.range(1).schema
+    assert read_if_exists(spark, scratch_path(spark, "nothing"), schema).count() == 0
+    bad = tmp_path / "bad.parquet"
+    bad.write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        read_if_exists(spark, str(bad), schema).count()
+    with pytest.raises(Exception):
+        read_if_exists(spark, "nosuchscheme://host/x", schema)
+
+
+def test_ledger_of_deltas(spark):
+    from chunkwise.streaming import ledger_handler, read_ledger
     rows = [("t%d" % (i % 3), "n", s, T0 + dt.timedelta(seconds=i), str(i), None,
              "r%d" % i if s == "SUCCESS" else None, "e%d" % i if s == "RETRY" else None, i)
             for i, s in enumerate(["STARTED", "RETRY", "SUCCESS"] * 4)]
     full = sorted(map(tuple, ledger.public_ledger(
         ledger.fold_task_ledger(_events(spark, rows))).collect()))
-    store = LedgerStore(spark, scratch_path(spark, "ls"), compact_every=2)
+    path, folded = scratch_path(spark, "ls"), scratch_path(spark, "ls-folded")
+    handle = ledger_handler(path, lambda df: df)
     for b in range(4):                       # batches arrive newest first
-        store.append(_events(spark, rows[(3 - b) * 3:(4 - b) * 3]), b)
-    store.append(_events(spark, rows[9:12]), 3)    # replay of batch 3: no change
-    assert store.snapshots.versions() == [1, 3]
-    assert sorted(map(tuple, ledger.public_ledger(store.read()).collect())) == full
-    store.append(_events(spark, rows[:1]), 4)      # delta after the last snapshot
-    assert sorted(map(tuple, ledger.public_ledger(store.read()).collect())) == full
+        handle(_events(spark, rows[(3 - b) * 3:(4 - b) * 3]), b)
+    handle(_events(spark, rows[:3]), 3)      # replay of batch 3: no change
+    assert sorted(map(tuple, ledger.public_ledger(read_ledger(spark, path)).collect())) == full
+    rewrite_table(spark, path, folded, lambda df: ledger.fold_ledger_rows(df.drop("batch_id")))
+    assert sorted(map(tuple, ledger.public_ledger(read_ledger(spark, folded)).collect())) == full
+
+
+def test_failed_task_keeps_its_traceback(spark):
+    ev = _events(spark, [("t1", "n", "FAILURE", T0, None, None, None, "boom", 1),
+                         ("t2", "n", "RETRY", T0, None, None, None, "again", 2)])
+    led = ledger.fold_task_ledger(ev.withColumn("traceback", F.lit("line 1")))
+    req = spark.createDataFrame([("t1",), ("t2",)], "task_id string")
+    out = {r.task_id: r for r in ledger.task_status_lookup(req, led).collect()}
+    assert out["t1"].traceback == "line 1" and out["t1"].error == "boom"
+    assert out["t2"].traceback is None
+
+
+def test_ids_tell_nulls_and_separators_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a:b", "c"), ("a", "b:c"), ("a", "\u0001")],
+                               "x string, y string")
+    assert df.select(row_id(["x", "y"]).alias("i")).distinct().count() == 5
+    assert ledger.bulk_dispatch(df, ["x", "y"]).select("task_id").distinct().count() == 5
 
 
 def test_status_lookup_progress(spark):
@@ -153,25 +180,25 @@ def test_fold_hot_task_is_partially_aggregated(spark):
     assert folded.count() == 1 + 2 * n // 3
 
 
-def test_versioned_update_and_delete(spark):
-    t = VersionedTable(spark, scratch_path(spark, "vt2"))
-    t.commit(spark.createDataFrame([(1, "O"), (2, "F"), (3, None)], "id int, s string"))
-    v1 = t.apply(lambda df: ledger.update_where(df, F.col("s") == "O", {"s": F.lit("F")}))
-    v2 = t.apply(lambda df: ledger.delete_where(df, F.col("id") == 2))
-    assert (v1, v2) == (1, 2)
-    assert sorted(map(tuple, t.read().collect()), key=str) == [(1, "F"), (3, None)]
-    assert t.read(0).count() == 3                    # earlier versions stay readable
+def test_update_and_delete_keep_nulls(spark):
+    paths = [scratch_path(spark, "t") for _ in range(3)]
+    spark.createDataFrame([(1, "O"), (2, "F"), (3, None)], "id int, s string").write.parquet(paths[0])
+    rewrite_table(spark, paths[0], paths[1],
+                  lambda df: ledger.update_where(df, F.col("s") == "O", {"s": F.lit("F")}))
+    out = rewrite_table(spark, paths[1], paths[2], lambda df: ledger.delete_where(df, F.col("id") == 2))
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, "F"), (3, None)]
+    assert ledger.delete_where(out, F.col("s") == "F").count() == 1
 
 
 def test_sweep_on_day_partitioned_table_prunes(spark):
     df = spark.createDataFrame([(i, T0 + dt.timedelta(days=i)) for i in range(10)],
                                "id int, created_at timestamp_ntz").withColumn(
         "day", F.to_date("created_at"))
-    t = VersionedTable(spark, scratch_path(spark, "vt-day"))
-    t.commit(df, partition_by=["day"])
+    src, dst = scratch_path(spark, "day"), scratch_path(spark, "day")
+    df.write.partitionBy("day").parquet(src)
     cutoff = F.lit(dt.date(2024, 1, 6))
-    kept = ledger.retained(t.read(), "day", cutoff)
+    kept = ledger.retained(spark.read.parquet(src), "day", cutoff)
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1][:200]
-    t.apply(lambda d: ledger.retained(d, "day", cutoff), partition_by=["day"])
-    assert sorted(r.id for r in t.read().collect()) == [5, 6, 7, 8, 9]
+    out = rewrite_table(spark, src, dst, lambda d: ledger.retained(d, "day", cutoff), ["day"])
+    assert sorted(r.id for r in out.collect()) == [5, 6, 7, 8, 9]

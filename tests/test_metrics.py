@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from chunkwise.operators.metrics import mean_auc, roc_auc
 
 
@@ -62,8 +64,10 @@ def test_event_body_keeps_nulls(spark):
 def test_null_groups_and_labels(spark):
     df = spark.createDataFrame([(None, 1, 0.9, 1), (None, 2, 0.1, 0), (1, 3, 0.5, None),
                                 (1, 4, 0.2, 0), (1, 5, 0.8, 1)], "g int, id int, s double, y int")
-    got = {r.g: r.auc for r in roc_auc(df, "s", "y", "id", group="g").collect()}
+    got = {r.g: r.auc for r in roc_auc(df, "s", "y", "id", group="g", nulls="exclude").collect()}
     assert got == {None: 1.0, 1: 1.0}
+    with pytest.raises(Exception, match="no score or no label"):
+        roc_auc(df, "s", "y", "id", group="g").collect()
     from chunkwise.operators.split import stratified_folds
     f = stratified_folds(df, "y", "id", 2, 42)
     assert f.count() == 5 and f.filter("y IS NULL").count() == 1
@@ -71,11 +75,10 @@ def test_null_groups_and_labels(spark):
 
 def test_hash_split_is_deterministic_and_proportional(spark):
     from pyspark.sql import functions as F
-    from chunkwise.operators.split import stratified_split
+    from chunkwise.operators.split import hash_split
     df = spark.range(20000).select(F.col("id").alias("doc_id"),
                                    (F.col("id") % 7 == 0).cast("int").alias("y"))
-    a = stratified_split(df, "y", "doc_id", 0.2, 42, method="hash")
-    b = stratified_split(df, "y", "doc_id", 0.2, 42, method="hash")
+    a, b = hash_split(df, "doc_id", 0.2, 42), hash_split(df, "doc_id", 0.2, 42)
     assert a.exceptAll(b).count() == 0
     for r in a.groupBy("y").agg(F.avg((F.col("split") == "test").cast("double")).alias("f")).collect():
         assert abs(r.f - 0.2) < 0.03
@@ -83,7 +86,8 @@ def test_hash_split_is_deterministic_and_proportional(spark):
 
 def test_folds_partition_the_train_split(spark):
     """Folds of the train split are disjoint, cover it exactly, and each
-    class is spread evenly over the folds; split sizes follow ceil(n * 0.2)."""
+    class is spread evenly over the folds; ceil(n * 0.2) rows are held out, each
+    class less than one row from its share."""
     import math
     from pyspark.sql import functions as F
     from chunkwise.operators.split import stratified_folds, stratified_split
@@ -92,7 +96,9 @@ def test_folds_partition_the_train_split(spark):
     sizes = {r.quality: r.n for r in lab.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     tests = {r.quality: r.n for r in split.filter("split = 'test'").groupBy("quality")
              .agg(F.count("*").alias("n")).collect()}
-    assert tests == {q: math.ceil(n * 0.2) for q, n in sizes.items()}
+    total = sum(sizes.values())
+    assert sum(tests.values()) == math.ceil(total * 0.2)
+    assert all(abs(tests[q] - n * math.ceil(total * 0.2) / total) < 1 for q, n in sizes.items())
     train = split.filter("split = 'train'").drop("split")
     folds = stratified_folds(train, "quality", "doc_id", 5, 42)
     assert folds.count() == train.count() == folds.select("doc_id").distinct().count()
@@ -101,3 +107,15 @@ def test_folds_partition_the_train_split(spark):
     for q in sizes:
         counts = [r["count"] for r in per if r.quality == q]
         assert max(counts) - min(counts) <= 1
+
+
+def test_quotas_go_to_the_largest_remainders(spark):
+    from pyspark.sql import functions as F
+    from chunkwise.operators.split import holdout_quotas
+    sizes = {"a": 7, "b": 7, "c": 1, None: 6}                 # 21 rows, ceil(4.2) = 5 held out
+    df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "_cw_t string, _cw_n long")
+    got = {r[0]: r[1] for r in holdout_quotas(df, 0.2).select("_cw_t", "_cw_quota").collect()}
+    # shares 1.67, 1.67, 0.24, 1.43: two rows are left over for a and b
+    assert got == {"a": 2, "b": 2, "c": 0, None: 1}
+    big = spark.createDataFrame([("a", 6 * 10 ** 10), ("b", 4 * 10 ** 10)], "_cw_t string, _cw_n long")
+    assert holdout_quotas(big, 0.2).agg(F.sum("_cw_quota")).first()[0] == 2 * 10 ** 10

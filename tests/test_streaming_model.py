@@ -1,15 +1,16 @@
 """Streaming restarts, model training/scoring plumbing, entry contract."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chunkwise.config import ModelParams
+from chunkwise.config import FeatureSpec, ModelParams
 from chunkwise.operators.features import clean_training_frame
 from chunkwise.operators.model import load_model, save_model, score_batch, train_forest
 from chunkwise.plans.catalog import EVENTS_SCHEMA
 from chunkwise.plans.learned import MODEL_SPEC, _labelled
 from chunkwise.session import scratch_path
-from chunkwise.streaming import (batch_sink, dedupe_stream, file_stream, read_sink,
-                                 run_available_now)
+from chunkwise.streaming import (batch_sink, dedupe_handler, file_stream, progress_points,
+                                 read_sink, run_available_now)
 
 from conftest import SF_SMALL
 
@@ -21,8 +22,7 @@ def test_dedupe_restart_adds_nothing(spark):
     def run():
         a = file_stream(spark, src, EVENTS_SCHEMA)
         b = file_stream(spark, src, EVENTS_SCHEMA)
-        run_available_now(dedupe_stream(a.unionByName(b), "event_id", F.col("ts"), "31 days"),
-                          batch_sink(sink), ckpt)
+        run_available_now(a.unionByName(b), dedupe_handler(sink, "event_id", EVENTS_SCHEMA), ckpt)
         return read_sink(spark, sink).count()
 
     n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
@@ -30,6 +30,19 @@ def test_dedupe_restart_adds_nothing(spark):
     assert run() == n            # restart from the checkpoint: no new rows
 
 
+def test_dedupe_keeps_late_rows(spark):
+    """Three one-row batches, the last one months older, then copies and a replay."""
+    sink = scratch_path(spark, "late")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.StringType())])
+    handle = dedupe_handler(sink, "id", schema)
+    rows = [(1, "2024-06-01"), (2, "2024-06-02"), (3, "2024-01-01"), (1, "2024-06-01"), (None, "x")]
+    for b, row in enumerate(rows):
+        handle(spark.createDataFrame([row], schema), b)
+    handle(spark.createDataFrame([rows[2]], schema), 2)
+    got = sorted((r.id or 0, r.ts) for r in read_sink(spark, sink).collect())
+    assert got == [(0, "x"), (1, "2024-06-01"), (2, "2024-06-02"), (3, "2024-01-01")]
+
+
 def test_train_and_score_small_forest(spark):
     clean = clean_training_frame(_labelled(spark, SF_SMALL), MODEL_SPEC, fill_col=None)
     params = ModelParams(n_estimators=5, max_depth=3)
@@ -66,10 +79,10 @@ def test_batch_predict_end_to_end(spark):
     from chunkwise.operators import validate
     from chunkwise.plans.jobs import batch_predict, train
     from chunkwise.schemas import DATA_ENVELOPE_KEYS
-    from conftest import LAB_PERSONS
+    from conftest import PERSONS
     people = []
     for i in range(40):
-        p = dict(LAB_PERSONS[i % 5])
+        p = dict(PERSONS[i % 5])
         p["personId"] = f"p{i}"
         p["age"] = None if i % 7 == 0 else p["age"] + i      # null age -> filled
         p["sex"] = p["sex"].upper()                          # lower-cased in cleaning
@@ -78,52 +91,56 @@ def test_batch_predict_end_to_end(spark):
     raw = spark.createDataFrame(people).withColumnRenamed("personId", "person_id")
     res = train(raw, FeatureSpec(), ModelParams(n_estimators=3, max_depth=2, n_splits=2))
     assert len(res.fold_metrics) == 2
-    batch = LAB_PERSONS + [{**LAB_PERSONS[0], "embarked": "zz"}]
+    batch = PERSONS + [{**PERSONS[0], "embarked": "zz"}]
     body = spark.createDataFrame([(json.dumps({"data": batch}),)], "body string")
     items = validate.explode_envelope(body, "body", DATA_ENVELOPE_KEYS, "data")
     persons, preds, rejected = batch_predict(res.model, items, map_col="item")
     assert persons.count() == 5 and rejected.count() == 1
     rows = preds.collect()
     assert len(rows) == 5 and all(r.status == "success" for r in rows)
-    assert {r.data.person_id for r in rows} == {p["personId"] for p in LAB_PERSONS}
+    assert {r.data.person_id for r in rows} == {p["personId"] for p in PERSONS}
     assert all(r.data.survived == (1 if r.data.probability > 0.5 else 0) or
                abs(r.data.probability - 0.5) < 0.006 for r in rows)
 
 
-def test_sparse_encoder_matches_dense(spark):
-    """StringIndexer + OneHotEncoder yields exactly the dense processor's
-    feature vectors (unseen -> all zeros).  The forest then sees the one-hot
-    columns as binary categorical features (encoder metadata), so its split
-    search may differ; scores must still be valid probabilities."""
+def test_encoder_matches_dense_features(spark):
+    """The encoder's vectors are the dense processor's columns (unseen and null: zeros)."""
     from pyspark.ml.functions import vector_to_array
     from chunkwise.operators.features import Processor
-    from chunkwise.operators.model import build_pipeline
-    clean = clean_training_frame(_labelled(spark, SF_SMALL), MODEL_SPEC, fill_col=None) \
-        .withColumn("quality", F.col("quality").cast("double"))
-    proc = Processor.fit(clean, MODEL_SPEC)
-    params = ModelParams(n_estimators=5, max_depth=4)
-    dense = build_pipeline(proc, params, "quality").fit(clean)
-    sparse = build_pipeline(proc, params, "quality", encoder="sparse").fit(clean)
+    from chunkwise.operators.model import fit_encoder
+    clean = clean_training_frame(_labelled(spark, SF_SMALL), MODEL_SPEC, fill_col=None)
+    dense = Processor.fit(clean, MODEL_SPEC, with_categories=True)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
-        "doc_id", F.col("n_chars").cast("double").alias("n_chars"), "lang",
-        F.when(F.col("doc_id") % 5 == 0, F.lit("unseen")).otherwise(F.col("source"))
-         .alias("source"))
-    a = {r.doc_id: r.p for r in dense.transform(docs).select(
-        "doc_id", vector_to_array("features").alias("p")).collect()}
-    b = {r.doc_id: r.p for r in sparse.transform(docs).select(
-        "doc_id", vector_to_array("features").alias("p")).collect()}
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+        F.when(F.col("doc_id") % 7 != 0, F.col("lang")).alias("lang"),
+        F.when(F.col("doc_id") % 5 == 0, F.lit("unseen")).otherwise(F.col("source")).alias("source"))
+    a = {r[0]: [float(x) for x in r[1:]] for r in dense.transform(docs, ["doc_id"]).collect()}
+    b = {r.doc_id: r.p for r in fit_encoder(Processor.fit(clean, MODEL_SPEC), clean).transform(docs)
+         .select("doc_id", vector_to_array("features").alias("p")).collect()}
     assert a == b
-    pb = score_batch(sparse, docs)
-    assert pb.count() == docs.count()
-    assert pb.filter((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
 
 
-def test_train_with_sparse_encoder(spark):
+def test_encoder_is_fitted_once_on_its_scope(spark):
+    """Categories of the hold-out are known with fit_scope="all" and unseen with "train"."""
+    rows = [(i, float(i % 7), "rare%d" % i, i % 2) for i in range(60)]
+    clean = spark.createDataFrame(rows, "doc_id long, n_chars double, source string, quality int")
+    spec = FeatureSpec(num_vars=("n_chars",), cat_vars=("source",), target="quality", id_col="doc_id")
+    known = {}
+    for scope in ("all", "train"):
+        res = train_forest(clean, spec, ModelParams(n_estimators=2, max_depth=2, n_splits=2),
+                           fit_scope=scope)
+        known[scope] = {len(s.labelsArray[0]) for s in res.model.stages if hasattr(s, "labelsArray")}
+    assert known == {"all": {60}, "train": {48}}
+
+
+def test_saving_over_a_loaded_model_is_seen(spark):
     clean = clean_training_frame(_labelled(spark, SF_SMALL), MODEL_SPEC, fill_col=None)
-    res = train_forest(clean, MODEL_SPEC, ModelParams(n_estimators=3, max_depth=3),
-                       encoder="sparse")
-    assert res.processor.categories == {"lang": [], "source": []}
-    assert all("error" not in m for m in res.fold_metrics)
+    models = [train_forest(clean, MODEL_SPEC, ModelParams(n_estimators=n, max_depth=2, n_splits=2)).model
+              for n in (1, 3)]
+    path = save_model(models[0], scratch_path(spark, "over"))
+    assert load_model(path).stages[-1].getNumTrees == 1
+    save_model(models[1], path)
+    assert load_model(path).stages[-1].getNumTrees == 3
 
 
 def test_foreach_batch_handlers_are_replay_safe(spark):
@@ -150,34 +167,17 @@ def test_foreach_batch_handlers_are_replay_safe(spark):
     assert spark.read.parquet(sink).count() == 3
 
 
-def test_stream_progress_points(spark):
-    src = f"{SF_SMALL}/events.parq*"
-    sink, ckpt = scratch_path(spark, "pp"), scratch_path(spark, "pp-ckpt")
-    pts = run_available_now(file_stream(spark, src, EVENTS_SCHEMA), batch_sink(sink), ckpt)
-    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
-    assert pts and pts[-1]["current"] == n
-    from chunkwise.streaming import progress_points
-    assert progress_points([{"batchId": 0, "numInputRows": 5}], total=10)[0]["percentage"] == 50.0
-
-
-def test_model_keys_agree(spark):
-    """F15 and T1 against F12 on the same trained model: reloaded model and
-    streamed scoring give exactly the batch predictions."""
-    from chunkwise.plans import QUERIES
-    batch = {(r.doc_id, r.probability, r.survived)
-             for r in QUERIES["score_batch"](spark, SF_SMALL).collect()}
-    reloaded = {(r.doc_id, r.probability, r.survived)
-                for r in QUERIES["model_roundtrip"](spark, SF_SMALL).collect()}
-    streamed = {(r.doc_id, r.probability, r.survived)
-                for r in QUERIES["stream_score"](spark, SF_SMALL).collect()}
-    assert batch == reloaded == streamed
-    one = QUERIES["score_single"](spark, SF_SMALL).collect()
-    assert len(one) == 1 and (one[0].doc_id, one[0].probability, one[0].survived) in batch
-
-
-def test_choose_encoder(spark):
-    from chunkwise.operators.model import choose_encoder
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    assert choose_encoder(docs, ["lang", "source"]) == "dense"
-    assert choose_encoder(docs, ["lang", "source"], limit=10) == "sparse"
-    assert choose_encoder(docs, []) == "dense"
+def test_stream_progress_is_complete(spark):
+    """More micro-batches than Spark keeps in its own list of recent progress."""
+    src, sink = scratch_path(spark, "pp-src"), scratch_path(spark, "pp")
+    n, files = 60, 12
+    spark.range(n).repartition(files).write.parquet(src)
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        stream = file_stream(spark, src, spark.range(1).schema, max_files_per_trigger=1)
+        pts = run_available_now(stream, batch_sink(sink), scratch_path(spark, "pp-ckpt"))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    assert len(pts) == files and pts[-1]["current"] == n
+    assert progress_points([{"batch_id": 0, "rows": 5}], total=10)[0]["percentage"] == 50.0

@@ -1,4 +1,4 @@
-"""Record validation and shaping on small golden fixtures (FIXTURES.md §3)."""
+"""Record validation and shaping on small golden fixtures (invented records)."""
 
 import json
 
@@ -11,7 +11,7 @@ from chunkwise.sources import read_json_objects
 from chunkwise.session import scratch_path
 from chunkwise.functions import iso_timestamp, json_scalar, norm_category, round2
 
-from conftest import LAB_PERSONS
+from conftest import PERSONS
 
 
 def _raw(spark, records):
@@ -25,16 +25,16 @@ def _check(spark, records):
     return validate.validate_persons(_raw(spark, records), map_col="item")
 
 
-def test_lab_set_is_valid(spark):
-    out = _check(spark, LAB_PERSONS).orderBy("item_index").collect()
+def test_valid_set(spark):
+    out = _check(spark, PERSONS).orderBy("item_index").collect()
     assert [r.errors for r in out] == [[]] * 5
-    assert out[0].person_id == "7HrlxtF1"          # camelCase alias accepted
+    assert out[0].person_id == "person000"          # camelCase alias accepted
     assert out[0].survived == 0                    # default applied to an absent field
-    assert out[3].fare == 181.33 and out[2].pclass == 3
+    assert out[3].fare == 42.5 and out[2].pclass == 3
 
 
 def test_edge_rows(spark):
-    base = dict(LAB_PERSONS[0])
+    base = dict(PERSONS[0])
     cases = [
         {**base, "sex": "  FeMale\t"},             # padded / mixed case -> ok
         {**base, "embarked": "x"},                 # unknown category
@@ -58,7 +58,7 @@ def test_edge_rows(spark):
 
 def test_typed_json_rounds_numbers_only(spark):
     from chunkwise.schemas import PERSONS_ENVELOPE_TYPED
-    base = dict(LAB_PERSONS[0])
+    base = dict(PERSONS[0])
     cases = [
         {**base, "age": 22.555, "fare": "7.255"},   # number rounded, quoted kept
         {**base, "personId": 123},                  # non-string id rejected
@@ -77,7 +77,7 @@ def test_typed_json_rounds_numbers_only(spark):
 
 
 def test_quarantine_keeps_every_row(spark):
-    recs = [dict(p) for p in LAB_PERSONS] + [{**LAB_PERSONS[0], "sex": "unknown"}]
+    recs = [dict(p) for p in PERSONS] + [{**PERSONS[0], "sex": "unknown"}]
     checked = _check(spark, recs)
     valid, rejected = validate.split_valid(checked)
     assert valid.count() + rejected.count() == len(recs)
@@ -85,7 +85,7 @@ def test_quarantine_keeps_every_row(spark):
 
 
 def test_fail_chunk_rejects_whole_chunk(spark):
-    recs = [dict(p) for p in LAB_PERSONS] + [{**LAB_PERSONS[0], "sex": "unknown"}]
+    recs = [dict(p) for p in PERSONS] + [{**PERSONS[0], "sex": "unknown"}]
     checked = _check(spark, recs) \
                       .withColumn("chunk_id", (F.col("item_index") / 3).cast("long"))
     valid, rejected = validate.split_valid(checked, mode="fail_chunk")
@@ -94,7 +94,7 @@ def test_fail_chunk_rejects_whole_chunk(spark):
 
 
 def test_fail_job_raises(spark):
-    recs = [{**LAB_PERSONS[0], "sex": "unknown"}]
+    recs = [{**PERSONS[0], "sex": "unknown"}]
     checked, _ = validate.split_valid(_check(spark, recs), "fail_job")
     with pytest.raises(Exception, match="validation failed"):
         checked.collect()
@@ -109,10 +109,10 @@ def test_empty_input(spark):
 
 
 def test_single_endpoint_takes_first(spark):
-    body = spark.createDataFrame([(json.dumps({"data": LAB_PERSONS[:2]}),)], "body string")
+    body = spark.createDataFrame([(json.dumps({"data": PERSONS[:2]}),)], "body string")
     one = validate.explode_envelope(body, "body", DATA_ENVELOPE, "data", first_only=True)
     rows = one.select("item.personId").collect()
-    assert [r.personId for r in rows] == ["7HrlxtF1"]
+    assert [r.personId for r in rows] == ["person000"]
 
 
 def test_scalars(spark):
@@ -134,6 +134,9 @@ def test_round_python_matches_python(spark):
     xs = [2.675, 2.665, 1.005, 0.125, 0.375, -2.675, 22.555, 0.005, 1e-9, 12345678.125]
     xs += [round(rnd.uniform(-1000, 1000), 3) for _ in range(5000)]
     xs += [k / 8 for k in range(-800, 800)]
+    xs += [123456789012345.67, 70368744177663.985, 70368744177664.01, 45035996273704.955]
+    xs += [rnd.uniform(-1, 1) * 10 ** rnd.uniform(6, 15) for _ in range(5000)]
+    xs += [(2 * rnd.randrange(2 ** 45) + 1) / 2 ** k for k in range(1, 9) for _ in range(200)]
     df = spark.createDataFrame([(v,) for v in xs], "x double")
     for d in (1, 2):
         got = [r[0] for r in df.select(round2("x", d).alias("r")).collect()]
@@ -157,7 +160,7 @@ def test_json_array_file(spark):
     from chunkwise.session import local_path
     os.makedirs(local_path(path), exist_ok=True)
     with open(os.path.join(local_path(path), "a.json"), "w") as fh:
-        json.dump(LAB_PERSONS, fh)
+        json.dump(PERSONS, fh)
     df = read_json_objects(spark, path, array_file=True)
     assert df.count() == 5
     checked = validate.validate_persons(df, map_col="record", keep=["item_index"])
@@ -166,7 +169,7 @@ def test_json_array_file(spark):
 
 def test_malformed_envelope_is_rejected_not_dropped(spark):
     bodies = spark.createDataFrame([("not json",), ('{"data": []}',),
-                                    (json.dumps({"data": LAB_PERSONS[:1]}),)], "body string")
+                                    (json.dumps({"data": PERSONS[:1]}),)], "body string")
     items = validate.explode_envelope(bodies, "body", DATA_ENVELOPE_KEYS, "data", keep=["body"])
     checked = validate.validate_persons(items, map_col="item", keep=["body"])
     valid, rejected = validate.split_valid(checked)
@@ -175,7 +178,7 @@ def test_malformed_envelope_is_rejected_not_dropped(spark):
 
 
 def test_write_split_one_pass(spark):
-    recs = [dict(p) for p in LAB_PERSONS] + [{**LAB_PERSONS[0], "sex": "unknown"}]
+    recs = [dict(p) for p in PERSONS] + [{**PERSONS[0], "sex": "unknown"}]
     paths = validate.write_split(_check(spark, recs), scratch_path(spark, "split"))
     assert spark.read.parquet(paths["valid"]).count() == 5
     bad = spark.read.parquet(paths["rejected"]).collect()
@@ -183,7 +186,7 @@ def test_write_split_one_pass(spark):
 
 
 def test_all_null_records_are_rejected(spark):
-    nulls = [{k: None for k in LAB_PERSONS[0]} for _ in range(3)]
+    nulls = [{k: None for k in PERSONS[0]} for _ in range(3)]
     checked = _check(spark, nulls)
     valid, rejected = validate.split_valid(checked)
     assert valid.count() == 0 and rejected.count() == 3
@@ -201,6 +204,8 @@ def test_json_lines_keep_malformed_records(spark):
     with open(os.path.join(local_path(path), "part.json"), "w") as fh:
         fh.write('{"a": 1, "b": "x"}\n{"a": 2, \n{"a": 3, "b": "z"}\n')
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        read_json_records(spark, path, schema).collect()
     df = read_json_records(spark, path, schema, corrupt_col="_bad").cache()
     assert df.count() == 3
     assert df.filter(F.col("_bad").isNotNull()).count() == 1
@@ -214,7 +219,7 @@ def test_processor_roundtrip_and_transform(spark):
     from chunkwise.operators.features import Processor
     df = spark.createDataFrame([(1.0, "a"), (3.0, "b"), (2.0, None)], "x double, c string")
     spec = FeatureSpec(num_vars=("x",), cat_vars=("c",), target="y", id_col="id")
-    proc = Processor.fit(df, spec)
+    proc = Processor.fit(df, spec, with_categories=True)
     again = Processor.from_json(proc.to_json())
     assert again == proc and proc.feature_names() == ["num_vars__x", "cat_vars__c_a",
                                                        "cat_vars__c_b"]
@@ -224,14 +229,30 @@ def test_processor_roundtrip_and_transform(spark):
 
 
 def test_fail_job_survives_column_pruning(spark):
-    recs = [dict(p) for p in LAB_PERSONS] + [{**LAB_PERSONS[0], "sex": "unknown"}]
+    recs = [dict(p) for p in PERSONS] + [{**PERSONS[0], "sex": "unknown"}]
     checked, _ = validate.split_valid(_check(spark, recs), "fail_job")
     with pytest.raises(Exception, match="validation failed"):
         checked.select("person_id").collect()
-    ok, _ = validate.split_valid(_check(spark, LAB_PERSONS), "fail_job")
+    ok, _ = validate.split_valid(_check(spark, PERSONS), "fail_job")
     assert ok.select("person_id").count() == 5
 
 
 def test_fail_chunk_needs_chunk_ids(spark):
     with pytest.raises(ValueError, match="assign_chunks"):
-        validate.split_valid(_check(spark, LAB_PERSONS), "fail_chunk")
+        validate.split_valid(_check(spark, PERSONS), "fail_chunk")
+
+
+def test_lax_numbers(spark):
+    from chunkwise.functions import lax_double, lax_int
+    cases = {"2": 2, "2.0": 2, " 7 ": 7, "-2147483648": -2147483648, "9223372036854775807": 2 ** 63 - 1,
+             "9223372036854775808": None, "2.5": None, "12d": None, "12f": None, "1e3": None, "": None,
+             "abc": None, "0x10": None, "1 2": None, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    assert [r.v for r in df.select(lax_int("s").alias("v")).collect()] == list(cases.values())
+    doubles = {"1.5": 1.5, "1e3": 1000.0, "-.5": -0.5, "12d": None, "5f": None, "": None, "x": None}
+    df = spark.createDataFrame([(k,) for k in doubles], "s string")
+    assert [r.v for r in df.select(lax_double("s").alias("v")).collect()] == list(doubles.values())
+    df = spark.createDataFrame([(3.0, 2 ** 62 + 1), (1e10, 5), (2.5, None)], "d double, n bigint")
+    assert [tuple(r) for r in df.select(lax_int("d"), lax_int("n")).collect()] == \
+        [(3, 2 ** 62 + 1), (10 ** 10, 5), (None, None)]
+    assert lax_int("s") is not None and df.select(lax_int("d").alias("v")).dtypes == [("v", "bigint")]

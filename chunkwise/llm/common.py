@@ -164,7 +164,7 @@ _BLOCK = 4096
 def array_blocks(values: np.ndarray) -> pa.RecordBatch:
     """A task's array of float64 as (block, lane, cells) rows for ``sum_arrays``."""
     parts = [values[k:k + _BLOCK] for k in range(0, len(values), _BLOCK)]
-    lane = TaskContext.get().partitionId() % 64
+    lane = TaskContext.get().partitionId() % 16
     return pa.RecordBatch.from_arrays(
         [pa.array(np.arange(len(parts))), pa.array(np.full(len(parts), lane)),
          pa.array([p.astype(np.float64).tobytes() for p in parts], pa.binary())],

@@ -14,7 +14,8 @@ sketch over all documents (its size is fixed; a wrong estimate costs time, never
    a metric), then expanded to members and verified.  So every link between components is
    found, while a group of near copies costs about one comparison per member.
 
-Shingle sets are read again only for documents that share a prefix shingle with others.
+Group pairs are filtered by size, by position and by the overlap of their whole prefixes;
+shingle sets are read again only for the documents of the pairs that remain.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from .components import components
 WIDTH = 4
 PERCENT = 85
 #: Cells of the counting sketch (4 bytes each), sent to the tasks.
-CELLS = 1 << 19
+CELLS = 1 << 18
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -119,13 +120,42 @@ def _sets_of(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
                     [rows.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
                     ["rep", "shingles"])
 
-    return stored(docs.filter(wanted.maybe(F.xxhash64("doc_id")))
-                  .mapInArrow(run, "rep bigint, shingles binary")
-                  .dropDuplicates(), "join-sets")
+    return (docs.filter(wanted.maybe(F.xxhash64("doc_id")))
+            .mapInArrow(run, "rep bigint, shingles binary").dropDuplicates())
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, na, nb, common) of the pairs (a, b)."""
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two arrays of distinct values, the second one sorted."""
+    if not len(x) or not len(y):
+        return 0
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum())
+
+
+def _may_link(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """The group pairs (ga, gb) that their prefixes allow to link: of the one whose prefix
+    ends first in the common order, all shared shingles are in both prefixes or after its
+    own, so the overlap is at most the prefixes' overlap and the longer rest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, na, nb in zip(batch.column("pa"), batch.column("pb"),
+                                    batch.column("na").to_pylist(), batch.column("nb").to_pylist()):
+                x, y = x.values.to_numpy(), np.sort(y.values.to_numpy())
+                most = _common(x, y) + max(na - len(x), nb - len(y))
+                keep.append((100 + percent) * most >= percent * (na + nb))
+            yield batch.select(["ga", "gb"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda s: groups.select(F.col("gid").alias(f"g{s}"), F.col("n").alias(f"n{s}"),
+                                   F.col("prefix").alias(f"p{s}"))
+    return (pairs.join(side("a"), "ga").join(side("b"), "gb")
+            .select("ga", "gb", "na", "nb", "pa", "pb").mapInArrow(run, "ga bigint, gb bigint"))
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(a, b, na, nb, common) of the pairs (a, b), whose texts are read for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,23 +163,26 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for x, y in zip(batch.column("sa"), batch.column("sb")):
                 x = np.frombuffer(x.as_buffer(), np.int64)
                 y = np.frombuffer(y.as_buffer(), np.int64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                sizes.append((len(x), len(y), int((y[at] == x).sum())))
+                sizes.append((len(x), len(y), _common(x, y)))
             na, nb, common = zip(*sizes) if sizes else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(na, pa.int64()),
                  pa.array(nb, pa.int64()), pa.array(common, pa.int64())],
                 ["a", "b", "na", "nb", "common"])
 
+    pairs = stored(pairs, "join-pairs")
+    sets = stored(_sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(),
+                           width), "join-sets")
     both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b"))
     return both.select("a", "b", "sa", "sb").mapInArrow(
         run, "a bigint, b bigint, na bigint, nb bigint, common bigint")
 
 
+def _sizes_fit(n, m, percent: int):
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
@@ -165,11 +198,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_rows = heads.count()
     some = heads.filter("n > 0")
     classes = stored(some.groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("grp").alias("grp"), F.first("prefix").alias("prefix")), "join-classes")
-    groups = stored(classes.groupBy("grp").agg(
-        F.min("rep").alias("gid"), F.count(F.lit(1)).alias("members"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix")), "join-groups")
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
+        F.first("grp").alias("grp")), "join-classes")
+    heads_of = some.groupBy("grp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    groups = stored(classes.groupBy("grp").agg(F.min("rep").alias("gid"),
+                                               F.count(F.lit(1)).alias("members"))
+                    .join(heads_of, "grp"), "join-groups")
 
     # the index: shingles that are in the prefixes of two groups or more
     shared = stored(groups.select(F.explode("prefix").alias("token")).groupBy("token")
@@ -200,15 +234,20 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     index = stored(index.join(centre, "token"), "join-index")
     member = classes.select("grp", "rep").join(groups.select("grp", "gid", "members"), "grp")
     member = stored(member.select("rep", "gid", "members"), "join-members")
-    stars = (index.filter("gid <> centre")
-             .select(F.least("gid", "centre").alias("a"), F.greatest("gid", "centre").alias("b"))
+    middle = groups.select(F.col("gid").alias("centre"), F.col("n").alias("m"))
+    place = index.filter("gid = centre").select("token", F.col("pos").alias("place"))
+    room = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("place"))
+    stars = (index.filter("gid <> centre").join(place, "token").join(middle, "centre")
+             .filter(_sizes_fit(F.col("n"), F.col("m"), percent)
+                     & ((100 + percent) * room >= percent * (F.col("n") + F.col("m"))))
+             .select(F.least("gid", "centre").alias("ga"), F.greatest("gid", "centre").alias("gb"))
+             .distinct())
+    stars = (_may_link(stars, groups, percent).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
              .unionByName(member.filter("rep <> gid").select(F.col("gid").alias("a"),
-                                                             F.col("rep").alias("b"))).distinct())
-    sets = _sets_of(rows, index.select(F.col("gid").alias("rep"))
-                    .unionByName(member.filter("members > 1").select("rep")).distinct(), width)
+                                                             F.col("rep").alias("b"))))
     alike = F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb")
                                                               - F.col("common"))
-    near = stored(_verify(stars, sets), "join-stars")
+    near = stored(_verify(stars, rows, width), "join-stars")
     links = near.filter(alike).select("a", "b")
     first = components(links)
 
@@ -221,7 +260,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distance = near.select(F.col("a").alias("x"), F.col("b").alias("y"),
                            (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
                            .alias("far"))
-    distance = distance.unionByName(distance.select(F.col("y").alias("x"), F.col("x").alias("y"), "far"))
+    distance = (distance.unionByName(distance.select(F.col("y").alias("x"), F.col("x").alias("y"), "far"))
+                # an id that has several texts has no one distance
+                .groupBy("x", "y").agg(F.when(F.count(F.lit(1)) == 1, F.first("far")).alias("far")))
     marked = (index.join(whole, "gid")
               .join(distance, (F.col("gid") == F.col("x")) & (F.col("centre") == F.col("y")), "left")
               .select("token", "gid", "n", "pos", "centre", "lo", "hi",
@@ -243,23 +284,23 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                            lambda d: size_class + d)).alias("size")))
     other = marked.select("token", "n", "pos", "lo", "hi", "far", "gid", size_class)
     p, o = probe.alias("p"), other.alias("o")
-    least = lambda x, y: F.when(F.col(x) < F.col(y), F.col(x)).otherwise(F.col(y))
     room = F.least(F.col("p.n") - F.col("p.pos"), F.col("o.n") - F.col("o.pos"))
     rest = (p.join(o, (F.col("p.token") == F.col("o.token")) & (F.col("p.size") == F.col("o.size"))
                    & (F.col("p.gid") != F.col("o.gid"))
                    & ((F.col("p.lo") != F.col("o.lo")) | (F.col("p.lo") != F.col("p.hi"))
                       | (F.col("o.lo") != F.col("o.hi")))
-                   & (100 * least("p.n", "o.n") >= percent * F.greatest("p.n", "o.n"))
+                   & _sizes_fit(F.col("p.n"), F.col("o.n"), percent)
                    & ((100 + percent) * room >= percent * (F.col("p.n") + F.col("o.n")))
                    & (F.coalesce(F.abs(F.col("p.far") - F.col("o.far")), F.lit(0.0)) <= slack))
             .select(F.least("p.gid", "o.gid").alias("ga"), F.greatest("p.gid", "o.gid").alias("gb"))
             .unionByName(whole.filter("lo <> hi").select(F.col("gid").alias("ga"),
                                                          F.col("gid").alias("gb"))).distinct())
+    rest = _may_link(rest, groups, percent)
     side = lambda s: label.select(F.col("gid").alias(f"g{s}"), F.col("rep").alias(s),
                                   F.col("component").alias(f"c{s}"))
     pairs = (rest.join(side("a"), "ga").join(side("b"), "gb").filter("ca <> cb and a <> b")
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = stored(_verify(pairs, sets).filter(alike).select("a", "b"), "join-more")
+    more = stored(_verify(pairs, rows, width).filter(alike).select("a", "b"), "join-more")
     final = components(links.unionByName(more))
 
     found = (classes.select("cls", "rep", "copies")

@@ -31,7 +31,8 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors (once a session): task functions import it there."""
+    """Send the package to the executors (once a session): task functions import it there.
+    Only the driver reads the archive; Spark passes it on, as with ``--py-files``."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

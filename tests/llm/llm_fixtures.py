@@ -1,3 +1,5 @@
+"""Fixtures of the training-data tests, imported by name."""
+
 import random
 
 import pytest

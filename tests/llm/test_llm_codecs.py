@@ -14,6 +14,8 @@ from chunkwise.llm.piece_codec import PieceCodec, WordMemory, digests, encode_de
 from chunkwise.llm.token_orc import CachedEncoder, lookup, read_token_files, tokenize_to_orc, write_token_files
 from chunkwise.session import scratch_path
 
+from llm_fixtures import edge, empty  # noqa: F401
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 

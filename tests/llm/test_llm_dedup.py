@@ -3,6 +3,8 @@ from collections import defaultdict
 
 from chunkwise.llm.bloom_dedup import drop_copies, exact_groups
 
+from llm_fixtures import edge, empty  # noqa: F401
+
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 

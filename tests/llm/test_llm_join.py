@@ -6,6 +6,8 @@ import pytest
 from chunkwise.llm.components import components
 from chunkwise.llm.group_join import drop_near_copies, near_components, shingle_sets
 
+from llm_fixtures import edge, empty  # noqa: F401
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

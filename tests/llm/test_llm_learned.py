@@ -10,7 +10,7 @@ from chunkwise.llm.common import table, word_hashes
 from chunkwise.llm.cotrain import keep_good, score_quality, text_features
 from chunkwise.llm.toxicity import FactorizationMachine, doc_terms, score_toxicity
 
-from conftest import prose
+from llm_fixtures import edge, empty, labels, prose  # noqa: F401
 
 
 def held_out_accuracy(found, truth):

@@ -5,6 +5,8 @@ import pytest
 
 from chunkwise.llm.mixing import mix, source_targets, take_mix
 
+from llm_fixtures import edge, empty  # noqa: F401
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

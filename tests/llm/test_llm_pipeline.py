@@ -11,6 +11,7 @@ from chunkwise.llm.cotrain import score_quality
 from chunkwise.llm.mixing import mix
 
 from conftest import SF_CHECK
+from llm_fixtures import edge, empty  # noqa: F401
 from test_llm_join import brute
 
 UPPER = re.compile("[A-Z]")

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType
+from pyspark.sql.types import BinaryType, BooleanType, StructField, StructType
 
 from .common import id_text, fresh, stored
 
@@ -29,11 +29,15 @@ FILTER_BITS = 1 << 27
 HOT_SHARE = 1000
 
 
+def _digests(text: pa.Array) -> list[bytes]:
+    # bytes.lower() changes A-Z only
+    return [hashlib.sha256((t or b"").lower()).digest()
+            for t in text.cast(pa.large_binary()).to_pylist()]
+
+
 @F.arrow_udf(BinaryType())
 def _sha256(text: pa.Array) -> pa.Array:
-    # bytes.lower() changes A-Z only
-    return pa.array([hashlib.sha256((t or b"").lower()).digest()
-                     for t in text.cast(pa.large_binary()).to_pylist()], pa.binary())
+    return pa.array(_digests(text), pa.binary())
 
 
 def _half(sha: Column, part: int) -> Column:
@@ -82,6 +86,26 @@ class RepeatFilter:
             out.tables.append(spark.sparkContext.broadcast(words))
         return out
 
+    def tested(self, text: Column) -> Column:
+        """Struct (sha, maybe) of a text: its digest, and False only where no other row has
+        the same one."""
+        bits, shards, tables = self.bits, self.shards, self.tables
+
+        @F.arrow_udf(StructType([StructField("sha", BinaryType()), StructField("maybe", BooleanType())]))
+        def run(text: pa.Array) -> pa.Array:
+            digests = _digests(text)
+            x = [int.from_bytes(d[:15], "big") for d in digests]
+            h = np.array([[v >> 60, v & (1 << 60) - 1] for v in x], np.int64).reshape(-1, 2)
+            shard, maybe = (h[:, 0] >> 40) % shards, np.ones(len(x), bool)
+            for s in np.unique(shard):
+                at, words = shard == s, tables[s].value
+                for p in (h[at, 0] % (bits // 2), h[at, 1] % (bits // 2) + bits // 2):
+                    maybe[at] &= (words[p >> 6] >> (p & 63).astype(np.uint64) & np.uint64(1)) > 0
+            return pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(maybe)],
+                                              ["sha", "maybe"])
+
+        return run(text)
+
     def maybe_repeated(self, h0: Column, h1: Column) -> Column:
         """False only where no other row has the same hash."""
         tables = self.tables
@@ -141,11 +165,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = docs.columns
     filt = RepeatFilter.build(stored(text_keys(docs, id_col, text_col).select("h0", "h1"),
                                      "dedup-hashes"), filter_bits)
-    sha, row = fresh("_sha", names), fresh("_row", names)
-    keyed = docs.withColumn(sha, _sha256(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    maybe = filt.maybe_repeated(_half(F.col(sha), 0), _half(F.col(sha), 1))
+    test, sha, row = fresh("_test", names), fresh("_sha", names), fresh("_row", names)
+    keyed = docs.withColumn(test, filt.tested(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    maybe = F.col(test)["maybe"]
     cols = [F.col(f"`{c}`") for c in names]
     best = F.struct(F.col(id_col).cast("long"), F.xxhash64(*cols))
-    once = (keyed.filter(maybe).groupBy(sha).agg(F.max_by(F.struct(*cols), best).alias(row))
+    once = (keyed.filter(maybe).withColumn(sha, F.col(test)["sha"]).groupBy(sha).agg(F.max_by(F.struct(*cols), best).alias(row))
             .select(*[F.col(row)[c].alias(c) for c in names]))
     return keyed.filter(~maybe).select(*cols).unionByName(once)

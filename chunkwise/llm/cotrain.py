@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
-from .common import BLANKS, fresh, slices, stored, utf8, word_hashes
+from .common import BLANKS, slices, stored, utf8, word_hashes
 from .toxicity import fold
 
 ROUNDS = 3
@@ -97,6 +97,14 @@ def with_views(docs: DataFrame, content: str, metadata: str, text_col: str = "te
             .withColumn(metadata, _metadata(*[F.col(c) for c in meta_cols])))
 
 
+_SCORES = StructType([StructField(n, DoubleType()) for n in ("content", "metadata", "both")])
+
+
+def _rows(vectors: pa.Array) -> np.ndarray:
+    return vectors.flatten().to_numpy().reshape(len(vectors), -1) if len(vectors) else \
+        np.zeros((0, 1))
+
+
 @dataclass
 class QualityModel:
     """Weights and intercept of both views, their calibration, and the share of good ones."""
@@ -107,20 +115,31 @@ class QualityModel:
 
     def score(self, content: Column, metadata: Column) -> Column:
         """Struct (content, metadata, both): probabilities of good quality."""
-        model, names = self, ("content", "metadata", "both")
+        model = self
 
-        @F.arrow_udf(StructType([StructField(n, DoubleType()) for n in names]))
+        @F.arrow_udf(_SCORES)
         def run(x: pa.Array, z: pa.Array) -> pa.Array:
-            logits = []
-            for v, (w, b), (slope, shift) in zip((x, z), model.views, model.scales):
-                rows = v.flatten().to_numpy().reshape(len(v), len(w)).astype(float)
-                logits.append((rows @ w + b) * slope + shift)
-            logits.append(logits[0] + logits[1] - model.prior)
-            probs = [1 / (1 + np.exp(-np.clip(t, -35, 35))) for t in logits]
-            return pa.StructArray.from_arrays([pa.array(p) for p in probs], list(names))
+            return model._scores(_rows(x), _rows(z))
 
         return run(content, metadata)
 
+    def score_text(self, text: Column, metadata: Column) -> Column:
+        """The same from the text itself, in one step."""
+        model = self
+
+        @F.arrow_udf(_SCORES)
+        def run(text: pa.Array, z: pa.Array) -> pa.Array:
+            return model._scores(text_features(text), _rows(z))
+
+        return run(text, metadata)
+
+    def _scores(self, *views: np.ndarray) -> pa.Array:
+        logits = [(v.astype(float) @ w + b) * slope + shift
+                  for v, (w, b), (slope, shift) in zip(views, self.views, self.scales)]
+        logits.append(logits[0] + logits[1] - self.prior)
+        probs = [1 / (1 + np.exp(-np.clip(t, -35, 35))) for t in logits]
+        return pa.StructArray.from_arrays([pa.array(p) for p in probs], _SCORES.fieldNames())
+
 
 def _fit(rows: DataFrame, features: str, penalty: float) -> tuple[np.ndarray, float]:
     m = (LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
@@ -209,7 +228,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs`` that score 0.5 or more; rows don't shuffle."""
     model = train(_labelled(docs, labels, id_col, text_col, label_col, meta_cols))
     names = docs.columns
-    x, z = fresh("_content", names), fresh("_metadata", names)
-    rows = with_views(docs, x, z, text_col, meta_cols)
-    return (rows.filter(model.score(F.col(x), F.col(z))["both"] >= 0.5)
-            .select(*[F.col(f"`{c}`") for c in names]))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    score = model.score_text(text, _metadata(*[F.col(c) for c in meta_cols]))
+    return docs.filter(score["both"] >= 0.5).select(*[F.col(f"`{c}`") for c in names])

@@ -27,7 +27,7 @@ from .common import id_text, slices
 
 SPACE = "▁"
 #: Distinct words that a task remembers.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 _NONE = np.int64(1 << 40)
 
 codecs.register_error("piece_bytes", lambda e: ("�", e.start + 1))
@@ -128,6 +128,9 @@ class PieceCodec:
         # a piece with a space inside would reach across the cuts: then texts stay whole
         inner = any(SPACE in p.lstrip(SPACE) for p in ids)
         self.word = re.compile("(?s:.+)" if inner else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.forget()
+
+    def forget(self) -> None:
         self.memory = WordMemory(lambda words: (words, *self._encode_words(words)), REMEMBERED)
 
     def _ranks(self, ids: dict[str, int], scores: list[float]) -> None:
@@ -272,14 +275,17 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
-        for batch in batches:
-            for a, b in slices(batch.column(1)):
-                part = batch.slice(a, b - a)
-                ids, counts = c.encode(part.column(1).to_pylist())
-                offs = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offs), pa.array(ids)),
-                     pa.array(c.decode(ids, counts), pa.string())], ["doc_id", "ids", "decoded"])
+        try:
+            for batch in batches:
+                for a, b in slices(batch.column(1)):
+                    part = batch.slice(a, b - a)
+                    ids, counts = c.encode(part.column(1).to_pylist())
+                    offs = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.ListArray.from_arrays(pa.array(offs), pa.array(ids)),
+                         pa.array(c.decode(ids, counts), pa.string())], ["doc_id", "ids", "decoded"])
+        finally:
+            c.forget()  # the worker outlives the task
 
     return id_text(docs, id_col, text_col).mapInArrow(
         run, "doc_id bigint, ids array<int>, decoded string")

@@ -180,6 +180,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sizes_fit(n, m, percent: int):
+    """Sets of such different sizes can't be similar enough."""
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
@@ -271,8 +272,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                              .otherwise(F.col("far"))).alias("far")))
     marked = stored(marked, "join-marked")
     main = (marked.filter("lo = hi").groupBy("token", "lo").count()
-            .groupBy("token").agg(F.max_by("lo", F.struct("count", "lo")).alias("main"),
-                                  F.max("count").alias("most")))
+            .groupBy("token").agg(F.max_by("lo", F.struct("count", "lo")).alias("main")))
     slack = F.lit(1 - percent / 100 + 1e-9)
     # beyond the centre's component and its surroundings, only groups outside a shingle's
     # main component need partners; a partner is at most one size class away

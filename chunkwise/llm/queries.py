@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bidi_lm, bloom_dedup, cotrain, group_join, lsh_forest, mixing, piece_codec, token_orc, toxicity,
-               url_cascade)
+from . import (bidi_lm, bloom_dedup, cotrain, group_join, lsh_forest, mixing, piece_codec,
+               token_orc, toxicity, url_cascade)
 from .common import table
 
 #: The rules of op4: (host, path, verdict).

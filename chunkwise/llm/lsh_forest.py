@@ -11,6 +11,9 @@ Two passes over the trees, dealt by (tree, first bits, block):
 * ascending: all trees together, from the longest prefixes up, until a query has enough
   candidates; their exact inner products give its nearest.
 
+Queries that have too few candidates in the first deal are dealt again by half as many bits,
+and so on; those without enough on any prefix are compared with every entry, in blocks.
+
 How many candidates are enough is fitted on a bounded sample, for its recall; every row is
 indexed.  Rows with equal vectors are one entry of the index with their smallest ids, more
 of which can't be among the nearest; large prefix groups are cut into blocks, and their
@@ -20,6 +23,7 @@ queries go to every block.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -89,7 +93,7 @@ class Fit:
                 totals[:, level] += (same >= level).sum(1)
         reach = np.take_along_axis(common, best, 1)
         for share in SHARES:
-            level = np.maximum((totals >= max(share * n, TREES * min(LEAST, n))).sum(1) - 1, 0)
+            level = np.maximum((totals >= max(share * n, TREES * min(max(LEAST, k + 1), n))).sum(1) - 1, 0)
             recall = float((reach >= level[:, None]).mean())
             if recall >= RECALL:
                 break
@@ -133,7 +137,7 @@ def nearest(vectors: DataFrame, query_where: str, k: int = 20, id_col: str = "ve
                                           * v.cast("double")))).first()[0] or 0.0
     sample = entries.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_ROWS).select("vec").toArrow()
     fit = Fit.on(_matrix(sample["vec"]), norm2, k) if n else Fit(SHARES[-1], 1.0)
-    enough = max(fit.share * n, TREES * LEAST)
+    enough = max(fit.share * n, TREES * max(LEAST, most))
     bits = min(20, max(0, int(np.log2(max(TREES * n / enough, 1))) - 1))
 
     def coded(lifted: bool):
@@ -148,40 +152,38 @@ def nearest(vectors: DataFrame, query_where: str, k: int = 20, id_col: str = "ve
                     [*batch.schema.names, "codes"])
         return run
 
-    def dealt(df: DataFrame, lifted: bool) -> DataFrame:
+    def dealt(df: DataFrame, lifted: bool, bits: int) -> DataFrame:
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
         return (df.mapInArrow(coded(lifted), f"{fields}, codes array<bigint>")
                 .select(*df.columns, F.posexplode("codes").alias("tree", "code"))
                 .withColumn("head", F.shiftright("code", BITS - bits)))
 
-    index = dealt(entries.select("rep", "ids", "vec"), True)
-    sizes = stored(index.groupBy("tree", "head").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("blocks")), "forest-sizes")
     key = ["tree", "head", "block"]
-    index = index.join(sizes, ["tree", "head"]).withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    wanted = dealt(queries.select("rep", "vec"), False).join(sizes, ["tree", "head"]).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-
-    def descend(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        code, q = np.sort(rows["code"].to_numpy()), asked["code"].to_numpy()
-        rep, out = asked["rep"].to_numpy(), []
-        for level in range(bits, BITS + 1):
-            lo, hi = _level_counts(code, q, level)
-            some = hi > lo
-            if not some.any():
-                break
-            out.append((rep[some], np.full(int(some.sum()), level), (hi - lo)[some]))
-        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
-        return pa.table({"rep": cols[0].astype(np.int64), "level": cols[1].astype(np.int32),
-                         "n": cols[2].astype(np.int64)})
-
-    counted = (index.select(*key, "code").groupBy(*key)
-               .cogroup(wanted.select(*key, "code", "rep").groupBy(*key))
-               .applyInArrow(descend, "rep bigint, level int, n bigint"))
-    depth = stored(counted.groupBy("rep", "level").agg(F.sum("n").alias("n"))
-                   .filter(F.col("n") >= enough).groupBy("rep").agg(F.max("level").alias("level")),
-                   "forest-depth")
+
+    def in_blocks(index: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Both sides with their blocks, of the heads that hold entries and queries."""
+        sizes = stored(index.groupBy("tree", "head").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"))
+            .join(wanted.select("tree", "head").distinct(), ["tree", "head"]), "forest-sizes")
+        return (index.join(sizes, ["tree", "head"]).withColumn(
+                    "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")),
+                wanted.join(sizes, ["tree", "head"]).withColumn(
+                    "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+
+    def descend(bits: int, below: int):
+        def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+            code, q = np.sort(rows["code"].to_numpy()), asked["code"].to_numpy()
+            rep, out = asked["rep"].to_numpy(), []
+            for level in range(bits, below):
+                lo, hi = _level_counts(code, q, level)
+                some = hi > lo
+                if not some.any():
+                    break
+                out.append((rep[some], np.full(int(some.sum()), level), (hi - lo)[some]))
+            cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
+            return pa.table({"rep": cols[0].astype(np.int64), "level": cols[1].astype(np.int32),
+                             "n": cols[2].astype(np.int64)})
+        return run
 
     def ascend(rows: pa.Table, asked: pa.Table) -> pa.Table:
         order = np.argsort(rows["code"].to_numpy(), kind="stable")
@@ -209,11 +211,34 @@ def nearest(vectors: DataFrame, query_where: str, k: int = 20, id_col: str = "ve
             pa.array([], pa.list_(pa.int64()))
         return pa.table({"rep": cols[0].astype(np.int64), "ids": got, "score": cols[2].astype(float)})
 
-    asked_at = (wanted.join(depth, "rep", "left")
-                .select(*key, "code", "rep", "vec", F.coalesce("level", F.lit(bits)).alias("level")))
-    found = (index.select(*key, "code", "rep", "ids", "vec").groupBy(*key)
-             .cogroup(asked_at.groupBy(*key))
-             .applyInArrow(ascend, "rep bigint, ids array<bigint>, score double"))
+    def scored(index: DataFrame, asked_at: DataFrame) -> DataFrame:
+        return stored(index.select(*key, "code", "rep", "ids", "vec").groupBy(*key)
+                      .cogroup(asked_at.select(*key, "code", "rep", "vec", "level").groupBy(*key))
+                      .applyInArrow(ascend, "rep bigint, ids array<bigint>, score double"),
+                      "forest-found")
+
+    index_rows, parts = entries.select("rep", "ids", "vec"), []
+    pending, below = queries.select("rep", "vec"), BITS + 1
+    while True:
+        index, wanted = in_blocks(dealt(index_rows, True, bits), dealt(pending, False, bits))
+        counted = (index.select(*key, "code").groupBy(*key)
+                   .cogroup(wanted.select(*key, "code", "rep").groupBy(*key))
+                   .applyInArrow(descend(bits, below), "rep bigint, level int, n bigint"))
+        depth = stored(counted.groupBy("rep", "level").agg(F.sum("n").alias("n"))
+                       .filter(F.col("n") >= enough).groupBy("rep").agg(F.max("level").alias("level")),
+                       "forest-depth")
+        parts.append(scored(index, wanted.join(depth, "rep")))
+        pending = stored(pending.join(depth, "rep", "left_anti"), "forest-pending")
+        if not bits or pending.isEmpty():
+            break
+        bits, below = bits // 2, bits
+    if not pending.isEmpty():
+        # level 0 of one tree holds every entry
+        whole = lambda df: df.withColumns({"tree": F.lit(0), "head": F.lit(0).cast("bigint"),
+                                           "code": F.lit(0).cast("bigint")})
+        index, wanted = in_blocks(whole(index_rows), whole(pending))
+        parts.append(scored(index, wanted.withColumn("level", F.lit(0))))
+    found = reduce(DataFrame.unionByName, parts)
     found = (found.select("rep", F.explode("ids").alias("vec_id"), "score")
              .groupBy("rep", "vec_id").agg(F.max("score").alias("score")))
     best = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")

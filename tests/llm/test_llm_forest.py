@@ -81,3 +81,24 @@ def test_edge_rows(spark):
     few = df.filter("vec_id < 7")
     assert {q: len(v) for q, v in answers(nearest(few, ASKED)).items()} == {0: 6}
     assert nearest(df.filter("vec_id < 0"), ASKED).count() == 0
+
+
+@pytest.mark.parametrize("longest", [1.0, 60.0])
+def test_queries_without_neighbours_in_the_trees(spark, monkeypatch, longest):
+    """A dense cluster, queries that point away from it, and one vector that may be very long."""
+    monkeypatch.setattr(lsh_forest, "LEAST", 16)
+    monkeypatch.setattr(lsh_forest, "BLOCK_ROWS", 64)
+    ship(spark)
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=16)
+    x = centre + 0.1 * rng.normal(size=(1500, 16))
+    x[::100] = -centre + 0.5 * rng.normal(size=(15, 16))  # queries, as every twentieth row
+    x[20::100] = 2 * rng.normal(size=(15, 16))
+    x[7] *= longest
+    rows = [(i, [float(f) for f in np.float32(v)]) for i, v in enumerate(x)]
+    got = answers(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), ASKED))
+    want = brute(rows)
+    assert {q: len(v) for q, v in got.items()} == {q: len(v) for q, v in want.items()}
+    assert recall(got, want) >= 0.9
+    away = {q for q in want if q % 100 in (0, 20)}
+    assert recall({q: got[q] for q in away}, {q: want[q] for q in away}) >= 0.9

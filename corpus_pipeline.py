@@ -25,9 +25,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays, the one with the smallest doc_id."""
+    """One row of each group of near copies stays, the one with the smallest doc_id: copies
+    share 0.8 or more of their shingles of five words."""
     ship(spark)
-    return group_join.drop_near_copies(docs)
+    return group_join.drop_near_copies(docs, width=5, percent=80)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

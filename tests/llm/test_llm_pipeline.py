@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import public_tokenizers
@@ -12,7 +13,7 @@ from chunkwise.llm.mixing import mix
 
 from conftest import SF_CHECK
 from llm_fixtures import edge, empty  # noqa: F401
-from test_llm_join import brute
+from test_llm_join import brute, shingles
 
 UPPER = re.compile("[A-Z]")
 
@@ -59,6 +60,41 @@ def test_stages_against_brute_force(spark):
             assert sorted(map(tuple, new)) == sorted(want)
 
 
+def test_near_dedup_at_five_words_and_four_fifths(spark):
+    """Appended paragraphs and scattered edits, on both sides of 0.8 of five-word shingles."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(12):
+        words = [f"d{k}w{j}" for j in range(250)]
+        rows.append((100 * k, " ".join(words)))
+        for j, more in enumerate((30, 50, 61, 62, 63, 80)):
+            rows.append((100 * k + 1 + j, " ".join(words + [f"d{k}a{j}m{i}" for i in range(more)])))
+        for j, edits in enumerate((3, 5, 6, 9)):
+            changed = list(words)
+            for at in rng.sample(range(250), edits):
+                changed[at] = f"d{k}e{j}at{at}"
+            rows.append((100 * k + 20 + j, " ".join(changed)))
+    sets = [shingles(t, 5) for _, t in rows]
+    near = [[b for b in range(len(rows)) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+            for a in range(len(rows))]
+    keep, seen = [], set()
+    for a in range(len(rows)):
+        if a not in seen:
+            todo, group = [a], set()
+            while todo:
+                b = todo.pop()
+                if b not in group:
+                    group.add(b)
+                    todo += near[b]
+            seen |= group
+            keep.append(min(rows[b][0] for b in group))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(r["doc_id"] for r in cp.near_dedup(spark, docs, SF_CHECK).collect())
+    assert got == sorted(keep)
+    at_four = [i for i, _, c in brute(rows) if i == c]
+    assert set(got) < set(at_four)
+
+
 def test_stages_on_edge_rows(spark, edge, empty):
     for docs in (edge.select("doc_id", "text", "lang", "source", F.col("n_chars")), empty):
         for name, stage in cp.STAGES:

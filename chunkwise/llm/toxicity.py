@@ -9,6 +9,8 @@ weigh more next to the mention of a group than either does alone:
 
 with x_i (0 to 1) how surely the term's share of toxic training documents differs from the
 whole sample's, so that the many common terms of a long text don't drown the few that matter.
+Terms of a pair whose joint counts tell more than either term and their sum count in full,
+whatever each says alone.
 
 It is trained in numpy on a bounded sample of labelled documents; scoring is one pass over
 all documents without a shuffle, the weights (bounded by ``MAX_WEIGHTS`` terms) broadcast.
@@ -36,6 +38,10 @@ FACTORS = 4
 #: Standard deviations from which a term counts in full.
 SURE = 6
 EPOCHS = 8
+#: Wrong pairs of terms expected among all that are compared.
+CHANCE = 1e-3
+#: First size of the factors, and of those of terms that count for a pair.
+SPREAD, PAIR_SPREAD = 0.01, 0.3
 PREFIXES = (4, 5, 6)
 
 
@@ -51,6 +57,72 @@ def doc_terms(values: pa.Array) -> list[np.ndarray]:
     return [term[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+def _divergence(t: np.ndarray, n: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """n * KL(t / n, q): how unlikely t toxic of n documents are at a share of q."""
+    q, u = np.clip(q, 1e-9, 1 - 1e-9), n - t
+    return (t * np.log(np.maximum(t, 1) / (np.maximum(n, 1) * q))
+            + u * np.log(np.maximum(u, 1) / (np.maximum(n, 1) * (1 - q))))
+
+
+def pair_terms(index: list[np.ndarray], labels: np.ndarray, n_terms: int) -> np.ndarray:
+    """Which terms belong to a pair whose documents are toxic more or less often than the
+    whole sample's, either term's, and than both terms' log odds added say.  All pairs that
+    could tell so much are counted: with fewer documents no count would be sure enough."""
+    out = np.zeros(n_terms, bool)
+    lens = np.array([len(d) for d in index])
+    if not lens.sum() or labels.min() == labels.max():
+        return out
+    share = labels.mean()
+    flat, doc = np.concatenate(index), np.repeat(np.arange(len(index)), lens)
+    seen = np.bincount(flat, minlength=n_terms)
+    sure = lambda terms: np.log(max(terms * (terms - 1) / 2, 1) / CHANCE)
+    # a pair of n documents of one label tells at most n * -log(that label's share)
+    most, least = -np.log(min(share, 1 - share)), LEAST_DOCS
+    while True:
+        need = sure(int((seen >= least).sum()))
+        more = max(LEAST_DOCS, int(np.ceil(need / most)))
+        if more <= least:
+            break
+        least = more
+    kept = np.flatnonzero(seen >= least)
+    kept = kept[np.argsort(seen[kept], kind="stable")]  # a term is counted with the more frequent
+    place = np.full(n_terms, -1)
+    place[kept] = np.arange(len(kept))
+    at = place[flat]
+    doc, at = doc[at >= 0], at[at >= 0]
+    if not len(at):
+        return out
+    order = np.lexsort((at, doc))
+    doc, at = doc[order], at[order].astype(np.int32)
+    ends = np.searchsorted(doc, doc, "right")
+    n1 = np.bincount(at, minlength=len(kept))
+    t1 = np.bincount(at, labels[doc], len(kept))
+    odds = lambda t, n: np.log((t + 0.5) / (n - t + 0.5))
+    lone, base = odds(t1, n1), odds(labels.sum(), len(labels))
+    by = np.lexsort((doc, at))
+    cuts = np.searchsorted(at[by], np.arange(len(kept) + 1))
+    good = labels[doc] > 0
+    for i in range(len(kept) - 1):
+        mine = by[cuts[i]:cuts[i + 1]]
+        counts = []
+        for rows in (mine[good[mine]], mine[~good[mine]]):
+            parts = [at[a + 1:b] for a, b in zip(rows.tolist(), ends[rows].tolist())]
+            counts.append(np.bincount(np.concatenate(parts), minlength=len(kept)) if parts
+                          else np.zeros(len(kept), np.int64))
+        j = np.flatnonzero(counts[0] + counts[1] >= least)
+        if not len(j):
+            continue
+        t, n = counts[0][j].astype(float), (counts[0] + counts[1])[j].astype(float)
+        told = np.minimum.reduce([
+            _divergence(t, n, np.full(len(j), share)), _divergence(t, n, t1[j] / n1[j]),
+            _divergence(t, n, np.full(len(j), t1[i] / n1[i])),
+            _divergence(t, n, 1 / (1 + np.exp(-(lone[i] + lone[j] - base))))])
+        j = j[told >= need]
+        if len(j):
+            out[kept[i]] = out[kept[j]] = True
+    return out
+
+
 @dataclass
 class FactorizationMachine:
     terms: np.ndarray      # sorted hashes
@@ -89,7 +161,7 @@ class FactorizationMachine:
         terms, seen = terms[keep], seen[keep]
         rng = np.random.default_rng(seed)
         m = cls(terms, np.zeros(len(terms)), np.zeros(len(terms)),
-                rng.normal(0, 0.01, (len(terms), FACTORS)), bias)
+                rng.normal(0, SPREAD, (len(terms), FACTORS)), bias)
         if not len(terms) or share in (0.0, 1.0):
             m.factors[:] = 0
             return m
@@ -104,6 +176,9 @@ class FactorizationMachine:
         spread = np.bincount(at, np.repeat(weights ** 2, lens), len(terms)) * share * (1 - share)
         expected = np.bincount(at, np.repeat(weights, lens), len(terms)) * share
         m.evidence = np.minimum(1, ((toxic - expected) ** 2 / (spread * SURE ** 2)) ** 2)
+        paired = pair_terms(index, labels, len(terms))
+        m.factors[paired & (m.evidence < 1)] *= PAIR_SPREAD / SPREAD
+        m.evidence[paired] = 1
         g_lin, g_fac, g_bias = np.full(len(terms), 1e-3), np.full(m.factors.shape, 1e-3), 1e-3
         for epoch in range(EPOCHS):
             order = rng.permutation(len(docs))

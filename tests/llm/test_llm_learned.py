@@ -65,6 +65,26 @@ def test_pairs_of_terms_are_learned():
     assert p[2] > 0.5 > max(p[0], p[1])
 
 
+def test_pairs_without_evidence_of_their_terms():
+    """Two words as frequent in toxic as in clean documents, toxic only together."""
+    rng = np.random.default_rng(3)
+    docs, y = [], []
+    for i in range(6000):
+        toxic, u = i % 2, rng.random()
+        some = [1, 2] if toxic and u < 0.1 else [1] if u < 0.1 else [2] if u < 0.2 and not toxic else []
+        # the other toxic documents have a word of their own
+        some += [3] if toxic and len(some) < 2 else []
+        docs.append(np.unique(np.array(some + list(rng.integers(10, 2000, 100)), np.uint32)))
+        y.append(float(toxic))
+    y = np.array(y)
+    rate = [[np.mean([w in d for d in docs[k::2]]) for k in (0, 1)] for w in (1, 2)]
+    assert all(abs(a - b) < 0.02 for a, b in rate)
+    m = FactorizationMachine.train(docs, y, np.where(y == 1, 0.2, 1.8))
+    rest = rng.integers(10, 2000, (50, 100)).astype(np.uint32)
+    mean = lambda some: m.score([np.unique(np.array(some + list(r), np.uint32)) for r in rest]).mean()
+    assert mean([1, 2]) > 0.5 > max(mean([1]), mean([2]), mean([]))
+
+
 def test_toxicity_edge_rows(spark, edge, empty, labels):
     found = score_toxicity(edge, labels).collect()
     assert len(found) == edge.count() and all(0 <= r["score"] <= 1 for r in found)

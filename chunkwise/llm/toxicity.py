@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ from .common import NON_LETTERS, id_text, slices, stored, word_hashes
 #: Bounds of the training sample: documents of each label, and distinct terms of all of them.
 MAX_DOCS_PER_LABEL = 10_000
 MAX_TERMS = 6_000_000
+#: A document with more than this share of a label's half of the terms comes after all others.
+LONG = 0.01
 #: Terms of fewer training documents have no weight; of the others the most frequent do.
 LEAST_DOCS = 4
 MAX_WEIGHTS = 500_000
@@ -210,9 +213,27 @@ def fold(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5, F.lit(0))
 
 
+def chosen_places(sizes: pd.DataFrame) -> pd.DataFrame:
+    """The rows of ``sizes`` (label, place, n) that are trained on: each label has half of
+    ``MAX_TERMS``, and what the other one leaves of its half, for its documents in the order
+    of their places; a document that does not fit is passed over."""
+    half = MAX_TERMS // 2
+    total = {c: int(sizes["n"][sizes["label"] == c].sum()) for c in (0, 1)}
+    out = []
+    for c in (0, 1):
+        mine = sizes[sizes["label"] == c]
+        mine = mine.assign(long=mine["n"] > LONG * half).sort_values(["long", "place"])
+        room, keep = half + max(0, half - total[1 - c]), []
+        for n in mine["n"]:
+            keep.append(n <= room)
+            room -= n if keep[-1] else 0
+        out.append(mine[np.array(keep, bool)])
+    return pd.concat(out)[["label", "place"]]
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple[list, np.ndarray, np.ndarray]:
     """(terms, labels, weights) of at most ``MAX_DOCS_PER_LABEL`` documents of each label, in
-    the order of a hash of their ids, cut where their terms exceed ``MAX_TERMS``.  Weights
+    the order of a hash of their ids, each label within its part of ``MAX_TERMS``.  Weights
     restore each label's share of all labelled rows."""
     labelled = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                               F.col(label_col).cast("int").alias("label"))
@@ -237,11 +258,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple
 
     rows = stored(docs.join(F.broadcast(chosen), "doc_id").select("place", "label", "text")
                   .mapInArrow(run, "place bigint, label int, n int, terms binary"), "toxic-sample")
-    sizes = rows.select("place", "n").toPandas().sort_values("place")
-    inside = sizes["place"][sizes["n"].cumsum() <= MAX_TERMS]
+    # rows of one id go together
+    sizes = rows.groupBy("label", "place").agg(F.sum("n").alias("n")).toPandas()
+    inside = chosen_places(sizes)
     if not len(inside):
         return [], np.zeros(0), np.zeros(0)
-    got = (rows.filter(F.col("place") <= int(inside.iloc[-1])).select("place", "label", "terms")
+    inside = docs.sparkSession.createDataFrame(
+        [(int(c), int(p)) for c, p in inside.itertuples(index=False)], "label int, place bigint")
+    got = (rows.join(F.broadcast(inside), ["label", "place"]).select("place", "label", "terms")
            .toArrow().sort_by([("place", "ascending"), ("terms", "ascending")]))
     y = got["label"].to_numpy().astype(float)
     weight = np.array([counts.get(c, 0) / max(1, (y == c).sum()) for c in (0, 1)])

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from chunkwise.llm import toxicity
 from chunkwise.llm.bidi_lm import FREQUENT, Vocabulary, WindowNetwork, padded, pseudo_likelihood, word_counts
 from chunkwise.llm.common import table, word_hashes
 from chunkwise.llm.cotrain import keep_good, score_quality, text_features
@@ -85,6 +86,28 @@ def test_pairs_without_evidence_of_their_terms():
     assert mean([1, 2]) > 0.5 > max(mean([1]), mean([2]), mean([]))
 
 
+def test_rare_label_keeps_its_documents(spark, monkeypatch):
+    """Few toxic documents among many long clean ones: all of them are trained on, and a
+    document that takes a whole share of the terms does not end the sample."""
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 20_000)
+    rng = random.Random(12)
+    rows, truth = [], {}
+    for i in range(600):
+        truth[i] = int(i % 30 == 0)
+        rows.append((i, " ".join(f"t{i}" if truth[i] else f"{rng.choice('abcd')}{rng.randrange(10 ** 6)}"
+                                 for _ in range(5 if truth[i] else 200))))
+    long = [i for i in truth if truth[i] and zlib.crc32(str(i).encode()) % 5][0]
+    rows[long] = (long, " ".join(f"l{j}" for j in range(30_000)))
+    known = spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms, y, weight = toxicity.training_sample(docs, known, "toxic")
+    trained = [i for i in truth if truth[i] and i != long and zlib.crc32(str(i).encode()) % 5]
+    assert y.sum() == len(trained) and (y == 0).sum() > 10
+    assert sum(map(len, terms)) <= 20_000
+    known_share = (len(trained) + 1) / sum(1 for i in truth if zlib.crc32(str(i).encode()) % 5)
+    assert (weight * y).sum() / weight.sum() == pytest.approx(known_share)
+
+
 def test_toxicity_edge_rows(spark, edge, empty, labels):
     found = score_toxicity(edge, labels).collect()
     assert len(found) == edge.count() and all(0 <= r["score"] <= 1 for r in found)

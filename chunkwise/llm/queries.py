@@ -1,13 +1,14 @@
-"""The ten operators bound to the driver tables, with DuckDB SQL where SQL can express them."""
+"""The operators bound to the driver tables, with DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (bidi_lm, bloom_dedup, cotrain, group_join, lsh_forest, mixing, piece_codec,
-               token_orc, toxicity, url_cascade)
-from .common import table
+from . import (bidi_lm, bloom_dedup, cotrain, decision_list, group_join, lsh_forest, merkle, mixing,
+               piece_codec, runs, token_orc, toxicity, url_cascade)
+from .common import WORD, table
 
 #: The rules of op4: (host, path, verdict).
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"),
@@ -160,3 +161,62 @@ grouped AS (
   FROM keyed)
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM grouped
 """
+
+
+def plant_repeats(docs: DataFrame) -> DataFrame:
+    """op11's documents: with h the CRC-32 of doc_id's digits and g = h / 10, the words of
+    those with h % 10 = 0 repeat their first p from word a = g % n on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"))
+    rows = rows.withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    rows = rows.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")),
+                                    F.ceil(rest / F.col("p")).cast("int")))
+    planted = F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), F.lit(1), F.col("n"))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " "))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op11_catch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(plant_repeats(table(spark, sf_dir, "documents")))
+    r = F.col("runs")
+    # the greatest length / period by cross products, then start, then period
+    best = F.get(F.expr("""array_sort(runs, (x, y) -> case
+        when x.length * y.period > y.length * x.period then -1
+        when x.length * y.period < y.length * x.period then 1
+        when x.start <> y.start then if(x.start < y.start, -1, 1)
+        else if(x.period < y.period, -1, if(x.period > y.period, 1, 0)) end)"""), 0)
+    lines = F.transform(r, lambda x: F.concat(F.concat_ws(",", x["start"].cast("string"), x["length"].cast("string"),
+                                                          x["period"].cast("string")), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size(r).cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@_query
+def op12_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decision_list.judge_quality(table(spark, sf_dir, "documents"),
+                                       table(spark, sf_dir, "labels"))
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    leaf = lambda n_chars: merkle.leaf_digest(                                  # noqa: E731
+        *[n_chars if f == "n_chars" else F.col(f) for f in fields])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, leaf(F.col("n_chars") + 1))
+    leaves = docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"),
+                         tampered.alias("tampered"))
+    found = merkle.manifest(leaves, carry=("tampered",))
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))

@@ -73,6 +73,34 @@ def merge_task_ledger(ledger: DataFrame, events: DataFrame, seq_col: str = "even
     return _fold(stored.unionByName(events_to_ledger_input(events, seq_col)))
 
 
+def upsert_by_key(stored: DataFrame, delta: DataFrame) -> DataFrame:
+    """L1 upsert of a folded ``delta`` (one row a task, as ``fold_task_ledger`` gives) into a
+    stored ledger as a join by task: a ledger bucketed by ``task_id`` stays where it lies and
+    only the delta is shuffled.  Field by field, the later ordering key wins, as in the fold."""
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{mark}{c}") for c in
+                           (*LEDGER_COLUMNS, _ord_name("latest"),
+                            *[_ord_name(f) for f in NONNULL_FIELDS])])
+
+    old, new = side(stored, "o_"), side(delta, "n_")
+    both = old.join(new, F.col("o_task_id") == F.col("n_task_id"), "full_outer")
+
+    def later(order: str) -> Column:
+        a, b = F.col(f"o_{order}"), F.col(f"n_{order}")
+        return b.isNotNull() & (a.isNull() | (b > a))
+
+    def pick(field: str, order: str) -> Column:
+        return F.when(later(order), F.col(f"n_{field}")).otherwise(F.col(f"o_{field}"))
+
+    latest = _ord_name("latest")
+    values = {f: pick(f, latest) for f in (*LATEST_FIELDS, latest)}
+    for f in NONNULL_FIELDS:
+        values[f], values[_ord_name(f)] = pick(f, _ord_name(f)), pick(_ord_name(f), _ord_name(f))
+    values["task_id"] = F.coalesce("o_task_id", "n_task_id")
+    return both.select(*[values[c].alias(c) for c in
+                         (*LEDGER_COLUMNS, latest, *[_ord_name(f) for f in NONNULL_FIELDS])])
+
+
 def fold_ledger_rows(rows: DataFrame) -> DataFrame:
     """Fold frames that are in ledger form already (a stored ledger, the deltas of a stream)."""
     return _fold(rows)

@@ -90,7 +90,7 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
     """F10 + F11 + F16: stratified hold-out, stratified k-fold; per fold a
     forest is fit, validation and hold-out AUC are computed; the last fold's
     model is returned (``refit="all"`` refits on the whole train split).
-    A fold that fails is reported and skipped.  Scaler and categories are fitted once,
+    A fold that fails is reported and skipped; if all fail, so does the training.  Scaler and categories are fitted once,
     on all rows or (``fit_scope="train"``) on the train split.
 
     The cleaned rows are written once to the shared folder.  Folds are fitted
@@ -111,21 +111,27 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
     est = build_pipeline(fit_encoder(proc, scope), params, label)
     folds = stratified_folds(train, label, id_col, params.n_splits, params.seed)
 
+    def fit(rows: DataFrame) -> PipelineModel:
+        # without the training summary, which holds the session and can't go to tasks with it
+        return est.fit(rows).copy()
+
     def fit_fold(k: int):
         try:
-            return k, est.fit(folds.filter(F.col("fold") != k)), None
+            return k, fit(folds.filter(F.col("fold") != k)), None
         except Exception as err:  # noqa: BLE001 - reported, fold skipped
             return k, None, str(err)
 
     with ThreadPoolExecutor(max_workers=max(1, min(params.parallelism, params.n_splits))) as ex:
         fitted = list(ex.map(fit_fold, range(params.n_splits)))
 
+    if all(m is None for _, m, _ in fitted):
+        raise RuntimeError("no fold could be fitted: " + "; ".join(err for _, _, err in fitted))
     evals = []
-    for k, fit, _ in fitted:
-        if fit is None:
+    for k, model, _ in fitted:
+        if model is None:
             continue
         for name, part in (("val", folds.filter(F.col("fold") == k).drop("fold")), ("test", test)):
-            evals.append(score_batch(fit, part).select(
+            evals.append(score_batch(model, part).select(
                 id_col, label, "probability", F.lit(f"{name}:{k}").alias("_eval")))
     aucs: dict[str, float | None] = {}
     if evals:
@@ -135,15 +141,15 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
         aucs = {r["_eval"]: r["auc"] for r in
                 roc_auc(union, "probability", label, id_col, group="_eval").collect()}
     metrics, model = [], None
-    for k, fit, err in fitted:
-        if fit is None:
+    for k, fold_model, err in fitted:
+        if fold_model is None:
             metrics.append({"fold": k, "error": err})
             continue
         metrics.append({"fold": k, "val_auc": aucs.get(f"val:{k}"),
                         "test_auc": aucs.get(f"test:{k}")})
-        model = fit
-    if refit == "all" or model is None:
-        model = est.fit(train)
+        model = fold_model
+    if refit == "all":
+        model = fit(train)
     return TrainResult(model, proc, metrics, split)
 
 

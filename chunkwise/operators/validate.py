@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from chunkwise import config
 from chunkwise.schemas import PERSON
+from chunkwise.sources.counted import counting
 from chunkwise.functions import (Rule, camel_case, coercible, errors_column, lax_double,
                                  lax_int, max_length, norm_category, one_of, required, round2,
                                  serialize_value)
@@ -213,13 +214,22 @@ def split_valid(df: DataFrame, mode: str = "quarantine", chunk_col: str = "chunk
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def write_split(df: DataFrame, path: str, mode: str = "overwrite") -> dict[str, str]:
+def write_split_counted(df: DataFrame, path: str, mode: str = "overwrite"
+                        ) -> tuple[dict[str, str], dict[str, int]]:
     """Write valid and rejected rows in one pass (one scan, one write):
-    ``<path>/outcome=valid`` and ``<path>/outcome=rejected``.  Two filtered
-    writes would read and validate the input twice."""
-    outcome = F.when(F.size(F.col(ERRORS)) == 0, F.lit("valid")).otherwise(F.lit("rejected"))
-    df.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
-    return {"valid": f"{path}/outcome=valid", "rejected": f"{path}/outcome=rejected"}
+    ``<path>/outcome=valid`` and ``<path>/outcome=rejected``; their numbers are observed in
+    the write.  Two filtered writes would read and validate the input twice, and counts
+    afterwards read the output again."""
+    good = F.size(F.col(ERRORS)) == 0
+    counted, counts = counting(df, valid=good, rejected=~good)
+    outcome = F.when(good, F.lit("valid")).otherwise(F.lit("rejected"))
+    counted.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
+    return {o: f"{path}/outcome={o}" for o in ("valid", "rejected")}, counts()
+
+
+def write_split(df: DataFrame, path: str, mode: str = "overwrite") -> dict[str, str]:
+    """``write_split_counted`` for callers that need the paths only."""
+    return write_split_counted(df, path, mode)[0]
 
 
 # --------------------------------------------------------------------------- V8

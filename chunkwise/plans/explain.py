@@ -16,7 +16,7 @@ import sys
 
 SKIP = {"train_forest", "score_batch", "score_single", "model_roundtrip", "stream_score",
         "stream_ledger", "stream_quarantine", "dedupe_redelivery", "dedupe_late", "stream_decode",
-        "predict_run"}
+        "predict_run", "stream_progress", "stream_combine"}
 OPS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
        "BroadcastExchange", "BroadcastHashJoin", "BroadcastNestedLoopJoin", "SortMergeJoin",
        "HashAggregate", "SortAggregate", "ObjectHashAggregate", "Window",

@@ -19,6 +19,7 @@ from chunkwise.operators import chunks, validate
 from chunkwise.operators.features import clean_training_frame
 from chunkwise.operators.model import TrainResult, score_batch, train_forest
 from chunkwise.sources import scan_project
+from chunkwise.sources.counted import counting
 
 
 def chunk_job(spark: SparkSession, orders_path: str, size: int = API_CHUNK_SIZE,
@@ -98,20 +99,32 @@ def predict_run(model, raw: DataFrame, out_root: str, run_id: str, now: Column |
             "checked": own["checked"], "predictions": own["predictions"]}
 
 
+def sweep_table(spark: SparkSession, path: str, out: str, ts_col: str, cutoff: Column) -> int:
+    """The survivors of the table at ``path`` written to ``out``; the number of rows that
+    went, observed in that write."""
+    from chunkwise.operators import ledger
+    from chunkwise.sources import rewrite_table
+    told = {}
+
+    def sweep(df: DataFrame) -> DataFrame:
+        counted, told["counts"] = counting(df, deleted=F.col(ts_col) < cutoff)
+        return ledger.retained(counted, ts_col, cutoff)
+
+    rewrite_table(spark, path, out, sweep)
+    return told["counts"]()["deleted"]
+
+
 def periodic(tables: dict, as_of: Column, out_root: str, health: dict | None = None) -> dict:
     """The retention sweep writes each table's survivors to ``<root>/<name>`` (a new
     path) and reports deleted counts; optionally the health counts.  ``tables`` maps a name
     to ``(path, ts_col)``; ``health`` holds the ``ledger.health_stats`` arguments except
-    ``as_of``.  A table's data is read once; the counts are row counts of what it held and
-    of what was written."""
+    ``as_of``.  Each table is read once: its counts are observed in the write."""
     from chunkwise.operators import ledger
-    from chunkwise.sources import rewrite_table
     cutoff, result = ledger.retention_cutoff(as_of), {"cleaned_up": {}}
     spark = SparkSession.active()
     for name, (path, ts_col) in tables.items():
-        kept = rewrite_table(spark, path, f"{out_root.rstrip('/')}/{name}",
-                             lambda df, c=ts_col: ledger.retained(df, c, cutoff))
-        result["cleaned_up"][name] = spark.read.parquet(path).count() - kept.count()
+        result["cleaned_up"][name] = sweep_table(spark, path, f"{out_root.rstrip('/')}/{name}",
+                                                 ts_col, cutoff)
     if health:
         result["stats"] = ledger.health_stats(as_of=as_of, **health).first().asDict()
     return result

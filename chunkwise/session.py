@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -85,3 +87,22 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors (once an application), for the operators whose task
+    functions import it there; ``--py-files`` does the same from outside.  The archive is
+    read by the driver alone; Spark passes it on."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))

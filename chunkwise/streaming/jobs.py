@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from chunkwise.operators.ledger import fold_ledger_rows, fold_task_ledger
+from chunkwise.sources.counted import counting
 from chunkwise.sources.parquet import read_if_exists
+from chunkwise.streaming.state import rocksdb_state
 
 CORRUPT = "_corrupt_record"
 
@@ -99,16 +101,32 @@ class _BatchRows(StreamingQueryListener):
         pass
 
 
-def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], None],
-                      checkpoint: str, name: str | None = None) -> list[dict]:
+def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], dict | None],
+                      checkpoint: str, name: str | None = None, timers: bool = False
+                      ) -> list[dict]:
     """Process everything available, then stop (the ``availableNow`` trigger).
-    Returns the progress of every micro-batch (see ``progress_points``)."""
-    listener, spark = _BatchRows(), stream.sparkSession
+    Returns the progress of every micro-batch (see ``progress_points``).
+
+    A handler may return the counts of its batch (of an observed write, see ``counting``);
+    they join the batch's progress record, and ``rows`` among them is the batch's number of
+    rows.  Without it that is Spark's own count of input rows, which counts a batch once for
+    each time it is evaluated: a handler that evaluates its batch more than once returns
+    ``rows``.
+
+    ``timers``: the stream keeps processing-time timers.  Spark runs empty batches for such a
+    stream for ever, so it would never be through; here timers that are due fire with the
+    next batch of data, or in a continuous run of the same checkpoint."""
+    listener, spark, counts = _BatchRows(), stream.sparkSession, {}
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        counts[batch_id] = handler(batch, batch_id) or {}
+
     spark.streams.addListener(listener)
     try:
-        w = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint) \
+        w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint) \
                               .trigger(availableNow=True)
-        q = (w.queryName(name) if name else w).start()
+        with rocksdb_state(spark, idle_batches=not timers):
+            q = (w.queryName(name) if name else w).start()
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
@@ -121,18 +139,21 @@ def run_available_now(stream: DataFrame, handler: Callable[[DataFrame, int], Non
             time.sleep(0.05)
     finally:
         spark.streams.removeListener(listener)
-    return progress_points([{"batch_id": b, "rows": n} for b, n in sorted(rows.items())])
+    return progress_points([{"batch_id": b, "rows": n, **counts.get(b, {})}
+                            for b, n in sorted(rows.items())])
 
 
 def progress_points(progress: list, total: int | None = None) -> list[dict]:
     """Progress of a stream (A9): one ``{batch_id, current, total, percentage}`` record per
     micro-batch, ``current`` being the rows processed so far.  ``progress`` holds a record
-    of every batch (``batch_id``, ``rows``), as ``run_available_now`` counts them."""
+    of every batch (``batch_id``, ``rows``), as ``run_available_now`` counts them; further
+    counts of a batch stay in its record."""
     out, done = [], 0
     for p in progress:
         done += int(p["rows"])
         rec = {"batch_id": int(p["batch_id"]), "current": done, "total": total}
         rec["percentage"] = round(done / total * 100, 1) if total else None
+        rec.update({k: v for k, v in p.items() if k not in ("batch_id", "rows")})
         out.append(rec)
     return out
 
@@ -161,45 +182,36 @@ def read_ledger(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- T3
-def quarantine_handler(valid_path: str, dead_path: str, body_col: str,
-                       schema: T.StructType, dead_rows: Callable[[DataFrame], DataFrame]
-                       ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch: decoded rows to ``valid_path``; undecodable rows, shaped
-    by ``dead_rows`` (e.g. ``dead_letter_log``), to ``dead_path``.  Both filters
-    run over the batch's files; nothing is held on the executors."""
-    def handle(batch: DataFrame, batch_id: int) -> None:
+def quarantine_handler(path: str, body_col: str, schema: T.StructType,
+                       dead_rows: Callable[[DataFrame], DataFrame]
+                       ) -> Callable[[DataFrame, int], dict]:
+    """foreachBatch: each body is decoded once, in one write of the batch to
+    ``<path>/batch_id=<n>/outcome=valid`` and ``outcome=dead``.  ``dead_rows`` (e.g.
+    ``dead_letter_log``) adds columns to rows; they are null in valid ones.  The counts
+    ``rows``, ``valid`` and ``dead`` are observed in that write."""
+    def handle(batch: DataFrame, batch_id: int) -> dict:
         decoded = decode_body(batch, body_col, schema)
-        decoded.filter("decoded").drop("decoded").write.mode("overwrite") \
-               .parquet(f"{valid_path}/batch_id={batch_id}")
-        dead_rows(decoded.filter(~F.col("decoded")).drop("decoded", "payload")) \
-            .write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
+        names = decoded.columns
+        shaped = dead_rows(decoded)
+        shaped = shaped.select(*names, *[F.when(~F.col("decoded"), F.col(c)).alias(c)
+                                         for c in shaped.columns if c not in names])
+        counted, counts = counting(shaped, rows=F.lit(True), valid=F.col("decoded"),
+                                   dead=~F.col("decoded"))
+        outcome = F.when(F.col("decoded"), F.lit("valid")).otherwise(F.lit("dead"))
+        counted.withColumn("outcome", outcome).drop("decoded").write.mode("overwrite") \
+               .partitionBy("outcome").parquet(f"{path}/batch_id={batch_id}")
+        return counts()
     return handle
 
 
+def read_outcome(spark: SparkSession, path: str, outcome: str) -> DataFrame:
+    """The ``valid`` or ``dead`` rows that ``quarantine_handler`` has written (only their
+    folders are read)."""
+    return spark.read.parquet(path).filter(F.col("outcome") == outcome).drop("outcome")
+
+
 # --------------------------------------------------------------------------- T4
 def dedupe_batch(df: DataFrame, key: str) -> DataFrame:
     """T4 batch twin: one row per key (redelivered copies are identical, so
     which copy survives does not matter); a hash aggregate on the key."""
     return df.dropDuplicates([key])
-
-
-def dedupe_handler(path: str, key: str, schema: T.StructType, buckets: int = 64
-                   ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch: the batch's first copy of each key that no earlier batch has written,
-    to ``<path>/batch_id=<n>/key_bucket=<b>``.  Keys are remembered in the sink itself, so a
-    copy is recognised however late it comes, and no row is dropped for being late.  A
-    replayed batch compares itself with earlier batches only and rewrites its folder."""
-    written = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType()),
-                            T.StructField("key_bucket", T.IntegerType())])
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = read_if_exists(spark, path, written).filter(F.col("batch_id") < batch_id)
-        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        (batch.select(*schema.fieldNames()).dropDuplicates([key]).withColumn("key_bucket", bucket)
-         .join(seen.select("key_bucket", F.col(key).alias("_seen")).withColumnRenamed(
-             "key_bucket", "_bucket"),
-               (F.col("key_bucket") == F.col("_bucket")) & F.col(key).eqNullSafe(F.col("_seen")),
-               "left_anti")
-         .write.mode("overwrite").partitionBy("key_bucket").parquet(f"{path}/batch_id={batch_id}"))
-    return handle

@@ -9,8 +9,8 @@ from chunkwise.operators.model import load_model, save_model, score_batch, train
 from chunkwise.plans.catalog import EVENTS_SCHEMA
 from chunkwise.plans.learned import MODEL_SPEC, _labelled
 from chunkwise.session import scratch_path
-from chunkwise.streaming import (batch_sink, dedupe_handler, file_stream, progress_points,
-                                 read_sink, run_available_now)
+from chunkwise.streaming import (batch_sink, combine_runs, dedupe_stream, file_stream,
+                                 progress_points, read_outcome, read_sink, run_available_now)
 
 from conftest import SF_SMALL
 
@@ -22,7 +22,7 @@ def test_dedupe_restart_adds_nothing(spark):
     def run():
         a = file_stream(spark, src, EVENTS_SCHEMA)
         b = file_stream(spark, src, EVENTS_SCHEMA)
-        run_available_now(a.unionByName(b), dedupe_handler(sink, "event_id", EVENTS_SCHEMA), ckpt)
+        run_available_now(dedupe_stream(a.unionByName(b), "event_id"), batch_sink(sink), ckpt)
         return read_sink(spark, sink).count()
 
     n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
@@ -31,16 +31,112 @@ def test_dedupe_restart_adds_nothing(spark):
 
 
 def test_dedupe_keeps_late_rows(spark):
-    """Three one-row batches, the last one months older, then copies and a replay."""
-    sink = scratch_path(spark, "late")
+    """One-row batches, one of them months older, then copies, in two runs of one checkpoint."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("late-src", "late", "late-ckpt"))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.StringType())])
-    handle = dedupe_handler(sink, "id", schema)
     rows = [(1, "2024-06-01"), (2, "2024-06-02"), (3, "2024-01-01"), (1, "2024-06-01"), (None, "x")]
-    for b, row in enumerate(rows):
-        handle(spark.createDataFrame([row], schema), b)
-    handle(spark.createDataFrame([rows[2]], schema), 2)
+    for part in (rows, [rows[2], rows[4], (4, "2023-01-01")]):
+        for row in part:
+            spark.createDataFrame([row], schema).write.mode("append").parquet(src)
+        stream = file_stream(spark, src, schema, max_files_per_trigger=1)
+        points = run_available_now(dedupe_stream(stream, "id"), batch_sink(sink), ckpt)
+        assert points[-1]["current"] == len(part)       # input rows, copies too
     got = sorted((r.id or 0, r.ts) for r in read_sink(spark, sink).collect())
-    assert got == [(0, "x"), (1, "2024-06-01"), (2, "2024-06-02"), (3, "2024-01-01")]
+    assert got == [(0, "x"), (1, "2024-06-01"), (2, "2024-06-02"), (3, "2024-01-01"), (4, "2023-01-01")]
+
+
+def test_dedupe_reads_its_batch_only(spark):
+    """The plan of a late micro-batch holds the batch's own file and the state, no sink; what
+    a batch reads doesn't grow with the batches before it."""
+    src, sink = scratch_path(spark, "plan-src"), scratch_path(spark, "plan")
+    for k in range(6):
+        spark.range(100 * k, 100 * k + 150).coalesce(1).write.parquet(f"{src}/part={k}")
+    stream = file_stream(spark, f"{src}/*", spark.range(1).schema, max_files_per_trigger=1)
+    from chunkwise.streaming import rocksdb_state
+    with rocksdb_state(spark):
+        q = dedupe_stream(stream, "id").writeStream.foreachBatch(batch_sink(sink)).option(
+            "checkpointLocation", scratch_path(spark, "plan-ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(False)
+    assert "StreamingDeduplicate" in plan and plan.count("Scan") == 1 and sink not in plan
+    rows = [p.numInputRows for p in q.recentProgress if p.numInputRows]
+    assert rows == [150] * 6
+    state = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.numInputRows]
+    assert state[-1] == 650
+    assert any("rocksdb" in k for k in q.lastProgress.stateOperators[0].customMetrics)
+    assert read_sink(spark, sink).count() == 650
+
+
+def _chunk_rows(run, total, chunks):
+    return [(run, c, total, 10 + c, 1000 * c + 500) for c in chunks]
+
+
+_CHUNKS = "run_id string, chunk_id long, total_chunks long, item_count long, millis long"
+
+
+def test_a_run_is_combined_when_its_last_chunk_is_in(spark):
+    """Runs' chunks over several batches, in any order, again and again; one run lacks one;
+    rows that are no results; late copies in a second run of the stream."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("cr-src", "cr", "cr-ckpt"))
+    batches = [
+        _chunk_rows("a", 3, [2, 0, 0]) + _chunk_rows("one", 1, [0]) + _chunk_rows("b", 20, range(0, 20, 2)),
+        _chunk_rows("a", 3, [2]) + _chunk_rows("b", 20, [1, 3, 19]) + [(None, 0, 1, 1, 1), ("c", None, 1, 1, 1)],
+        _chunk_rows("a", 3, [1, 1]) + _chunk_rows("b", 20, range(20)) + _chunk_rows("never", 4, [0, 1, 3, 7, -1]),
+        _chunk_rows("a", 3, [0, 1, 2]) + _chunk_rows("one", 1, [0, 0]),
+    ]
+    done = {}
+    for batch in batches:       # each its own run of the stream: state comes from the checkpoint
+        spark.createDataFrame(batch, _CHUNKS).coalesce(1).write.mode("append").parquet(src)
+        stream = file_stream(spark, src, spark.createDataFrame([], _CHUNKS).schema)
+        run_available_now(combine_runs(stream), batch_sink(sink), ckpt, timers=True)
+        done[len(done)] = sorted(r.run_id for r in read_sink(spark, sink).collect())
+    assert done == {0: ["one"], 1: ["one"], 2: ["a", "b", "one"], 3: ["a", "b", "one"]}
+    got = {r.run_id: r for r in read_sink(spark, sink).collect()}
+    for run, total in (("a", 3), ("b", 20), ("one", 1)):
+        r = got[run]
+        assert (r.status, r.total_chunks, r.total_items) == ("completed", total, sum(10 + c for c in range(total)))
+        assert r.avg_processing_time == round(sum(c + 0.5 for c in range(total)) / total, 2)
+
+
+def test_a_run_that_is_overdue_is_told_once():
+    """The processor by itself, with a clock and a state of our own."""
+    import pandas as pd
+    from chunkwise.streaming.state import CombineRuns
+
+    class Value:
+        held = None
+        def exists(self): return self.held is not None                  # noqa: E704
+        def get(self): return self.held                                 # noqa: E704
+        def update(self, v): self.held = v                              # noqa: E704
+        def clear(self): self.held = None                               # noqa: E704
+
+    class Handle:
+        def __init__(self): self.value, self.timers = Value(), []       # noqa: E704
+        def getValueState(self, name, schema): return self.value        # noqa: E704
+        def registerTimer(self, at): self.timers.append(at)             # noqa: E704
+        def listTimers(self): return iter(self.timers)                  # noqa: E704
+
+    class Clock:
+        def __init__(self, now): self.now = now                         # noqa: E704
+        def getCurrentProcessingTimeInMs(self): return self.now         # noqa: E704
+        getExpiryTimeInMs = getCurrentProcessingTimeInMs
+
+    handle, run = Handle(), CombineRuns(overdue_ms=1000, forget_ms=5000)
+    run.init(handle)
+    rows = lambda chunks: iter([pd.DataFrame(_chunk_rows("r", 3, chunks), columns=[     # noqa: E731
+        c.split()[0] for c in _CHUNKS.split(", ")])])
+
+    def expire(at):
+        handle.timers.remove(at)
+        return [r.to_dict("records")[0] for r in run.handleExpiredTimer(("r",), Clock(at), Clock(at))]
+
+    assert list(run.handleInputRows(("r",), rows([0, 2]), Clock(0))) == [] and handle.timers == [1000]
+    [late] = expire(1000)
+    assert (late["status"], late["total_chunks"], late["total_items"]) == ("overdue", 2, 22)
+    [whole] = run.handleInputRows(("r",), rows([2, 1, 0]), Clock(2000))
+    assert whole.to_dict("records")[0]["status"] == "completed" and handle.timers == [7000]
+    assert list(run.handleInputRows(("r",), rows([1]), Clock(3000))) == []
+    assert expire(7000) == [] and handle.value.held is None
 
 
 def test_train_and_score_small_forest(spark):
@@ -151,13 +247,14 @@ def test_foreach_batch_handlers_are_replay_safe(spark):
     from chunkwise.streaming import quarantine_handler
     batch = spark.createDataFrame([(1, '{"k": 1}'), (2, '"k": 2}'), (3, None)],
                                   "event_id long, body string")
-    ok, dead = scratch_path(spark, "ok"), scratch_path(spark, "dead")
-    handle = quarantine_handler(ok, dead, "body", T.StructType([T.StructField("k", T.IntegerType())]),
+    path = scratch_path(spark, "outcomes")
+    handle = quarantine_handler(path, "body", T.StructType([T.StructField("k", T.IntegerType())]),
                                 lambda df: validate.dead_letter_log(df, "body"))
+    assert handle(batch, 0) == {"rows": 3, "valid": 1, "dead": 2}
     handle(batch, 0)
-    handle(batch, 0)
-    assert spark.read.parquet(ok).count() == 1
-    dl = spark.read.parquet(dead)
+    ok = read_outcome(spark, path, "valid").collect()
+    assert [(r.event_id, r.payload.k, r.job_name) for r in ok] == [(1, 1, None)]
+    dl = read_outcome(spark, path, "dead")
     assert sorted(r.event_id for r in dl.collect()) == [2, 3]
     assert {r.job_name for r in dl.collect()} == {"dlq_single_processing"}
     sink = scratch_path(spark, "sink")
@@ -181,3 +278,40 @@ def test_stream_progress_is_complete(spark):
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
     assert len(pts) == files and pts[-1]["current"] == n
     assert progress_points([{"batch_id": 0, "rows": 5}], total=10)[0]["percentage"] == 50.0
+
+
+def test_progress_counts_every_row_once(spark):
+    """Each handler's progress ends at the number of input rows, whatever it does with them."""
+    from chunkwise.plans.tables import task_events
+    from chunkwise.plans.learned import _quarantine
+    from chunkwise.sources.counted import counting
+    from chunkwise.streaming import ledger_handler
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+    def twice(batch, batch_id):         # a handler that evaluates its batch again
+        counted, counts = counting(batch, rows=F.lit(True))
+        counted.write.mode("overwrite").parquet(f"{scratch_path(spark, 'twice')}/batch_id={batch_id}")
+        batch.count()
+        return counts()
+
+    for make in (batch_sink, lambda p: ledger_handler(p, task_events), _quarantine, lambda p: twice):
+        stream = file_stream(spark, f"{SF_SMALL}/events.parq*", EVENTS_SCHEMA).withColumn("body", F.col("props"))
+        points = run_available_now(stream, make(scratch_path(spark, "p")), scratch_path(spark, "p-ckpt"))
+        assert points[-1]["current"] == n
+
+
+def test_a_fitted_forest_goes_to_tasks_after_observed_writes(spark):
+    """A model's training summary holds the session, which an observation makes impossible to
+    send; and if no fold can be fitted, training says so."""
+    from chunkwise.sources.counted import counting
+    import pytest
+    df, counts = counting(spark.range(3), n=F.lit(True))
+    df.count()
+    assert counts() == {"n": 3}
+    rows = [(i, float(i % 7), "ab"[i % 2], i % 2) for i in range(60)]
+    clean = spark.createDataFrame(rows, "doc_id long, n_chars double, source string, quality int")
+    spec = FeatureSpec(num_vars=("n_chars",), cat_vars=("source",), target="quality", id_col="doc_id")
+    res = train_forest(clean, spec, ModelParams(n_estimators=2, max_depth=2, n_splits=2))
+    assert score_batch(res.model, clean).rdd.count() == 60
+    with pytest.raises(RuntimeError, match="no fold"):
+        train_forest(clean, spec, ModelParams(n_estimators=2, max_depth=2, n_splits=2, max_bins=1))

@@ -61,6 +61,10 @@ def shingle_sets(values: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
     return out
 
 
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
     """Number of documents by cell of a shingle's hash."""
 
@@ -78,8 +82,8 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, cells: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, cls, grp, prefix): set size, digests of the set and of prefix and size,
-    and the prefix in the common order."""
+    """(doc_id, txt, n, cls, grp, prefix): digest of the text, set size, digests of the set
+    and of prefix and size, and the prefix in the common order."""
     counts = docs.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,35 +97,39 @@ def _prefixes(docs: DataFrame, cells: np.ndarray, width: int, percent: int) -> D
                     take = n - (percent * n + 99) // 100 + 1 if n else 0
                     order = np.argsort(cells[s & (CELLS - 1)], kind="stable")[:take]
                     heads.append(s[order])
-                    cls.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    cls.append(_digest(s))
                     grp.append(hashlib.blake2b(s[order].tobytes() + n.to_bytes(8, "little"),
                                                digest_size=16).digest())
                 offs = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    [rows.column(0), rows.column(2), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(cls, pa.binary()), pa.array(grp, pa.binary()),
                      pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(heads)))],
-                    ["doc_id", "n", "cls", "grp", "prefix"])
+                    ["doc_id", "txt", "n", "cls", "grp", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, cls binary, grp binary, "
+    return docs.mapInArrow(run, "doc_id bigint, txt string, n bigint, cls binary, grp binary, "
                                 "prefix array<bigint>")
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
-    """(rep, shingles): the sets of the documents in ``reps`` (rep), read from their texts."""
-    wanted = HashFilter.build(reps.select(F.xxhash64("rep").alias("h")))
+    """(rep, shingles): the sets of the classes in ``reps`` (rep, doc_id, cls), read from
+    the texts of the documents with these ids.  The filter of ids is tested in the same
+    function that makes the sets, so a task needs one Python worker; a document of the same
+    id and another set goes in the join by the set's digest."""
+    wanted = HashFilter.build(reps.select(F.xxhash64("doc_id").alias("h")).distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(wanted.test(batch.column(2).to_numpy())))
             for a, b in slices(batch.column(1)):
-                rows = batch.slice(a, b - a)
-                sets = shingle_sets(rows.column(1), width)
+                sets = [s for s in shingle_sets(batch.column(1).slice(a, b - a), width) if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["rep", "shingles"])
+                    [pa.array([_digest(s) for s in sets], pa.binary()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "shingles"])
 
-    return (docs.filter(wanted.maybe(F.xxhash64("doc_id")))
-            .mapInArrow(run, "rep bigint, shingles binary").dropDuplicates())
+    found = (docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
+             .mapInArrow(run, "cls binary, shingles binary"))
+    return found.join(reps.select("rep", "cls"), "cls").select("rep", "shingles").dropDuplicates(["rep"])
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -154,8 +162,8 @@ def _may_link(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
             .select("ga", "gb", "na", "nb", "pa", "pb").mapInArrow(run, "ga bigint, gb bigint"))
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(a, b, na, nb, common) of the pairs (a, b), whose texts are read for it."""
+def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(a, b, na, nb, common) of the pairs (a, b) of classes, whose texts are read for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,8 +179,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
                 ["a", "b", "na", "nb", "common"])
 
     pairs = stored(pairs, "join-pairs")
-    sets = stored(_sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(),
-                           width), "join-sets")
+    reps = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    reps = stored(reps.join(classes.select("rep", "doc_id", "cls"), "rep"), "join-reps")
+    sets = stored(_sets_of(docs, reps, width), "join-sets")
     both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b"))
     return both.select("a", "b", "sa", "sb").mapInArrow(
@@ -184,23 +193,25 @@ def _sizes_fit(n, m, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
-
-    Words are runs of characters other than blanks, A-Z lower-cased; a document's set is
-    its distinct shingles of ``width`` words.  Documents link when 100 * intersection >=
-    percent * union; component_id is the smallest doc_id that links lead to, itself
-    included.  Null and empty texts have no shingles and link with nothing; repeated rows
-    link with each other; other columns are ignored.
-    """
-    rows = id_text(docs, id_col, text_col)
+def _classes_of(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int
+                ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their text's digest; the prefixes of their sets; and the classes of equal
+    sets (cls, rep, doc_id, copies, grp).  ``rep`` numbers the classes: links are between
+    classes, so ids may be missing or repeated; ``doc_id`` (the least) only helps to find a
+    text of the class again."""
+    rows = id_text(docs, id_col, text_col).withColumn("txt", F.md5(F.col("text").cast("binary")))
     heads = stored(_prefixes(rows, _sketch(rows, width), width, percent), "join-prefixes")
-    n_rows = heads.count()
+    classes = heads.filter("n > 0").groupBy("cls").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("grp").alias("grp"))
+    # numbered in the write: what is read back never changes
+    return rows, heads, stored(classes.withColumn("rep", F.monotonically_increasing_id()),
+                               "join-classes")
+
+
+def _links(rows: DataFrame, heads: DataFrame, classes: DataFrame, width: int, percent: int
+           ) -> DataFrame:
+    """(node, component) of the classes that link with others."""
     some = heads.filter("n > 0")
-    classes = stored(some.groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-        F.first("grp").alias("grp")), "join-classes")
     heads_of = some.groupBy("grp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     groups = stored(classes.groupBy("grp").agg(F.min("rep").alias("gid"),
                                                F.count(F.lit(1)).alias("members"))
@@ -248,7 +259,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                                              F.col("rep").alias("b"))))
     alike = F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb")
                                                               - F.col("common"))
-    near = stored(_verify(stars, rows, width), "join-stars")
+    near = stored(_verify(stars, rows, classes, width), "join-stars")
     links = near.filter(alike).select("a", "b")
     first = components(links)
 
@@ -262,8 +273,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                            (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common")))
                            .alias("far"))
     distance = (distance.unionByName(distance.select(F.col("y").alias("x"), F.col("x").alias("y"), "far"))
-                # an id that has several texts has no one distance
-                .groupBy("x", "y").agg(F.when(F.count(F.lit(1)) == 1, F.first("far")).alias("far")))
+                .dropDuplicates(["x", "y"]))
     marked = (index.join(whole, "gid")
               .join(distance, (F.col("gid") == F.col("x")) & (F.col("centre") == F.col("y")), "left")
               .select("token", "gid", "n", "pos", "centre", "lo", "hi",
@@ -300,34 +310,71 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                   F.col("component").alias(f"c{s}"))
     pairs = (rest.join(side("a"), "ga").join(side("b"), "gb").filter("ca <> cb and a <> b")
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = stored(_verify(pairs, rows, width).filter(alike).select("a", "b"), "join-more")
-    final = components(links.unionByName(more))
-
-    found = (classes.select("cls", "rep", "copies")
-             .join(final.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("cls", "copies", F.coalesce("component", "rep").alias("component_id")))
-    found = stored(found, "join-components")
-    return (join_by_group(heads.filter("n > 0").select("doc_id", "n", "cls"), found, "cls",
+    more = stored(_verify(pairs, rows, classes, width).filter(alike).select("a", "b"), "join-more")
+    return components(links.unionByName(more))
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """(doc_id, txt, n, component, component_id) of every row; null components: no shingles."""
+    rows, heads, classes = _classes_of(docs, id_col, text_col, width, percent)
+    n_rows = heads.count()
+    final = _links(rows, heads, classes, width, percent)
+    found = stored(classes.join(final.withColumnRenamed("node", "rep"), "rep", "left")
+                   .select("cls", "doc_id", "copies", F.coalesce("component", "rep").alias("component")),
+                   "join-found")
+    names = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    found = stored(found.drop("doc_id").join(names, "component"), "join-components")
+    return (join_by_group(heads.filter("n > 0").select("doc_id", "txt", "n", "cls"), found, "cls",
                           "copies", n_rows)
-            .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-            .unionByName(heads.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
-                                                      F.col("doc_id").alias("component_id"))))
+            .select("doc_id", "txt", "n", "component", "component_id")
+            .unionByName(heads.filter("n = 0").select(
+                "doc_id", "txt", "n", F.lit(None).cast("long").alias("component"),
+                F.col("doc_id").alias("component_id"))))
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+
+    Words are runs of characters other than blanks, A-Z lower-cased; a document's set is
+    its distinct shingles of ``width`` words.  Documents link when 100 * intersection >=
+    percent * union; component_id is the smallest doc_id that links lead to, itself
+    included.  Null and empty texts have no shingles and link with nothing; repeated rows
+    link with each other.  Rows of one id with different texts are different documents, and
+    so are rows without id, which are linked like others: a component_id is null where no
+    row of the component has an id.  Other columns are ignored.
+    """
+    return _found(docs, id_col, text_col, width, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     **options) -> DataFrame:
-    """``docs`` with one row of each component, the one with the smallest doc_id.  Only rows
-    that the filter of dropped ids can't clear are compared with the ids themselves."""
-    found = near_components(docs, id_col, text_col, **options)
-    dropped = stored(found.filter("doc_id <> component_id").select("doc_id").distinct(),
-                     "near-dropped")
-    maybe = HashFilter.build(dropped.select(F.xxhash64("doc_id").alias("h")))
+                     width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest doc_id (rows
+    without id last; of one id, the smallest digest of the text; of rows equal in both, any
+    one).  Rows are told apart by id and text together, so an id that several texts share
+    drops none but the copies; texts without shingles all stay.  Only rows that the filter
+    of dropped rows can't clear are compared with them."""
+    found = stored(_found(docs, id_col, text_col, width, percent).filter("component is not null")
+                   .select("doc_id", "txt", "component"), "near-found")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "txt")
+    first = found.groupBy("component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
+    joined = join_by_group(found, first, "component", "copies", found.count())
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("txt") == F.col("first.txt"))
+    marked = (joined.filter("copies > 1").select("doc_id", "txt", same.alias("stays"))
+              .groupBy("doc_id", "txt").agg(F.first("stays").alias("stays"), F.count(F.lit(1)).alias("rows")))
+    # what goes, and keys that stay but have several rows
+    gone = stored(marked.filter("not stays or rows > 1"), "near-dropped")
+    maybe = HashFilter.build(gone.select(F.xxhash64("doc_id", "txt").alias("h")))
     names = docs.columns
-    key, flag = fresh("_id", names), fresh("_maybe", names)
-    rows = docs.withColumn(key, F.col(id_col).cast("long"))
-    rows = rows.withColumn(flag, F.col(key).isNotNull()
-                           & maybe.maybe(F.xxhash64(F.coalesce(key, F.lit(0)))))
+    key, txt, flag = (fresh(c, names) for c in ("_id", "_txt", "_maybe"))
+    rows = docs.withColumns({key: F.col(id_col).cast("long"), txt: F.md5(
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))})
+    rows = rows.withColumn(flag, maybe.maybe(F.xxhash64(key, txt)))
     cols = [F.col(f"`{c}`") for c in names]
-    return (rows.filter(~F.col(flag)).select(*cols)
-            .unionByName(rows.filter(flag).join(dropped.withColumnRenamed("doc_id", key), key, "left_anti")
-                         .select(*cols)))
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("txt").alias("_gone_txt"), "stays")
+    told = (rows.filter(flag).select(F.struct(*cols).alias("_row"), F.col(key).alias("_k"), F.col(txt).alias("_t"))
+            .join(gone, (F.col("_t") == F.col("_gone_txt")) & F.col("_k").eqNullSafe(F.col("_gone_id")), "left"))
+    clear = told.filter("stays is null").select("_row.*")
+    one = told.filter("stays").dropDuplicates(["_k", "_t"]).select("_row.*")
+    return rows.filter(~F.col(flag)).select(*cols).unionByName(clear).unionByName(one)

@@ -1,5 +1,6 @@
+import hashlib
+import random
 import re
-from collections import defaultdict
 
 import pytest
 
@@ -18,9 +19,9 @@ def shingles(text, width=4):
     return frozenset(tuple(words[k:k + width]) for k in range(len(words) - width + 1))
 
 
-def brute(rows, percent=85):
-    """Component of each row by comparing all pairs."""
-    sets = [shingles(t) for _, t in rows]
+def brute(rows, percent=85, width=4):
+    """(id, set size, least id, number of the component) of each row by comparing all pairs."""
+    sets = [shingles(t, width) for _, t in rows]
     up = list(range(len(rows)))
 
     def top(i):
@@ -32,22 +33,54 @@ def brute(rows, percent=85):
         for j, b in enumerate(sets[:i]):
             if a and b and 100 * len(a & b) >= percent * len(a | b):
                 up[top(i)] = top(j)
-    least = defaultdict(lambda: float("inf"))
-    key = lambda i: float("-inf") if rows[i][0] is None else rows[i][0]
-    for i in range(len(rows)):
-        least[top(i)] = min(least[top(i)], key(i))
-    return sorted((key(i), len(sets[i]), least[top(i)]) for i in range(len(rows)))
+    least = {}
+    for i, (k, _) in enumerate(rows):
+        if k is not None:
+            least[top(i)] = min(least.get(top(i), k), k)
+    return [(rows[i][0], len(sets[i]), least.get(top(i)), top(i)) for i in range(len(rows))]
+
+
+def ordered(rows):
+    return sorted(rows, key=repr)
 
 
 def check(df):
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
-    got = sorted(tuple(float("-inf") if v is None else v for v in r)
-                 for r in near_components(df).collect())
-    assert got == brute(rows)
+    got = [tuple(r) for r in near_components(df).collect()]
+    assert ordered(got) == ordered(r[:3] for r in brute(rows))
+
+
+def keepers(rows, percent=85):
+    """The rows that stay, by id and text."""
+    groups, out = {}, []
+    for (i, text), (_, n, _, c) in zip(rows, brute(rows, percent)):
+        if n:
+            groups.setdefault(c, []).append((i is None, i or 0, hashlib.md5(text.encode()).hexdigest(), i, text))
+        else:
+            out.append((i, text))
+    return ordered(out + [min(g)[3:] for g in groups.values()])
 
 
 def test_edge_rows(edge):
-    check(edge.filter("doc_id is not null"))
+    check(edge)
+
+
+def test_null_and_repeated_ids(spark):
+    """An unrelated text under the id of a near copy, near copies under one id and without
+    ids, identical rows, and components of rows without ids only."""
+    rng = random.Random(5)
+    text = lambda name, n=60: [f"{name}{k}" for k in range(n)]
+    swap = lambda words, k: [*words[:k], "other", *words[k + 1:]]
+    a, b, c = text("a"), text("b"), text("c")
+    rows = [(1, a), (5, swap(a, 0)), (5, text("clean")), (None, swap(a, 59)), (None, text("alone")),
+            (None, b), (None, swap(b, 0)), (7, c), (7, swap(c, 0)), (7, swap(c, 59)), (7, c), (7, text("more")),
+            (8, text("twice")), (8, text("twice")), (9, text("twice")), (None, None), (3, None), (3, None)]
+    rows = [(i, t and " ".join(t)) for i, t in rows]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    check(df)
+    want = keepers([r for r in rows if r[1] is not None]) + [r for r in rows if r[1] is None]
+    assert ordered(tuple(r) for r in drop_near_copies(df).collect()) == ordered(want)
 
 
 def test_chains_and_crowds(spark):
@@ -79,11 +112,11 @@ def test_sets_with_equal_prefixes(spark):
 
 
 def test_drop_near_copies(edge):
-    found = near_components(edge).collect()
     kept = drop_near_copies(edge)
     assert kept.columns == edge.columns
-    want = sorted(r["doc_id"] for r in found if r["doc_id"] is not None and r["doc_id"] == r["component_id"])
-    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == want
+    rows = [(r["doc_id"], r["text"]) for r in edge.collect()]
+    want = keepers([r for r in rows if r[1] is not None]) + [r for r in rows if r[1] is None]
+    assert ordered((r["doc_id"], r["text"]) for r in kept.collect()) == ordered(want)
 
 
 def test_empty(empty):

@@ -1,13 +1,19 @@
 """Masked pseudo-likelihood of documents (operator 2).
 
 A small network predicts every word from the two words before and the two after it, and a
-document's score is the sum of these conditional log-probabilities.  The vocabulary is the
-most frequent words of the whole corpus, counted over all documents, and hash slots for the
-others.  The output is a two-level softmax: the word's class, then the word in the class.
+document's score is the sum of these conditional log-probabilities.  All words of the corpus
+are counted.  The network's output is a two-level softmax (the class, then the place in it)
+over as many places as the square root of the number of distinct words: three quarters are
+the most frequent words, the others are slots that the remaining words share by hash.  A
+word of a slot has the slot's probability times its share of the slot's words in the full
+count table, so the probabilities of all words of the corpus sum to one.
+
+The count table is never gathered: documents are encoded in blocks, each block asks for the
+counts of its distinct remaining words by a join, and is scored together with the answer.
 
 Training is in numpy inside the tasks and covers every document once: in each round the
-tasks start from the same weights, learn from their rows of one slice of the corpus, and
-the weights are averaged by the number of words seen.
+tasks start from the same weights, learn from a slice of their documents, and the weights
+are averaged by the number of words seen.
 """
 
 from __future__ import annotations
@@ -16,26 +22,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BLOCKS, array_blocks, id_text, slices, stored, sum_arrays, word_hashes
 
-CLASSES, PER_CLASS = 32, 32
-VOCABULARY = CLASSES * PER_CLASS
-#: Words with a place of their own; all others share the remaining hash slots.
-FREQUENT = 768
+#: Least number of places of the softmax; beyond it, the square root of the distinct words.
+LEAST_PLACES = 1024
 WINDOW = (-2, -1, 1, 2)
 DIM = 16
 ROUNDS = 3
 RATE = 0.15
 BATCH_WORDS = 1 << 14
+#: Text bytes of an encoded block (a longer document is a block of its own).
+BLOCK_BYTES = 4 << 20
 #: Distinct words that a counting task holds before it passes their counts on.
 HELD_WORDS = 2_000_000
-_PAD = VOCABULARY
-_SHAPES = [(len(WINDOW), VOCABULARY + 1, DIM), (DIM,), (DIM, CLASSES), (CLASSES,),
-           (CLASSES, DIM, PER_CLASS), (CLASSES, PER_CLASS)]
-_SIZES = [int(np.prod(s)) for s in _SHAPES]
+
+
+def places(distinct: int) -> int:
+    """Places of the softmax: the power of two nearest to the root of ``distinct``."""
+    return max(LEAST_PLACES, 1 << round(np.log2(max(distinct, 1)) / 2))
+
+
+def _shapes(size: int) -> list[tuple[int, ...]]:
+    classes = 1 << (size.bit_length() - 1) // 2
+    members = size // classes
+    return [(len(WINDOW), size + 1, DIM), (DIM,), (DIM, classes), (classes,),
+            (classes, DIM, members), (classes, members)]
+
+
+def n_weights(size: int) -> int:
+    return sum(int(np.prod(s)) for s in _shapes(size))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -73,38 +92,62 @@ def _merge(held, counts, more):
 
 
 class Vocabulary:
-    """Word hash -> id: frequent words by rank, the others by hash."""
+    """Word hash -> place: frequent words by rank, the others by hash.  ``slot_words`` are
+    the occurrences of all words, the frequent ones included, by ``hash & (slots - 1)``."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, slot_words: np.ndarray):
+        self.slots = len(slot_words)
+        self.size = 4 * self.slots
+        self.frequent = self.size - self.slots
         by = np.argsort(words)
         self.words, self.ids = words[by], np.arange(len(words))[by]
-        rest = max(total - int(counts.sum()), 1) / (VOCABULARY - FREQUENT)
-        self.share = np.full(VOCABULARY, rest)
-        self.share[:FREQUENT] = 0.1
+        #: occurrences of each slot's remaining words
+        self.rest = slot_words - np.bincount(words & (self.slots - 1), counts, self.slots)
+        self.share = np.full(self.size, 0.1)
         self.share[:len(counts)] = counts
+        self.share[self.frequent:] += self.rest
         self.share /= self.share.sum()
 
-    def encode(self, hashes: np.ndarray) -> np.ndarray:
+    @classmethod
+    def of(cls, counts: DataFrame) -> Vocabulary:
+        """From (word, n); what comes to the driver is ``places`` rows and as many sums."""
+        size = places(counts.count())
+        top = counts.orderBy(F.desc("n"), "word").limit(size - size // 4).toArrow()
+        sums = (counts.groupBy(F.col("word").bitwiseAND(F.lit(size // 4 - 1)).alias("slot"))
+                .agg(F.sum("n").alias("n"))).toArrow()
+        slot_words = np.zeros(size // 4)
+        slot_words[sums["slot"].to_numpy()] = sums["n"].to_numpy()
+        return cls(top["word"].to_numpy(), top["n"].to_numpy(), slot_words)
+
+    def encode(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, whether the word has its place to itself)."""
         words = hashes.view(np.int64)
-        out = (FREQUENT + hashes % np.uint64(VOCABULARY - FREQUENT)).astype(np.uint16)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-            known = self.words[at] == words
-            out[known] = self.ids[at[known]]
-        return out
+        out = (self.frequent + (words & (self.slots - 1))).astype(np.uint32)
+        if not len(self.words):
+            return out, np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        known = self.words[at] == words
+        out[known] = self.ids[at[known]]
+        return out, known
+
+    def log_shares(self, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """log P(word | its slot) of words with the counts ``n``."""
+        return np.log(n / self.rest[ids.astype(np.int64) - self.frequent])
 
 
 class WindowNetwork:
     def __init__(self, parts: list[np.ndarray]):
         (self.embed, self.bias, self.to_class, self.class_bias, self.to_word,
          self.word_bias) = self.parts = parts
+        self.classes, self.members = self.word_bias.shape
+        self.pad = self.classes * self.members
 
     @classmethod
     def fresh(cls, share: np.ndarray, seed: int = 5) -> WindowNetwork:
         rng = np.random.default_rng(seed)
-        parts = [rng.normal(0, 0.1, s).astype(np.float32) for s in _SHAPES]
-        parts[0][:, _PAD] = 0
-        by_class = share.reshape(CLASSES, PER_CLASS)
+        parts = [rng.normal(0, 0.1, s).astype(np.float32) for s in _shapes(len(share))]
+        parts[0][:, len(share)] = 0
+        by_class = share.reshape(parts[5].shape)
         parts[3][:] = np.log(by_class.sum(1))
         parts[5][:] = np.log(by_class / by_class.sum(1, keepdims=True))
         return cls(parts)
@@ -113,9 +156,10 @@ class WindowNetwork:
         return np.concatenate([p.reshape(-1) for p in self.parts]).astype(np.float64)
 
     @classmethod
-    def of(cls, flat: np.ndarray) -> WindowNetwork:
-        cuts = np.split(flat.astype(np.float32), np.cumsum(_SIZES)[:-1])
-        return cls([c.reshape(s) for c, s in zip(cuts, _SHAPES)])
+    def of(cls, flat: np.ndarray, size: int) -> WindowNetwork:
+        shapes = _shapes(size)
+        cuts = np.split(flat.astype(np.float32), np.cumsum([np.prod(s) for s in shapes])[:-1])
+        return cls([c.reshape(s) for c, s in zip(cuts, shapes)])
 
     def _hidden(self, seq: np.ndarray, at: np.ndarray) -> np.ndarray:
         total = self.bias + self.embed[0][seq[at + WINDOW[0]]]
@@ -136,19 +180,19 @@ class WindowNetwork:
         is called with the gradients of their mean."""
         h = self._hidden(seq, at)
         word = seq[at].astype(np.int64)
-        of, member = word // PER_CLASS, word % PER_CLASS
+        of, member = word // self.members, word % self.members
         p, logp = self._softmax(h @ self.to_class + self.class_bias)
         row = np.arange(len(at))
         out = logp[row, of]
         order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(CLASSES + 1))
+        cuts = np.searchsorted(of[order], np.arange(self.classes + 1))
         if learn:
             grads = [np.zeros_like(x) for x in self.parts]
             p[row, of] -= 1
             p /= len(at)
             grads[2], grads[3] = h.T @ p, p.sum(0)
             back = p @ self.to_class.T
-        for c in range(CLASSES):
+        for c in range(self.classes):
             rows = order[cuts[c]:cuts[c + 1]]
             if not len(rows):
                 continue
@@ -172,7 +216,7 @@ class WindowNetwork:
                 spread[:] = 0
                 spread[at + offset] = back
                 grads[0][k][ids] = np.add.reduceat(spread[by], starts)
-            grads[0][:, _PAD] = 0
+            grads[0][:, self.pad] = 0
             learn(grads)
         return out
 
@@ -186,10 +230,10 @@ class WindowNetwork:
         return step
 
 
-def padded(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def padded(docs: list[np.ndarray], pad: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(sequence, positions of its words, document of each), about BATCH_WORDS words at a
     time; documents are kept whole, with two pads on either side."""
-    gap = np.full(2, _PAD, np.int32)
+    gap = np.full(2, pad, np.int32)
     k = 0
     while k < len(docs):
         end, words = k, 0
@@ -198,52 +242,109 @@ def padded(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.
             end += 1
         seq = np.concatenate([gap, *(x for d in docs[k:end] for x in (d.astype(np.int32), gap))])
         doc = np.repeat(np.arange(k, end), [len(d) for d in docs[k:end]])
-        yield seq, np.flatnonzero(seq != _PAD), doc
+        yield seq, np.flatnonzero(seq != pad), doc
         k = end
 
 
-def encode_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, words): the ids of each document's words as unsigned 16-bit integers."""
+def _pack(values: np.ndarray) -> bytes:
+    return len(values).to_bytes(8, "little") + pa.compress(values.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(cell, dtype) -> np.ndarray:
+    raw = cell.as_py()
+    size = int.from_bytes(raw[:8], "little") * np.dtype(dtype).itemsize
+    return np.frombuffer(pa.decompress(raw[8:], size, "zstd", asbytes=True), dtype)
+
+
+def _documents(row: dict) -> list[np.ndarray]:
+    """The places of each document's words of an encoded block."""
+    return np.split(_unpack(row["words"], np.uint32), np.cumsum(row["n_words"].values.to_numpy())[:-1])
+
+
+def _rows(batch) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield {name: batch.column(name)[i] for name in batch.schema.names}
+
+
+def encode_blocks(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Blocks of about BLOCK_BYTES of text: the ids and word counts of its documents, the
+    places of all their words, and of the words without a place of their own the distinct
+    hashes (``keys``) and, word by word, the positions there (``rare``)."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    names = ["block", "doc_id", "n_words", "words", "rare", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in slices(batch.column(1)):
-                rows = batch.slice(a, b - a)
-                hashes, counts = word_hashes(rows.column(1))
-                ids, ends = shared.value.encode(hashes), np.cumsum(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array([ids[e - n:e].tobytes() for e, n in zip(ends, counts)],
-                                              pa.binary())], ["doc_id", "words"])
+        block, held = TaskContext.get().partitionId() << 32, []
 
-    return docs.mapInArrow(run, "doc_id bigint, words binary")
+        def out():
+            ids, counts, places_, rare = (list(x) for x in zip(*held))
+            keys, at = np.unique(np.concatenate(rare), return_inverse=True)
+            lists = [pa.array([pa.concat_arrays(x)], pa.list_(pa.int64()))
+                     for x in (ids, [pa.array(c, pa.int64()) for c in counts])]
+            blobs = [pa.array([_pack(x)], pa.binary())
+                     for x in (np.concatenate(places_), at.astype(np.uint32), keys)]
+            return pa.RecordBatch.from_arrays([pa.array([block]), *lists, *blobs], names)
+
+        size = 0
+        for batch in batches:
+            texts = batch.column(1)
+            for a, b in slices(texts):
+                part = texts.slice(a, b - a)
+                hashes, counts = word_hashes(part)
+                ids, known = shared.value.encode(hashes)
+                held.append((batch.column(0).slice(a, b - a), counts, ids,
+                             hashes.view(np.int64)[~known]))
+                size += part.nbytes
+                if size >= BLOCK_BYTES:
+                    yield out()
+                    block, size = block + 1, 0
+                    held.clear()
+        if held:
+            yield out()
+
+    return docs.mapInArrow(run, "block bigint, doc_id array<bigint>, n_words array<bigint>, "
+                                "words binary, rare binary, keys binary")
+
+
+def rare_counts(blocks: DataFrame, counts: DataFrame) -> DataFrame:
+    """(block, pos, n): the counts above one of each block's ``keys``, by position.  A row a
+    distinct word of a block is joined, never one an occurrence."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                keys = _unpack(row["keys"], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(keys), row["block"].as_py())),
+                     pa.array(np.arange(len(keys), dtype=np.int32)), pa.array(keys)],
+                    ["block", "pos", "word"])
 
-def _ids(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(w.as_buffer(), np.uint16) for w in column]
+    asked = blocks.select("block", "keys").mapInArrow(run, "block bigint, pos int, word bigint")
+    return asked.join(counts.filter("n > 1"), "word").select("block", "pos", "n")
 
 
-def train(words: DataFrame, share: np.ndarray, rounds: int = ROUNDS) -> WindowNetwork:
-    """One pass over all documents, a slice by hash of the doc_id in each round."""
-    spark, network = words.sparkSession, WindowNetwork.fresh(share)
+def train(blocks: DataFrame, share: np.ndarray, rounds: int = ROUNDS) -> WindowNetwork:
+    """One pass over all documents: in round r, every ``rounds``-th of each block from the
+    r-th on."""
+    spark, network, size = blocks.sparkSession, WindowNetwork.fresh(share), len(share)
     for r in range(rounds):
         start = spark.sparkContext.broadcast(network.flat())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            net, seen = WindowNetwork.of(start.value), 0
+            net, seen = WindowNetwork.of(start.value, size), 0
             step = net.learner()
             for batch in batches:
-                for seq, at, _ in padded(_ids(batch.column("words"))):
-                    if len(at):
-                        net.log_probs(seq, at, step)
-                        seen += len(at)
+                for row in _rows(batch):
+                    for seq, at, _ in padded(_documents(row)[r::rounds], net.pad):
+                        if len(at):
+                            net.log_probs(seq, at, step)
+                            seen += len(at)
             if seen:
                 yield array_blocks(np.append(net.flat() * seen, seen))
 
-        part = words.filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == r)
-        total = sum_arrays(part.mapInArrow(run, BLOCKS), sum(_SIZES) + 1)
+        total = sum_arrays(blocks.select("n_words", "words").mapInArrow(run, BLOCKS), n_weights(size) + 1)
         if total[-1]:
-            network = WindowNetwork.of(total[:-1] / total[-1])
+            network = WindowNetwork.of(total[:-1] / total[-1], size)
         start.unpersist()
     return network
 
@@ -258,24 +359,31 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     rows = id_text(docs, id_col, text_col)
     counts = stored(word_counts(rows), "lm-words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas()
-    vocabulary = Vocabulary(top["word"].to_numpy(np.int64), top["n"].to_numpy(np.int64), total)
-    words = stored(encode_words(rows, vocabulary), "lm-ids")
-    network = docs.sparkSession.sparkContext.broadcast(train(words, vocabulary.share, rounds).flat())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = WindowNetwork.of(network.value)
-        for batch in batches:
-            ids = _ids(batch.column("words"))
-            sums = np.zeros(len(ids))
-            for seq, at, doc in padded(ids):
-                if len(at):
-                    sums += np.bincount(doc, net.log_probs(seq, at), len(ids))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(w) for w in ids], pa.int64()), pa.array(sums)],
-                ["doc_id", "n_words", "log_likelihood"])
-
-    return (words.mapInArrow(run, "doc_id bigint, n_words bigint, log_likelihood double")
+    vocabulary = Vocabulary.of(counts)
+    blocks = stored(encode_blocks(rows, vocabulary), "lm-blocks")
+    network = train(blocks, vocabulary.share, rounds)
+    shared = docs.sparkSession.sparkContext.broadcast((network.flat(), vocabulary))
+
+    def score(asked: pa.Table, found: pa.Table) -> pa.Table:
+        flat, words = shared.value
+        net = WindowNetwork.of(flat, words.size)
+        row = next(_rows(asked.combine_chunks()))
+        texts, rare = _documents(row), _unpack(row["rare"], np.uint32)
+        sums = np.zeros(len(texts))
+        for seq, at, doc in padded(texts, net.pad):
+            if len(at):
+                sums += np.bincount(doc, net.log_probs(seq, at), len(texts))
+        n = np.ones(int(rare.max(initial=0)) + 1)
+        n[found["pos"].to_numpy()] = found["n"].to_numpy()
+        ids = np.concatenate(texts)
+        slot = ids >= words.frequent
+        doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[slot]
+        sums += np.bincount(doc, words.log_shares(ids[slot], n[rare]), len(texts))
+        return pa.table({"doc_id": row["doc_id"].values, "n_words": row["n_words"].values,
+                         "log_likelihood": sums})
+
+    return (blocks.select("block", "doc_id", "n_words", "words", "rare").groupBy("block")
+            .cogroup(rare_counts(blocks, counts).groupBy("block"))
+            .applyInArrow(score, "doc_id bigint, n_words bigint, log_likelihood double")
             .withColumn("mean_log_likelihood",
                         F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))))

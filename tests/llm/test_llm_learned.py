@@ -6,7 +6,8 @@ import pyarrow as pa
 import pytest
 
 from chunkwise.llm import toxicity
-from chunkwise.llm.bidi_lm import FREQUENT, Vocabulary, WindowNetwork, padded, pseudo_likelihood, word_counts
+from chunkwise.llm import bidi_lm
+from chunkwise.llm.bidi_lm import Vocabulary, WindowNetwork, padded, places, pseudo_likelihood, word_counts
 from chunkwise.llm.common import table, word_hashes
 from chunkwise.llm.cotrain import keep_good, score_quality, text_features
 from chunkwise.llm.toxicity import FactorizationMachine, doc_terms, score_toxicity
@@ -150,7 +151,7 @@ def test_text_features_are_whole_text():
 def test_gradients():
     rng = np.random.default_rng(1)
     net = WindowNetwork([p.astype(float) for p in WindowNetwork.fresh(np.full(1024, 1 / 1024)).parts])
-    seq, at, _ = next(padded([rng.integers(0, 1024, 25)]))
+    seq, at, _ = next(padded([rng.integers(0, 1024, 25)], net.pad))
     grads = []
     net.log_probs(seq, at, grads.extend)
     for p, g in zip(net.parts, grads):
@@ -165,7 +166,7 @@ def test_gradients():
 
 def test_probabilities_sum_to_one():
     net = WindowNetwork.fresh(np.full(1024, 1 / 1024))
-    seq, at, _ = next(padded([np.array([5, 9, 700])]))
+    seq, at, _ = next(padded([np.array([5, 9, 700])], net.pad))
     total = 0.0
     for w in range(1024):
         seq[at[1]] = w
@@ -209,8 +210,72 @@ def test_lm_edge_rows(edge, empty):
 
 
 def test_vocabulary():
-    words = np.arange(FREQUENT + 5, dtype=np.int64)
-    v = Vocabulary(words[:FREQUENT], np.arange(FREQUENT, 0, -1), 10 ** 6)
-    assert v.encode(words.view(np.uint64))[:FREQUENT].tolist() == list(range(FREQUENT))
-    assert (v.encode(words.view(np.uint64))[FREQUENT:] >= FREQUENT).all()
+    words = np.arange(800, dtype=np.int64) * 7
+    n = np.arange(800, 0, -1)
+    slots = np.bincount(words & 255, n, 256)
+    v = Vocabulary(words[:768], n[:768], slots)
+    ids, known = v.encode(words.view(np.uint64))
+    assert v.size == 1024 and ids[:768].tolist() == list(range(768)) and known.tolist() == [True] * 768 + [False] * 32
+    assert (ids[768:] - 768 == (words[768:] & 255)).all()
     assert v.share.sum() == pytest.approx(1)
+    # the words of a slot share its probability by their counts
+    total = np.bincount(ids[768:], np.exp(v.log_shares(ids[768:], n[768:])))
+    assert total[total > 0] == pytest.approx(1)
+
+
+def test_places_grow_with_the_corpus():
+    assert [places(10 ** k) for k in (0, 4, 6, 8, 10)] == [1024, 1024, 1024, 8192, 131072]
+
+
+def test_scores_word_by_word(spark, monkeypatch):
+    """The same scores as a plain loop over words: window sum, tanh, class, place, and for a
+    word without a place of its own its share of the slot."""
+    monkeypatch.setattr(bidi_lm, "LEAST_PLACES", 16)
+    monkeypatch.setattr(bidi_lm, "BLOCK_BYTES", 3000)
+    trained = []
+    train = bidi_lm.train
+    monkeypatch.setattr(bidi_lm, "train", lambda *a: trained.append((train(*a), a[1])) or trained[0][0])
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.randrange(60))))
+            for i in range(120)] + [(120, "twice only once"), (121, "twice"), (121, "twice"), (None, "W1 w2"), (122, None)]
+    found = pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    (net, share), = trained
+    low = [(i, (t or "").lower().split()) for i, t in rows]
+    count = {}
+    for _, ws in low:
+        for w in ws:
+            count[w] = count.get(w, 0) + 1
+    key = {w: int(word_hashes(pa.array([w]))[0].view(np.int64)[0]) for w in count}
+    size = len(share)
+    assert size == 16 and len(count) > 40
+    top = sorted(count, key=lambda w: (-count[w], key[w]))[:12]
+    place = {w: top.index(w) if w in top else 12 + (key[w] & 3) for w in count}
+    rest = {}
+    for w in count:
+        if w not in top:
+            rest[place[w]] = rest.get(place[w], 0) + count[w]
+
+    def softmax(z):
+        return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+    def naive(ws):
+        total = 0.0
+        for i, w in enumerate(ws):
+            h = net.bias.astype(float)
+            for k, d in enumerate((-2, -1, 1, 2)):
+                if 0 <= i + d < len(ws):
+                    h = h + net.embed[k][place[ws[i + d]]]
+            h = np.tanh(h)
+            c, m = divmod(place[w], net.members)
+            total += np.log(softmax(h @ net.to_class + net.class_bias)[c])
+            total += np.log(softmax(h @ net.to_word[c] + net.word_bias[c])[m])
+            if w not in top:
+                total += np.log(count[w] / rest[place[w]])
+        return total
+
+    want = sorted((-1 if i is None else i, len(ws), round(naive(ws), 2)) for i, ws in low)
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_words"], r["log_likelihood"]) for r in found)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=0.02)
+    by = {r["doc_id"]: r["log_likelihood"] for r in found}
+    assert by[121] != by[120]

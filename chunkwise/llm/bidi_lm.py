@@ -168,23 +168,33 @@ class WindowNetwork:
         return np.tanh(total, out=total)
 
     @staticmethod
-    def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        z -= z.max(1, keepdims=True)
-        p = np.exp(z)
+    def _softmax(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, mine,
+                 learn) -> tuple[np.ndarray, np.ndarray]:
+        """(probabilities, log-probability of the places ``mine``); unless it learns, the
+        first are left unnormalised.  |h| < 1 bounds the sums, so the usual shift by each
+        row's maximum is needed only where the weights are large."""
+        z = h @ weights
+        z += bias
+        if np.abs(weights).sum(0).max() + np.abs(bias).max() > 60:
+            z -= z.max(1, keepdims=True)
+        out = z[mine]
+        p = np.exp(z, out=z)
         total = p.sum(1)
-        p /= total[:, None]
-        return p, z - np.log(total)[:, None]
+        out -= np.log(total)
+        if learn:
+            p /= total[:, None]
+        return p, out
 
     def log_probs(self, seq: np.ndarray, at: np.ndarray, learn=None) -> np.ndarray:
         """log P(word | both sides) at the positions ``at`` of a padded sequence; ``learn``
         is called with the gradients of their mean."""
         h = self._hidden(seq, at)
-        word = seq[at].astype(np.int64)
+        word = seq[at]
         of, member = word // self.members, word % self.members
-        p, logp = self._softmax(h @ self.to_class + self.class_bias)
         row = np.arange(len(at))
-        out = logp[row, of]
-        order = np.argsort(of, kind="stable")
+        p, out = self._softmax(h, self.to_class, self.class_bias, (row, of), learn)
+        # small integers are sorted by radix
+        order = np.argsort(of.astype(np.uint16 if self.classes <= 1 << 16 else of.dtype), kind="stable")
         cuts = np.searchsorted(of[order], np.arange(self.classes + 1))
         if learn:
             grads = [np.zeros_like(x) for x in self.parts]
@@ -192,14 +202,12 @@ class WindowNetwork:
             p /= len(at)
             grads[2], grads[3] = h.T @ p, p.sum(0)
             back = p @ self.to_class.T
-        for c in range(self.classes):
+        for c in np.flatnonzero(np.diff(cuts)):
             rows = order[cuts[c]:cuts[c + 1]]
-            if not len(rows):
-                continue
             hc = h[rows]
-            q, logq = self._softmax(hc @ self.to_word[c] + self.word_bias[c])
             mine = np.arange(len(rows)), member[rows]
-            out[rows] += logq[mine]
+            q, logq = self._softmax(hc, self.to_word[c], self.word_bias[c], mine, learn)
+            out[rows] += logq
             if learn:
                 q[mine] -= 1
                 q /= len(at)
@@ -208,14 +216,11 @@ class WindowNetwork:
         if learn:
             back *= 1 - h * h
             grads[1] = back.sum(0)
-            by = np.argsort(seq, kind="stable")
-            starts = np.flatnonzero(np.diff(seq[by], prepend=-1))
-            ids = seq[by][starts]
-            spread = np.zeros((len(seq), DIM), np.float32)
+            by_dim = np.ascontiguousarray(back.T, np.float64)
             for k, offset in enumerate(WINDOW):
-                spread[:] = 0
-                spread[at + offset] = back
-                grads[0][k][ids] = np.add.reduceat(spread[by], starts)
+                side = seq[at + offset].astype(np.intp)
+                for d in range(DIM):
+                    grads[0][k][:, d] = np.bincount(side, by_dim[d], self.pad + 1)
             grads[0][:, self.pad] = 0
             learn(grads)
         return out

@@ -8,8 +8,9 @@ the most frequent words, the others are slots that the remaining words share by
 word of a slot has the slot's probability times its share of the slot's words in the full
 count table, so the probabilities of all words of the corpus sum to one.
 
-The count table is never gathered: documents are encoded in blocks, each block asks for the
-counts of its distinct remaining words by a join, and is scored together with the answer.
+The count table is never gathered: the counts of at most KNOWN_COUNTS of the most frequent
+words are broadcast, and documents are encoded in blocks, each of which asks for the counts
+of its other distinct words by a join and is scored together with the answer.
 
 Training is in numpy inside the tasks and covers every document once: in each round the
 tasks start from the same weights, learn from a slice of their documents, and the weights
@@ -37,6 +38,8 @@ RATE = 0.15
 BATCH_WORDS = 1 << 14
 #: Text bytes of an encoded block (a longer document is a block of its own).
 BLOCK_BYTES = 4 << 20
+#: Words whose counts are broadcast (16 bytes each); the others' come by a join.
+KNOWN_COUNTS = 1 << 18
 #: Distinct words that a counting task holds before it passes their counts on.
 HELD_WORDS = 2_000_000
 
@@ -95,44 +98,61 @@ class Vocabulary:
     """Word hash -> place: frequent words by rank, the others by hash.  ``slot_words`` are
     the occurrences of all words, the frequent ones included, by ``hash & (slots - 1)``."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, slot_words: np.ndarray):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, slot_words: np.ndarray,
+                 known: np.ndarray | None = None, known_n: np.ndarray | None = None):
         self.slots = len(slot_words)
         self.size = 4 * self.slots
         self.frequent = self.size - self.slots
-        by = np.argsort(words)
-        self.words, self.ids = words[by], np.arange(len(words))[by]
         #: occurrences of each slot's remaining words
-        self.rest = slot_words - np.bincount(words & (self.slots - 1), counts, self.slots)
+        rest = slot_words - np.bincount(words & (self.slots - 1), counts, self.slots)
         self.share = np.full(self.size, 0.1)
         self.share[:len(counts)] = counts
-        self.share[self.frequent:] += self.rest
+        self.share[self.frequent:] += rest
         self.share /= self.share.sum()
+        self.log_rest = np.log(np.maximum(rest, 1))
+        known, known_n = (words[:0], counts[:0]) if known is None else (known, known_n)
+        other = ~np.isin(known, words)
+        known, slot = known[other], known[other] & (self.slots - 1)
+        by = np.argsort(np.concatenate([words, known]))
+        self.words = np.concatenate([words, known])[by]
+        self.ids = np.concatenate([np.arange(len(words)), self.frequent + slot])[by]
+        self.logs = np.concatenate([np.zeros(len(words)),
+                                    np.log(known_n[other]) - self.log_rest[slot]])[by]
 
     @classmethod
     def of(cls, counts: DataFrame) -> Vocabulary:
-        """From (word, n); what comes to the driver is ``places`` rows and as many sums."""
+        """From (word, n).  To the driver come rows for three quarters of the places, a sum
+        for each slot and the counts of at most KNOWN_COUNTS words."""
         size = places(counts.count())
         top = counts.orderBy(F.desc("n"), "word").limit(size - size // 4).toArrow()
         sums = (counts.groupBy(F.col("word").bitwiseAND(F.lit(size // 4 - 1)).alias("slot"))
                 .agg(F.sum("n").alias("n"))).toArrow()
         slot_words = np.zeros(size // 4)
         slot_words[sums["slot"].to_numpy()] = sums["n"].to_numpy()
-        return cls(top["word"].to_numpy(), top["n"].to_numpy(), slot_words)
-
-    def encode(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, whether the word has its place to itself)."""
+        # eight levels of frequency for each doubling: the levels that fit as a whole
+        level = F.floor(8 * F.log2("n")).cast("int")
+        least, room = 1 << 30, KNOWN_COUNTS
+        for at, n in sorted(counts.groupBy(level).count().collect(), reverse=True):
+            room -= n
+            if room < 0:
+                break
+            least = at
+        known = counts.filter(level >= least).toArrow()
+        return cls(top["word"].to_numpy(), top["n"].to_numpy(), slot_words,
+                   known["word"].to_numpy(), known["n"].to_numpy())
+
+    def encode(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places, log P(word | its place), whether the word's count is known); where it is
+        not, the logarithm of the count is still to be added."""
         words = hashes.view(np.int64)
-        out = (self.frequent + (words & (self.slots - 1))).astype(np.uint32)
+        slot = words & (self.slots - 1)
+        out, logs = (self.frequent + slot).astype(np.uint32), -self.log_rest[slot]
         if not len(self.words):
-            return out, np.zeros(len(words), bool)
+            return out, logs, np.zeros(len(words), bool)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         known = self.words[at] == words
-        out[known] = self.ids[at[known]]
-        return out, known
-
-    def log_shares(self, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """log P(word | its slot) of words with the counts ``n``."""
-        return np.log(n / self.rest[ids.astype(np.int64) - self.frequent])
+        out[known], logs[known] = self.ids[at[known]], self.logs[at[known]]
+        return out, logs, known
 
 
 class WindowNetwork:
@@ -272,22 +292,24 @@ def _rows(batch) -> Iterator[dict]:
 
 
 def encode_blocks(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Blocks of about BLOCK_BYTES of text: the ids and word counts of its documents, the
-    places of all their words, and of the words without a place of their own the distinct
-    hashes (``keys``) and, word by word, the positions there (``rare``)."""
+    """Blocks of about BLOCK_BYTES of text: of its documents the ids, word counts, sums of
+    log P(word | its place) and numbers of words whose count is not known; the places of all
+    words; and of the words without a known count the distinct hashes (``keys``) and, word by
+    word, the positions there (``rare``)."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    names = ["block", "doc_id", "n_words", "words", "rare", "keys"]
+    names = ["block", "doc_id", "n_words", "shares", "n_rare", "words", "rare", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = TaskContext.get().partitionId() << 32, []
 
         def out():
-            ids, counts, places_, rare = (list(x) for x in zip(*held))
+            ids, counts, shares, n_rare, spots, rare = zip(*held)
             keys, at = np.unique(np.concatenate(rare), return_inverse=True)
-            lists = [pa.array([pa.concat_arrays(x)], pa.list_(pa.int64()))
-                     for x in (ids, [pa.array(c, pa.int64()) for c in counts])]
+            lists = [pa.array([x], pa.list_(t)) for x, t in (
+                (pa.concat_arrays(ids), pa.int64()), (np.concatenate(counts), pa.int64()),
+                (np.concatenate(shares), pa.float64()), (np.concatenate(n_rare), pa.int64()))]
             blobs = [pa.array([_pack(x)], pa.binary())
-                     for x in (np.concatenate(places_), at.astype(np.uint32), keys)]
+                     for x in (np.concatenate(spots), at.astype(np.uint32), keys)]
             return pa.RecordBatch.from_arrays([pa.array([block]), *lists, *blobs], names)
 
         size = 0
@@ -296,8 +318,10 @@ def encode_blocks(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             for a, b in slices(texts):
                 part = texts.slice(a, b - a)
                 hashes, counts = word_hashes(part)
-                ids, known = shared.value.encode(hashes)
-                held.append((batch.column(0).slice(a, b - a), counts, ids,
+                spots, logs, known = shared.value.encode(hashes)
+                doc = np.repeat(np.arange(b - a), counts)
+                held.append((batch.column(0).slice(a, b - a), counts, np.bincount(doc, logs, b - a),
+                             np.bincount(doc[~known], minlength=b - a), spots,
                              hashes.view(np.int64)[~known]))
                 size += part.nbytes
                 if size >= BLOCK_BYTES:
@@ -308,6 +332,7 @@ def encode_blocks(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield out()
 
     return docs.mapInArrow(run, "block bigint, doc_id array<bigint>, n_words array<bigint>, "
+                                "shares array<double>, n_rare array<bigint>, "
                                 "words binary, rare binary, keys binary")
 
 
@@ -367,27 +392,24 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     vocabulary = Vocabulary.of(counts)
     blocks = stored(encode_blocks(rows, vocabulary), "lm-blocks")
     network = train(blocks, vocabulary.share, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast((network.flat(), vocabulary))
+    size = vocabulary.size
+    shared = docs.sparkSession.sparkContext.broadcast(network.flat())
 
     def score(asked: pa.Table, found: pa.Table) -> pa.Table:
-        flat, words = shared.value
-        net = WindowNetwork.of(flat, words.size)
-        row = next(_rows(asked.combine_chunks()))
+        net, row = WindowNetwork.of(shared.value, size), next(_rows(asked.combine_chunks()))
         texts, rare = _documents(row), _unpack(row["rare"], np.uint32)
-        sums = np.zeros(len(texts))
+        sums = row["shares"].values.to_numpy().copy()
         for seq, at, doc in padded(texts, net.pad):
             if len(at):
                 sums += np.bincount(doc, net.log_probs(seq, at), len(texts))
         n = np.ones(int(rare.max(initial=0)) + 1)
         n[found["pos"].to_numpy()] = found["n"].to_numpy()
-        ids = np.concatenate(texts)
-        slot = ids >= words.frequent
-        doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[slot]
-        sums += np.bincount(doc, words.log_shares(ids[slot], n[rare]), len(texts))
+        doc = np.repeat(np.arange(len(texts)), row["n_rare"].values.to_numpy())
+        sums += np.bincount(doc, np.log(n[rare]), len(texts))
         return pa.table({"doc_id": row["doc_id"].values, "n_words": row["n_words"].values,
                          "log_likelihood": sums})
 
-    return (blocks.select("block", "doc_id", "n_words", "words", "rare").groupBy("block")
+    return (blocks.drop("keys").groupBy("block")
             .cogroup(rare_counts(blocks, counts).groupBy("block"))
             .applyInArrow(score, "doc_id bigint, n_words bigint, log_likelihood double")
             .withColumn("mean_log_likelihood",

@@ -213,13 +213,14 @@ def test_vocabulary():
     words = np.arange(800, dtype=np.int64) * 7
     n = np.arange(800, 0, -1)
     slots = np.bincount(words & 255, n, 256)
-    v = Vocabulary(words[:768], n[:768], slots)
-    ids, known = v.encode(words.view(np.uint64))
-    assert v.size == 1024 and ids[:768].tolist() == list(range(768)) and known.tolist() == [True] * 768 + [False] * 32
+    v = Vocabulary(words[:768], n[:768], slots, words[700:780], n[700:780])
+    ids, logs, known = v.encode(words.view(np.uint64))
+    assert v.size == 1024 and ids[:768].tolist() == list(range(768)) and (logs[:768] == 0).all()
     assert (ids[768:] - 768 == (words[768:] & 255)).all()
+    assert known.tolist() == [True] * 780 + [False] * 20
     assert v.share.sum() == pytest.approx(1)
     # the words of a slot share its probability by their counts
-    total = np.bincount(ids[768:], np.exp(v.log_shares(ids[768:], n[768:])))
+    total = np.bincount(ids[768:], np.exp(logs[768:] + np.where(known, 0, np.log(n))[768:]))
     assert total[total > 0] == pytest.approx(1)
 
 
@@ -227,11 +228,13 @@ def test_places_grow_with_the_corpus():
     assert [places(10 ** k) for k in (0, 4, 6, 8, 10)] == [1024, 1024, 1024, 8192, 131072]
 
 
-def test_scores_word_by_word(spark, monkeypatch):
+@pytest.mark.parametrize("known", (0, 30, 1000))
+def test_scores_word_by_word(spark, monkeypatch, known):
     """The same scores as a plain loop over words: window sum, tanh, class, place, and for a
     word without a place of its own its share of the slot."""
     monkeypatch.setattr(bidi_lm, "LEAST_PLACES", 16)
     monkeypatch.setattr(bidi_lm, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(bidi_lm, "KNOWN_COUNTS", known)
     trained = []
     train = bidi_lm.train
     monkeypatch.setattr(bidi_lm, "train", lambda *a: trained.append((train(*a), a[1])) or trained[0][0])

@@ -62,7 +62,8 @@ def text_features(values: pa.Array) -> np.ndarray:
         shares = np.sqrt(kinds.reshape(len(part), _N_KINDS) / np.maximum(lens, 1)[:, None])
         words, n_words = word_hashes(part, BLANKS)
         lines, n_lines = word_hashes(part, _LINES)
-        pairs = words[:-1] * np.uint64(3) + words[1:] if len(words) > 1 else words
+        doc = np.repeat(np.arange(len(part)), n_words)
+        pairs = (words[:-1] * np.uint64(3) + words[1:])[doc[:-1] == doc[1:]]
         out.append(np.column_stack([
             shares, np.log1p(lens), np.log1p(n_words), lens / np.maximum(n_words, 1) / 10,
             _distinct_share(words, n_words), _distinct_share(pairs, np.maximum(n_words - 1, 0)),

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ from chunkwise.llm import toxicity
 from chunkwise.llm import bidi_lm
 from chunkwise.llm.bidi_lm import Vocabulary, WindowNetwork, padded, places, pseudo_likelihood, word_counts
 from chunkwise.llm.common import table, word_hashes
+from chunkwise.llm import cotrain
 from chunkwise.llm.cotrain import keep_good, score_quality, text_features
 from chunkwise.llm.toxicity import FactorizationMachine, doc_terms, score_toxicity
 
@@ -175,7 +177,6 @@ def test_probabilities_sum_to_one():
 
 
 def test_word_counts(edge):
-    import re
     words = re.findall(r"[^\x20\x09-\x0D]+", " ".join(
         re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or "") for r in edge.collect()))
     got = {r["word"]: r["n"] for r in word_counts(edge.selectExpr("doc_id", "coalesce(text, '') text")).collect()}
@@ -282,3 +283,91 @@ def test_scores_word_by_word(spark, monkeypatch, known):
     assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=0.02)
     by = {r["doc_id"]: r["log_likelihood"] for r in found}
     assert by[121] != by[120]
+
+
+def naive_hash(word: bytes, plus: int = 0) -> int:
+    """The polynomial of a word's bytes and its finaliser, in whole numbers."""
+    h = sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(word)) + plus
+    h %= 1 << 64
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ h >> shift) * by % (1 << 64)
+    return h ^ h >> 31
+
+
+def test_toxicity_by_double_loop(spark, monkeypatch):
+    """The same scores as the sum over all pairs of a document's known terms."""
+    models, fit = [], FactorizationMachine.train
+    monkeypatch.setattr(FactorizationMachine, "train", lambda *a: models.append(fit(*a)) or models[0])
+    docs, truth = made(spark, 200)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    rows += [(900, None), (901, ""), (902, "Slurs, slurish! prose-Slur"), (902, "x"), (903, rows[5][1] * 30)]
+    known = spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    found = score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()
+    m, = models
+    place = {int(t): k for k, t in enumerate(m.terms)}
+
+    def naive(text):
+        low = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in (text or "").encode().lower())
+        terms = set()
+        for w in low.split():
+            terms.add(naive_hash(w) >> 32)
+            terms |= {prefix(w, k) for k in toxicity.PREFIXES if len(w) > k}
+        at = sorted(place[t] for t in terms if t in place)
+        z = m.bias + sum(m.linear[i] * m.evidence[i] for i in at)
+        for a, i in enumerate(at):
+            for j in at[a + 1:]:
+                z += (m.factors[i] @ m.factors[j]) * m.evidence[i] * m.evidence[j]
+        return 1 / (1 + np.exp(-z))
+
+    def prefix(w, k):
+        return naive_hash(w[:k], k) >> 32
+
+    want = sorted((i, naive(t)) for i, t in rows)
+    got = sorted((r["doc_id"], r["score"]) for r in found)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=1e-6)
+    assert len({round(g[1], 3) for g in got}) > 5
+
+
+def naive_features(text: str) -> list[float]:
+    """Content features of one text, byte by byte and word by word."""
+    data = (text or "").encode()
+    low = data.lower()
+    kinds = [0] * cotrain._N_KINDS
+    for b in data:
+        kinds[next((k for k, c in enumerate(cotrain._KINDS) if b in c),
+                   len(cotrain._KINDS) + (b < 128))] += 1
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", low) if w]
+    lines = [x for x in low.split(b"\n") if x]
+    pairs = list(zip(words, words[1:]))
+    distinct = lambda x: len(set(x)) / len(x) if x else 1.0
+    return [*(np.sqrt(k / max(len(data), 1)) for k in kinds), np.log1p(len(data)), np.log1p(len(words)),
+            len(data) / max(len(words), 1) / 10, distinct(words), distinct(pairs), distinct(lines),
+            np.log1p(len(data) / max(len(lines), 1))]
+
+
+def test_text_features_one_by_one():
+    rng = random.Random(2)
+    texts = ["", None, "One", "a a a a a a", "a b A B a b", "x\n\ny\nX\n", "\t \n", "Éa ÉA {1} <p>", "end"]
+    texts += [" ".join(rng.choice("abc") for _ in range(rng.randrange(9))) for _ in range(60)]
+    got = text_features(pa.array(texts))
+    assert got == pytest.approx(np.array([naive_features(t) for t in texts]), rel=1e-5, abs=1e-6)
+
+
+def test_quality_by_hand(spark, edge, labels, monkeypatch):
+    """Both views' probabilities and the calibrated sum, document by document."""
+    models, fit = [], cotrain.train
+    monkeypatch.setattr(cotrain, "train", lambda *a: models.append(fit(*a)) or models[0])
+    found = score_quality(edge, labels).collect()
+    m, = models
+    meta = {}
+    for r in edge.select("doc_id", "text", cotrain._metadata(*[edge[c] for c in ("source", "lang", "n_chars")])
+                         .alias("z")).collect():
+        x, z = np.array(naive_features(r["text"])), np.array(r["z"], float)
+        t = [(v @ w + b) * slope + shift
+             for v, (w, b), (slope, shift) in zip((x, z), m.views, m.scales)]
+        meta.setdefault(r["doc_id"], []).append([1 / (1 + np.exp(-u)) for u in (*t, t[0] + t[1] - m.prior)])
+    assert len(found) == sum(map(len, meta.values()))
+    for r in found:
+        got = [r["content_score"], r["metadata_score"], r["score"]]
+        assert any(got == pytest.approx(want, abs=1e-3) for want in meta[r["doc_id"]])

@@ -226,7 +226,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               label_col: str = "quality",
               meta_cols: Sequence[str] = ("source", "lang", "n_chars")) -> DataFrame:
-    """The rows of ``docs`` that score 0.5 or more; rows don't shuffle."""
+    """The rows of ``docs`` that score 0.5 or more; rows don't shuffle.
+
+    A row is judged by its own text and metadata alone: null and repeated ids make no
+    difference, repeated rows stay or go together, null and empty texts are judged alike,
+    null metadata is a value of its own.  Without labels of both kinds every row has their
+    (smoothed) share of ones.  An empty table stays empty; other columns are kept unread.
+    """
     model = train(_labelled(docs, labels, id_col, text_col, label_col, meta_cols))
     names = docs.columns
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -13,7 +13,8 @@ Terms of a pair whose joint counts tell more than either term and their sum coun
 whatever each says alone.
 
 It is trained in numpy on a bounded sample of labelled documents; scoring is one pass over
-all documents without a shuffle, the weights (bounded by ``MAX_WEIGHTS`` terms) broadcast.
+all documents without a shuffle, the weights broadcast: every term of ``LEAST_DOCS`` training
+documents has one, so there are at most ``MAX_TERMS / LEAST_DOCS``.
 """
 
 from __future__ import annotations
@@ -34,9 +35,8 @@ MAX_DOCS_PER_LABEL = 10_000
 MAX_TERMS = 6_000_000
 #: A document with more than this share of a label's half of the terms comes after all others.
 LONG = 0.01
-#: Terms of fewer training documents have no weight; of the others the most frequent do.
+#: Terms of fewer training documents have no weight.
 LEAST_DOCS = 4
-MAX_WEIGHTS = 500_000
 FACTORS = 4
 #: Standard deviations from which a term counts in full.
 SURE = 6
@@ -158,10 +158,7 @@ class FactorizationMachine:
         bias = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
         flat = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
         terms, seen = np.unique(flat, return_counts=True)
-        keep = seen >= LEAST_DOCS
-        if keep.sum() > MAX_WEIGHTS:
-            keep &= seen > np.partition(seen, -MAX_WEIGHTS)[-MAX_WEIGHTS]
-        terms, seen = terms[keep], seen[keep]
+        terms = terms[seen >= LEAST_DOCS]
         rng = np.random.default_rng(seed)
         m = cls(terms, np.zeros(len(terms)), np.zeros(len(terms)),
                 rng.normal(0, SPREAD, (len(terms), FACTORS)), bias)

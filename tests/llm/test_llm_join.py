@@ -50,10 +50,10 @@ def check(df):
     assert ordered(got) == ordered(r[:3] for r in brute(rows))
 
 
-def keepers(rows, percent=85):
+def keepers(rows, percent=85, width=4):
     """The rows that stay, by id and text."""
     groups, out = {}, []
-    for (i, text), (_, n, _, c) in zip(rows, brute(rows, percent)):
+    for (i, text), (_, n, _, c) in zip(rows, brute(rows, percent, width)):
         if n:
             groups.setdefault(c, []).append((i is None, i or 0, hashlib.md5(text.encode()).hexdigest(), i, text))
         else:

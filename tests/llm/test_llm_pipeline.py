@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import public_tokenizers
 import sentencepiece
@@ -12,8 +13,8 @@ from chunkwise.llm.cotrain import score_quality
 from chunkwise.llm.mixing import mix
 
 from conftest import SF_CHECK
-from llm_fixtures import edge, empty  # noqa: F401
-from test_llm_join import brute, shingles
+from llm_fixtures import CLASHING, edge, empty  # noqa: F401
+from test_llm_join import brute, keepers, ordered, shingles
 
 UPPER = re.compile("[A-Z]")
 
@@ -96,8 +97,58 @@ def test_near_dedup_at_five_words_and_four_fifths(spark):
     assert set(got) < set(at_four)
 
 
+def _counted(rows):
+    return Counter(tuple(r) for r in rows)
+
+
 def test_stages_on_edge_rows(spark, edge, empty):
-    for docs in (edge.select("doc_id", "text", "lang", "source", F.col("n_chars")), empty):
-        for name, stage in cp.STAGES:
-            docs = stored(stage(spark, docs, SF_CHECK), f"edge-{name}")
-            docs.count()
+    """Each stage over null and repeated ids, null, empty, blank, long and tied texts."""
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs = stored(edge.select(*cols), "edge-docs")
+    old = docs.collect()
+    out = {name: stage(spark, docs, SF_CHECK).collect() for name, stage in cp.STAGES}
+    low = lambda t: UPPER.sub(lambda m: m[0].lower(), t or "")
+
+    scores = score_quality(docs, table(spark, SF_CHECK, "labels")).collect()
+    assert Counter(r["doc_id"] for r in out["quality_filter"]) == \
+        Counter(r["doc_id"] for r in scores if r["predicted"])
+    assert not _counted(out["quality_filter"]) - _counted(old)
+
+    best = {}
+    for r in old:
+        at = (r["doc_id"] is not None, r["doc_id"] or 0)
+        best[low(r["text"])] = max(best.get(low(r["text"]), at), at)
+    assert Counter((low(r["text"]), r["doc_id"]) for r in out["exact_dedup"]) == \
+        Counter((t, i if known else None) for t, (known, i) in best.items())
+    assert not _counted(out["exact_dedup"]) - _counted(old)
+
+    texts = [(r["doc_id"], r["text"]) for r in old]
+    assert ordered((r["doc_id"], r["text"]) for r in out["near_dedup"]) == \
+        keepers(texts, percent=80, width=5)
+
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    want, got = Counter(), Counter()
+    for r in mix(docs).collect():
+        want[r["doc_id"]] += r["taken"]
+    for r in out["source_mix"]:
+        got[r["doc_id"]] += size(r["text"])
+    assert +want == +got
+    assert all(size(r["text"]) for r in out["source_mix"])
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = Counter()
+    for i, text in texts:
+        ids = lib.encode(text or "")
+        want[(i, len(ids), sha(",".join(map(str, ids))), sha(lib.decode(ids) if ids else ""))] += 1
+    assert _counted(out["encode_pieces"]) == want
+
+    for name, stage in cp.STAGES:
+        assert stage(spark, empty, SF_CHECK).count() == 0
+
+
+def test_stages_keep_columns_with_clashing_names(spark, edge):
+    for name, stage in cp.STAGES[:-1]:
+        got = stage(spark, edge, SF_CHECK)
+        assert got.columns == edge.columns
+        assert all(r[c] == f"extra {c}" for r in got.collect() for c in CLASHING)

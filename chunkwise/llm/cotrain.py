@@ -16,8 +16,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
@@ -41,6 +39,8 @@ for _k, _chars in enumerate(_KINDS):
 _KIND[128:] = len(_KINDS)
 _N_KINDS = len(_KINDS) + 2
 _LINES = np.arange(256) == 10
+#: Bytes of text handled at once: arrays of some sixty bytes for each are live.
+_SLICE = 1 << 18
 
 
 def _distinct_share(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -53,7 +53,7 @@ def _distinct_share(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def text_features(values: pa.Array) -> np.ndarray:
     """One row of content features per text."""
     out = []
-    for a, b in slices(values):
+    for a, b in slices(values, _SLICE):
         part = values.slice(a, b - a)
         data, offs = utf8(part)
         lens = np.diff(offs)
@@ -143,6 +143,10 @@ class QualityModel:
 
 
 def _fit(rows: DataFrame, features: str, penalty: float) -> tuple[np.ndarray, float]:
+    # imported on the driver alone: tasks need no Spark ML (and no pandas, which it loads)
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
     m = (LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
                             maxIter=20, tol=1e-4, regParam=penalty)
          .fit(rows.select(array_to_vector(features).alias("features"),

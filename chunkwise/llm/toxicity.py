@@ -21,15 +21,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import NON_LETTERS, id_text, slices, stored, word_hashes
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: Bounds of the training sample: documents of each label, and distinct terms of all of them.
 MAX_DOCS_PER_LABEL = 10_000
 MAX_TERMS = 6_000_000
@@ -214,6 +217,8 @@ def chosen_places(sizes: pd.DataFrame) -> pd.DataFrame:
     """The rows of ``sizes`` (label, place, n) that are trained on: each label has half of
     ``MAX_TERMS``, and what the other one leaves of its half, for its documents in the order
     of their places; a document that does not fit is passed over."""
+    import pandas as pd  # on the driver alone
+
     half = MAX_TERMS // 2
     total = {c: int(sizes["n"][sizes["label"] == c].sum()) for c in (0, 1)}
     out = []

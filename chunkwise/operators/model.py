@@ -23,6 +23,14 @@ from chunkwise.operators.metrics import roc_auc
 from chunkwise.operators.split import stratified_folds, stratified_split
 from chunkwise.session import scratch_path
 
+#: Training and scoring cost far more a row than its few bytes, by which Spark sizes tasks:
+#: rows are dealt out by their number.
+ROWS_PER_TASK = 10_000
+
+
+def tasks_for(n_rows: int) -> int:
+    return max(1, -(-n_rows // ROWS_PER_TASK))
+
 
 def processor_sql(proc: Processor) -> str:
     """The scaled numerics of the processor as one SELECT over ``__THIS__``."""
@@ -93,9 +101,11 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
     A fold that fails is reported and skipped; if all fail, so does the training.  Scaler and categories are fitted once,
     on all rows or (``fit_scope="train"``) on the train split.
 
-    The cleaned rows are written once to the shared folder.  Folds are fitted
-    concurrently (Spark runs the jobs of several driver threads at once) and
-    all fold AUCs come from one grouped exact-AUC pass.
+    The cleaned rows are written once to the shared folder and dealt over tasks
+    of ``ROWS_PER_TASK`` rows.  Folds are fitted concurrently (Spark runs the jobs
+    of several driver threads at once) and all fold AUCs come from one grouped
+    exact-AUC pass over the scored rows, which are written first: the ranges of
+    that pass are sampled, so it reads its input twice.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -103,13 +113,16 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
     path = scratch_path(clean.sparkSession, "train-rows")
     clean.withColumn(label, F.col(label).cast("double")).write.parquet(path)
     data = clean.sparkSession.read.parquet(path)
-    split = stratified_split(data, label, id_col, params.test_size, params.seed)
+    tasks = tasks_for(data.count())
+    split = stratified_split(data, label, id_col, params.test_size, params.seed,
+                             num_partitions=tasks)
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")
     scope = data if fit_scope == "all" else train
     proc = Processor.fit(scope, spec)
     est = build_pipeline(fit_encoder(proc, scope), params, label)
-    folds = stratified_folds(train, label, id_col, params.n_splits, params.seed)
+    folds = stratified_folds(train, label, id_col, params.n_splits, params.seed,
+                             num_partitions=tasks)
 
     def fit(rows: DataFrame) -> PipelineModel:
         # without the training summary, which holds the session and can't go to tasks with it
@@ -138,6 +151,9 @@ def train_forest(clean: DataFrame, spec: FeatureSpec, params: ModelParams = Mode
         union = evals[0]
         for e in evals[1:]:
             union = union.unionByName(e)
+        path = scratch_path(clean.sparkSession, "fold-scores")
+        union.write.parquet(path)
+        union = clean.sparkSession.read.schema(union.schema).parquet(path)
         aucs = {r["_eval"]: r["auc"] for r in
                 roc_auc(union, "probability", label, id_col, group="_eval").collect()}
     metrics, model = [], None

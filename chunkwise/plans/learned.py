@@ -17,7 +17,7 @@ from chunkwise.operators import ledger, validate
 from chunkwise.operators.external import external_model, score_external
 from chunkwise.operators.features import clean_training_frame
 from chunkwise.operators.model import (TrainResult, load_model, save_model, score_batch,
-                                       score_one, train_forest)
+                                       score_one, tasks_for, train_forest)
 from chunkwise.plans.catalog import _SPLIT_SQL, EVENTS_SCHEMA, register
 from chunkwise.plans.tables import LEDGER_SQL, ntz, table, task_events
 from chunkwise.session import scratch_path
@@ -178,7 +178,7 @@ WHERE n_chars IS NOT NULL AND lower(lang) IN ('de', 'en', 'es', 'fr')
 def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
     """Documents consumed as a stream, validated and scored.  Each micro-batch is
     validated in one write, partitioned by outcome under the batch id, and its valid rows
-    are scored from there; the predictions equal batch scoring."""
+    are scored from there, over tasks by their number; the predictions equal batch scoring."""
     from chunkwise.functions import one_of, required
     model = load_model(saved_model(spark, d))
     src = scratch_path(spark, "documents-files")
@@ -194,7 +194,8 @@ def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
             validate.with_errors(rows, [required("n_chars"), one_of("lang", LANGS)]),
             f"{checked}/batch_id={batch_id}")
         valid = read_sink(spark, paths["valid"], rows.schema)
-        score_batch(model, valid).select("doc_id", "probability", "survived") \
+        score_batch(model, valid.repartition(tasks_for(counts["valid"]))) \
+            .select("doc_id", "probability", "survived") \
             .write.mode("overwrite").parquet(f"{preds}/batch_id={batch_id}")
         return {"rows": sum(counts.values()), **counts}
 

@@ -159,6 +159,38 @@ def test_train_and_score_small_forest(spark):
     assert a == b
 
 
+def test_training_and_stream_scoring_spread_over_tasks_by_rows(spark, monkeypatch, tmp_path):
+    from chunkwise.operators import model as m
+    from chunkwise.plans import learned
+    monkeypatch.setattr(m, "ROWS_PER_TASK", 20)
+    docs = spark.range(200).select(
+        F.col("id").alias("doc_id"), (F.col("id") * 7 % 90).alias("n_chars"),
+        F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"),
+        F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    docs.select("doc_id", F.lit(1).alias("quality")).coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    fitted, scored = [], []
+    folds, score = m.stratified_folds, learned.score_batch
+
+    def fold(*args, **kwargs):
+        fitted.append(folds(*args, **kwargs))
+        return fitted[-1]
+
+    def note(model, df):
+        scored.append(df.rdd.getNumPartitions())
+        return score(model, df)
+
+    monkeypatch.setattr(m, "stratified_folds", fold)
+    monkeypatch.setattr(learned, "score_batch", note)
+    small = ModelParams(n_estimators=5, max_depth=3, n_splits=2)
+    train = learned.trained
+    monkeypatch.setattr(learned, "trained", lambda s, d: train(s, d, small))
+    out = learned.q_stream_score(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in out) == list(range(200)) and all(r["same_as_batch"] for r in out)
+    assert [f.rdd.getNumPartitions() for f in fitted] == [10]
+    assert sum(scored[:-1]) >= 10  # the micro-batches; the last one is the batch twin
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
     df = e.entry(spark)

@@ -21,6 +21,10 @@ from chunkwise.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once inside a task.
 CHUNK_BYTES = 1 << 20
+#: Bytes of a batch that Spark hands to a Python worker (Spark's 64 MB hold whole tasks, in
+#: the executor, whose buffers grow by doubling, and again in the worker).
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MULT_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -32,8 +36,11 @@ _shipped: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors (once a session): task functions import it there.
-    Only the driver reads the archive; Spark passes it on, as with ``--py-files``."""
+    Only the driver reads the archive; Spark passes it on, as with ``--py-files``.  The
+    session's Arrow batches get ``BATCH_BYTES``, unless its user has set their size."""
     sc = spark.sparkContext
+    if _BATCH_CONF not in spark.conf.getAll:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     if sc.applicationId in _shipped:
         return
     _shipped.add(sc.applicationId)

@@ -36,6 +36,8 @@ WIDTH = 4
 PERCENT = 85
 #: Cells of the counting sketch (4 bytes each), sent to the tasks.
 CELLS = 1 << 18
+#: Bytes of text whose words are hashed at once: the arrays for it are up to 50 times as large.
+SLICE_BYTES = 1 << 18
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -71,7 +73,7 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, any_rows = np.zeros(CELLS), False
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE_BYTES):
                 for s in shingle_sets(batch.column(1).slice(a, b - a), width):
                     any_rows = True
                     np.add.at(cells, s & (CELLS - 1), 1)
@@ -89,7 +91,7 @@ def _prefixes(docs: DataFrame, cells: np.ndarray, width: int, percent: int) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = counts.value
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 sets, heads, cls, grp = shingle_sets(rows.column(1), width), [], [], []
                 for s in sets:
@@ -121,7 +123,7 @@ def _sets_of(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(wanted.test(batch.column(2).to_numpy())))
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE_BYTES):
                 sets = [s for s in shingle_sets(batch.column(1).slice(a, b - a), width) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_digest(s) for s in sets], pa.binary()),

@@ -133,3 +133,25 @@ def test_components(spark):
 def test_shingle_counts(text, n):
     import pyarrow as pa
     assert [len(s) for s in shingle_sets(pa.array([text, None, "A  b\tC d"]))] == [n, 0, 1]
+
+
+def test_workers_get_batches_of_bounded_bytes(spark):
+    import pyarrow as pa
+
+    from chunkwise.llm import common
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], ["size"])
+
+    common.ship(spark)
+    docs = spark.range(1200).coalesce(1).selectExpr("id doc_id", "repeat('some words ', 1000) text")
+    sizes = [r["size"] for r in docs.mapInArrow(size, "size bigint").collect()]
+    assert sum(sizes) > 3 * common.BATCH_BYTES and max(sizes) < 1.1 * common.BATCH_BYTES
+    before = spark.conf.get(common._BATCH_CONF)
+    try:
+        spark.conf.set(common._BATCH_CONF, "12345678")
+        common.ship(spark)
+        assert spark.conf.get(common._BATCH_CONF) == "12345678"
+    finally:
+        spark.conf.set(common._BATCH_CONF, before)

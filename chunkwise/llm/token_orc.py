@@ -5,9 +5,9 @@ writes it, so the files, in the order of their parts, hold all ids in ascending
 order.  ORC stores the ids with its integer run-length encoding; stripes are split over
 readers, and row indexes and a Bloom filter on doc_id let a lookup skip the rest.
 
-A text is cut before each run of blanks that follows a word, where the tokenizer's own
-pre-tokenization always cuts; each distinct piece is encoded once per task by the
-tokenizers library, many in one call.
+A text is cut where the tokenizer's own pre-tokenization always cuts: a word with the blank
+before it is a piece, and so is the white space before that; each distinct piece is encoded
+once per task by the tokenizers library, many words in one call.
 """
 
 from __future__ import annotations
@@ -33,12 +33,16 @@ from .piece_codec import WordMemory
 END_ID = 0
 #: Distinct pieces that a task remembers.
 REMEMBERED = 600_000
+#: Words in one call of the library: its cost a word grows with the text.
+PER_CALL = 100
 ORC_OPTIONS = {"compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": "1000",
                "orc.stripe.size": str(16 << 20), "orc.bloom.filter.columns": "doc_id",
                "orc.bloom.filter.fpp": "0.01"}
 SCHEMA = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<int>"
 
-_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: A word with one blank before it; white space but its last character before a word, or all
+#: of it at the end; a line feed before a word.
+_PIECE = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|\n")
 #: White space of any tokenizer beyond blank and line feed: such texts are encoded whole.
 _OTHER_SPACE = re.compile(r"[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f"
                           r"\u205f-\u2064\u3000\ufeff]")
@@ -66,11 +70,12 @@ class CachedEncoder:
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]):
-        plain = [p for p in pieces if "\n" not in p]
-        rest = [p for p in pieces if "\n" in p]
+        # white space would run into the line feeds between the pieces: one run is one token
+        plain = [p for p in pieces if p.strip(" \n")]
+        rest = [p for p in pieces if not p.strip(" \n")]
         lists = []
-        for at in range(0, len(plain), 2000):  # joined, each call returns one long id list
-            part = plain[at:at + 2000]
+        for at in range(0, len(plain), PER_CALL):  # joined, each call returns one long id list
+            part = plain[at:at + PER_CALL]
             ids = self._whole(["\n".join(part)])[0]
             cuts = np.flatnonzero(ids == self.line)
             if len(cuts) == len(part) - 1:

@@ -61,6 +61,19 @@ def test_bytes_equal_the_library(encoder, some):
         [e.ids for e in lib.encode_batch(some, add_special_tokens=False)]
 
 
+def test_line_starts_and_indents_need_no_call_of_their_own(encoder, monkeypatch):
+    words = [a + b for a in "qwrtpsdfghjklz" for b in "qwrtpsdfghjklz"]
+    some = ["".join(f"{lead}{w}" for w in words) for lead in ("\n", "  ", "\n\n   ", " \n", " ")]
+    some += ["  a", "a  ", "\n", " \n \n", "\na\n", "    a\n  b \n c"]
+    mine, asked = CachedEncoder(BYTES), []
+    whole = mine._whole
+    monkeypatch.setattr(mine, "_whole", lambda texts: asked.extend(texts) or whole(texts))
+    ids, n = mine.encode(some)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n))[:-1]] == \
+        [e.ids for e in encoder[1].encode_batch(some, add_special_tokens=False)]
+    assert len(asked) < 20 < len(words)
+
+
 def test_memory_sheds_without_changing_ids(pieces):
     rng = random.Random(2)
     memory = WordMemory(lambda ws: (ws, *pieces[0]._encode_words(ws)), 50)

@@ -63,6 +63,9 @@ class CachedEncoder:
                          and self.tokenizer.normalizer is None
                          and not getattr(self.tokenizer.pre_tokenizer, "add_prefix_space", True))
         self.line = line[0] if line else -1
+        # the library cuts at these first, so white space before them ends its own text:
+        # texts with one are encoded whole
+        self.added = [a.content for a in self.tokenizer.get_added_tokens_decoder().values()]
         self.memory = WordMemory(self._learn, REMEMBERED)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -92,7 +95,8 @@ class CachedEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of each)."""
-        whole = {i for i, t in enumerate(texts) if not self.by_piece or _OTHER_SPACE.search(t)}
+        whole = {i for i, t in enumerate(texts) if not self.by_piece or _OTHER_SPACE.search(t)
+                 or any(a in t for a in self.added)}
         if whole:
             at = sorted(whole)
             if len(at) < len(texts):

@@ -74,6 +74,14 @@ def test_line_starts_and_indents_need_no_call_of_their_own(encoder, monkeypatch)
     assert len(asked) < 20 < len(words)
 
 
+def test_white_space_around_added_tokens(encoder):
+    for lead in ("", " ", "\n", "  ", "\n\n", " \n", "\n "):
+        texts = [f"{lead}<|endoftext|>{lead}a", f"a{lead}<|endoftext|>{lead}", f"b{lead}a"]
+        ids, n = encoder[0].encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n))[:-1]] == \
+            [e.ids for e in encoder[1].encode_batch(texts, add_special_tokens=False)]
+
+
 def test_memory_sheds_without_changing_ids(pieces):
     rng = random.Random(2)
     memory = WordMemory(lambda ws: (ws, *pieces[0]._encode_words(ws)), 50)

@@ -74,6 +74,21 @@ def test_line_starts_and_indents_need_no_call_of_their_own(encoder, monkeypatch)
     assert len(asked) < 20 < len(words)
 
 
+def test_words_are_looked_up_once_a_slice_and_plain_ones_skip_pre_tokenization(encoder, monkeypatch):
+    words = [a + b + c for a in "qwrtpsdfghjklz" for b in "aeiouéß" for c in "nrst"]
+    some = [" ".join(w + mark for w in words for mark in ("", ",", "..", "?!", ")]")) for _ in range(20)]
+    some += ["it's don't, 'tis 's. a'b", "x1, 2.5% a_b `c` ~d~ e^f", "word\nLine, next\nline.", "ﬁ ª µ ǅ ñ́"]
+    mine, asked, looked = CachedEncoder(BYTES), [], []
+    whole, lookup_ = mine._whole, mine.memory.lookup
+    monkeypatch.setattr(mine, "_whole", lambda texts: asked.extend(texts) or whole(texts))
+    monkeypatch.setattr(mine.memory, "lookup", lambda keys: looked.extend(keys) or lookup_(keys))
+    ids, n = mine.encode(some)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n))[:-1]] == \
+        [e.ids for e in encoder[1].encode_batch(some, add_special_tokens=False)]
+    assert len(looked) == len(set(looked)) < 5 * len(words) + 50
+    assert sum(len(t) for t in asked) < 300
+
+
 def test_white_space_around_added_tokens(encoder):
     for lead in ("", " ", "\n", "  ", "\n\n", " \n", "\n "):
         texts = [f"{lead}<|endoftext|>{lead}a", f"a{lead}<|endoftext|>{lead}", f"b{lead}a"]

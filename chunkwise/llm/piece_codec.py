@@ -28,6 +28,8 @@ from .common import id_text, slices
 SPACE = "▁"
 #: Distinct words that a task remembers.
 REMEMBERED = 200_000
+#: Bytes of text encoded and decoded at once: the arrays for it are up to 100 times as large.
+SLICE_BYTES = 1 << 18
 _NONE = np.int64(1 << 40)
 
 codecs.register_error("piece_bytes", lambda e: ("�", e.start + 1))
@@ -271,13 +273,14 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """(doc_id, ids, decoded) of every row: the ids of its whole text and the text decoded
     from these ids.  Null is an empty text, which has no ids; repeated rows and other
-    columns don't matter.  Rows don't shuffle; texts pass in slices of about 1 MB."""
+    columns don't matter.  Rows don't shuffle; texts pass in slices of about a quarter
+    megabyte."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         try:
             for batch in batches:
-                for a, b in slices(batch.column(1)):
+                for a, b in slices(batch.column(1), SLICE_BYTES):
                     part = batch.slice(a, b - a)
                     ids, counts = c.encode(part.column(1).to_pylist())
                     offs = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)

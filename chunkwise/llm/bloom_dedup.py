@@ -104,7 +104,8 @@ class RepeatFilter:
             return pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(maybe)],
                                               ["sha", "maybe"])
 
-        return run(text)
+        # else Spark copies it into the filter by ``maybe``: a Python worker more in every task
+        return run.asNondeterministic()(text)
 
     def maybe_repeated(self, h0: Column, h1: Column) -> Column:
         """False only where no other row has the same hash."""

@@ -122,7 +122,8 @@ class QualityModel:
         def run(x: pa.Array, z: pa.Array) -> pa.Array:
             return model._scores(_rows(x), _rows(z))
 
-        return run(content, metadata)
+        # else Spark copies it into each filter by a score: a Python worker more in every task
+        return run.asNondeterministic()(content, metadata)
 
     def score_text(self, text: Column, metadata: Column) -> Column:
         """The same from the text itself, in one step."""

@@ -8,6 +8,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
+from chunkwise.llm import bloom_dedup, cotrain
 from chunkwise.llm.common import stored, table
 from chunkwise.llm.cotrain import score_quality
 from chunkwise.llm.mixing import mix
@@ -152,3 +153,14 @@ def test_stages_keep_columns_with_clashing_names(spark, edge):
         got = stage(spark, edge, SF_CHECK)
         assert got.columns == edge.columns
         assert all(r[c] == f"extra {c}" for r in got.collect() for c in CLASHING)
+
+
+def test_tasks_of_the_first_stages_need_one_python_worker(spark, edge, monkeypatch):
+    def evals(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+    assert evals(bloom_dedup.drop_copies(edge)) == 2  # two sides of a union, one each
+    seen, fit = [], cotrain._fit
+    monkeypatch.setattr(cotrain, "_fit", lambda rows, *a: seen.append(evals(rows)) or fit(rows, *a))
+    cotrain.keep_good(table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels"))
+    assert seen and max(seen) == 1
